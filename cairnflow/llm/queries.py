@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash, substring, suffix
+from . import decontam, lines, simhash, substring, suffix
 from .common import table
 
 
@@ -18,17 +18,27 @@ def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeated_substrings(table(spark, sf_dir, "documents"), window=20, start=5).drop("kept")
 
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_digest(table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
+
+
 def op9_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeated_bytes(table(spark, sf_dir, "documents"), length=50).drop("kept")
 
 
+def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13, one_in=20).drop("items", "spans", "clean")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_simhash": op2_simhash,
         "op3_substring": op3_substring,
+        "op7_lines": op7_lines,
         "op9_suffix": op9_suffix,
+        "op10_decontam": op10_decontam,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_lines": lines.ORACLE}
