@@ -9,6 +9,7 @@ from __future__ import annotations
 import atexit
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -36,8 +37,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files of frames that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(3):  # the gateway lets go of Python's references first, then the JVM's cleaner sees them
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 class Scratch:
@@ -46,6 +49,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.base = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        bound_batches(spark)
         atexit.register(self._delete, self.base)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
@@ -105,13 +109,31 @@ def minimizers(h: np.ndarray, w: int) -> np.ndarray:
     return (v & _U(0xFFFFFFFF)).astype(np.int64)
 
 
-def batches(rows: Iterator[pa.RecordBatch], size: int = 1 << 25) -> Iterator[dict[str, list]]:
-    """Arrow batches as Python columns, a few MB at a time."""
+def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches count rows, not bytes; with long texts the default of 10,000 rows is too much memory for a worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
+def batches(rows: Iterator[pa.RecordBatch], size: int = 1 << 23) -> Iterator[dict[str, list]]:
+    """Arrow batches as Python columns, about ``size`` bytes at a time: small batches are joined, large ones cut."""
+    held: dict[str, list] = {}
+    n = 0
     for batch in rows:
         step = max(1, int(batch.num_rows * size / max(1, batch.nbytes)))
         for at in range(0, batch.num_rows, step):
             part = batch.slice(at, step)
-            yield {n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)}
+            for i, name in enumerate(part.schema.names):
+                held.setdefault(name, []).extend(part.column(i).to_pylist())
+            n += part.nbytes
+            if n >= size:
+                yield held
+                held, n = {}, 0
+        del batch
+        pa.default_memory_pool().release_unused()
+    if held and any(held.values()):
+        yield held
 
 
 def signed(x: np.ndarray) -> np.ndarray:

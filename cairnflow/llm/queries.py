@@ -15,7 +15,7 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring.remove_repeated_substrings(table(spark, sf_dir, "documents"), window=20, start=5).drop("kept")
+    return substring.remove_repeated_substrings(table(spark, sf_dir, "documents"), window=20, start=10).drop("kept")
 
 
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,11 +6,13 @@ window length is reached or no candidate survives:
 
 1. at length ``start`` every full window is represented by its minimizer (the
    least hash among its parts), so equal windows always choose equal parts and
-   about one word in eight yields a row instead of every word;
+   a fraction of the words yields a row instead of every word;
 2. a part that occurs once cannot lie in a repeated window, so it drops out;
 3. survivors are extended to twice the length, and so on;
-4. full windows that survive are grouped by a 128-bit hash and every occurrence
-   but the earliest ``(doc_id, start)`` marks its words.
+4. at the full length, neighbouring windows that share a minimizer are one run.
+   Equal runs are decided as a whole; only runs whose minimizer also has runs
+   of other content are opened, and their windows decided one by one: every
+   occurrence but the earliest ``(doc_id, start)`` marks its words.
 
 Every level reads the documents again by a join on ``doc_id``; what travels
 between levels are hashes and positions of survivors. Inside one Python batch
@@ -35,7 +37,9 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, batches, combine, cover, marks_by_doc, minimizers, release, runs_of, signed
 
-_RANK = "g long, g2 long, known boolean, doc_id long, at int"
+#: g is null where a batch has already decided: the part repeats, or the run or window goes.
+_PARTS = "g long, doc_id long, at int"
+_RUNS = "g long, g2 long, doc_id long, at int, to int"
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -61,107 +65,157 @@ def lengths(start: int, window: int) -> list[int]:
     return [*out, window]
 
 
+def _batch_rows(names: list[str], drop: str, id_col: list, at: list, to: list, keys: list[list]) -> pa.RecordBatch | None:
+    """Rows of one batch, sorted by key and place. drop: which rows of an equal key the batch decides ("all" of several, or all but the "first")."""
+    if not id_col:
+        return None
+    doc, at, to = np.concatenate(id_col), np.concatenate(at), np.concatenate(to)
+    keys = [np.concatenate(k) for k in keys]
+    order = np.lexsort((at, doc, *keys[::-1]))
+    doc, at, to, keys = doc[order], at[order], to[order], [k[order] for k in keys]
+    new = runs_of(np.arange(len(doc)), *keys)
+    again = ~new & (np.diff(doc, prepend=-1) == 0) & (np.diff(at, prepend=-1) == 0)  # a repeated row
+    new, doc, at, to, keys = new[~again], doc[~again], at[~again], to[~again], [k[~again] for k in keys]
+    sent = new.copy()
+    if drop == "all":  # one of several goes on for other batches to meet, beside its own decided row
+        several = ~new | np.append(~new[1:], False)
+        extra = new & several
+        doc, at, to = (np.concatenate([x, x[extra]]) for x in (doc, at, to))
+        keys = [np.concatenate([k, k[extra]]) for k in keys]
+        sent = np.concatenate([new & ~several, np.ones(int(extra.sum()), bool)])
+    cols = {"doc_id": pa.array(doc, pa.int64()), "at": pa.array(at.astype(np.int32)), "to": pa.array(to.astype(np.int32))}
+    cols |= {n: pa.array(signed(k), mask=~sent) for n, k in zip(("g", "g2"), keys, strict=False)}
+    return pa.RecordBatch.from_arrays([cols[n] for n in names], names=names)
+
+
+def _rows(parts, names: list[str], drop: str, window: int):
+    """parts(words, marks) -> (key columns, at, to) of one document."""
+
+    def run(source):
+        for cols in batches(source):
+            ids, at, to, keys = [], [], [], [[], []]
+            for k, (doc, text) in enumerate(zip(cols["doc_id"], cols["__text"], strict=True)):
+                words = text.split() if text else []
+                if doc is None or len(words) < window:
+                    continue
+                key, a, b = parts(words, cols["__marks"][k] if "__marks" in cols else None)
+                if len(a):
+                    ids.append(np.full(len(a), doc, np.int64))
+                    at.append(a)
+                    to.append(b)
+                    for i, x in enumerate(key):
+                        keys[i].append(x)
+            out = _batch_rows(names, drop, ids, at, to, [k for k in keys if k])
+            if out is not None:
+                yield out
+
+    return run
+
+
 def _first_level(n: int, window: int):
-    def parts(words: list[bytes], _alive):
+    def parts(words, _marks):
         h = gram_hashes(word_hashes(words), n)
         at = np.unique(minimizers(h, window - n + 1))
-        return at, h[at], h[at]
+        return [h[at]], at, at
+
+    return parts
+
+
+def _next_level(n: int, before: int):
+    """Parts of length n that hold a surviving part of the length before: forward from it, and ending with it."""
+
+    def parts(words, marks):
+        alive = np.array([m["at"] for m in marks], np.int64)
+        at = np.concatenate([alive, alive + before - n])
+        at = np.unique(at[(at >= 0) & (at + n <= len(words))])
+        return [gram_hashes(word_hashes(words), n)[at]], at, at
 
     return parts
 
 
-def _next_level(n: int, before: int, window: int):
-    """Parts of length n that contain a surviving part of the length before: forward from it if that fits, or else ending with it."""
-    second = 0x5BD1E995
+def _last_level(before: int | None, start: int, window: int):
+    """Runs of neighbouring windows that hold a surviving part and share a minimizer: (minimizer, content), first and last window."""
 
-    def parts(words: list[bytes], alive: np.ndarray):
+    def parts(words, marks):
         h = word_hashes(words)
-        if n < window:
-            at = np.concatenate([alive, alive + before - n])
-            at = np.unique(at[(at >= 0) & (at + n <= len(words))])
-            x = gram_hashes(h, n)[at]
-            return at, x, x
         wide = len(words) - window + 1
-        keep = cover(wide, np.maximum(alive + before - window, 0), np.minimum(alive + 1, wide))
-        at = np.flatnonzero(keep)
-        return at, gram_hashes(h, n)[at], gram_hashes(h, n, second)[at]
+        g = gram_hashes(h, start)
+        anchor = minimizers(g, window - start + 1)
+        if before is not None:
+            alive = np.array([m["at"] for m in marks], np.int64)
+            keep = cover(wide, np.maximum(alive + before - window, 0), np.minimum(alive + 1, wide))
+            anchor = np.where(keep, anchor, -1)
+        first = np.flatnonzero(np.diff(anchor, prepend=-2))
+        last = np.append(first[1:], wide) - 1
+        live = anchor[first] >= 0
+        first, last = first[live], last[live]
+        view = memoryview(np.ascontiguousarray(h)).cast("B")
+        digest = xxhash.xxh3_64_intdigest
+        content = [digest(view[8 * i : 8 * (j + window)]) for i, j in zip(first.tolist(), last.tolist(), strict=True)]
+        return [g[anchor[first]], np.array(content, np.uint64)], first, last
 
     return parts
 
 
-def _rows(parts, window: int, last: bool):
-    """Rows for one level. In a batch the earliest of equal parts keeps its key; others are known repeats and get a key of their own."""
+def _windows(window: int):
+    """Every window of the open runs, under a 128-bit hash."""
 
-    def run(source):
-        for cols in batches(source):
-            ids, where, g, g2 = [], [], [], []
-            alive = cols.get("__marks")
-            for k, (doc, text) in enumerate(zip(cols["doc_id"], cols["__text"], strict=True)):
-                words = text.split() if text else []
-                if doc is None or len(words) < window:
-                    continue
-                at, x, y = parts(words, np.unique(np.asarray(alive[k], np.int64)) if alive else None)
-                if len(at):
-                    ids.append(np.full(len(at), doc, np.int64))
-                    where.append(at)
-                    g.append(x)
-                    g2.append(y)
-            if not ids:
-                continue
-            ids, where, g, g2 = (np.concatenate(x) for x in (ids, where, g, g2))
-            order = np.lexsort((where, ids, g2, g))
-            new = runs_of(order, g, g2)
-            again = np.zeros(len(order), bool)
-            again[1:] = (ids[order][1:] == ids[order][:-1]) & (where[order][1:] == where[order][:-1])
-            many = np.zeros(len(order), bool)
-            many[:-1] |= ~new[1:]
-            ids, where, g, g2 = ids[order], where[order], g[order], g2[order]
-            # the earliest of a run keeps its key; at the last level it alone may stay, before that all of a run are alive
-            known = (~new) if last else many | ~new
-            own = combine(g, combine(ids.view(np.uint64), where.astype(np.uint64)), 77)
-            g = np.where(new, g, own)
-            keep = ~(again & ~new)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(g[keep])), pa.array(signed(g2[keep])), pa.array(known[keep]), pa.array(ids[keep]), pa.array(where[keep].astype(np.int32))],
-                names=["g", "g2", "known", "doc_id", "at"],
-            )
+    def parts(words, marks):
+        h = word_hashes(words)
+        wide = len(words) - window + 1
+        at = np.flatnonzero(cover(wide, np.array([m["at"] for m in marks], np.int64), np.array([m["to"] + 1 for m in marks], np.int64)))
+        return [gram_hashes(h, window)[at], gram_hashes(h, window, 0x5BD1E995)[at]], at, at
 
-    return run
+    return parts
 
 
-def repeated_starts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = 20, start: int = 5) -> DataFrame:
-    """(doc_id, at): starts of the windows of ``window`` words that also start earlier."""
+def repeated_runs(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = 20, start: int = 10) -> DataFrame:
+    """(doc_id, at, to): first and last start of runs of windows of ``window`` words that also start earlier."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "substring")
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("__text"))
-    sizes = lengths(start, window)
+    place = F.struct("doc_id", "at")
+
+    def with_marks(marks: DataFrame, *cols: str) -> DataFrame:
+        return base.join(marks_by_doc(marks, "doc_id", *cols).hint("shuffle_hash"), "doc_id")
+
+    def decide(parts, names: list[str], drop: str, source: DataFrame, name: str) -> DataFrame:
+        rows = scratch.save(source.mapInArrow(_rows(parts, names, drop, window), _RUNS if "to" in names else _PARTS), name)
+        release(spark)
+        return rows
+
+    *shorter, _ = lengths(start, window)
     alive = None
-    for k, n in enumerate(sizes):
-        last = n == window
-        source = base if alive is None else base.join(marks_by_doc(alive, "doc_id", "at").select("doc_id", F.col("__marks.at").alias("__marks")).hint("shuffle_hash"), "doc_id")
-        if k == 0 and not last:
-            parts = _first_level(n, window)
-        elif k == 0:
-            parts = lambda words, _alive, n=n: (np.arange(len(words) - n + 1), gram_hashes(word_hashes(words), n), gram_hashes(word_hashes(words), n, 0x5BD1E995))
-        else:
-            parts = _next_level(n, sizes[k - 1], window)
-        rows = source.mapInArrow(_rows(parts, window, last), _RANK)
-        if last:
-            w = Window.partitionBy("g", "g2")
-            seen = rows.withColumn("__first", F.min(F.struct("doc_id", "at")).over(w))
-            seen = seen.where(F.col("known") | (F.col("__first") != F.struct("doc_id", "at")))
-        else:
-            # documents may repeat as rows, so a part is alive if it is known to repeat or another place has it
-            w = Window.partitionBy("g")
-            place = F.struct("doc_id", "at")
-            seen = rows.withColumn("__lo", F.min(place).over(w)).withColumn("__hi", F.max(place).over(w))
-            seen = seen.where(F.col("known") | (F.col("__lo") != F.col("__hi")))
-        alive = scratch.save(seen.select("doc_id", "at"), f"level{n}")
+    for k, n in enumerate(shorter):
+        source = base if alive is None else with_marks(alive, "at")
+        rows = decide(_first_level(n, window) if k == 0 else _next_level(n, shorter[k - 1]), ["g", "doc_id", "at"], "all", source, f"parts{n}")
+        met = Window.partitionBy("g")
+        seen = rows.where("g is not null").withColumn("lo", F.min(place).over(met)).withColumn("hi", F.max(place).over(met)).where("lo <> hi")
+        alive = scratch.save(seen.select("doc_id", "at").unionByName(rows.where("g is null").select("doc_id", "at")), f"alive{n}")
         del rows, seen, source
-        if k > 0:
-            scratch.drop(f"level{sizes[k - 1]}")
+        scratch.drop(f"parts{n}")
         release(spark)
-    return alive
+
+    names = ["g", "g2", "doc_id", "at", "to"]
+    source = base if alive is None else with_marks(alive, "at")
+    rows = decide(_last_level(shorter[-1] if shorter else None, shorter[0] if shorter else window, window), names, "rest", source, "runs")
+    del source, alive
+    seen = rows.where("g is not null").withColumn("lo", F.min(place).over(Window.partitionBy("g", "g2")))
+    seen = seen.withColumn("clo", F.min("g2").over(Window.partitionBy("g"))).withColumn("chi", F.max("g2").over(Window.partitionBy("g")))
+    gone = F.col("lo") != place
+    seen = seen.select("doc_id", "at", "to", gone.alias("gone"), (~gone & (F.col("clo") < F.col("chi"))).alias("open")).where("gone or open")
+    decided = scratch.save(seen.unionByName(rows.where("g is null").select("doc_id", "at", "to", F.lit(True).alias("gone"), F.lit(False).alias("open"))), "decided")
+    del rows, seen
+    scratch.drop("runs", *(f"alive{n}" for n in shorter))
+    release(spark)
+
+    rows = decide(_windows(window), names, "rest", with_marks(decided.where("open"), "at", "to"), "windows")
+    late = rows.where("g is not null").withColumn("lo", F.min(place).over(Window.partitionBy("g", "g2"))).where(F.col("lo") != place)
+    late = scratch.save(late.select("doc_id", "at", "to").unionByName(rows.where("g is null").select("doc_id", "at", "to")), "late")
+    del rows
+    scratch.drop("windows")
+    release(spark)
+    return decided.where("gone").select("doc_id", "at", "to").unionByName(late)
 
 
 def _digest(window: int):
@@ -172,8 +226,7 @@ def _digest(window: int):
                 words = text.split() if text else []
                 gone = np.zeros(len(words), bool)
                 if marks:
-                    at = np.asarray(marks, np.int64)
-                    gone = cover(len(words), at, at + window)
+                    gone = cover(len(words), np.array([m["at"] for m in marks], np.int64), np.array([m["to"] for m in marks], np.int64) + window)
                 kept = b" ".join(w for w, x in zip(words, gone.tolist(), strict=True) if not x) if marks else b" ".join(words)
                 out["n_words"].append(len(words))
                 out["n_removed"].append(int(gone.sum()))
@@ -184,13 +237,13 @@ def _digest(window: int):
     return run
 
 
-def remove_repeated_substrings(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = 20, start: int = 5) -> DataFrame:
+def remove_repeated_substrings(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = 20, start: int = 10) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256 and the kept words as UTF-8 (``kept``).
 
     A word goes if a window of ``window`` words that covers it also starts
     earlier: in a smaller ``doc_id``, or before it in the same document.
     """
-    marks = repeated_starts(docs, text_col, id_col, window, start)
+    marks = repeated_runs(docs, text_col, id_col, window, start)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("__text"))
-    by_doc = marks_by_doc(marks, "doc_id", "at").select("doc_id", F.col("__marks.at").alias("__marks")).hint("shuffle_hash")
+    by_doc = marks_by_doc(marks, "doc_id", "at", "to").hint("shuffle_hash")
     return base.join(by_doc, "doc_id", "left").mapInArrow(_digest(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept binary")

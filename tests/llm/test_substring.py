@@ -46,7 +46,7 @@ def test_against_brute_force(spark):
             w = w + w[-30:]
         rows.append((d, " ".join(w), 1))
     rows += [(100, None, 1), (101, "", 1), (102, " \t ", 1), (103, "a " * 500, 1), (104, "a " * 90, 1), (105, rows[3][1], 1), (106, rows[3][1], 1)]
-    for window, start in ((20, 5), (20, 20), (7, 3)):
+    for window, start in ((20, 10), (20, 5), (20, 20), (7, 3)):
         got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in remove_repeated_substrings(spark.createDataFrame(rows, SCHEMA).repartition(5), window=window, start=start).collect()}
         assert got == brute(rows, window)
 
