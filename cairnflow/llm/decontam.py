@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches
+from .common import batches, bound_batches
 
 #: On lower-cased UTF-8 bytes: runs of digits, letters and non-ASCII bytes.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -226,3 +226,35 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", id_
     if not any_block:
         out = out.withColumns({"spans": F.array().cast(spans), "items": F.array().cast("array<string>")})
     return out.mapInArrow(_judge(one_in, max_span), f"doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>, spans {spans}, clean binary")
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_text: str = "text", item_id: str = "item_id", window: int = 13, one_in: int = 20, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of docs, all columns as they are, that are not contaminated: maps only, no shuffle."""
+    bound_batches(docs.sparkSession)
+    spans = pa.list_(pa.list_(pa.int32()))
+    name = "__spans"
+    while name in docs.columns:
+        name += "_"
+
+    def scan(automaton: Automaton):
+        def run(source):
+            for batch in source:
+                texts, before = batch.column(batch.schema.names.index(text_col)).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
+                found = [b + [list(s) for s in automaton.matches(words_of(t.encode() if t else None))[0]] for t, b in zip(texts, before, strict=True)]
+                yield batch.set_column(batch.num_columns - 1, name, pa.array(found, spans))
+
+        return run
+
+    def judge(source):
+        for batch in source:
+            texts, found = batch.column(batch.schema.names.index(text_col)).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
+            clean = []
+            for t, hit in zip(texts, found, strict=True):
+                n = len({i for s, e in hit for i in range(s, e)})
+                clean.append(not hit or n * one_in < len(words_of(t.encode())))
+            yield batch.select(batch.schema.names[:-1]).filter(pa.array(clean, pa.bool_()))
+
+    out = docs.withColumn(name, F.array().cast("array<array<int>>"))
+    for block in item_blocks(items, item_text, item_id, block_words):
+        out = out.mapInArrow(scan(Automaton(block, window)), out.schema)
+    return out.mapInArrow(judge, docs.schema)

@@ -63,6 +63,12 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, text_col: str = "text", i
     return joined.withColumns({"__lines": F.size("__split").cast("long"), "__dropped": F.coalesce("__n", F.lit(0)).cast("long"), "__kept": F.when(F.col("__runs").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(kept)}).drop("__id", "__n", "__runs", "__split")
 
 
+def drop_common_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_chars: int = 40, min_docs: int = 5) -> DataFrame:
+    """docs with the same columns and the text that stays; texts that lose no line stay as they are, null included."""
+    kept = apply_bitmaps(docs, line_bitmaps(docs, text_col, id_col, min_chars, min_docs), text_col, id_col)
+    return kept.withColumn(text_col, F.when(F.col("__dropped") > 0, F.col("__kept")).otherwise(F.col(text_col))).select(*docs.columns)
+
+
 def line_digest(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """Per document: doc_id, n_lines, n_dropped, kept_sha256."""
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))

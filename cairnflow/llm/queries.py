@@ -5,11 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontam, lines, simhash, substring, suffix
+from . import decontam, html_text, lines, mixing, quality, simhash, substring, suffix, topk, toxicity
 from .common import table
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), bits=4, width=4)
 
@@ -18,10 +23,26 @@ def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeated_substrings(table(spark, sf_dir, "documents"), window=20, start=10).drop("kept")
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.5)
+
+
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digest(table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeated_bytes(table(spark, sf_dir, "documents"), length=50).drop("kept")
 
@@ -32,13 +53,18 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_topk": op1_topk,
         "op2_simhash": op2_simhash,
         "op3_substring": op3_substring,
+        "op4_html": op4_html,
+        "op5_quality": op5_quality,
+        "op6_toxicity": op6_toxicity,
         "op7_lines": op7_lines,
+        "op8_mixing": op8_mixing,
         "op9_suffix": op9_suffix,
         "op10_decontam": op10_decontam,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_lines": lines.ORACLE}
+    return {"op1_topk": topk.ORACLE, "op7_lines": lines.ORACLE, "op8_mixing": mixing.oracle()}

@@ -197,7 +197,7 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
 
 
 def one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", bits: int = 4, width: int = 4) -> DataFrame:
-    """The documents that represent their class: the one with the least doc_id. Rows repeating that doc_id are kept once; rows with a null doc_id stay only if no other document is in their class."""
+    """The documents that represent their class: the one with the least doc_id. Rows repeating that doc_id are kept once; rows with a null doc_id cannot represent a class and go."""
     cls = near_duplicates(docs, text_col, id_col, bits, width)
     keep = cls.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
     return docs.join(keep.hint("shuffle_hash"), F.col(id_col).cast("long") == F.col("__keep"), "left_semi").dropDuplicates([id_col])
