@@ -42,7 +42,9 @@ from .common import Scratch, batches, combine, cover, marks_by_doc, minimizers,
 
 GRAM = 16
 BLOCK = 1 << 20
-_RUNS = "h long, ctx long, known boolean, doc_id long, a int, b int"
+_FACTOR = 0xD6E8FEB86659FD93
+#: ab is length * first window + (last - first). A row with known holds all runs of a document that a batch has decided, under a key of its own.
+_RUNS = "h long, ctx long, doc_id long, ab long, known binary"
 _BYTES = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 64, 256, dtype=np.uint64)
 
 
@@ -121,6 +123,21 @@ def maximal_repeats(texts: list[bytes], group: np.ndarray, least: int) -> Iterat
 # --- step 1: anchors and runs --------------------------------------------------
 
 
+def gram_hashes(piece: np.ndarray, gram: int) -> np.ndarray:
+    """Polynomial hash of every ``gram`` consecutive bytes by doubling, mixed at the end."""
+    h, size = _BYTES[piece], 1
+    with np.errstate(over="ignore"):
+        while size < gram:
+            step = min(size, gram - size)
+            g = h[: len(h) - step] * np.uint64(pow(_FACTOR, step, 1 << 64))
+            g += h[step:]
+            h, size = g, size + step
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return h
+
+
 def anchor_runs(text: bytes, length: int, gram: int) -> tuple[np.ndarray, ...]:
     """(anchor hash, run hash, first window, last window) for one text, block by block."""
     out = []
@@ -128,11 +145,7 @@ def anchor_runs(text: bytes, length: int, gram: int) -> tuple[np.ndarray, ...]:
     view = memoryview(text)
     for at in range(0, len(text) - length + 1, BLOCK):
         piece = np.frombuffer(text, np.uint8, min(BLOCK + length - 1, len(text) - at), at)
-        h, size = _BYTES[piece], 1
-        while size < gram:
-            step = min(size, gram - size)
-            h = combine(h[: len(h) - step], h[step:])
-            size += step
+        h = gram_hashes(piece, gram)
         anchor = minimizers(h, length - gram + 1)
         first = np.flatnonzero(np.diff(anchor, prepend=-1))
         last = np.append(first[1:], len(anchor)) - 1
@@ -149,15 +162,25 @@ def _runs(length: int, gram: int):
                 continue
             doc = np.concatenate([np.full(len(p[0]), d, np.int64) for d, p in parts])
             h, ctx, a, b = (np.concatenate([p[i] for _, p in parts]) for i in range(4))
-            order = np.lexsort((a, doc, ctx, h))
-            h, ctx, doc, a, b = h[order], ctx[order], doc[order], a[order], b[order]
+            ab = a * length + (b - a)  # a run has fewer than length windows
+            order = np.lexsort((ab, doc, ctx, h))
+            h, ctx, doc, ab = h[order], ctx[order], doc[order], ab[order]
             new = runs_of(np.arange(len(h)), h, ctx)
             least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
             known = doc > least  # the same run is in a smaller document of this batch
-            again = ~new & (np.diff(doc, prepend=-1) == 0) & (np.diff(a, prepend=-1) == 0)  # a repeated row
-            h = np.where(known, combine(h, combine(doc.view(np.uint64), a.astype(np.uint64)), 77), h)
-            k = ~again
-            yield pa.RecordBatch.from_arrays([pa.array(signed(h[k])), pa.array(signed(ctx[k])), pa.array(known[k]), pa.array(doc[k]), pa.array(a[k].astype(np.int32)), pa.array(b[k].astype(np.int32))], names=["h", "ctx", "known", "doc_id", "a", "b"])
+            again = ~new & (np.diff(doc, prepend=-1) == 0) & (np.diff(ab, prepend=-1) == 0)  # a repeated row
+            sent = ~known & ~again
+            n = int(sent.sum())
+            yield pa.RecordBatch.from_arrays([pa.array(signed(h[sent])), pa.array(signed(ctx[sent])), pa.array(doc[sent]), pa.array(ab[sent]), pa.nulls(n, pa.binary())], names=["h", "ctx", "doc_id", "ab", "known"])
+            known &= ~again
+            if known.any():
+                order = np.argsort(doc[known], kind="stable")
+                kd, kab = doc[known][order], ab[known][order]
+                cuts = np.flatnonzero(np.diff(kd)) + 1
+                ids = kd[np.concatenate([[0], cuts])]
+                blobs = [x.tobytes() for x in np.split(kab, cuts)]
+                own = combine(ids.view(np.uint64), kab[np.concatenate([[0], cuts])].view(np.uint64), 77)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(own)), pa.nulls(len(ids), pa.int64()), pa.array(ids), pa.nulls(len(ids), pa.int64()), pa.array(blobs, pa.binary())], names=["h", "ctx", "doc_id", "ab", "known"])
 
     return run
 
@@ -261,18 +284,32 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     runs = base.mapInArrow(_runs(length, min(gram, length)), _RUNS).withColumn("mn", F.min("doc_id").over(by_run))
     for name, f, c in (("dlo", F.min, "doc_id"), ("dhi", F.max, "doc_id"), ("clo", F.min, "ctx"), ("chi", F.max, "ctx")):
         runs = runs.withColumn(name, f(c).over(by_anchor))
-    gone = F.col("known") | (F.col("doc_id") > F.col("mn"))
-    runs = runs.select("h", "doc_id", "a", "b", gone.alias("gone"), (~gone & (F.col("dlo") < F.col("dhi")) & (F.col("clo") < F.col("chi"))).alias("open"))
-    runs = scratch.save(runs.where("gone or open"), "runs")
+    gone = F.col("known").isNotNull() | (F.col("doc_id") > F.col("mn"))
+    runs = runs.select("h", "doc_id", "ab", "known", gone.alias("gone"), (~gone & (F.col("dlo") < F.col("dhi")) & (F.col("clo") < F.col("chi"))).alias("open")).where("gone or open")
+    runs = scratch.save(runs.withColumn("h", F.when(F.col("open"), F.col("h"))), "runs")
     release(spark)
-    by_doc = marks_by_doc(runs.where("open"), "doc_id", "h", "a", "b").hint("shuffle_hash")
+    start = F.expr(f"ab div {length}")
+    by_doc = marks_by_doc(runs.where("open").select("h", "doc_id", start.alias("a"), (start + F.col("ab") % length).alias("b")), "doc_id", "h", "a", "b").hint("shuffle_hash")
     rows = base.join(by_doc, "doc_id").mapInArrow(_open_bytes(length), "h long, doc_id long, a int, data binary")
     found = scratch.save(rows.repartition("h").sortWithinPartitions("h", "doc_id", "a").mapInArrow(_repeats(length, cap), _FOUND), "found")
     del rows
     release(spark)
     hot = found.where("w1 is not null").withColumn("mn", F.min("doc_id").over(Window.partitionBy("w1", "w2"))).where("doc_id > mn")
-    whole = runs.where("gone").select("doc_id", F.col("a").alias("s"), (F.col("b") + length).cast("int").alias("e"))
-    return whole.unionByName(found.where("w1 is null").select("doc_id", "s", "e")).unionByName(hot.select("doc_id", "s", "e"))
+    whole = runs.where("gone and known is null").select("doc_id", start.cast("int").alias("s"), (start + F.col("ab") % length + length).cast("int").alias("e"))
+    known = runs.where("known is not null").mapInArrow(_unpack(length), "doc_id long, s int, e int")
+    return whole.unionByName(known).unionByName(found.where("w1 is null").select("doc_id", "s", "e")).unionByName(hot.select("doc_id", "s", "e"))
+
+
+def _unpack(length: int):
+    def run(source):
+        for batch in source:
+            ids, blobs = batch.column("doc_id").to_pylist(), batch.column("known").to_pylist()
+            for d, blob in zip(ids, blobs, strict=True):
+                ab = np.frombuffer(blob, np.int64)
+                s = ab // length
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ab), d, np.int64)), pa.array(s.astype(np.int32)), pa.array((s + ab % length + length).astype(np.int32))], names=["doc_id", "s", "e"])
+
+    return run
 
 
 def _digest(source):
