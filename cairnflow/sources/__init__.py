@@ -1 +1 @@
-
+"""Sources (landed JSON, route responses, configuration) and sinks (documents, CSV, Markdown, binary meshes)."""
