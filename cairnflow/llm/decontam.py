@@ -259,3 +259,27 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
     for block in item_blocks(items, item_text, item_id, block_words):
         out = out.mapInArrow(scan(Automaton(block, window)), out.schema)
     return out.mapInArrow(judge, docs.schema)
+
+
+def oracle() -> str:
+    """DuckDB SQL of the query for windows of 13 words, shorter items as wholes."""
+    words = lambda c: f"regexp_extract_all(translate(coalesce({c}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+    def grams(table: str, key: str, k: int, where: str) -> str:
+        return f"SELECT {key}, i, {k} AS k, s FROM (SELECT {key}, i, string_agg(word, ' ') OVER f AS s, count(*) OVER f AS n FROM {table} {where} WINDOW f AS (PARTITION BY {key} ORDER BY i ROWS BETWEEN CURRENT ROW AND {k - 1} FOLLOWING)) WHERE n = {k}"
+
+    doc_grams = " UNION ALL ".join(grams("t", "doc_id", k, f"WHERE EXISTS (SELECT 1 FROM iw WHERE k = {k})") for k in range(1, 14))
+    item_grams = " UNION ALL ".join(grams("it", "item_id", k, f"WHERE least(len, 13) = {k}") for k in range(1, 14))
+    return f"""
+WITH d AS (SELECT doc_id, {words("text")} AS w FROM documents),
+t AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+ii AS (SELECT item_id, {words("text")} AS w FROM benchmark),
+it AS (SELECT item_id, len(w) AS len, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM ii),
+iw AS (SELECT DISTINCT item_id, k, s FROM ({item_grams})),
+h AS (SELECT g.doc_id, g.i, g.k, iw.item_id FROM ({doc_grams}) g JOIN iw ON g.k = iw.k AND g.s = iw.s),
+n AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM h) GROUP BY doc_id),
+c AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS at FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN c ON d.doc_id = c.doc_id
+"""

@@ -67,4 +67,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": topk.ORACLE, "op7_lines": lines.ORACLE, "op8_mixing": mixing.oracle()}
+    return {"op1_topk": topk.ORACLE, "op3_substring": substring.ORACLE, "op7_lines": lines.ORACLE, "op8_mixing": mixing.oracle(), "op10_decontam": decontam.oracle()}

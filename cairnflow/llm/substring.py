@@ -247,3 +247,16 @@ def remove_repeated_substrings(docs: DataFrame, text_col: str = "text", id_col:
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("__text"))
     by_doc = marks_by_doc(marks, "doc_id", "at", "to").hint("shuffle_hash")
     return base.join(by_doc, "doc_id", "left").mapInArrow(_digest(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept binary")
+
+
+#: DuckDB SQL of the query for windows of 20 words.
+ORACLE = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+t AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+g AS (SELECT *, string_agg(word, ' ') OVER f AS s, count(*) OVER f AS n FROM t
+      WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+r AS (SELECT doc_id, i, word, CASE WHEN n = 20 AND row_number() OVER (PARTITION BY s, n ORDER BY doc_id, i) > 1 THEN i END AS late FROM g),
+m AS (SELECT doc_id, i, word, coalesce(max(late) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) >= i - 19, false) AS gone FROM r),
+k AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed, sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(kept_sha256, sha256('')) AS kept_sha256 FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
