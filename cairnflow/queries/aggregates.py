@@ -10,7 +10,10 @@ from ..operators import relational as rel
 from ..operators import spatial
 from .registry import PLANE, milli, plane, query, read
 
-_N = F.count(F.lit(1)).alias("n")
+
+
+def _n():
+    return F.count(F.lit(1)).alias("n")
 
 
 @query("SELECT coalesce(s.k, c.o_orderstatus) AS status, coalesce(c.n, 0)::BIGINT AS n FROM (VALUES ('F'), ('O'), ('X')) s(k) FULL JOIN (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1) c ON s.k = c.o_orderstatus")
@@ -20,7 +23,7 @@ def q_status_summary(spark, d):
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY 1 ORDER BY 1")
 def q_count_by(spark, d):
-    return read(spark, d, "events").groupBy("event_type").agg(_N).orderBy("event_type")
+    return read(spark, d, "events").groupBy("event_type").agg(_n()).orderBy("event_type")
 
 
 @query(f"WITH {PLANE}, g AS (SELECT label, avg(x) AS ax, max(CASE WHEN vec_id % 10 = 0 THEN x END) AS own FROM p WHERE vec_id % 100 < 60 GROUP BY label) SELECT l.label, round(coalesce(g.own, g.ax, 0) * 1000)::BIGINT AS ox FROM (SELECT DISTINCT label FROM p) l LEFT JOIN g ON l.label = g.label")
@@ -65,7 +68,7 @@ def q_cluster_summary(spark, d):
 def q_nearest_counts(spark, d):
     p = plane(spark, d).drop("label")
     right = p.where("vec_id % 50 = 0").select(F.col("vec_id").alias("comp"), F.col("x").alias("cx"), F.col("z").alias("cz"))
-    return spatial.nearest_one(p, right, "vec_id", "comp", "x", "z", "cx", "cz", 4.0).groupBy("comp").agg(_N)
+    return spatial.nearest_one(p, right, "vec_id", "comp", "x", "z", "cx", "cz", 4.0).groupBy("comp").agg(_n())
 
 
 @query("WITH r AS (SELECT o_totalprice, row_number() OVER (ORDER BY o_totalprice) - 1 AS i, count(*) OVER () AS n FROM orders) SELECT 'p50' AS q, o_totalprice AS value FROM r WHERE i = floor(n * 0.5) UNION ALL SELECT 'p90', o_totalprice FROM r WHERE i = floor(n * 0.9)")
