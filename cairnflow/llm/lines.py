@@ -22,6 +22,7 @@ from .common import Scratch, release
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BLANK = " \t\n\x0b\x0c\r"
+SALTS = 8
 
 
 def split_lines(text: Column) -> Column:
@@ -47,7 +48,10 @@ def line_bitmaps(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     held = scratch.save(held, "held")
     release(docs.sparkSession)
     common = held.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("kept")).where(F.col("docs") >= min_docs)
-    drop = held.join(common, ["h1", "h2"]).where("doc_id <> kept").groupBy("doc_id").agg(F.max("n").alias("n_lines"), F.array_sort(F.flatten(F.collect_list("at"))).alias("at"))
+    # a line in a great many documents is dealt out over several tasks, by document
+    common = common.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    held = held.withColumn("salt", F.pmod("doc_id", F.lit(SALTS)).cast("int"))
+    drop = held.join(common, ["h1", "h2", "salt"]).where("doc_id <> kept").groupBy("doc_id").agg(F.max("n").alias("n_lines"), F.array_sort(F.flatten(F.collect_list("at"))).alias("at"))
     edges = F.concat(F.array(F.lit(-1)), F.col("at"), F.array(F.col("n_lines")))
     drop = drop.select("doc_id", "n_lines", F.size("at").alias("n_dropped"), edges.alias("e"))
     gaps = F.zip_with(F.slice("e", F.lit(1), F.size("e") - 1), F.slice("e", F.lit(2), F.size("e") - 1), lambda a, b: F.struct((a + 1).alias("start"), (b - a - 1).alias("len")))
