@@ -37,10 +37,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files of frames that nothing refers to any more."""
-    for _ in range(3):  # the gateway lets go of Python's references first, then the JVM's cleaner sees them
+    for _ in range(2):  # the gateway lets go of Python's references first, then the JVM's cleaner sees them
         gc.collect()
         spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
+        time.sleep(0.1)
 
 
 class Scratch:
