@@ -70,3 +70,24 @@ def run_each(df: DataFrame, runner: Callable[[dict], None], fail_fast: bool = Fa
 
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     return df.mapInPandas(run, f"{cols}, status string, error string")
+
+
+def campus_index(df: DataFrame) -> DataFrame:
+    """One JSON document: records by slug and the counts by status. df: slug, status and any other columns."""
+    counts = df.groupBy("status").agg(F.count(F.lit(1)).alias("n")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("status", "n")))).alias("summary"))
+    rows = df.agg(F.array_sort(F.collect_list(F.struct("slug", *(c for c in df.columns if c != "slug")))).alias("buildings"))
+    return rows.join(F.broadcast(counts)).select(F.to_json(F.struct("summary", "buildings")).alias("document"))  # two rows of one
+
+
+def catalog(df: DataFrame, title: str) -> DataFrame:
+    """(document): Markdown list of buildings (slug, display_name, status, rooms), generated ones first."""
+    line = F.format_string("- [%s](#%s): %s, %d rooms", "display_name", "slug", "status", F.coalesce("rooms", F.lit(0)))
+    rows = df.agg(F.array_sort(F.collect_list(F.struct((F.col("status") != "generated").alias("o"), F.col("slug"), line.alias("line")))).alias("r"), F.count(F.lit(1)).alias("n"))
+    return rows.select(F.concat(F.lit(f"# {title}\n\n"), F.col("n").cast("string"), F.lit(" buildings\n\n"), F.array_join(F.transform("r", lambda x: x["line"]), "\n"), F.lit("\n")).alias("document"))
+
+
+def glb_issues(files: DataFrame) -> DataFrame:
+    """(path, problem) of binary meshes (path, content) whose header, version or length is wrong, without leaving the JVM."""
+    swap = lambda at: sum((F.conv(F.hex(F.substring("content", at + k, 1)), 16, 10).cast("long") * (256**k) for k in range(1, 4)), F.conv(F.hex(F.substring("content", at, 1)), 16, 10).cast("long"))
+    problem = F.when(F.substring("content", 1, 4) != F.lit(b"glTF"), "no glTF header").when(swap(5) != 2, "version is not 2").when(swap(9) != F.length("content"), "length differs")
+    return files.select("path", problem.alias("problem")).where("problem is not null")
