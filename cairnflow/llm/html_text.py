@@ -52,6 +52,8 @@ SCOPE = frozenset("ul ol dl table select html body td th div article section mai
 HINTS = frozenset(
     "ad ads advert adverts advertisement advertising adsbygoogle banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright discussion disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion related recommended replies respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Hints that also hold for article elements, and for boxes with most of the page's text.
+STRONG = frozenset("ad ads advert adverts advertisement advertising adsbygoogle comment comments discussion disqus promo promotion recommended related replies respond sponsor sponsored".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
 HOLDERS = frozenset(["article", "main", "h1"])
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark nobr picture q rp rt ruby s samp small source span strike strong sub sup time tt u var wbr".split())
@@ -63,7 +65,7 @@ class Tree:
 
     def __init__(self, page: str):
         self.parent, self.tag, self.out = [-1], ["html"], [False]
-        self.hinted: list[int] = []
+        self.hinted: dict[int, bool] = {}  # node -> the hint is a strong one
         self.pieces: list[tuple[int, str]] = []
         self.end = [0]
         self._parse(page)
@@ -147,14 +149,18 @@ class Tree:
         if tag in SILENT:
             self.out[node] = True
         elif tag in BOILERPLATE or tag == "header":
-            self.hinted.append(node)
+            self.hinted[node] = False
         if attrs and tag not in ("html", "body"):
             for name, a, b, c, hidden in _ATTR.findall(attrs):
                 name, value = name.lower(), (a or b or c).lower()
                 if hidden or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value) or name == "aria-hidden" and value == "true":
                     self.out[node] = True
-                elif name in ("class", "id") and not HINTS.isdisjoint(re.split(r"[^a-z0-9]+", value)) or name == "role" and value in ROLES:
-                    self.hinted.append(node)
+                elif name == "role" and value in ROLES:
+                    self.hinted.setdefault(node, False)
+                elif name in ("class", "id"):
+                    words = re.split(r"[^a-z0-9]+", value)
+                    if not HINTS.isdisjoint(words):
+                        self.hinted[node] = self.hinted.get(node, False) or not STRONG.isdisjoint(words)
 
 
 def densities(tree: Tree, chars: list[int]) -> list[float]:
@@ -201,11 +207,25 @@ def main_text(page: str | None) -> str:
     inside = [False] * n  # of an article or main element
     for k in range(1, n):
         inside[k] = inside[tree.parent[k]] or tree.tag[tree.parent[k]] in ("article", "main")
-    for k in tree.hinted:
-        plain = tree.tag[k] in ("article", "main") and any(tree.tag[x] in ("article", "main") for x in range(n) if x != k) or tree.tag[k] not in HOLDERS and not holds[k]
-        if tree.tag[k] == "header" and inside[k]:
-            continue
-        if plain:
+    for k in range(1, n):
+        tree.out[k] = tree.out[k] or tree.out[tree.parent[k]]
+    weight = [0] * n  # text below each node, roughly
+    for node, raw in tree.pieces:
+        if not tree.out[node]:
+            weight[node] += len(raw.strip())
+    for k in range(n - 1, 0, -1):
+        weight[tree.parent[k]] += weight[k]
+    articles = sum(t in ("article", "main") for t in tree.tag)
+    for k, strong in tree.hinted.items():
+        tag = tree.tag[k]
+        if tag in ("article", "main"):
+            # the article itself keeps its layout classes; a comment or teaser marked up as an article goes
+            gone = strong and articles > 1
+        elif tag == "header" and inside[k] or tag in HOLDERS or holds[k]:
+            gone = False
+        else:
+            gone = strong or tag in BOILERPLATE - {"form"} or weight[k] * 2 <= weight[0]
+        if gone:
             tree.out[k] = True
     for k in range(1, n):
         tree.out[k] = tree.out[k] or tree.out[tree.parent[k]]

@@ -24,6 +24,12 @@ def test_layout_by_elements():
     assert main_text(page) == f"Head One {A} Two {PLAIN_B} x1 x2"
 
 
+def test_layout_words_do_not_cost_the_article():
+    assert main_text(f"<main><article class='post has-sidebar share'><p>{A}</p></article><article class='comment'><p>{A} {A}</p></article></main>") == A
+    assert main_text(f"<body class=nav-open><div class='content no-sidebar'><p>{A}</p><p>{B}</p></div><div class=sidebar>Short text here.</div></body>") == f"{A} {PLAIN_B}"
+    assert main_text(f"<form id=aspnet><div class=menu><a href=/>x</a></div><h1>Title</h1><p>{A}</p></form>") == f"Title {A}"
+
+
 def test_small_and_broken_pages():
     assert main_text(None) == main_text("") == main_text("<script>x</script>") == ""
     assert main_text("just text &lt;no&gt; markup &eacute;&#233;&nbsp;x &am") == "just text <no> markup éé x &am"
