@@ -40,6 +40,7 @@ from .common import Scratch, batches, signed
 from .components import connected_components
 
 SEED = 42
+SALTS = 8
 
 
 def fingerprint(text: bytes | None, width: int = 4) -> int:
@@ -180,7 +181,7 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
         raise ValueError("a byte-position index needs bits from 0 to 7")
     scratch = Scratch(docs.sparkSession, "simhash")
     fps = scratch.save(fingerprints(docs, text_col, id_col, width), "fps")
-    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
     postings = nodes.select("fp").mapInArrow(_postings(8 - bits), "slot int, bytes long, fp long")
     met = postings.repartition("slot", "bytes").sortWithinPartitions("slot", "bytes", "fp").mapInArrow(_compare(bits, 8 - bits, cap), "kind int, u long, v long")
     met = scratch.save(met, "met")
@@ -192,8 +193,14 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     tied = nodes.join(roots, nodes.fp == roots.node)
     least = tied.groupBy("root").agg(F.min("first").alias("component_id"))
     linked = roots.join(least, "root").select(F.col("node").alias("fp"), "component_id")
-    classes = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
-    return fps.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    classes = nodes.join(linked, "fp", "left").select("fp", "n", "first", F.coalesce("component_id", "first").alias("component_id"))
+    # a fingerprint of one document is its own row; the documents of a shared one are dealt out by document, not by fingerprint
+    alone = classes.where("n = 1").select(F.col("first").alias("doc_id"), "fp", "component_id")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    shared = classes.where("n > 1").select("fp", "component_id", salts.alias("salt"))
+    dealt = fps.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    out = alone.unionByName(dealt.join(shared, ["fp", "salt"]).select("doc_id", "fp", "component_id"))
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", bits: int = 4, width: int = 4) -> DataFrame:
