@@ -33,7 +33,7 @@ from .common import batches, bound_batches
 
 #: On lower-cased UTF-8 bytes: runs of digits, letters and non-ASCII bytes.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-BLOCK_WORDS = 400_000
+BLOCK_WORDS = 100_000
 
 
 def words_of(text: bytes | None) -> list[bytes]:
