@@ -1,0 +1,233 @@
+"""Near-duplicates by exact Jaccard similarity of five-word shingles, found through prefix filtering.
+
+Every text is the set of the 64-bit hashes of its lower-cased five-word
+shingles; a text of fewer words is one shingle. Two sets with a Jaccard
+similarity of at least ``least`` percent share a hash among the first
+n - ceil(least * n / 100) + 1 of each, in any order that is the same for all
+sets, so only the postings of these prefixes are grouped by hash and no similar
+pair is missed. Hashes that are common in a sample come last in the order: the
+sample decides how long posting lists get, never what is found.
+
+Pairs that meet are dropped only by bounds no similar pair can fail (sizes,
+places in the order, a parity bitmap of the set); the rest is verified on the
+full sets. Neighbours by size in a list are verified first, and then only pairs
+that are not yet in one class, so a group of m near copies does not cost m^2
+verifications. Classes come from connected components over tables.
+
+Edge cases: null and empty texts and texts without words have no shingle and
+are never near anything; rows with a null ``doc_id`` stay unless their class
+has another representative; rows that repeat both id and text stay together;
+an empty table gives an empty result. Equality of 64-bit hashes stands for
+equality of shingles and of shingle sets.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from .common import Scratch, batches, release, signed
+from .components import connected_components
+
+BITS = 512
+SAMPLE = 10_000
+HOT = 50_000
+
+
+def shingles(text: bytes | None, width: int = 5) -> np.ndarray:
+    """The distinct shingle hashes of one text, ascending."""
+    words = text.lower().split() if text else []
+    if not words:
+        return np.empty(0, np.uint64)
+    line = b" ".join(words)
+    digest = xxhash.xxh64_intdigest
+    if len(words) <= width:
+        return np.array([digest(line)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    n = len(words) - width + 1
+    return np.unique(np.fromiter((digest(line[i:j]) for i, j in zip(starts[:n].tolist(), ends[width - 1 :].tolist(), strict=True)), np.uint64, n))
+
+
+def prefix_length(n: int, least: int) -> int:
+    return n - -(-least * n // 100) + 1
+
+
+def _sample(width: int):
+    def run(source):
+        for cols in batches(source):
+            for t in cols["__text"]:
+                yield pa.RecordBatch.from_arrays([pa.array(signed(shingles(t, width)))], names=["h"])
+
+    return run
+
+
+def common_hashes(docs: DataFrame, text_col: str, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes ascending, how often) of the most common shingles of about SAMPLE texts."""
+    one_in = max(1, docs.count() // SAMPLE)
+    texts = docs.where(F.pmod(F.xxhash64(text_col), F.lit(one_in)) == 0).select(F.col(text_col).cast("binary").alias("__text"))
+    found = texts.mapInArrow(_sample(width), "h long").groupBy("h").count().where("count > 3").orderBy(F.desc("count"), "h").limit(HOT).toPandas()
+    h = found["h"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(h)
+    return h[order], found["count"].to_numpy(np.int64)[order]
+
+
+def _sets(width: int, least: int, hot: np.ndarray, often: np.ndarray):
+    def run(source):
+        for cols in batches(source):
+            nodes, sizes, heads, bits = [], [], [], []
+            for t in cols["__text"]:
+                h = shingles(t, width)
+                nodes.append(xxhash.xxh64_intdigest(h.tobytes()))
+                sizes.append(len(h))
+                bits.append(np.packbits(np.bincount((h >> np.uint64(55)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1).tobytes())
+                if len(hot) and len(h):
+                    at = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
+                    h = h[np.lexsort((h, np.where(hot[at] == h, often[at], 0)))]
+                heads.append(h[: prefix_length(len(h), least)] if len(h) else h)
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in heads])]).astype(np.int32)
+            head = pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(np.concatenate(heads))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cols["__id"], pa.int64()), pa.array(cols["__t"], pa.int64()), pa.array(signed(np.array(nodes, np.uint64))), pa.array(sizes, pa.int32()), head, pa.array(bits, pa.binary())],
+                names=["id", "t", "node", "n", "head", "bits"],
+            )
+
+    return run
+
+
+def _pairs(least: int, chain: bool):
+    """Reads (h, n, node, pos, bits, cls) sorted by h, n, node. Yields the pairs of each list that may be similar and are not of one class; with ``chain`` only neighbours."""
+
+    def decide(h, n, node, pos, bits, cls):
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(h)) + 1, [len(h)]])
+        us, vs, held = [], [], 0
+        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            if (cls[lo:hi] == cls[lo]).all():
+                continue
+            for i in range(lo, hi - 1):
+                end = min(i + 2, hi) if chain else lo + int(np.searchsorted(n[lo:hi], n[i] * 100 // least, "right"))
+                j = np.arange(i + 1, end)
+                j = j[cls[j] != cls[i]]
+                both = n[i] + n[j]
+                shared = np.minimum(pos[i], pos[j]) + 1 + np.minimum(n[i] - pos[i], n[j] - pos[j]) - 1
+                j = j[(100 + least) * shared >= least * both]
+                differ = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                j = j[(100 + least) * differ <= (100 - least) * (n[i] + n[j])]
+                if len(j):
+                    us.append(np.minimum(node[j], node[i]))
+                    vs.append(np.maximum(node[j], node[i]))
+                    held += len(j)
+                if held > 1 << 18:
+                    yield us, vs
+                    us, vs, held = [], [], 0
+        if held:
+            yield us, vs
+
+    def rows(us, vs):
+        p = np.unique(np.stack([np.concatenate(us), np.concatenate(vs)], axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(p[:, 0])), pa.array(np.ascontiguousarray(p[:, 1]))], names=["u", "v"])
+
+    def run(source):
+        parts: list[list[np.ndarray]] = []  # the lists read so far; the last may go on
+
+        def columns():
+            return [np.concatenate(c) for c in zip(*parts, strict=True)]
+
+        for batch in source:
+            if not batch.num_rows:
+                continue
+            h, node, cls = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("h", "node", "cls"))
+            n, pos = (batch.column(batch.schema.get_field_index(c)).to_numpy().astype(np.int64) for c in ("n", "pos"))
+            bits = np.frombuffer(b"".join(batch.column(batch.schema.get_field_index("bits")).to_pylist()), np.uint64).reshape(len(h), -1)
+            cols = [h, n, node, pos, bits, cls]
+            if parts and parts[-1][0][-1] == h[-1]:
+                parts.append(cols)
+                continue
+            cut = int(np.searchsorted(h, h[-1]))
+            if cut or parts:
+                parts.append([c[:cut] for c in cols])
+                for found in decide(*columns()):
+                    yield rows(*found)
+            parts = [[c[cut:] for c in cols]]
+        if parts:
+            for found in decide(*columns()):
+                yield rows(*found)
+
+    return run
+
+
+def _full(width: int):
+    def run(source):
+        for cols in batches(source):
+            yield pa.RecordBatch.from_arrays([pa.array(cols["node"], pa.int64()), pa.array([shingles(t, width).tobytes() for t in cols["__text"]], pa.binary())], names=["node", "set"])
+
+    return run
+
+
+def _verify(least: int):
+    def run(source):
+        for cols in batches(source):
+            ok = []
+            for a, b in zip(cols["a"], cols["b"], strict=True):
+                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(100 * shared >= least * (len(x) + len(y) - shared))
+            ok = np.array(ok, bool)
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(cols[c], np.int64)[ok]) for c in ("u", "v")], names=["u", "v"])
+
+    return run
+
+
+def near_classes(docs: DataFrame, scratch: Scratch, text_col: str, id_col: str, least: int, width: int) -> DataFrame:
+    """Per row with a word: id, t (xxhash64 of the text), node (its shingle set), cls (the least node that links of at least ``least`` percent reach)."""
+    if not 0 < least <= 100:
+        raise ValueError("least is a percentage from 1 to 100")
+    texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.xxhash64(text_col).alias("__t"), F.col(text_col).cast("binary").alias("__text"))
+    hot, often = common_hashes(docs, text_col, width)
+    sets = scratch.save(texts.mapInArrow(_sets(width, least, hot, often), "id long, t long, node long, n int, head array<long>, bits binary").where("n > 0"), "sets")
+    uniq = scratch.save(sets.dropDuplicates(["node"]), "uniq")
+    postings = uniq.select("node", "n", F.posexplode("head").alias("pos", "h"))
+    w = Window.partitionBy("h").orderBy("n", "node")
+    met = postings.withColumns({"__a": F.lag("node").over(w), "__b": F.lead("node").over(w)}).where("__a is not null or __b is not null").drop("__a", "__b")
+    met = scratch.save(met, "met")
+    release(docs.sparkSession)
+    met = scratch.save(met.join(uniq.select("node", "bits"), "node"), "sketched")
+    scratch.drop("met")
+
+    def links(cls: DataFrame, chain: bool, done: DataFrame | None, name: str) -> tuple[DataFrame, DataFrame]:
+        """(pairs looked at, those that are similar)"""
+        rows = cls.repartition("h").sortWithinPartitions("h", "n", "node").select("h", "n", "node", "pos", "bits", "cls")
+        pairs = rows.mapInArrow(_pairs(least, chain), "u long, v long").distinct()
+        pairs = scratch.save(pairs.join(done, ["u", "v"], "left_anti") if done is not None else pairs, f"pairs_{name}")
+        nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+        where = scratch.save(uniq.select("node", F.col("id").alias("__i"), F.col("t").alias("__u")).join(nodes, "node"), f"where_{name}")
+        met_texts = texts.join(where, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__t") == F.col("__u"))).select("node", "__text")
+        full = scratch.save(met_texts.mapInArrow(_full(width), "node long, set binary").dropDuplicates(["node"]), f"full_{name}")
+        both = pairs.join(full.select(F.col("node").alias("u"), F.col("set").alias("a")), "u").join(full.select(F.col("node").alias("v"), F.col("set").alias("b")), "v")
+        found = scratch.save(both.select("u", "v", "a", "b").mapInArrow(_verify(least), "u long, v long"), f"links_{name}")
+        scratch.drop(f"full_{name}", f"where_{name}")
+        release(docs.sparkSession)
+        return pairs, found
+
+    done, first = links(met.withColumn("cls", F.col("node")), True, None, "near")
+    roots = scratch.save(connected_components(first), "roots_near")
+    classed = met.join(roots, "node", "left").withColumn("cls", F.coalesce("root", "node")).drop("root")
+    _, rest = links(classed, False, done, "all")
+    roots = scratch.save(connected_components(first.unionByName(rest)), "roots")
+    return sets.select("id", "t", "node").join(roots, "node", "left").select("id", "t", "node", F.coalesce("root", "node").alias("cls"))
+
+
+def one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", least: int = 80, width: int = 5) -> DataFrame:
+    """Of every class of texts linked by a Jaccard similarity of at least ``least`` percent the row with the least doc_id stays (nulls last, then the least text hash)."""
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    rows = scratch.save(near_classes(docs, scratch, text_col, id_col, least, width), "classes")
+    me = F.struct(F.col("id").isNull().alias("absent"), "id", "t")
+    best = rows.groupBy("cls").agg(F.min(me).alias("best"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
+    gone = rows.join(best, "cls").where(~me.eqNullSafe(F.col("best"))).select(F.col("id").alias("__i"), F.col("t").alias("__u")).distinct()
+    gone = scratch.save(gone, "gone")
+    keyed = docs.withColumn("__t", F.xxhash64(text_col))
+    out = keyed.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("__i")) & (F.col("__t") == F.col("__u")), "left_anti")
+    return out.select(*docs.columns)

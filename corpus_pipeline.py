@@ -1,4 +1,4 @@
-"""A training corpus from ``documents``: five stages, each written and read again before the next.
+"""A training corpus from ``documents``: six stages, each written and read again before the next.
 
 Every stage takes (spark, docs, sf_dir). All but the last return the columns of
 ``documents``; the last returns the mix as (doc_id, domain, lang, source,
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnflow.llm import decontam, lines, mixing, simhash, toxicity
+from cairnflow.llm import decontam, jaccard, lines, mixing, simhash, toxicity
 from cairnflow.llm.common import Scratch, table
 
 
@@ -28,10 +28,15 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every class of near duplicates the document with the smallest doc_id stays."""
+    """Of every class of documents within 4 fingerprint bits the one with the smallest doc_id stays."""
     return simhash.one_of_each(docs, bits=4, width=4)
 
 
+def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every class of documents linked by a five-word Jaccard similarity of 0.8 or more the one with the smallest doc_id stays."""
+    return jaccard.one_of_each(docs, least=80, width=5)
+
+
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with at least one word in twenty inside benchmark windows go; the others stay as they are."""
     return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"), window=13, one_in=20)
@@ -46,6 +51,7 @@ STAGES = [
     ("toxicity", toxicity_stage),
     ("line_dedup", line_stage),
     ("simhash_near_dedup", simhash_stage),
+    ("jaccard_near_dedup", jaccard_stage),
     ("benchmark_decontamination", decontamination_stage),
     ("source_mixing", mixing_stage),
 ]

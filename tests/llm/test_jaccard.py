@@ -1,0 +1,77 @@
+from itertools import combinations
+
+import numpy as np
+
+import corpus_pipeline
+from cairnflow.llm import jaccard
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_sets(rows):
+    out = []
+    for _, text in rows:
+        w = (text or "").encode().lower().split()
+        out.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    return out
+
+
+def plain_keep(rows):
+    """The rows that stay, by all pairs."""
+    sets = plain_sets(rows)
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in combinations(range(len(rows)), 2):
+        if sets[i] and sets[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+            root[find(i)] = find(j)
+    classes = {}
+    for i in range(len(rows)):
+        classes.setdefault(find(i), []).append(i)
+    return sorted(min(rows[i][0] for i in c) for c in classes.values())
+
+
+def test_against_all_pairs(spark):
+    rng = np.random.default_rng(3)
+    passage = [f"p{i}" for i in range(60)]
+    rows = []
+    for k in range(60):
+        base = [f"w{x}" for x in rng.integers(0, 400, int(rng.integers(3, 250)))] + (passage if k % 2 else [])
+        rows.append(" ".join(base))
+        for _ in range(int(rng.integers(0, 5))):
+            copy = list(base)
+            for at in rng.integers(0, len(copy), int(rng.integers(1, 1 + max(1, len(copy) // 25)))):
+                copy[at] = f"x{rng.integers(0, 10**6)}"
+            rows.append(" ".join(copy))
+    rows = list(enumerate(rows + ["", None, "one two", "One  two"]))
+    sets = plain_sets(rows)
+    near = [len(a & b) / len(a | b) for a, b in combinations(filter(None, sets), 2)]
+    assert sum(0.7 <= x < 0.8 for x in near) > 5 and sum(0.8 <= x < 1 for x in near) > 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in jaccard.one_of_each(docs).collect()) == plain_keep(rows)
+
+
+def test_pipeline_leaves_no_pair_at_four_fifths(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        if name == "benchmark_decontamination":
+            break
+        docs = stage(spark, docs, SF)
+    sets = [s for s in plain_sets([(r.doc_id, r.text) for r in docs.collect()]) if s]
+    assert len(sets) > 100
+    assert not [1 for a, b in combinations(sets, 2) if 5 * len(a & b) >= 4 * len(a | b)]
+
+
+def test_null_ids_and_repeated_ids(spark):
+    long = " ".join(f"w{i}" for i in range(100))
+    near = long.replace("w50", "other")
+    rows = [(None, long), (None, near), (None, "quite another text of more than five words"), (7, long), (7, "a text of its own under the same id as before"), (8, near)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [(None, rows[2][1]), (7, long), (7, rows[4][1])]
+    assert sorted(map(repr, map(tuple, jaccard.one_of_each(docs).collect()))) == sorted(map(repr, want))
+    alone = docs.where("doc_id is null and text <> ''")
+    assert jaccard.one_of_each(alone).count() == 2
