@@ -79,6 +79,15 @@ def q_buffer_cells(spark, d):
     return spatial.buffer_cells(_edges(spark, d).where("edge % 10 = 0"), "x1", "z1", "x2", "z2", 1.0, 2.0).select("edge", "cx", "cz")
 
 
+@query(f"""WITH {_EDGES}, c AS (SELECT *, unnest(range(floor((least(x1, x2) - 1) / 2)::BIGINT, floor((greatest(x1, x2) + 1) / 2)::BIGINT + 1)) AS cx FROM s),
+k AS (SELECT *, unnest(range(floor((least(z1, z2) - 1) / 2)::BIGINT, floor((greatest(z1, z2) + 1) / 2)::BIGINT + 1)) AS cz FROM c),
+t AS (SELECT *, (cx + 0.5) * 2 AS px, (cz + 0.5) * 2 AS pz FROM k), u AS (SELECT *, greatest(0, least(1, ((px - x1) * (x2 - x1) + (pz - z1) * (z2 - z1)) / ((x2 - x1)^2 + (z2 - z1)^2))) AS t FROM t)
+SELECT edge, cx, cz FROM u WHERE sqrt((px - x1 - t * (x2 - x1))^2 + (pz - z1 - t * (z2 - z1))^2) <= 1""")
+def q_buffer_cells_whole(spark, d):
+    """``q_buffer_cells`` over every edge."""
+    return spatial.buffer_cells(_edges(spark, d), "x1", "z1", "x2", "z2", 1.0, 2.0).select("edge", "cx", "cz")
+
+
 @query("SELECT l_orderkey, min(l_suppkey % 3) AS lo, max(l_suppkey % 3) AS hi FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_suppkey % 3) = 2")
 def q_face_lines(spark, d):
     """Faces with exactly two distinct footprints are lines."""
@@ -95,7 +104,7 @@ def q_weld_vertices(spark, d):
 @query()
 def q_glb_bytes(spark, d):
     """One binary file per bucket of rings."""
-    m = _ring3(spark, d).where("ring % 5 = 0").select((F.col("ring") % 3).alias("bucket"), F.concat(F.lit("ring"), F.col("ring").cast("string")).alias("name"), F.lit("room").alias("material"), F.col("pts").alias("ring"))
+    m = _ring3(spark, d).select((F.col("ring") % 3).alias("bucket"), F.concat(F.lit("ring"), F.col("ring").cast("string")).alias("name"), F.lit("room").alias("material"), F.col("pts").alias("ring"))
     files = mesh.glb_files(m, "bucket")
     return files.select("bucket", F.length("content").alias("bytes"), (F.substring("content", 1, 4) == F.lit(b"glTF")).alias("magic"))
 

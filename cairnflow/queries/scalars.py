@@ -33,8 +33,7 @@ def q_identifiers(spark, d):
 
 @query()
 def q_ascii_fold(spark, d):
-    docs = read(spark, d, "documents").select("doc_id", F.substring(F.col("text"), 1, 80).alias("title"))
-    return docs.select("doc_id", text.clean_node_text(F.col("title")).alias("folded"))
+    return read(spark, d, "documents").select("doc_id", text.clean_node_text(F.col("text")).alias("folded"))
 
 
 @query("""WITH p AS (SELECT s_suppkey, s_name, CASE s_suppkey % 3 WHEN 0 THEN 'stair' WHEN 1 THEN 'elevator' ELSE 'door' END AS kind,
@@ -68,6 +67,12 @@ def q_keyword_category(spark, d):
     return read(spark, d, "documents").select("doc_id", text.keyword_category(F.concat(F.substring("text", 1, 400), F.lit(" "), F.col("source"))).alias("category"))
 
 
+@query(f"SELECT doc_id, CASE {_CATEGORY} ELSE 'other' END AS category FROM (SELECT doc_id, lower(text || ' ' || source) AS t FROM documents)")
+def q_keyword_category_whole(spark, d):
+    """``q_keyword_category`` over whole texts."""
+    return read(spark, d, "documents").select("doc_id", text.keyword_category(F.concat("text", F.lit(" "), "source")).alias("category"))
+
+
 _EXT = "p_brand || '-' || CASE p_partkey % 4 WHEN 0 THEN 'E' WHEN 1 THEN 's' WHEN 2 THEN 'D' ELSE '' END || (p_size)::VARCHAR"
 
 
@@ -147,6 +152,12 @@ def q_normalised_key(spark, d):
     return read(spark, d, "documents").select("doc_id", text.alias_key(head).alias("key"))
 
 
+@query("SELECT doc_id, trim(lower(regexp_replace(regexp_replace(text, '[^ -~\\n]', 'x', 'g'), '\\s+', ' ', 'g'))) AS key FROM documents")
+def q_normalised_key_whole(spark, d):
+    """``q_normalised_key`` over whole texts."""
+    return read(spark, d, "documents").select("doc_id", text.alias_key(F.regexp_replace("text", "[^ -~\\n]", "x")).alias("key"))
+
+
 @query(f"WITH {PLANE} SELECT vec_id, round(sqrt(x * x + z * z) * 1000)::BIGINT AS flat, round(sqrt(((x / 1e4) * 111320 * cos(radians((z / 1e4 + 0) / 2)))^2 + (z / 1e4 * 110540)^2) * 1000)::BIGINT AS metres FROM p")
 def q_distances(spark, d):
     x, z, o = F.col("x"), F.col("z"), F.lit(0.0)
