@@ -298,13 +298,20 @@ def fit(texts: list[str | None], y: np.ndarray) -> Model:
     return Model(terms, fit_linear(f, model.labels), model)
 
 
+def fitting(rows: DataFrame, text_budget: int) -> DataFrame:
+    """The rows whose ``__text`` is no longer than an eighth of the budget; of these as large a share, by hash, as the budget holds."""
+    short = rows.where(F.length("__text") <= text_budget // 8)
+    size = short.agg(F.sum(F.length("__text")).alias("n")).first().n or 0
+    if size <= text_budget:
+        return short
+    return short.where(F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(1_000_000)) < 1_000_000 * text_budget // size)
+
+
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", sample_rows: int = 20_000, text_col: str = "text", id_col: str = "doc_id", text_budget: int = 24_000_000) -> Model:
-    """Fits on the driver from a sample of at most ``sample_rows`` labelled texts, and of at most about ``text_budget`` bytes: the sample is thinned by hash until it fits."""
+    """Fits on the driver from a sample of at most ``sample_rows`` labelled texts, and of at most about ``text_budget`` bytes: texts of over an eighth of it are left out, and if the others together pass it, a share chosen by hash fits."""
     bound_batches(docs.sparkSession)
     rows = labelled_sample(docs, labels, label_col, sample_rows, text_col, id_col)
-    size = rows.agg(F.sum(F.length("__text")).alias("n")).first().n or 0
-    parts = max(1, math.ceil(size / text_budget))
-    some = rows.where(F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(parts)) == 0).where(F.length("__text") <= text_budget // 8)
+    some = fitting(rows, text_budget)
     texts: dict[int, tuple[str | None, float]] = {}
     for r in some.toLocalIterator():
         texts[r.doc_id] = (bytes(r["__text"]).decode("utf-8", "replace"), r.y)

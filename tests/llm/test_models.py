@@ -100,3 +100,11 @@ def test_mining_is_not_fooled_by_copies():
     words, stems, several = toxicity.mine(texts, np.array(y))
     assert any("zorgl".startswith(s) or s.startswith("zorgl") for s in stems)
     assert len(words) + len(several) <= 2
+
+
+def test_long_texts_do_not_thin_the_training_sample(spark):
+    rows = [(k, b"x" * 100) for k in range(200)] + [(1000 + k, b"y" * 60_000) for k in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, __text binary")
+    assert sorted(r.doc_id for r in toxicity.fitting(docs, 24_000).collect()) == list(range(200))
+    over = toxicity.fitting(docs.where("doc_id < 1000"), 15_000).count()
+    assert 120 <= over <= 180  # three quarters fit; a whole divisor would leave half
