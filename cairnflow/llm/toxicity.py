@@ -99,17 +99,34 @@ def terms_of(text: str) -> set[str]:
     return words | {t + "-" for t in once} | twice
 
 
-def near_copies(texts: list[str | None]) -> list[bool]:
-    """True for a text that shares the least hash of its word triples, under either of two hashes, with one before it: copies must not count as evidence twice."""
-    seen: tuple[set, set] = (set(), set())
+def near_copies(texts: list[str | None], least: float = 0.5) -> list[bool]:
+    """True for a text that is a copy of one before it that counts: copies must not count as evidence twice.
+
+    Texts that share the least hash of their word triples, under either of two hashes, are compared; a copy has a Jaccard similarity
+    of ``least`` or more of triples. A parity bitmap of each set, a bound on their difference, spares most comparisons.
+    """
+    seen: tuple[dict, dict] = ({}, {})  # least hash -> the texts that count
+    kept: list[np.ndarray] = []
+    sizes = np.zeros(len(texts))
+    bits = np.zeros((len(texts), 8), np.uint64)
     out = []
     for text in texts:
         words = (text or "").lower().split()
         triples = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
-        least = [min(xxhash.xxh3_64_intdigest(t, seed) for t in triples) for seed in (1, 2)]
-        out.append(least[0] in seen[0] or least[1] in seen[1])
-        seen[0].add(least[0])
-        seen[1].add(least[1])
+        h = np.unique(np.fromiter((xxhash.xxh3_64_intdigest(t, 1) for t in triples), np.uint64, len(triples)))
+        firsts = int(h[0]), min(xxhash.xxh3_64_intdigest(t, 2) for t in triples)
+        own = np.packbits(np.bincount((h >> np.uint64(55)).astype(np.int64), minlength=512).astype(np.uint8) & 1).view(np.uint64)
+        met = np.array(sorted({k for s, x in zip(seen, firsts, strict=True) for k in s.get(x, ())}), np.int64)
+        differ = np.bitwise_count(bits[met] ^ own).sum(axis=1, dtype=np.int64)
+        met = met[(1 + least) * differ <= (1 - least) * (sizes[met] + len(h))]
+        copy = any((1 + least) * len(np.intersect1d(h, kept[k], assume_unique=True)) >= least * (len(h) + len(kept[k])) for k in met)
+        out.append(copy)
+        if not copy:
+            k = len(kept)
+            sizes[k], bits[k] = len(h), own
+            kept.append(h)
+            for s, x in zip(seen, firsts, strict=True):
+                s.setdefault(x, []).append(k)
     return out
 
 

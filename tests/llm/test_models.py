@@ -108,3 +108,12 @@ def test_long_texts_do_not_thin_the_training_sample(spark):
     assert sorted(r.doc_id for r in toxicity.fitting(docs, 24_000).collect()) == list(range(200))
     over = toxicity.fitting(docs.where("doc_id < 1000"), 15_000).count()
     assert 120 <= over <= 180  # three quarters fit; a whole divisor would leave half
+
+
+def test_a_shared_passage_makes_no_copy():
+    rng = random.Random(5)
+    words = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passage = words(60)
+    apart = [f"{words(100)} {passage} {words(100)}" for _ in range(60)]
+    assert not any(toxicity.near_copies(apart))
+    assert toxicity.near_copies([*apart, apart[3], apart[4] + " more", "", None]) == [False] * 60 + [True, True, False, True]
