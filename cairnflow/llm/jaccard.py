@@ -33,6 +33,7 @@ from .common import Scratch, batches, release, signed
 from .components import connected_components
 
 BITS = 512
+WIDE = 4096
 SAMPLE = 10_000
 HOT = 50_000
 
@@ -56,6 +57,11 @@ def prefix_length(n: int, least: int) -> int:
     return n - -(-least * n // 100) + 1
 
 
+def parity(h: np.ndarray, bits: int) -> bytes:
+    """One bit per bucket of hashes, set where their number is odd: two sets differ in at least as many hashes as bits."""
+    return np.packbits(np.bincount((h >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
 def _sample(width: int):
     def run(source):
         for cols in batches(source):
@@ -78,12 +84,13 @@ def common_hashes(docs: DataFrame, text_col: str, width: int) -> tuple[np.ndarra
 def _sets(width: int, least: int, hot: np.ndarray, often: np.ndarray):
     def run(source):
         for cols in batches(source):
-            nodes, sizes, heads, bits = [], [], [], []
+            nodes, sizes, heads, bits, wide = [], [], [], [], []
             for t in cols["__text"]:
                 h = shingles(t, width)
                 nodes.append(xxhash.xxh64_intdigest(h.tobytes()))
                 sizes.append(len(h))
-                bits.append(np.packbits(np.bincount((h >> np.uint64(55)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1).tobytes())
+                bits.append(parity(h, BITS))
+                wide.append(parity(h, WIDE))
                 if len(hot) and len(h):
                     at = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
                     h = h[np.lexsort((h, np.where(hot[at] == h, often[at], 0)))]
@@ -91,8 +98,8 @@ def _sets(width: int, least: int, hot: np.ndarray, often: np.ndarray):
             ends = np.concatenate([[0], np.cumsum([len(x) for x in heads])]).astype(np.int32)
             head = pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(np.concatenate(heads))))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols["__id"], pa.int64()), pa.array(cols["__t"], pa.int64()), pa.array(signed(np.array(nodes, np.uint64))), pa.array(sizes, pa.int32()), head, pa.array(bits, pa.binary())],
-                names=["id", "t", "node", "n", "head", "bits"],
+                [pa.array(cols["__id"], pa.int64()), pa.array(cols["__t"], pa.int64()), pa.array(signed(np.array(nodes, np.uint64))), pa.array(sizes, pa.int32()), head, pa.array(bits, pa.binary()), pa.array(wide, pa.binary())],
+                names=["id", "t", "node", "n", "head", "bits", "wide"],
             )
 
     return run
@@ -159,6 +166,19 @@ def _pairs(least: int, chain: bool):
     return run
 
 
+def _near(least: int):
+    """The pairs whose wide bitmaps may be those of similar sets."""
+
+    def run(source):
+        for batch in source:
+            n, m = (batch.column(batch.schema.get_field_index(c)).to_numpy().astype(np.int64) for c in ("n", "m"))
+            a, b = (np.frombuffer(b"".join(batch.column(batch.schema.get_field_index(c)).to_pylist()), np.uint64).reshape(-1, WIDE // 64) for c in ("a", "b"))
+            ok = (100 + least) * np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64) <= (100 - least) * (n + m)
+            yield batch.select(["u", "v"]).filter(pa.array(ok))
+
+    return run
+
+
 def _full(width: int):
     def run(source):
         for cols in batches(source):
@@ -187,8 +207,11 @@ def near_classes(docs: DataFrame, scratch: Scratch, text_col: str, id_col: str,
         raise ValueError("least is a percentage from 1 to 100")
     texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.xxhash64(text_col).alias("__t"), F.col(text_col).cast("binary").alias("__text"))
     hot, often = common_hashes(docs, text_col, width)
-    sets = scratch.save(texts.mapInArrow(_sets(width, least, hot, often), "id long, t long, node long, n int, head array<long>, bits binary").where("n > 0"), "sets")
+    sets = scratch.save(texts.mapInArrow(_sets(width, least, hot, often), "id long, t long, node long, n int, head array<long>, bits binary, wide binary").where("n > 0"), "sets")
     uniq = scratch.save(sets.dropDuplicates(["node"]), "uniq")
+    rows = scratch.save(sets.select("id", "t", "node"), "rows")
+    scratch.drop("sets")
+    release(docs.sparkSession)
     postings = uniq.select("node", "n", F.posexplode("head").alias("pos", "h"))
     w = Window.partitionBy("h").orderBy("n", "node")
     met = postings.withColumns({"__a": F.lag("node").over(w), "__b": F.lead("node").over(w)}).where("__a is not null or __b is not null").drop("__a", "__b")
@@ -201,6 +224,8 @@ def near_classes(docs: DataFrame, scratch: Scratch, text_col: str, id_col: str,
         """(pairs looked at, those that are similar)"""
         rows = cls.repartition("h").sortWithinPartitions("h", "n", "node").select("h", "n", "node", "pos", "bits", "cls")
         pairs = rows.mapInArrow(_pairs(least, chain), "u long, v long").distinct()
+        pairs = pairs.join(uniq.select(F.col("node").alias("u"), "n", F.col("wide").alias("a")), "u").join(uniq.select(F.col("node").alias("v"), F.col("n").alias("m"), F.col("wide").alias("b")), "v")
+        pairs = pairs.mapInArrow(_near(least), "u long, v long")
         pairs = scratch.save(pairs.join(done, ["u", "v"], "left_anti") if done is not None else pairs, f"pairs_{name}")
         nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
         where = scratch.save(uniq.select("node", F.col("id").alias("__i"), F.col("t").alias("__u")).join(nodes, "node"), f"where_{name}")
@@ -217,7 +242,7 @@ def near_classes(docs: DataFrame, scratch: Scratch, text_col: str, id_col: str,
     classed = met.join(roots, "node", "left").withColumn("cls", F.coalesce("root", "node")).drop("root")
     _, rest = links(classed, False, done, "all")
     roots = scratch.save(connected_components(first.unionByName(rest)), "roots")
-    return sets.select("id", "t", "node").join(roots, "node", "left").select("id", "t", "node", F.coalesce("root", "node").alias("cls"))
+    return rows.join(roots, "node", "left").select("id", "t", "node", F.coalesce("root", "node").alias("cls"))
 
 
 def one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", least: int = 80, width: int = 5) -> DataFrame:
