@@ -26,9 +26,11 @@ _K1, _K2, _K3 = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0xBF58476D1CE
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The cluster's ``spark.checkpoint.dir``; where it is unset, a temporary folder on a local master and an error on any other."""
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="cairnflow-")
         spark.sparkContext.setCheckpointDir(path)
         path = spark.sparkContext.getCheckpointDir()
@@ -136,6 +138,17 @@ def batches(rows: Iterator[pa.RecordBatch], size: int = 1 << 23) -> Iterator[dic
         yield held
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as it takes to clash with no column of df."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 

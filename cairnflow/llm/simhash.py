@@ -4,26 +4,32 @@ A fingerprint is eight positional bytes. Two fingerprints that differ in at
 most ``d`` bits differ in at most ``d`` bytes, so they share at least
 ``8 - d`` positional bytes: the guaranteed minimum of matches.
 
-The index keeps, for every distinct fingerprint, one posting for each way to
-choose that many positions, so a pair below the minimum never meets. Where two
-postings meet, the positional bytes they share are tallied, pairs under the
-minimum are dropped, and the rest is verified by the number of differing bits.
-Of the verified pairs of one posting list only a spanning forest leaves the
-task, so a group of m near copies yields at most m rows per list, never m^2.
-Equal fingerprints are one posting, whatever the number of their documents.
-
-A posting list with over ``cap`` fingerprints is not compared pair by pair. Its
+A list of one byte at one position holds a 256th of all fingerprints, far too
+many to walk for each of them, so the index is cut into cells: fingerprints
+that agree on ``meet`` of the first ``d + meet`` positions. Any ``8 - d``
+positions have at least ``meet`` there, so every pair to be found shares a
+cell. Inside a cell every (position, byte) has its posting list, and walking the
+lists of a fingerprint's bytes tallies what it shares with each of the others.
+Pairs under the minimum are dropped, the rest is verified by the number of
+differing bits. Of the verified pairs of a cell only a spanning forest leaves
+the task, so a group of m near copies yields at most m rows per cell, never
+m^2. Equal fingerprints are one posting, whatever the number of their documents.
+
+A cell with over ``cap`` fingerprints is not tallied. Its
 fingerprints are linked exactly by midpoints instead: two are within ``d`` bits
 if and only if some 64-bit word is within d//2 bits of one and d - d//2 of the
 other, so all fingerprints meeting at a word are linked to its least one.
 
 Classes come from connected components over tables (no link or component is
-ever collected).
+ever collected). ``one_of_each`` keeps one document of each class; with a
+``similarity`` it works on the wide fingerprints of ``simhash_wide`` instead.
 
 Edge cases: null and empty texts and texts without words have fingerprint 0 and
 are linked like any other; rows with a null ``doc_id`` keep their fingerprint
 and join their class, but are never its representative; repeated rows are all
-returned; an empty table gives an empty result.
+returned; an empty table gives an empty result. Texts are read whole, however
+long, with counts kept for 65,536 shingles at a time. Columns of docs other
+than the two named never matter, whatever they are called.
 """
 
 from __future__ import annotations
@@ -36,7 +42,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, batches, signed
+from . import simhash_wide
+from .common import Scratch, batches, free_names, signed
 from .components import connected_components
 
 SEED = 42
@@ -76,8 +83,14 @@ def fingerprints(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("__text")).mapInArrow(_fingerprints(width), "doc_id long, fp long")
 
 
-def _postings(least: int):
-    masks = [sum(0xFF << (8 * p) for p in c) for c in combinations(range(8), least)]
+def cells(bits: int, meet: int) -> list[tuple[int, ...]]:
+    """The choices of positions whose bytes name a cell: of 8 - bits shared positions at least ``meet`` are among the first bits + meet."""
+    meet = min(meet, 8 - bits)
+    return list(combinations(range(bits + meet), meet))
+
+
+def _postings(bits: int, meet: int):
+    masks = [sum(0xFF << (8 * p) for p in c) for c in cells(bits, meet)]
 
     def run(source):
         for batch in source:
@@ -88,22 +101,56 @@ def _postings(least: int):
     return run
 
 
-def forest(f: np.ndarray, bits: int, least: int) -> list[tuple[int, int]]:
-    """Spanning forest of the links among distinct fingerprints: from each one reached, all that are still apart are compared at once."""
+class Postings:
+    """The posting lists of one cell: for every position, the fingerprints in order of their byte there."""
+
+    def __init__(self, f: np.ndarray):
+        self.byte = np.ascontiguousarray(f).view(np.uint8).reshape(-1, 8)
+        self.varied = [p for p in range(8) if (self.byte[:, p] != self.byte[0, p]).any()]
+        self.shared = 8 - len(self.varied)  # positions where the whole cell is one list
+        self.order = {p: np.argsort(self.byte[:, p], kind="stable") for p in self.varied}
+        self.start = {p: np.searchsorted(self.byte[self.order[p], p], np.arange(257)) for p in self.varied}
+
+    def tally(self, k: int) -> np.ndarray:
+        """How many positional bytes fingerprint k shares with each of the cell."""
+        count = np.full(len(self.byte), self.shared, np.int8)
+        for p in self.varied:
+            b = int(self.byte[k, p])
+            count[self.order[p][self.start[p][b] : self.start[p][b + 1]]] += 1
+        return count
+
+
+def forest(f: np.ndarray, bits: int, least: int, seen: dict | None = None) -> list[tuple[int, int]]:
+    """Spanning forest of the links among the distinct fingerprints of a cell. ``seen`` counts the pairs tallied and those under the minimum."""
     out: list[tuple[int, int]] = []
-    rest = f
-    while len(rest):
-        front, rest = [rest[0]], rest[1:]
-        while front and len(rest):
-            x = front.pop()
-            differ = rest ^ x
-            tally = (differ.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)  # positional bytes shared
-            near = (tally >= least) & (np.bitwise_count(differ) <= bits)
-            if near.any():
-                new = rest[near]
-                out += [(x, y) for y in new]
-                front += list(new)
-                rest = rest[~near]
+    if len(f) == 2:  # most cells: the two lists to walk are one pair
+        differ = f[0] ^ f[1]
+        shared = int((f[:1] ^ f[1:]).view(np.uint8).tolist().count(0))
+        if seen is not None:
+            seen["pairs"] = seen.get("pairs", 0) + 1
+            seen["under"] = seen.get("under", 0) + (shared < least)
+        return [(f[0], f[1])] if shared >= least and int(differ).bit_count() <= bits else []
+    index = Postings(f)
+    apart = np.ones(len(f), bool)  # not yet reached
+    for root in range(len(f)):
+        if not apart[root]:
+            continue
+        apart[root] = False
+        front = [root]
+        while front:
+            k = front.pop()
+            count = index.tally(k)
+            if seen is not None:
+                seen["pairs"] = seen.get("pairs", 0) + int(apart.sum())
+                seen["under"] = seen.get("under", 0) + int((apart & (count < least)).sum())
+            met = np.flatnonzero(apart & (count >= least))
+            new = met[np.bitwise_count(f[met] ^ f[k]) <= bits]
+            if len(new):
+                out += [(f[k], y) for y in f[new]]
+                apart[new] = False
+                front += new.tolist()
+            if not apart.any():
+                return out
     return out
 
 
@@ -175,21 +222,29 @@ def midpoint_links(fps: DataFrame, bits: int) -> DataFrame:
     return mids.join(least.select("mid", "v"), "mid").where("fp <> v").select(F.col("fp").alias("u"), "v").distinct()
 
 
-def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", bits: int = 4, width: int = 4, cap: int = 8192) -> DataFrame:
-    """Per document: doc_id, fingerprint (16 hex digits), component_id (the least doc_id that links reach)."""
+def linked_roots(nodes: DataFrame, scratch: Scratch, bits: int, cap: int = 8192, meet: int = 3) -> DataFrame:
+    """(node, root) of every distinct fingerprint that has a link; root is the least fingerprint that links reach."""
     if not 0 <= bits < 8:
         raise ValueError("a byte-position index needs bits from 0 to 7")
-    scratch = Scratch(docs.sparkSession, "simhash")
-    fps = scratch.save(fingerprints(docs, text_col, id_col, width), "fps")
-    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    postings = nodes.select("fp").mapInArrow(_postings(8 - bits), "slot int, bytes long, fp long")
+    postings = nodes.mapInArrow(_postings(bits, meet), "slot int, bytes long, fp long")
     met = postings.repartition("slot", "bytes").sortWithinPartitions("slot", "bytes", "fp").mapInArrow(_compare(bits, 8 - bits, cap), "kind int, u long, v long")
     met = scratch.save(met, "met")
     hot = met.where("kind = 1").select(F.col("u").alias("fp")).distinct()
     edges = met.where("kind = 0").select("u", "v")
     if not hot.isEmpty():
         edges = edges.unionByName(midpoint_links(scratch.save(hot, "hot"), bits))
-    roots = scratch.save(connected_components(edges), "roots")
+    return scratch.save(connected_components(edges), "roots")
+
+
+def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", bits: int = 4, width: int = 4, cap: int = 8192, meet: int = 3) -> DataFrame:
+    """Per document: doc_id, fingerprint (16 hex digits), component_id (the least doc_id that links reach).
+
+    ``meet`` positional bytes name a cell: 3 for up to about 10^10 fingerprints (a cell then holds some 600 unrelated ones), 4 beyond.
+    """
+    scratch = Scratch(docs.sparkSession, "simhash")
+    fps = scratch.save(fingerprints(docs, text_col, id_col, width), "fps")
+    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    roots = linked_roots(nodes.select("fp"), scratch, bits, cap, meet)
     tied = nodes.join(roots, nodes.fp == roots.node)
     least = tied.groupBy("root").agg(F.min("first").alias("component_id"))
     linked = roots.join(least, "root").select(F.col("node").alias("fp"), "component_id")
@@ -203,8 +258,41 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", bits: int = 4, width: int = 4) -> DataFrame:
-    """The documents that represent their class: the one with the least doc_id. Rows repeating that doc_id are kept once; rows with a null doc_id cannot represent a class and go."""
-    cls = near_duplicates(docs, text_col, id_col, bits, width)
-    keep = cls.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(keep.hint("shuffle_hash"), F.col(id_col).cast("long") == F.col("__keep"), "left_semi").dropDuplicates([id_col])
+def one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", bits: int = 4, width: int = 4, similarity: float | None = None) -> DataFrame:
+    """The documents that represent their class: of every class the row with the least doc_id stays, all columns as they are.
+
+    Classes are those of ``near_duplicates``; with a ``similarity``, those of texts whose sets of ``width``-word shingles have it (``simhash_wide``).
+    Rows that repeat both id and text stay together; other texts under the same id are texts of their own; a row with a null doc_id stays
+    where its class has no row with one (of several, the one with the least text hash).
+    """
+    scratch = Scratch(docs.sparkSession, "one_of_each")
+    if similarity is not None:
+        rows = scratch.save(simhash_wide.classes(docs, text_col, id_col, similarity, width), "classes")
+    else:
+        texts = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("t"), F.col(text_col).cast("binary").alias("__text"))
+        fps = scratch.save(texts.mapInArrow(_text_fingerprints(width), "id long, t long, fp long"), "fps")
+        roots = linked_roots(fps.select("fp").distinct(), scratch, bits)
+        rows = scratch.save(fps.join(roots, fps.fp == roots.node, "left").select("id", "t", F.coalesce("root", "fp").alias("cls")), "classes")
+    return keep_first(docs, rows, scratch, text_col, id_col)
+
+
+def _text_fingerprints(width: int):
+    def run(source):
+        for cols in batches(source):
+            f = np.array([fingerprint(t, width) for t in cols["__text"]], np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(cols["id"], pa.int64()), pa.array(cols["t"], pa.int64()), pa.array(signed(f), pa.int64())], names=["id", "t", "fp"])
+
+    return run
+
+
+def keep_first(docs: DataFrame, rows: DataFrame, scratch: Scratch, text_col: str, id_col: str) -> DataFrame:
+    """docs without the rows that are not the first of their class. rows: (id, t, cls), t the xxhash64 of the text."""
+    me = F.struct(F.col("id").isNull().alias("absent"), "id", "t")
+    best = rows.groupBy("cls").agg(F.min(me).alias("best"), F.max(me).alias("last")).where(~F.col("best").eqNullSafe(F.col("last"))).drop("last")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("id", "t"), F.lit(SALTS)).cast("int"))
+    gone = dealt.join(best.withColumn("salt", salts), ["cls", "salt"]).where(~me.eqNullSafe(F.col("best"))).select("id", "t").distinct()
+    gone = scratch.save(gone, "gone")
+    i, t = free_names(docs, "__i", "__t")
+    out = docs.join(gone.select(F.col("id").alias(i), F.col("t").alias(t)), F.col(id_col).cast("long").eqNullSafe(F.col(i)) & (F.xxhash64(text_col) == F.col(t)), "left_anti")
+    return out.select(*[docs[c] for c in docs.columns])

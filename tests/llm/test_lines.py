@@ -1,7 +1,7 @@
 import hashlib
 import random
 
-from cairnflow.llm.lines import apply_bitmaps, line_bitmaps, line_digest
+from cairnflow.llm.lines import apply_bitmaps, drop_common_lines, line_bitmaps, line_digest
 
 SCHEMA = "doc_id long, text string, n_dropped string"
 BLANK = " \t\n\x0b\x0c\r"
@@ -50,9 +50,21 @@ def test_bitmaps_and_edge_cases(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     bits = {r.doc_id: r for r in line_bitmaps(df).collect()}
     assert 107 not in bits and bits[103].keep_runs == [] and bits[103].n_dropped == 4
-    kept = apply_bitmaps(df, line_bitmaps(df))
-    assert set(df.columns) < set(kept.columns) and kept.count() == len(rows)
+    kept, names = apply_bitmaps(df, line_bitmaps(df))
+    assert kept.columns == df.columns + names and kept.count() == len(rows)
     assert line_digest(spark.createDataFrame([], SCHEMA)).count() == 0
     twice = [(1, "q" * 50, ""), (1, "q" * 50, ""), (None, "q" * 50, ""), *((d, "q" * 50, "") for d in range(2, 6))]
     got = sorted(((r.doc_id or 0), r.n_dropped) for r in line_digest(spark.createDataFrame(twice, SCHEMA)).collect())
     assert got == [(0, 0), (1, 1), (1, 1), (2, 1), (3, 1), (4, 1), (5, 0)]
+
+
+def test_repeated_ids_clashing_columns_and_long_texts(spark):
+    common = "c" * 50
+    rows = [(1, "other 0\n" + common), (1, "unique first line\nsecond\n" + common + "\nlast"), (1, "unique first line\nsecond\n" + common + "\nlast"), *((d, common) for d in range(2, 7)), (8, ("z" * 60 + "\n") * 20_000 + "end")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'mine' as __before", "1 as __id", "2 as __t", "3 as __n", "4 as __runs", "5 as __split", "6 as __lines", "7 as __dropped", "8 as __kept", "9 as t", "10 as n_chars")
+    out = drop_common_lines(df, length_col="n_chars")
+    assert out.dtypes == df.dtypes
+    got = sorted((r.doc_id, r.text, r.n_chars) for r in out.collect())
+    assert got[:3] == [(1, "other 0", 7), (1, "unique first line\nsecond\nlast", 29), (1, "unique first line\nsecond\nlast", 29)]
+    assert [x[1] for x in got[3:8]] == [""] * 4 + [common] and got[-1][1:] == (rows[-1][1], 10)
+    assert {r["__before"] for r in out.collect()} == {"mine"}

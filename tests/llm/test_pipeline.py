@@ -1,10 +1,8 @@
 import duckdb
-import xxhash
 
 import corpus_pipeline
 from cairnflow.llm import mixing, toxicity
 from cairnflow.llm.decontam import words_of
-from cairnflow.llm.simhash import fingerprint
 
 SF = "/root/testdata/sf0.001"
 BLANK = " \t\n\x0b\x0c\r"
@@ -29,18 +27,28 @@ def plain_lines(docs):
 
 def plain_near(docs):
     ids = sorted(docs)
-    fp = {d: fingerprint((docs[d]["text"] or "").encode()) for d in ids}
-    least = {}
+    sets = {}
     for d in ids:
-        stack, seen = [d], {d}
-        while stack:
-            x = stack.pop()
-            for y in ids:
-                if y not in seen and (fp[x] ^ fp[y]).bit_count() <= 4:
-                    seen.add(y)
-                    stack.append(y)
-        least[d] = min(seen)
-    return {d: docs[d] for d in ids if least[d] == d}
+        w = key(docs[d]["text"] or "").split()
+        sets[d] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    by_shingle = {}
+    for d in ids:
+        for x in sets[d]:
+            by_shingle.setdefault(x, []).append(d)
+    shared = {}
+    for v in by_shingle.values():
+        for i in range(len(v)):
+            for j in range(i):
+                shared[v[j], v[i]] = shared.get((v[j], v[i]), 0) + 1
+    near = [p for p, n in shared.items() if n >= 0.8 * (len(sets[p[0]]) + len(sets[p[1]]) - n)]
+    near += [(a, b) for a in ids for b in ids if a < b and not sets[a] and not sets[b]]
+    least = {d: d for d in ids}
+    while True:
+        before = dict(least)
+        for a, b in near:
+            least[a] = least[b] = min(least[a], least[b])
+        if before == least:
+            return {d: docs[d] for d in ids if least[d] == d}
 
 
 def plain_clean(docs, items):
@@ -87,16 +95,17 @@ def test_each_stage_against_plain_python(spark, tmp_path):
 
 def test_nulls_clashing_columns_and_empty_tables(spark):
     rows = [(1, None, None, None, None), (1, None, None, None, None), (None, "text here", "en", "src1", 9), (3, "", "de", "src2", 0), (4, "z " * 50_000, "fr", "src0", 100_000)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "'x' as component_id", "1 as n_dropped", "array(1) as keep_runs")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "'x' as component_id", "1 as n_dropped", "array(1) as keep_runs", "'mine' as __before", "1 as __id", "2 as __keep", "3 as __spans")
     for df in (docs, docs.limit(0)):
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, df, SF)
             n = out.count()
             if name != "source_mixing":
                 assert out.columns == df.columns
+                assert {r["__before"] for r in out.collect()} <= {"mine"}
             assert n <= len(rows)
             assert n == 0 if df is not docs else True
 
 
-def test_fingerprint_is_plain_xxh64():
-    assert fingerprint(b"A b") == xxhash.xxh64(b"a b", seed=42).intdigest()
+def test_there_are_five_stages():
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "simhash_near_dedup", "benchmark_decontamination", "source_mixing"]

@@ -5,7 +5,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 from cairnflow.llm.components import connected_components
-from cairnflow.llm.simhash import fingerprint, midpoint_links, near_duplicates, one_of_each
+from cairnflow.llm import simhash_wide
+from cairnflow.llm.simhash import cells, fingerprint, forest, midpoint_links, near_duplicates, one_of_each
 
 SCHEMA = "doc_id long, text string, component_id int"
 
@@ -58,8 +59,8 @@ def test_against_brute_force(spark):
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
     fps = [(d, brute_fp(t)) for d, t, _ in rows]
     want = brute_classes(fps, 4)
-    for cap in (8192, 1):
-        got = {r.doc_id: (r.fingerprint, r.component_id) for r in near_duplicates(df, cap=cap).collect()}
+    for cap, meet in ((8192, 3), (1, 3), (8192, 1), (8192, 4)):
+        got = {r.doc_id: (r.fingerprint, r.component_id) for r in near_duplicates(df, cap=cap, meet=meet).collect()}
         assert got == {d: (f"{f:016x}", want[d]) for d, f in fps}
     kept = one_of_each(df)
     assert kept.columns == df.columns
@@ -101,5 +102,117 @@ def test_edge_cases(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     got = sorted((r.doc_id or 0, r.component_id) for r in near_duplicates(df).collect())
     assert got == [(0, 3), (3, 3), (3, 3), (9, 9)]
-    assert one_of_each(df).where(F.col("doc_id").isNotNull()).count() == 2
+    assert sorted(r.doc_id for r in one_of_each(df).collect()) == [3, 3, 9]
+    assert sorted(r.doc_id for r in one_of_each(df, width=5, similarity=0.8).collect()) == [3, 3, 9]
+    odd = spark.createDataFrame([(None, "p q r s t u"), (None, "own words here are five"), (4, "v w x y z"), (4, "other text under four is kept"), (5, None), (6, "")], "doc_id long, text string").selectExpr("*", "1 as __t", "2 as __i", "3 as id", "4 as t", "5 as component_id")
+    for how in ({}, {"width": 5, "similarity": 0.8}):
+        out = one_of_each(odd, **how)
+        assert out.columns == odd.columns
+        assert sorted((r.doc_id or 0, r.text or "") for r in out.collect()) == [(0, "own words here are five"), (0, "p q r s t u"), (4, "other text under four is kept"), (4, "v w x y z"), (5, "")]
+        assert one_of_each(odd.limit(0), **how).count() == 0
     assert fingerprint(b"one") == xxhash.xxh64(b"one", seed=42).intdigest()
+
+
+def test_count_filter_drops_pairs_and_keeps_every_link():
+    rng = random.Random(5)
+    base = rng.getrandbits(64)
+    f = {base}
+    while len(f) < 300:  # a cell of fingerprints that share bytes without being near
+        x = base
+        for p in rng.sample(range(3, 8), rng.randrange(0, 6)):
+            x ^= rng.getrandbits(8) << (8 * p)
+        for b in rng.sample(range(64), rng.randrange(0, 4)):
+            x ^= 1 << b
+        f.add(x)
+    f = np.array(sorted(f), np.uint64)
+    seen = {}
+    links = forest(f, 4, 4, seen)
+    assert seen["under"] > 0 and seen["pairs"] > seen["under"]
+    parts = brute_classes([(i, int(x)) for i, x in enumerate(f)], 4)
+    at = {int(x): i for i, x in enumerate(f)}
+    parent = list(range(len(f)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        assert (int(a) ^ int(b)).bit_count() <= 4
+        parent[find(at[int(a)])] = find(at[int(b)])
+    assert len(links) == len(f) - len(set(parts.values()))
+    assert all((find(i) == find(j)) == (parts[i] == parts[j]) for i in range(0, len(f), 7) for j in range(len(f)))
+    assert forest(f[:2], 64, 0) == [(f[0], f[1])]
+
+
+def test_cells_cover_every_choice_of_shared_positions():
+    from itertools import combinations
+
+    for bits in range(8):
+        for meet in (1, 2, 3, 4):
+            named = cells(bits, meet)
+            assert all(any(set(c) <= set(shared) for c in named) for shared in combinations(range(8), 8 - bits))
+
+
+def shingle_sets(texts, width=5):
+    out = []
+    for t in texts:
+        w = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "").split()
+        out.append({tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set())
+    return out
+
+
+def test_wide_classes_against_brute_force(spark):
+    rng = random.Random(11)
+    vocab = [f"w{i}" for i in range(3000)]
+    texts = []
+    for _ in range(60):
+        w = [rng.choice(vocab) for _ in range(rng.randrange(30, 300))]
+        texts.append(" ".join(w))
+        for _ in range(4):
+            v = list(w)
+            for _ in range(max(1, int(len(v) * rng.choice([0.004, 0.01, 0.018, 0.03])))):
+                v[rng.randrange(len(v))] = rng.choice(vocab)
+            texts.append(" ".join(v))
+    hub = [rng.choice(vocab) for _ in range(200)]
+    for _ in range(150):  # a large group around one text
+        v = list(hub)
+        v[rng.randrange(200)] = "x"
+        texts.append("  ".join(v).upper())
+    texts += [None, "", "one two", "One  two", "z " * 50_000]
+    sets = shingle_sets(texts)
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if (len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))]
+    parent = list(range(len(texts)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in links:
+        parent[max(find(i), find(j))] = min(find(i), find(j))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    got = simhash_wide.classes(docs, similarity=0.8, width=5).collect()
+    assert len(got) == len(texts)
+    of = {r.id: r.cls for r in got}
+    for i in range(len(texts)):  # nothing is linked that is not
+        for j in range(i):
+            assert of[i] != of[j] or find(i) == find(j)
+    edge = [(i, j) for i, j in links if len(sets[i] & sets[j]) < 0.85 * len(sets[i] | sets[j])]
+    assert len(edge) > 20 and sum(of[i] == of[j] for i, j in edge) >= 0.95 * len(edge)
+    assert all(of[i] == of[j] for i, j in links if (i, j) not in set(edge))
+    kept = {r.doc_id for r in one_of_each(docs, width=5, similarity=0.8).collect()}
+    first = {}
+    for i, c in sorted(of.items()):
+        first.setdefault(c, i)
+    assert kept == set(first.values())
+
+
+def test_wide_bounds_and_cells():
+    least, most, reach = simhash_wide.bounds(0.8)
+    assert 10 < least < 34 and 155 < most < 256 and reach < 32
+    assert simhash_wide.triples().shape == (simhash_wide.KEYS, 3)
+    same = np.tile(np.arange(simhash_wide.BYTES, dtype=np.uint8), (9, 1))
+    assert len(simhash_wide.hub_pairs(same, least, most)) == 8
+    assert simhash_wide.class_pairs(same, np.zeros(9), least, most) == []
+    assert len(simhash_wide.class_pairs(same, np.array([1] * 8 + [2]), least, most)) == 8
