@@ -1,4 +1,4 @@
-"""A training corpus from ``documents``: six stages, each written and read again before the next.
+"""A training corpus from ``documents``: five stages, each written and read again before the next.
 
 Every stage takes (spark, docs, sf_dir). All but the last return the columns of
 ``documents``; the last returns the mix as (doc_id, domain, lang, source,
@@ -9,9 +9,8 @@ and other columns of docs travel along unchanged.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from cairnflow.llm import decontam, jaccard, lines, mixing, simhash, toxicity
+from cairnflow.llm import decontam, lines, mixing, simhash, toxicity
 from cairnflow.llm.common import Scratch, table
 
 
@@ -22,19 +21,12 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of at least 40 code points in at least 5 documents stay only in the largest doc_id; n_chars follows the text."""
-    before = docs.withColumn("__before", F.xxhash64("text"))
-    out = lines.drop_common_lines(before, min_chars=40, min_docs=5)
-    return out.withColumn("n_chars", F.when(F.xxhash64("text") != F.col("__before"), F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    return lines.drop_common_lines(docs, min_chars=40, min_docs=5, length_col="n_chars")
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every class of documents within 4 fingerprint bits the one with the smallest doc_id stays."""
-    return simhash.one_of_each(docs, bits=4, width=4)
-
-
-def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every class of documents linked by a five-word Jaccard similarity of 0.8 or more the one with the smallest doc_id stays."""
-    return jaccard.one_of_each(docs, least=80, width=5)
+    """Of every class of documents linked by a five-word shingle similarity of 0.8 or more the one with the smallest doc_id stays."""
+    return simhash.one_of_each(docs, width=5, similarity=0.8)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +43,6 @@ STAGES = [
     ("toxicity", toxicity_stage),
     ("line_dedup", line_stage),
     ("simhash_near_dedup", simhash_stage),
-    ("jaccard_near_dedup", jaccard_stage),
     ("benchmark_decontamination", decontamination_stage),
     ("source_mixing", mixing_stage),
 ]
