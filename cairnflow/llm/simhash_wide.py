@@ -7,8 +7,10 @@ bytes, and the steps are those of the narrow one:
 
 1. *Index.* Cells are named by three positional bytes. ``KEYS`` triples, each
    position in equally many, give every fingerprint its postings. A posting
-   carries 64 bits of the fingerprint; one with no other within reach of these
-   bits in its cell drops out, so only what has a likely partner goes on.
+   carries 48 bits of the fingerprint and 16 of its text's hash, which tell it
+   from equal ones; one with no other within reach of the 48 bits in its cell
+   drops out, so only what has a likely partner goes on. The fingerprint then
+   comes to all its remaining postings at once.
 2. *Count filter.* In a cell the positional bytes that two fingerprints share
    are tallied. ``bounds`` gives the least tally and the largest number of
    differing bits that a pair of the wanted similarity has, three standard
@@ -43,6 +45,7 @@ from .components import connected_components
 
 BYTES = 128
 KEYS = 210
+LEAD = np.uint64((1 << 48) - 1)
 SEED = 42
 
 
@@ -82,7 +85,7 @@ def triples(keys: int = KEYS) -> np.ndarray:
 
 
 def bounds(similarity: float, spread: float = 3.0) -> tuple[int, int, int]:
-    """(least tally, most differing bits, most differing bits of the first 64) of a pair of that Jaccard similarity."""
+    """(least tally, most differing bits, most differing bits of the first 48) of a pair of that Jaccard similarity."""
     turn = math.acos(2 * similarity / (1 + similarity)) / math.pi if similarity < 1 else 0.0
     same = (1 - turn) ** 8
 
@@ -90,7 +93,12 @@ def bounds(similarity: float, spread: float = 3.0) -> tuple[int, int, int]:
         return math.ceil(n * p + by * math.sqrt(n * p * (1 - p)))
 
     tally = math.floor(BYTES * same - spread * math.sqrt(BYTES * same * (1 - same)))
-    return max(3, tally), above(8 * BYTES, turn, spread), min(64, above(64, turn, 5.0))
+    return max(3, tally), above(8 * BYTES, turn, spread), min(48, above(48, turn, 4.3))
+
+
+def _leads(prints: list[bytes], nodes: np.ndarray) -> np.ndarray:
+    first = np.array([int.from_bytes(f[:6], "little") for f in prints], np.uint64)
+    return first | (nodes & ~LEAD)
 
 
 def _sets(width: int):
@@ -99,7 +107,7 @@ def _sets(width: int):
             sets = [shingles(t, width) for t in cols["__text"]]
             nodes = np.array([xxhash.xxh64_intdigest(h.tobytes()) for h in sets], np.uint64)
             prints = [wide_fingerprint(h).tobytes() for h in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(cols["id"], pa.int64()), pa.array(cols["t"], pa.int64()), pa.array(signed(nodes)), pa.array(prints, pa.binary()), pa.array([int.from_bytes(f[:8], "little", signed=True) for f in prints], pa.int64())], names=["id", "t", "node", "fp", "lead"])
+            yield pa.RecordBatch.from_arrays([pa.array(cols["id"], pa.int64()), pa.array(cols["t"], pa.int64()), pa.array(signed(nodes)), pa.array(prints, pa.binary()), pa.array(signed(_leads(prints, nodes)))], names=["id", "t", "node", "fp", "lead"])
 
     return run
 
@@ -113,11 +121,11 @@ def _postings(source):
     for batch in source:
         byte = _matrix(batch.column(batch.schema.get_field_index("fp")))
         n = len(byte)
-        lead = np.ascontiguousarray(byte[:, :8]).view(np.uint64).ravel()
+        lead = batch.column(batch.schema.get_field_index("lead")).to_numpy()
         cell = byte[:, places].astype(np.int64) @ np.array([1, 1 << 8, 1 << 16]) + (np.arange(len(places), dtype=np.int64) << 24)[None, :]
         for at in range(0, n, 256):
             part = cell[at : at + 256]
-            yield pa.RecordBatch.from_arrays([pa.array(part.ravel()), pa.array(np.repeat(signed(lead[at : at + 256]), part.shape[1]))], names=["cell", "lead"])
+            yield pa.RecordBatch.from_arrays([pa.array(part.ravel()), pa.array(np.repeat(lead[at : at + 256], part.shape[1]))], names=["cell", "lead"])
 
 
 def whole_lists(source, key: str, columns: list[str]):
@@ -162,7 +170,7 @@ def _met(reach: int, wide: int = 64):
             while len(at):
                 at = at[at + step < len(f)]
                 at = at[cell[at + step] == cell[at]]
-                near = at[np.bitwise_count(f[at] ^ f[at + step]) <= reach]
+                near = at[np.bitwise_count((f[at] ^ f[at + step]) & LEAD) <= reach]
                 keep[near] = keep[near + step] = True
                 step += 1
             yield pa.RecordBatch.from_arrays([pa.array(cell[keep]), pa.array(signed(f[keep]))], names=["cell", "lead"])
@@ -266,10 +274,11 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sim
     named = sets.groupBy("node").agg(F.min(me).alias("who"), F.max("fp").alias("fp"), F.max("lead").alias("lead"))
     uniq = scratch.save(named.select("node", F.col("who.id").alias("id"), F.col("who.t").alias("t"), "fp", "lead"), "uniq")
     release(spark)
-    postings = uniq.select("fp").mapInArrow(_postings, "cell long, lead long")
+    postings = uniq.select("fp", "lead").mapInArrow(_postings, "cell long, lead long")
     met = scratch.save(postings.repartition("cell").sortWithinPartitions("cell", "lead").mapInArrow(_met(reach), "cell long, lead long"), "met")
     release(spark)
-    listed = scratch.save(met.join(uniq.select("node", "fp", "lead"), "lead").select("cell", "node", "fp"), "listed")
+    by_text = met.groupBy("lead").agg(F.collect_list("cell").alias("cells"))  # at most KEYS, but for the rare texts with equal leads
+    listed = scratch.save(by_text.join(uniq.select("node", "fp", "lead"), "lead").select(F.explode("cells").alias("cell"), "node", "fp"), "listed")
     scratch.drop("met")
     release(spark)
 
