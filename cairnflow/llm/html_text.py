@@ -1,21 +1,33 @@
 """Main text of web pages by composite text density.
 
-Every page becomes a DOM tree. Each node gets its characters, tags, link
-characters and link tags, bottom-up, and from these the composite density:
-characters per tag, adjusted by the share of links against the page body. The
-node whose children's densities have the largest sum is the article; the least
-density on its path to the body is the threshold, and other subtrees beside
-that path join the article if they reach it. Elements that are boilerplate by
-their tag or by their class, id or role (menus, adverts, notices, comments ...)
-are taken out before densities are computed, unless they hold the article.
+Every page becomes a DOM tree. Only what never holds readable text (scripts,
+styles, controls, hidden elements) is left out at once. Each node gets its
+characters, tags, link characters and link tags, bottom-up, and from these the
+composite density: characters per tag, adjusted by the share of links against
+the page body. The node whose children's densities have the largest sum is the
+core of the article. The densities on its path to the body are the thresholds
+for what else belongs to it: below the body, flow text (paragraphs, headings,
+lists ...) beside the path and own text of its elements join unless they are
+mostly links, containers if they reach the least density on the path; anywhere,
+containers join whose own density sum is at least half the core's.
+
+Markup that says what it is counts only within that choice: an ``article`` or
+``main`` element around the core, or the densest one inside it, is the article
+as a whole; navigation, aside, footer, form and menu elements in it go; an
+element with a boilerplate class, id or role (every word of the name must be
+one) adds nothing to a sum, does not join, and goes inside the core unless it has
+most of its text; where only an id of a section or of flow text says so, which a
+heading may have given, it goes inside the core only if it is thinner than half
+the core's density or holds marked comments.
 
 Text is decoded, white space inside a block becomes one space, blocks are
 joined in page order by one space, and nothing else is dropped or cut.
 
 Edge cases: null or empty html, and pages without text, give an empty text;
 unclosed, misnested and cut-off markup is repaired as browsers do for block
-elements; rows with null ids are kept; repeated rows are all returned; an empty
-table gives an empty result; other columns are ignored.
+elements; pages are read whole, however long or deep; rows with null ids are
+kept; repeated rows are all returned; an empty table gives an empty result;
+other columns are ignored, whatever they are called.
 """
 
 from __future__ import annotations
@@ -31,7 +43,7 @@ from pyspark.sql import functions as F
 from .common import batches, bound_batches
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)(>|\Z)""", re.S)
-_ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\b(hidden)\b""", re.S)
+_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.S)
 
 # --- fixed values: HTML elements by their role, and words that name boilerplate ---
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -50,14 +62,14 @@ CLOSES = {
 }
 SCOPE = frozenset("ul ol dl table select html body td th div article section main aside nav footer header form blockquote".split())
 HINTS = frozenset(
-    "ad ads advert adverts advertisement advertising adsbygoogle banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright discussion disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion related recommended replies respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
+    "ad ads advert adverts advertisement advertising adsbygoogle banner breadcrumb breadcrumbs consent cookie cookies copyright footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion recommended related share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
 )
-#: Hints that also hold for article elements, and for boxes with most of the page's text.
-STRONG = frozenset("ad ads advert adverts advertisement advertising adsbygoogle comment comments discussion disqus promo promotion recommended related replies respond sponsor sponsored".split())
+COMMENTS = frozenset("comment comments disqus discussion replies respond".split())
+#: Words that may stand beside a hint in a name without changing what it says.
+PARTS = frozenset("area bar block bottom box col column container content fixed form global header holder inner item items left links list module outer page panel posts primary right secondary section site slot small sticky thread top unit wrap wrapper".split())
+FLOW = frozenset("p blockquote pre h1 h2 h3 h4 h5 h6 ul ol dl table figure address details".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
-HOLDERS = frozenset(["article", "main", "h1"])
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark nobr picture q rp rt ruby s samp small source span strike strong sub sup time tt u var wbr".split())
-HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 
 
 class Tree:
@@ -65,7 +77,7 @@ class Tree:
 
     def __init__(self, page: str):
         self.parent, self.tag, self.out = [-1], ["html"], [False]
-        self.hinted: dict[int, bool] = {}  # node -> the hint is a strong one
+        self.hinted: dict[int, str] = {}  # node -> "tag", "name", "comment" or "slug" (a name that a heading may have given)
         self.pieces: list[tuple[int, str]] = []
         self.end = [0]
         self._parse(page)
@@ -149,18 +161,20 @@ class Tree:
         if tag in SILENT:
             self.out[node] = True
         elif tag in BOILERPLATE or tag == "header":
-            self.hinted[node] = False
+            self.hinted[node] = "tag"
         if attrs and tag not in ("html", "body"):
-            for name, a, b, c, hidden in _ATTR.findall(attrs):
+            for name, a, b, c in _ATTR.findall(attrs):
                 name, value = name.lower(), (a or b or c).lower()
-                if hidden or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value) or name == "aria-hidden" and value == "true":
+                if name == "hidden" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value) or name == "aria-hidden" and value == "true":
                     self.out[node] = True
                 elif name == "role" and value in ROLES:
-                    self.hinted.setdefault(node, False)
+                    self.hinted.setdefault(node, "tag")
                 elif name in ("class", "id"):
-                    words = re.split(r"[^a-z0-9]+", value)
-                    if not HINTS.isdisjoint(words):
-                        self.hinted[node] = self.hinted.get(node, False) or not STRONG.isdisjoint(words)
+                    for token in value.split():
+                        words = {w for w in re.split(r"[^a-z]+", token) if w}
+                        if words and words <= HINTS | COMMENTS | PARTS and not words <= PARTS:
+                            slug = name == "id" and (tag == "section" or tag in FLOW)
+                            self.hinted[node] = "slug" if slug else "name" if words.isdisjoint(COMMENTS) else "comment"
 
 
 def densities(tree: Tree, chars: list[int]) -> list[float]:
@@ -194,39 +208,79 @@ def densities(tree: Tree, chars: list[int]) -> list[float]:
     return out
 
 
+def core_of(tree: Tree, density: list[float]) -> tuple[int, list[float]]:
+    """The node with the largest sum of its children's densities, and the sums.
+
+    Inline elements pass theirs on to the element around them. What is marked as boilerplate adds nothing around it and is no core,
+    unless most of the page's text is in it.
+    """
+    n = len(tree.tag)
+    total, holder = [0.0] * n, [0] * n  # holder: the nearest node around that is not inline
+    off = [False] * n
+    for k in range(1, n):
+        up = tree.parent[k]
+        holder[k] = up if tree.tag[up] not in INLINE else holder[up]
+        off[k] = off[up] or tree.out[k] or k in tree.hinted and 2 * tree.chars[k] <= tree.chars[0]
+        if not off[k] and tree.tag[k] not in INLINE:
+            total[holder[k]] += density[k]
+    return max(range(n), key=lambda k: (total[k], -k)), total
+
+
+def article_of(tree: Tree, core: int, path: list[int]) -> int:
+    """The article or main element that the core stands for: one around it, or the one with most text of its own kind inside it."""
+    for tag in ("article", "main"):
+        around = [k for k in path if tree.tag[k] == tag]
+        if around:
+            return around[-1]
+        inside = [False] * len(tree.tag)
+        inside[core] = True
+        found = []
+        for k in range(core + 1, len(tree.tag)):
+            inside[k] = inside[tree.parent[k]]
+            if inside[k] and tree.tag[k] == tag and not tree.out[k] and tree.hinted.get(k) != "comment":
+                found.append(k)
+        if found:
+            return max(found, key=lambda k: (tree.chars[k], -k))
+    return core
+
+
+def _pruned(tree: Tree, core: int, density: list[float]) -> list[bool]:
+    """What goes out of the subtree of the core: boilerplate elements, thin elements with a boilerplate name, and reader comments."""
+    n = len(tree.tag)
+    inside, holds, gone = [False] * n, [False] * n, list(tree.out)
+    inside[core] = True
+    for k in range(n - 1, 0, -1):
+        holds[k] = holds[k] or tree.tag[k] == "h1"
+        holds[tree.parent[k]] = holds[tree.parent[k]] or holds[k]
+    comments = [False] * n  # are marked below
+    for k in range(n - 1, 0, -1):
+        up = tree.parent[k]
+        comments[up] = comments[up] or comments[k] or tree.hinted.get(k) == "comment"
+    in_article = [False] * n
+    for k in range(1, n):
+        up = tree.parent[k]
+        inside[k] = inside[k] or inside[up]
+        in_article[k] = in_article[up] or tree.tag[up] in ("article", "main")
+        kind = tree.hinted.get(k)
+        if not kind or not inside[k] or k == core:
+            continue
+        most = 2 * tree.chars[k] > tree.chars[core]
+        thin = 2 * density[k] < density[core]
+        if kind == "tag":
+            gone[k] = gone[k] or not (tree.tag[k] == "header" and (in_article[k] or holds[k]) or tree.tag[k] == "form" and most)
+        elif kind == "slug":
+            gone[k] = gone[k] or not most and (thin or comments[k])
+        else:
+            gone[k] = gone[k] or not most and not holds[k]
+    return gone
+
+
 def main_text(page: str | None) -> str:
     """Main text of one page."""
     if not page:
         return ""
     tree = Tree(page)
     n = len(tree.tag)
-    holds = [False] * n
-    for k in range(n - 1, 0, -1):
-        holds[k] = holds[k] or tree.tag[k] in HOLDERS
-        holds[tree.parent[k]] = holds[tree.parent[k]] or holds[k]
-    inside = [False] * n  # of an article or main element
-    for k in range(1, n):
-        inside[k] = inside[tree.parent[k]] or tree.tag[tree.parent[k]] in ("article", "main")
-    for k in range(1, n):
-        tree.out[k] = tree.out[k] or tree.out[tree.parent[k]]
-    weight = [0] * n  # text below each node, roughly
-    for node, raw in tree.pieces:
-        if not tree.out[node]:
-            weight[node] += len(raw.strip())
-    for k in range(n - 1, 0, -1):
-        weight[tree.parent[k]] += weight[k]
-    articles = sum(t in ("article", "main") for t in tree.tag)
-    for k, strong in tree.hinted.items():
-        tag = tree.tag[k]
-        if tag in ("article", "main"):
-            # the article itself keeps its layout classes; a comment or teaser marked up as an article goes
-            gone = strong and articles > 1
-        elif tag == "header" and inside[k] or tag in HOLDERS or holds[k]:
-            gone = False
-        else:
-            gone = strong or tag in BOILERPLATE - {"form"} or weight[k] * 2 <= weight[0]
-        if gone:
-            tree.out[k] = True
     for k in range(1, n):
         tree.out[k] = tree.out[k] or tree.out[tree.parent[k]]
     chars, texts = [0] * n, []
@@ -237,34 +291,33 @@ def main_text(page: str | None) -> str:
         texts.append((node, text))
         chars[node] += len("".join(text.split()))
     density = densities(tree, chars)
-    total, holder = [0.0] * n, [0] * n  # holder: the nearest node around that is not inline
-    for k in range(1, n):
-        up = tree.parent[k]
-        holder[k] = up if tree.tag[up] not in INLINE else holder[up]
-        if not tree.out[k] and tree.tag[k] not in INLINE:
-            total[holder[k]] += density[k]
-    best = max(range(n), key=lambda k: (total[k], -k))
-    up = best
-    while up > 0:  # an article element around the densest part is the article as a whole
-        if tree.tag[up] == "article":
-            best = up
-            break
-        up = tree.parent[up]
-    path = [best]
+    core, total = core_of(tree, density)
+    path = [core]
     while path[-1] > 0:
         path.append(tree.parent[path[-1]])
-    least = min(density[k] for k in path)
-    on_path = set(path)
+    whole = article_of(tree, core, path)
+    if whole != core:
+        core, path = whole, [whole]
+        while path[-1] > 0:
+            path.append(tree.parent[path[-1]])
+    gone = _pruned(tree, core, density)
+    inner = [k for k in path if k and tree.tag[k] != "body"]  # the path below the body
+    least = min((density[k] for k in inner), default=0.0)
+    on_path, named = set(path), tree.tag[core] in ("article", "main")
     take = [False] * n
-    take[best] = True
+    take[core] = True
     for k in range(1, n):
         up = tree.parent[k]
-        if take[up]:
+        if gone[k]:
+            continue
+        if take[up] and (up not in on_path or up == core):
             take[k] = True
-        elif up in on_path and k not in on_path and tree.chars[k] and not tree.out[k]:
-            linked = tree.link_chars[k] / tree.chars[k]
-            heading = tree.tag[k] in HEADINGS and (inside[k] or tree.tag[up] in ("article", "main"))
-            take[k] = linked < 0.3 and (density[k] >= least and tree.chars[k] >= 25 or heading)
+        elif k in on_path:
+            take[k] = k == core or not named and tree.tag[k] != "body"  # its own text; its children are judged one by one
+        elif up in on_path and up != core and tree.chars[k] and k not in tree.hinted and not named:
+            linked = 10 * tree.link_chars[k] >= 3 * tree.chars[k]
+            flow = tree.tag[k] in FLOW or tree.tag[k] in INLINE
+            take[k] = not linked and up in inner and (flow or density[k] >= least > 0) or not linked and not flow and 2 * total[k] >= total[core] > 0
     pieces = []
     last = None
     block = _blocks(tree)

@@ -63,3 +63,89 @@ def test_generated_pages_give_their_article(spark):
     for r in pages.collect():
         want = html.unescape(re.sub(r"<[^>]*>", " ", re.search("<article>(.*?)</article>", r.html, re.S)[1]))
         assert got[r.page_id] == " ".join(want.split())
+
+
+def test_attribute_values_and_compound_names_do_not_cost_text():
+    assert main_text(f'<div data-v1="is hidden here"><p>{A}</p><p>{B}</p></div>') == f"{A} {PLAIN_B}"
+    assert main_text(f"<div hidden><p>no</p></div><div><p>{A}</p><p hidden=''>no</p></div>") == A
+    assert main_text(f"<article><section class='related-story-body'><p>{A}</p></section><section id='comment-on-policy'><p>{B}</p></section></article>") == f"{A} {PLAIN_B}"
+    assert main_text(f"<article><h1>T</h1><p>{A}</p><section id='discussion'><h2>Discussion</h2><p>{A}</p><p>{B}</p></section></article>") == f"T {A} Discussion {A} {PLAIN_B}"
+    assert main_text(f"<article><h1>T</h1><p>{A}</p><section id='discussion'><div class=comment><p>{A}</p></div></section></article>") == f"T {A}"
+
+
+def test_short_paragraphs_beside_the_core_stay():
+    assert main_text(f"<body><div><div><p>{A}</p><p>{B}</p><p>{A}</p></div><p>Yes.</p><p>He left it.</p></div></body>") == f"{A} {PLAIN_B} {A} Yes. He left it."
+    assert main_text(f"<body><div>Own words first.<div><p>{A}</p><p>{B}</p><p>{A}</p></div></div><div>Buy it now!</div></body>") == f"Own words first. {A} {PLAIN_B} {A}"
+    sections = "".join(f"<div><h2>Part {i}</h2>{'<p>' + A + '</p>' * 1}{'<p>' + B + '</p>' if i else ''}</div>" for i in range(3))
+    assert main_text(f"<body><div class=x1><a href=/>Home</a></div><div class=x2>{sections}</div></body>").startswith("Part 0 ")
+
+
+def plain_pages(spark):
+    """Pages without article tags and with names that no list knows, and their articles."""
+    import html
+    import re
+
+    out = []
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        want = " ".join(html.unescape(re.sub(r"<[^>]*>", " ", re.search("<article>(.*?)</article>", r.html, re.S)[1])).split())
+        page = r.html.replace('class="ad"', 'class="xq7"')
+        for tag in ("article", "footer", "nav"):
+            page = page.replace(f"<{tag}>", f"<div id={tag[::-1]}>").replace(f"</{tag}>", "</div>")
+        out.append((page, want))
+    return out
+
+
+def test_densities_decide_without_names_and_article_tags(spark, monkeypatch):
+    from cairnflow.llm import html_text
+
+    pages = plain_pages(spark)
+    right = sum(main_text(page) == want for page, want in pages)
+    assert right >= 0.95 * len(pages)  # the others have articles hardly longer than their advert
+    real = html_text.densities
+
+    def zero(tree, chars):
+        real(tree, chars)
+        return [0.0] * len(tree.tag)
+
+    monkeypatch.setattr(html_text, "densities", zero)
+    assert not any(main_text(page) == want for page, want in pages)
+
+
+def test_densities_against_a_plain_computation():
+    """Densities and the core, recomputed from nested lists."""
+    import math
+
+    from cairnflow.llm.html_text import Tree, core_of, densities
+
+    page = f"<body><div><a href=1>one link</a><a href=2>two</a></div><div><p>{A}</p><p>{B}</p><p>{A}</p></div></body>"
+    tree = Tree(page)
+    chars = [0] * len(tree.tag)
+    for node, raw in tree.pieces:
+        chars[node] += len("".join(raw.split()))
+    got = densities(tree, chars)
+
+    def under(k):
+        return [k] + [x for j in range(k + 1, len(tree.tag)) if tree.parent[j] == k for x in under(j)]
+
+    link = ("a", "button", "select")
+    everything = under(0)
+    page_chars, page_links = sum(chars), sum(chars[k] for k in everything if tree.tag[k] in link)
+    inline = ("b",)
+    for k in range(1, len(tree.tag)):
+        below = under(k)
+        c, lc = sum(chars[j] for j in below), sum(chars[j] for j in below if tree.tag[j] in link)
+        if not c:
+            continue
+        t = max(1, sum(tree.tag[j] not in inline for j in below[1:]))
+        own = tree.tag[k] in link
+        lt = max(1, sum(tree.tag[j] in link or own for j in below[1:]))
+        base = math.log(c / max(c - lc, 1) * lc + page_links / page_chars * c + math.e)
+        ratio = c / (lc or 1) * t / lt
+        assert abs(got[k] - max(0.0, c / t * math.log(ratio) / math.log(base))) < 1e-6 * max(1.0, got[k])
+    core, total = core_of(tree, got)
+    assert tree.tag[core] == "div" and total[core] == sum(got[k] for k in range(len(got)) if tree.parent[k] == core)
+
+
+def test_very_long_page():
+    page = "<div class=menu><a href=/>x</a></div><div>" + f"<p>{A}</p>" * 20_000 + "</div>"
+    assert main_text(page) == " ".join([A] * 20_000)
