@@ -8,10 +8,14 @@ contribution for all its postings.
 A search takes the query vectors in blocks too (``query_block`` of them at a
 time are in memory, whatever their number) and runs every block of queries
 against every block of the index. For each query the segments are processed by
-descending absolute contribution. It stops only on proof: bounds of what is
-left (unprocessed segments of each component, and the quantisation error) show
-that no vector outside the possible members can reach the k-th best lower
-bound. The possible members are then rescored exactly with integers.
+descending absolute contribution. Beside its partial score every vector keeps
+the energy of query and vector in the components it has not met yet, which bounds
+what those can add (Cauchy-Schwarz); to it comes the quantisation error. The
+search stops only on proof: once no more than ``rescore`` times k vectors of a
+block (or a sixteenth of it) can still reach the k-th best lower bound. These
+possible members are then rescored exactly with integers. Components near zero
+are long segments and come last, so a stop saves a larger share of postings than
+of segments (README).
 
 Values are floor(scale * x) with x as double. Ties go to the smaller vec_id.
 
@@ -20,7 +24,8 @@ take no part, neither as query nor as candidate; a query's candidates are the
 vectors of its own length; the rows of a query's own vec_id are never its
 candidates; repeated candidate rows count each; fewer candidates than k are all
 returned; rows with a null vec_id take no part; an empty table gives an empty
-result; other columns are ignored.
+result; other columns are ignored. Scores are 64-bit: a pair whose score does not
+fit raises OverflowError.
 """
 
 from __future__ import annotations
@@ -75,44 +80,61 @@ def _build(block: int, step: int):
     return run
 
 
-def search_block(q: np.ndarray, index: dict[str, np.ndarray], k: int, step: int, own: int | None, parts: int = 6) -> np.ndarray:
-    """Positions in one index block of every vector that can be among the k best of query q (own: a vec_id to leave out)."""
+#: Shares of the segments after which the bounds are looked at.
+CUTS = (0.3, 0.5, 0.6, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95, 1.0)
+
+
+def search_block(q: np.ndarray, index: dict[str, np.ndarray], k: int, step: int, own: int | None, rescore: int = 4, share: list | None = None) -> np.ndarray:
+    """Positions in one index block of every vector that can be among the k best of query q (own: a vec_id to leave out). ``share`` gets (segments, postings) processed, as shares."""
     ids, component, impact, end, postings = (index[c] for c in ("ids", "component", "impact", "end", "postings"))
     allowed = ids != own if own is not None else np.ones(len(ids), bool)
     if int(allowed.sum()) <= k:
         return np.flatnonzero(allowed)
-    weight = q[component].astype(np.float64)
-    gain = weight * (impact * step)  # a value v is impact * step + r with 0 <= r < step
+    enough = max(rescore * k, len(ids) // 16)
+    w = q.astype(np.float64)
+    middle = impact * float(step) + (step - 1) / 2  # a value is the middle of its impact, give or take (step - 1) / 2
+    gain, asked, held = w[component] * middle, w[component] ** 2, middle**2
     order = np.argsort(-np.abs(gain), kind="stable")
-    up = np.where(q > 0, q * (step - 1), 0).sum()  # what the rests r can add
-    down = np.where(q < 0, q * (step - 1), 0).sum()
     begin = np.concatenate([[0], end[:-1]])
     sizes = end - begin
-    score = np.zeros(len(ids))
+    n, dims = len(ids), len(q)
+    score = np.zeros(n)
+    left_q = np.full(n, float(w @ w))
+    left_v = np.bincount(postings, np.repeat(held, sizes), n)
+    error = min(np.abs(w).sum(), np.sqrt(w @ w * dims)) * (step - 1) / 2
+    slack = 1e-9 * (error + np.sqrt(float(w @ w) * float(left_v.max())))  # rounding of the sums
     done = 0
-    width = len(q)
-    most = index["cut"]
-    for part in range(parts):
-        upto = len(order) if part == parts - 1 else min(len(order), max(done + 1, int(len(order) * most[part])))
+    for cut in CUTS:
+        upto = len(order) if cut == 1.0 else int(len(order) * cut)
         now = order[done:upto]
-        n = sizes[now]
-        at = np.repeat(begin[now] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        score += np.bincount(postings[at], np.repeat(gain[now], n), len(ids))
+        m = sizes[now]
+        at = postings[np.repeat(begin[now] - (np.cumsum(m) - m), m) + np.arange(int(m.sum()))]
+        score += np.bincount(at, np.repeat(gain[now], m), n)
+        left_q -= np.bincount(at, np.repeat(asked[now], m), n)
+        left_v -= np.bincount(at, np.repeat(held[now], m), n)
         done = upto
-        rest = order[done:]
-        hi, lo = np.zeros(width), np.zeros(width)
-        np.maximum.at(hi, component[rest], gain[rest])
-        np.minimum.at(lo, component[rest], gain[rest])
-        least = np.where(allowed, score + lo.sum() + down, -np.inf)
-        kth = np.partition(least, len(least) - k)[len(least) - k]
-        possible = allowed & (score + hi.sum() + up >= kth)
-        if done == len(order) or int(possible.sum()) <= 2 * k:
-            return np.flatnonzero(possible)
-    return np.flatnonzero(possible)
+        room = np.sqrt(np.maximum(left_q, 0) * np.maximum(left_v, 0)) + error + slack
+        least = np.where(allowed, score - room, -np.inf)
+        kth = np.partition(least, n - k)[n - k]
+        possible = np.flatnonzero(allowed & (score + room >= kth))
+        if len(possible) <= enough:
+            break
+    if share is not None:
+        share.append((done / len(order), float(sizes[order[:done]].sum() / sizes.sum())))
+    return possible
+
+
+def exact_scores(vectors: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Integer inner products; those that do not fit 64 bits raise."""
+    if float(np.abs(vectors.astype(np.float64)).max(initial=0.0)) * float(np.abs(q.astype(np.float64)).sum()) < 2.0**62:
+        return vectors @ q
+    exact = [sum(int(a) * int(b) for a, b in zip(v, q, strict=True)) for v in vectors]
+    if any(not -(1 << 63) <= x < 1 << 63 for x in exact):
+        raise OverflowError("an inner product does not fit a 64-bit score")
+    return np.array(exact, np.int64)
 
 
 def _search(queries: list[tuple[int, np.ndarray]], k: int, step: int):
-    cut = [0.15, 0.3, 0.45, 0.6, 0.8]
     lengths = sorted({len(q) for _, q in queries})
 
     def run(source):
@@ -121,14 +143,14 @@ def _search(queries: list[tuple[int, np.ndarray]], k: int, step: int):
                 width = row["width"]
                 if width not in lengths:
                     continue
-                index = {"ids": np.frombuffer(row["ids"], np.int64), "component": np.frombuffer(row["segment_component"], np.int32), "impact": np.frombuffer(row["segment_impact"], np.int64), "end": np.frombuffer(row["segment_end"], np.int64), "postings": np.frombuffer(row["postings"], np.int32), "cut": cut}
+                index = {"ids": np.frombuffer(row["ids"], np.int64), "component": np.frombuffer(row["segment_component"], np.int32), "impact": np.frombuffer(row["segment_impact"], np.int64), "end": np.frombuffer(row["segment_end"], np.int64), "postings": np.frombuffer(row["postings"], np.int32)}
                 vectors = np.frombuffer(row["vectors"], np.int64).reshape(-1, width)
                 out: list[tuple[np.ndarray, ...]] = []
                 for name, q in queries:
                     if len(q) != width:
                         continue
                     at = search_block(q, index, k, step, name)
-                    exact = vectors[at] @ q  # integers: exact
+                    exact = exact_scores(vectors[at], q)
                     best = np.lexsort((index["ids"][at], -exact))[:k]
                     out.append((np.full(len(best), name, np.int64), index["ids"][at[best]], exact[best]))
                 if out:
@@ -149,7 +171,7 @@ def query_blocks(vectors: DataFrame, size: int) -> Iterator[list[tuple[int, np.n
         yield block
 
 
-def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 10, vector_col: str = "embedding", id_col: str = "vec_id", scale: int = 1024, step: int = 32, block: int = 4096, query_block: int = 4096) -> DataFrame:
+def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 10, vector_col: str = "embedding", id_col: str = "vec_id", scale: int = 1024, step: int = 4, block: int = 4096, query_block: int = 4096) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best of every query among all other vectors, rank from 1.
 
     ``step`` is the width of one quantised impact. A query vec_id that occurs
