@@ -153,6 +153,22 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def identified(docs: DataFrame, text_col: str, id_col: str, scratch: Scratch) -> DataFrame:
+    """(doc_id, __text, __id): __id is the id of the row and doc_id one that no two different texts share, in the order of ids and then of text hashes.
+
+    Where no id has different texts (one cheap aggregate tells) doc_id is the id itself. Rows repeating id and text share it; null ids stay null.
+    """
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("__text"))
+    t = F.xxhash64("__text")
+    several = own.where("doc_id is not null").groupBy("doc_id").agg(F.min(t).alias("a"), F.max(t).alias("b")).where("a <> b")
+    if several.isEmpty():
+        return own.withColumn("__id", F.col("doc_id"))
+    pairs = own.where("doc_id is not null").select("doc_id", t.alias("t")).distinct().orderBy("doc_id", "t")
+    pairs = scratch.save(pairs.select("doc_id", "t", F.monotonically_increasing_id().alias("uid")), "ids")
+    met = own.withColumn("t", t).join(pairs, ["doc_id", "t"], "left")
+    return scratch.save(met.select(F.col("uid").alias("doc_id"), "__text", F.col("doc_id").alias("__id")), "texts")
+
+
 def marks_by_doc(marks: DataFrame, id_col: str = "doc_id", *cols: str) -> DataFrame:
     """One row per document: its marks as an array of structs, no larger than the document."""
     return marks.groupBy(id_col).agg(F.collect_list(F.struct(*cols)).alias("__marks"))

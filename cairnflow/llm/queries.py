@@ -20,7 +20,7 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring.remove_repeated_substrings(table(spark, sf_dir, "documents"), window=20, start=10).drop("kept")
+    return substring.remove_repeated_substrings(table(spark, sf_dir, "documents"), window=20, start=5).drop("kept")
 
 
 def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,4 +67,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": topk.ORACLE, "op3_substring": substring.ORACLE, "op7_lines": lines.ORACLE, "op8_mixing": mixing.oracle(), "op10_decontam": decontam.oracle()}
+    return {"op1_topk": topk.ORACLE, "op3_substring": substring.ORACLE, "op7_lines": lines.ORACLE, "op9_suffix": suffix.ORACLE, "op8_mixing": mixing.oracle(), "op10_decontam": decontam.oracle()}

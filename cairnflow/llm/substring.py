@@ -22,7 +22,13 @@ sends one row per batch to its key, not one per occurrence.
 Edge cases: null text is an empty text; documents shorter than a window lose
 nothing; rows with a null ``doc_id`` take no part and come back unchanged;
 rows repeating a ``doc_id`` with the same text count as one document and are
-all returned; an empty table gives an empty result; other columns are ignored.
+all returned, different texts under one ``doc_id`` are documents of their own in
+the order of their hashes; texts are read whole, a document at a time, however
+long; an empty table gives an empty result; other columns are ignored, whatever
+they are called.
+
+Words are hashed to 64 bits, and runs and windows are compared by hashes of
+these: equality of two 64-bit values stands for equality of content.
 """
 
 from __future__ import annotations
@@ -35,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, batches, combine, cover, marks_by_doc, minimizers, release, runs_of, signed
+from .common import Scratch, batches, combine, cover, identified, marks_by_doc, minimizers, release, runs_of, signed
 
 #: g is null where a batch has already decided: the part repeats, or the run or window goes.
 _PARTS = "g long, doc_id long, at int"
@@ -169,11 +175,11 @@ def _windows(window: int):
     return parts
 
 
-def repeated_runs(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = 20, start: int = 10) -> DataFrame:
-    """(doc_id, at, to): first and last start of runs of windows of ``window`` words that also start earlier."""
-    spark = docs.sparkSession
+def repeated_runs(base: DataFrame, window: int = 20, start: int = 5, survivors: list | None = None) -> DataFrame:
+    """base: (doc_id, __text) with one text per id -> (doc_id, at, to): first and last start of runs of windows of ``window`` words that also start earlier. ``survivors`` gets (length, parts that go on) of each level."""
+    spark = base.sparkSession
     scratch = Scratch(spark, "substring")
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("__text"))
+    base = base.select("doc_id", "__text")
     place = F.struct("doc_id", "at")
 
     def with_marks(marks: DataFrame, *cols: str) -> DataFrame:
@@ -192,6 +198,8 @@ def repeated_runs(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
         met = Window.partitionBy("g")
         seen = rows.where("g is not null").withColumn("lo", F.min(place).over(met)).withColumn("hi", F.max(place).over(met)).where("lo <> hi")
         alive = scratch.save(seen.select("doc_id", "at").unionByName(rows.where("g is null").select("doc_id", "at")), f"alive{n}")
+        if survivors is not None:
+            survivors.append((n, alive.count()))
         del rows, seen, source
         scratch.drop(f"parts{n}")
         release(spark)
@@ -221,7 +229,7 @@ def repeated_runs(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
 def _digest(window: int):
     def run(source):
         for cols in batches(source):
-            out = {"doc_id": cols["doc_id"], "n_words": [], "n_removed": [], "kept_sha256": [], "kept": []}
+            out = {"doc_id": cols["__id"], "n_words": [], "n_removed": [], "kept_sha256": [], "kept": []}
             for text, marks in zip(cols["__text"], cols["__marks"], strict=True):
                 words = text.split() if text else []
                 gone = np.zeros(len(words), bool)
@@ -237,14 +245,14 @@ def _digest(window: int):
     return run
 
 
-def remove_repeated_substrings(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = 20, start: int = 10) -> DataFrame:
+def remove_repeated_substrings(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = 20, start: int = 5) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256 and the kept words as UTF-8 (``kept``).
 
     A word goes if a window of ``window`` words that covers it also starts
     earlier: in a smaller ``doc_id``, or before it in the same document.
     """
-    marks = repeated_runs(docs, text_col, id_col, window, start)
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("__text"))
+    base = identified(docs, text_col, id_col, Scratch(docs.sparkSession, "texts"))
+    marks = repeated_runs(base, window, start)
     by_doc = marks_by_doc(marks, "doc_id", "at", "to").hint("shuffle_hash")
     return base.join(by_doc, "doc_id", "left").mapInArrow(_digest(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept binary")
 

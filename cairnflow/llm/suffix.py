@@ -23,8 +23,15 @@ all documents holds sends one row per batch to its anchor.
 
 Edge cases: null text is empty; texts shorter than ``length`` keep all bytes;
 rows with a null ``doc_id`` take no part and come back whole; rows repeating a
-``doc_id`` with the same text count as one document and are all returned;
-matches inside one document never count; an empty table gives an empty result.
+``doc_id`` with the same text count as one document and are all returned,
+different texts under one ``doc_id`` are documents of their own in the order of
+their hashes; matches inside one document never count; texts are read whole,
+1 MiB at a time; an empty table gives an empty result; other columns are
+ignored, whatever they are called.
+
+Most repeats are copies of whole runs and decided in step 2 by two 64-bit hashes
+(anchor and run). Suffix arrays see the open runs only, each of at most
+2 * length - gram bytes, so a longer repeat appears as the repeats of its runs.
 """
 
 from __future__ import annotations
@@ -38,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, batches, combine, cover, marks_by_doc, minimizers, release, runs_of, signed
+from .common import Scratch, batches, combine, cover, identified, marks_by_doc, minimizers, release, runs_of, signed
 
 GRAM = 16
 BLOCK = 1 << 20
@@ -275,11 +282,11 @@ def _repeats(length: int, cap: int, room: int = 1 << 22):
     return run
 
 
-def repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", length: int = 50, gram: int = GRAM, cap: int = 20_000) -> DataFrame:
-    """(doc_id, s, e): byte spans covered by ``length``-byte strings that also start in a smaller document."""
-    spark = docs.sparkSession
+def repeated_spans(base: DataFrame, length: int = 50, gram: int = GRAM, cap: int = 20_000) -> DataFrame:
+    """base: (doc_id, __text) with one text per id -> (doc_id, s, e): byte spans covered by ``length``-byte strings that also start in a smaller document."""
+    spark = base.sparkSession
     scratch = Scratch(spark, "suffix")
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("__text"))
+    base = base.select("doc_id", "__text")
     by_run, by_anchor = Window.partitionBy("h", "ctx"), Window.partitionBy("h")
     runs = base.mapInArrow(_runs(length, min(gram, length)), _RUNS).withColumn("mn", F.min("doc_id").over(by_run))
     for name, f, c in (("dlo", F.min, "doc_id"), ("dhi", F.max, "doc_id"), ("clo", F.min, "ctx"), ("chi", F.max, "ctx")):
@@ -314,7 +321,7 @@ def _unpack(length: int):
 
 def _digest(source):
     for cols in batches(source):
-        out = {"doc_id": cols["doc_id"], "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "kept": []}
+        out = {"doc_id": cols["__id"], "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "kept": []}
         for text, marks in zip(cols["__text"], cols["__marks"], strict=True):
             text = text or b""
             kept, gone, spans = text, 0, 0
@@ -330,6 +337,23 @@ def _digest(source):
 
 def remove_repeated_bytes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", length: int = 50, gram: int = GRAM, cap: int = 20_000) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the remaining bytes (``kept``)."""
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("__text"))
-    spans = marks_by_doc(repeated_spans(docs, text_col, id_col, length, gram, cap), "doc_id", "s", "e").hint("shuffle_hash")
+    base = identified(docs, text_col, id_col, Scratch(docs.sparkSession, "texts"))
+    spans = marks_by_doc(repeated_spans(base, length, gram, cap), "doc_id", "s", "e").hint("shuffle_hash")
     return base.join(spans, "doc_id", "left").mapInArrow(_digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+
+
+#: DuckDB SQL of the query for strings of 50 bytes; bytes as pairs of hex digits.
+ORACLE = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+b AS (SELECT doc_id, h, unnest(range(1, length(h) // 2 + 1)) AS i FROM d),
+w AS (SELECT doc_id, i, substr(h, 2 * i - 1, 2) AS byte, CASE WHEN 2 * i + 98 <= length(h) THEN substr(h, 2 * i - 1, 100) END AS s FROM b),
+f AS (SELECT s, min(doc_id) AS least FROM w WHERE s IS NOT NULL GROUP BY s HAVING min(doc_id) < max(doc_id)),
+r AS (SELECT w.doc_id, w.i, w.byte, CASE WHEN f.least < w.doc_id THEN w.i END AS late FROM w LEFT JOIN f ON w.s = f.s),
+m AS (SELECT doc_id, i, byte, coalesce(max(late) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) >= i - 49, false) AS gone FROM r),
+n AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM m),
+k AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE opens) AS n_spans,
+             sha256(unhex(coalesce(string_agg(byte, '' ORDER BY i) FILTER (WHERE NOT gone), ''))) AS kept_sha256 FROM n GROUP BY doc_id)
+SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       coalesce(kept_sha256, sha256('')) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""

@@ -57,3 +57,28 @@ def test_empty_null_ids_and_repeated_rows(spark):
     rows = [(1, text, 1), (1, text, 1), (None, text, 1), (2, text, 1)]
     got = sorted((r.doc_id or 0, r.n_removed) for r in remove_repeated_substrings(spark.createDataFrame(rows, SCHEMA)).collect())
     assert got == [(0, 0), (1, 0), (1, 0), (2, 30)]
+
+
+def test_levels_lose_candidates(spark):
+    from cairnflow.llm.common import Scratch, identified
+    from cairnflow.llm.substring import repeated_runs
+
+    rng = random.Random(6)
+    vocab = [f"w{i}" for i in range(9)]
+    shared = [rng.choice("abcdefgh") * 3 + str(i) for i in range(60)]
+    rows = [(d, " ".join([rng.choice(vocab) for _ in range(150)] + (shared[:30] if d < 3 else shared[30 : 30 + d % 20])), 1) for d in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    levels = []
+    runs = repeated_runs(identified(df, "text", "doc_id", Scratch(spark, "t")), 20, 5, levels)
+    assert [n for n, _ in levels] == [5, 10] and levels[0][1] > levels[1][1] > 0
+    assert {r.doc_id for r in runs.collect()} == {1, 2}
+
+
+def test_other_texts_under_an_id_and_very_long_texts(spark):
+    own = " ".join(f"own{i}" for i in range(25))
+    text = " ".join(f"x{i}" for i in range(30))
+    long = " ".join(f"l{i % 1000}" for i in range(60_000))
+    rows = [(1, text, 1), (1, own, 1), (2, text, 1), (3, long, 1), (None, own, 1)]
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as __text", "2 as __id", "3 as t", "4 as uid")
+    got = sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in remove_repeated_substrings(df).collect())
+    assert got == [(0, 25, 0), (1, 25, 0), (1, 30, 0), (2, 30, 30), (3, 60_000, 60_000 - 1000)]

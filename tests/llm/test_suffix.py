@@ -73,3 +73,29 @@ def test_empty_null_ids_and_repeated_rows(spark):
     rows = [(1, text, 1), (1, text, 1), (None, text, 1), (2, text, 1)]
     got = sorted((r.doc_id or 0, r.n_removed) for r in remove_repeated_bytes(spark.createDataFrame(rows, SCHEMA)).collect())
     assert got == [(0, 0), (1, 0), (1, 0), (2, len(text))]
+
+
+def test_other_texts_under_an_id_and_block_borders(spark):
+    from cairnflow.llm.suffix import BLOCK
+
+    rng = random.Random(9)
+    abc = "abcdefghijklmnopqrstuvwxyz "
+    passage = "".join(rng.choice(abc) for _ in range(3000))
+    fill = "".join(rng.choice(abc) for _ in range(BLOCK - 1500))
+    own = "".join(rng.choice(abc) for _ in range(100))
+    rows = [(1, passage, 1), (1, own, 1), (2, fill + passage + own, 1), (None, passage, 1)]
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as __text", "2 as __id", "3 as t")
+    got = sorted((r.doc_id or 0, r.n_removed, r.n_spans) for r in remove_repeated_bytes(df).collect())
+    assert got == [(0, 0, 0), (1, 0, 0), (1, 0, 0), (2, 3100, 1)]
+
+
+def test_sql_gives_the_same(spark):
+    import duckdb
+
+    from cairnflow.llm.suffix import ORACLE
+
+    con = duckdb.connect()
+    con.sql("create view documents as select * from '/root/testdata/sf0.001/documents.parquet'")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    cols = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert {tuple(r) for r in remove_repeated_bytes(docs).select(cols).collect()} == set(con.sql(f"select {', '.join(cols)} from ({ORACLE})").fetchall())
