@@ -1,9 +1,13 @@
 """Benchmark decontamination with a generalised suffix automaton over words.
 
-The automaton of all normalised items is built once per block of items and
-shipped to the executors; a block never exceeds ``block_words`` words, whatever
-the size of the item table, and every block is run against all documents.
-Documents stream through it word by word with the length of the longest suffix
+The items are cut into blocks of at most ``block_words`` words, and every block
+is run against all documents. What is shipped to the executors is the words of
+the blocks, compressed; a task builds one automaton at a time, streams a batch
+of documents through it, and goes on to the next block. So one map does for all
+blocks and a worker holds one automaton (about 100 MB for 100,000 words) however
+many items there are. With a single block it is built once per task. Blocks of
+more than ``ship_bytes`` compressed bytes together go in several maps, with a
+written table between them. Documents stream through an automaton word by word with the length of the longest suffix
 that occurs in some item. Where that length reaches ``window`` words (or a
 whole shorter item has just been read) the words are hit, and the items of the
 window are looked up in the automaton's state.
@@ -16,24 +20,28 @@ Edge cases: null, empty and word-less texts have no words and are never
 contaminated; items without words match nothing; repeated items are all
 reported, those with a null id only by their hits; rows with a null ``doc_id`` are treated like any other; repeated rows
 are all returned; an empty document table gives an empty result and an empty
-item table hits nothing.
+item table hits nothing. Texts are read whole, however long; other columns of
+documents and items never matter, whatever they are called.
 """
 
 from __future__ import annotations
 
 import hashlib
+import pickle
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, bound_batches
+from .common import Scratch, batches, bound_batches, free_names
 
 #: On lower-cased UTF-8 bytes: runs of digits, letters and non-ASCII bytes.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 BLOCK_WORDS = 100_000
+SHIP_BYTES = 32_000_000
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -165,18 +173,66 @@ def item_blocks(items: DataFrame, text_col: str, id_col: str, block_words: int)
         yield block
 
 
-def _scan(automaton: Automaton):
+class Blocks:
+    """Item blocks on their way to a task: compressed words, one automaton at a time."""
+
+    def __init__(self, window: int):
+        self.window = window
+        self.packed: list[bytes] = []
+        self.size = 0
+
+    def add(self, block: list[tuple[object, list[bytes]]]) -> None:
+        self.packed.append(zlib.compress(pickle.dumps(block), 6))
+        self.size += len(self.packed[-1])
+
+    def matches(self, texts: list[bytes | None]) -> list[tuple[list[tuple[int, int]], set]]:
+        """(hit spans, items) of each text over all blocks."""
+        words = [words_of(t) for t in texts]
+        out: list[tuple[list, set]] = [([], set()) for _ in texts]
+        for k, packed in enumerate(self.packed):
+            if getattr(self, "held", None) is None or self.held[0] != k:
+                self.held = None  # the one before goes first
+                self.held = (k, Automaton(pickle.loads(zlib.decompress(packed)), self.window))
+            for (spans, items), w in zip(out, words, strict=True):
+                s, i = self.held[1].matches(w)
+                spans += s
+                items |= i
+        return out
+
+
+def shipments(items: DataFrame, text_col: str, id_col: str, block_words: int, ship_bytes: int, window: int) -> Iterator[Blocks]:
+    """The item blocks, as many together as have ``ship_bytes`` (one more may pass it)."""
+    load = Blocks(window)
+    for block in item_blocks(items, text_col, id_col, block_words):
+        load.add(block)
+        if load.size >= ship_bytes:
+            yield load
+            load = Blocks(window)
+    if load.packed:
+        yield load
+
+
+def joined(source: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The batches, put together to about ``size`` bytes."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in source:
+        held.append(batch)
+        n += batch.nbytes
+        if n >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _scan(blocks: Blocks):
     def run(source):
-        for cols in batches(source):
+        for cols in batches(source, 1 << 23 if len(blocks.packed) == 1 else 1 << 25):
             out: dict[str, list] = {"__k": cols["__k"], "__text": cols["__text"], "spans": [], "items": []}
-            before = cols.get("spans"), cols.get("items")
-            for k, text in enumerate(cols["__text"]):
-                spans, items = automaton.matches(words_of(text))
-                spans = [{"s": s, "e": e} for s, e in spans]
-                if before[0]:
-                    spans, items = before[0][k] + spans, items | set(before[1][k])
-                out["spans"].append(spans)
-                out["items"].append(sorted(x for x in items if x is not None))
+            for (spans, items), before, seen in zip(blocks.matches(cols["__text"]), cols["spans"], cols["items"], strict=True):
+                out["spans"].append(before + [{"s": s, "e": e} for s, e in spans])
+                out["items"].append(sorted({x for x in items if x is not None} | set(seen)))
             types = [pa.int64(), pa.binary(), pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types, strict=True)], names=list(out))
 
@@ -214,41 +270,37 @@ def _judge(one_in: int, max_span: int):
     return run
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", id_col: str = "doc_id", item_text: str = "text", item_id: str = "item_id", window: int = 13, one_in: int = 20, max_span: int = 13, block_words: int = BLOCK_WORDS) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", id_col: str = "doc_id", item_text: str = "text", item_id: str = "item_id", window: int = 13, one_in: int = 20, max_span: int = 13, block_words: int = BLOCK_WORDS, ship_bytes: int = SHIP_BYTES) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, spans (of words), clean (UTF-8 without the removed spans)."""
     bound_batches(docs.sparkSession)
-    out = docs.select(F.col(id_col).cast("long").alias("__k"), F.col(text_col).cast("binary").alias("__text"))
+    scratch = Scratch(docs.sparkSession, "decontam")
     spans = "array<struct<s:int,e:int>>"
-    schema = f"__k long, __text binary, spans {spans}, items array<string>"
-    any_block = False
-    for block in item_blocks(items, item_text, item_id, block_words):
-        out = out.mapInArrow(_scan(Automaton(block, window)), schema)
-        any_block = True
-    if not any_block:
-        out = out.withColumns({"spans": F.array().cast(spans), "items": F.array().cast("array<string>")})
+    out = docs.select(F.col(id_col).cast("long").alias("__k"), F.col(text_col).cast("binary").alias("__text"), F.array().cast(spans).alias("spans"), F.array().cast("array<string>").alias("items"))
+    for n, load in enumerate(shipments(items, item_text, item_id, block_words, ship_bytes, window)):
+        out = (scratch.save(out, f"part{n}") if n else out).mapInArrow(_scan(load), f"__k long, __text binary, spans {spans}, items array<string>")
     return out.mapInArrow(_judge(one_in, max_span), f"doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>, spans {spans}, clean binary")
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_text: str = "text", item_id: str = "item_id", window: int = 13, one_in: int = 20, block_words: int = BLOCK_WORDS) -> DataFrame:
+def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_text: str = "text", item_id: str = "item_id", window: int = 13, one_in: int = 20, block_words: int = BLOCK_WORDS, ship_bytes: int = SHIP_BYTES) -> DataFrame:
     """The rows of docs, all columns as they are, that are not contaminated: maps only, no shuffle."""
     bound_batches(docs.sparkSession)
-    spans = pa.list_(pa.list_(pa.int32()))
-    name = "__spans"
-    while name in docs.columns:
-        name += "_"
+    scratch = Scratch(docs.sparkSession, "decontam")
+    (name,) = free_names(docs, "__spans")
+    at = docs.columns.index(text_col)
 
-    def scan(automaton: Automaton):
+    def scan(blocks: Blocks):
         def run(source):
-            for batch in source:
-                texts, before = batch.column(batch.schema.names.index(text_col)).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
-                found = [b + [list(s) for s in automaton.matches(words_of(t.encode() if t else None))[0]] for t, b in zip(texts, before, strict=True)]
-                yield batch.set_column(batch.num_columns - 1, name, pa.array(found, spans))
+            for batch in source if len(blocks.packed) == 1 else joined(source, 1 << 25):
+                texts, before = batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
+                found = blocks.matches([t.encode() if t else None for t in texts])
+                spans = pa.array([b + [list(s) for s in hit] for b, (hit, _) in zip(before, found, strict=True)], pa.list_(pa.list_(pa.int32())))
+                yield batch.set_column(batch.num_columns - 1, name, spans)
 
         return run
 
     def judge(source):
         for batch in source:
-            texts, found = batch.column(batch.schema.names.index(text_col)).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
+            texts, found = batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
             clean = []
             for t, hit in zip(texts, found, strict=True):
                 n = len({i for s, e in hit for i in range(s, e)})
@@ -256,8 +308,8 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
             yield batch.select(batch.schema.names[:-1]).filter(pa.array(clean, pa.bool_()))
 
     out = docs.withColumn(name, F.array().cast("array<array<int>>"))
-    for block in item_blocks(items, item_text, item_id, block_words):
-        out = out.mapInArrow(scan(Automaton(block, window)), out.schema)
+    for n, load in enumerate(shipments(items, item_text, item_id, block_words, ship_bytes, window)):
+        out = (scratch.save(out, f"part{n}") if n else out).mapInArrow(scan(load), out.schema)
     return out.mapInArrow(judge, docs.schema)
 
 

@@ -4,7 +4,7 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from cairnflow.llm.decontam import Automaton, decontaminate, words_of
+from cairnflow.llm.decontam import Automaton, decontaminate, drop_contaminated, words_of
 
 
 def brute(words, items, window):
@@ -46,8 +46,8 @@ def test_query_against_brute_force(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string, n_words int").repartition(4)
     it = spark.createDataFrame(items, "item_id long, text string")
     sets = [(str(k), words_of(t.encode() if t else None)) for k, t in items]
-    for block in (400_000, 20):
-        rows = decontaminate(df, it, block_words=block).collect()
+    for block, ship in ((400_000, 1 << 25), (20, 1 << 25), (20, 200)):
+        rows = decontaminate(df, it, block_words=block, ship_bytes=ship).collect()
         assert len(rows) == len(docs)
         got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in rows}
         for d, t, _ in docs:
@@ -65,3 +65,24 @@ def test_empty_tables(spark):
     r = decontaminate(docs, items.limit(0)).first()
     assert (r.n_words, r.n_hit, r.contaminated) == (2, 0, False)
     assert decontaminate(docs, items).first().contaminated
+
+
+def test_twenty_blocks_are_one_map(spark):
+    items = spark.createDataFrame([(i, " ".join(f"i{i}w{k}" for k in range(20))) for i in range(20)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"x i{i}w3 " + " ".join(f"i{i % 20}w{k}" for k in range(i % 17))) for i in range(60)], "doc_id long, text string").selectExpr("*", "'mine' as __spans", "1 as spans", "2 as items", "3 as __k")
+    nodes = lambda df: df._jdf.queryExecution().executedPlan().toString().count("MapInArrow")
+    one, many = decontaminate(docs, items), decontaminate(docs, items, block_words=20)
+    assert nodes(one) == nodes(many) == 2
+    assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
+    one, many = drop_contaminated(docs, items), drop_contaminated(docs, items, block_words=20)
+    assert nodes(one) == nodes(many) == 2 and one.columns == docs.columns
+    kept = sorted(r.doc_id for r in one.collect())
+    assert kept == sorted(r.doc_id for r in many.collect()) == sorted(r.doc_id for r in drop_contaminated(docs, items, block_words=20, ship_bytes=100).collect())
+    assert kept == [i for i in range(60) if i % 17 < 13] and {r["__spans"] for r in many.collect()} == {"mine"}
+
+
+def test_very_long_text(spark):
+    item = " ".join(f"w{k}" for k in range(13))
+    docs = spark.createDataFrame([(1, "a " * 200_000 + item), (2, (item + " ") * 5000)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.contaminated) for r in decontaminate(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
+    assert got == {1: (200_013, 13, False), 2: (65_000, 65_000, True)}
