@@ -4,10 +4,9 @@
    lexicons of insults by language, words and word beginnings mined from the
    labelled rows (each with a likelihood-ratio test), and patterns (insult with
    address, repeated insults, density, spelling with digits or dots, shouting).
-2. *Label model.* A generative model with one latent label per text and one
-   vote distribution per voter and label is fitted by expectation maximisation.
-   Correlations of voters given the label are measured from what the model
-   leaves unexplained, and correlated voters share their weight.
+2. *Label model.* A generative model with one latent label per text, one vote
+   distribution per voter and label, and for correlated voters the distribution
+   of one vote given another, is fitted by expectation maximisation.
 3. *Classifier.* A linear (logistic) model is trained on the posterior labels
    over voter and count features, and scores every text in a map.
 
@@ -17,7 +16,9 @@ held-out part (a hash sample); scoring covers every row, without a shuffle.
 Edge cases: null and empty texts have no votes and a defined score; without
 labelled rows the fixed voters and the model's prior decide; labels that are
 null or not 0/1 are ignored; rows with a null id are scored and not held out;
-repeated rows are all returned; an empty table gives an empty result.
+repeated rows are all returned; an empty table gives an empty result; texts are
+scored whole, however long (``train`` says which are learned from); other columns
+never matter, whatever they are called.
 """
 
 from __future__ import annotations
@@ -229,34 +230,101 @@ def votes(texts: list[str | None], terms: Terms) -> tuple[np.ndarray, np.ndarray
     return v, x
 
 
+def dependence(joint: np.ndarray, bound: float) -> np.ndarray:
+    """How much of the less uncertain of two votes the other tells, given the label: mutual information over entropy, 0 where the information is under ``bound``.
+
+    joint: label x voter x state x voter x state, weights that sum to the number of texts.
+    """
+    p = joint / joint.sum(axis=(2, 4), keepdims=True)
+    weight = joint.sum(axis=(2, 4))
+    weight = weight / weight.sum(axis=0, keepdims=True)
+    apart = p.sum(axis=4, keepdims=True) * p.sum(axis=2, keepdims=True)
+    told = (weight * (p * np.log(np.maximum(p, 1e-12) / np.maximum(apart, 1e-12))).sum(axis=(2, 4))).sum(axis=0)
+    own = np.diagonal(told)
+    return np.where(told < bound, 0.0, told / np.maximum(np.minimum(own[:, None], own[None, :]), 1e-9))
+
+
+def spanning_forest(strength: np.ndarray, least: float) -> list[int]:
+    """Parent of each voter (-1: none) in the forest of strongest dependences, none under ``least``."""
+    m = len(strength)
+    parent, best, by = [-1] * m, np.full(m, -1.0), np.full(m, -1)
+    out = np.ones(m, bool)
+    for _ in range(m):
+        k = int(np.argmax(np.where(out, best, -2.0)))
+        out[k] = False
+        if best[k] >= least:
+            parent[k] = int(by[k])
+        closer = out & (strength[k] > best)
+        best[closer], by[closer] = strength[k][closer], k
+    return parent
+
+
+def no_worse_than_chance(table: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """table: label x ... x state. A vote for a label is at least as likely under it as under the other: where it is not, both get their mean by ``share``."""
+    out = table.copy()
+    for state, label in ((CLEAN, 0), (TOXIC, 1)):
+        bad = out[label, ..., state] < out[1 - label, ..., state]
+        mean = share[0] * out[0, ..., state] + share[1] * out[1, ..., state]
+        for k in (0, 1):
+            out[k, ..., state] = np.where(bad, mean, out[k, ..., state])
+    voted = out[..., CLEAN] + out[..., TOXIC]
+    out[..., ABSTAIN] = np.maximum(1 - voted, 1e-9)
+    return out / out.sum(axis=-1, keepdims=True)
+
+
 class LabelModel:
-    """Latent label per text; per voter and label a distribution over abstain, clean and toxic; correlated voters share weight."""
+    """Generative model of the votes with one latent label per text.
+
+    Its parameters are the share of toxic texts, for every voter and label a
+    distribution over abstain, clean and toxic (its accuracy), and for every
+    correlated pair of a forest the distribution of one vote given the other and
+    the label. All are estimated together by expectation maximisation; the forest
+    is drawn anew every ``redraw`` rounds from the voters' mutual information given
+    the label, and holds only pairs whose dependence chance would not show.
+    Voters are taken to be no worse than chance, alone and given another.
+    """
 
-    def __init__(self, v: np.ndarray, y: np.ndarray, rounds: int = 30):
+    def __init__(self, v: np.ndarray, y: np.ndarray, rounds: int = 30, redraw: int = 10, chance: float = 1e-3, tie: float = 0.3):
         """y: the given labels. They set the first estimate and then count as one more voter, whose accuracy is estimated like any other's."""
         given = np.where(y > 0, TOXIC, CLEAN).astype(np.int8)[:, None]
         v = np.hstack([v, given])
         n, m = v.shape
-        one_hot = np.stack([(v == s) for s in (ABSTAIN, CLEAN, TOXIC)], axis=2).astype(float)
+        one_hot = np.stack([(v == s) for s in (ABSTAIN, CLEAN, TOXIC)], axis=2).astype(np.float32).reshape(n, 3 * m)
         post = np.where(y > 0, 0.95, 0.05)
-        self.weight = np.ones(m)
+        # 2 n times the information has about 8 degrees of freedom; the bound of the chi-squared tail for one of all pairs
+        bound = 2 * (math.log(max(m * m, 2) / chance) + 8 * math.log(2)) / (2 * n)
         for k in range(rounds):
-            self.table = np.stack([((1 - post) @ one_hot.reshape(n, -1)).reshape(m, 3) + 0.1, (post @ one_hot.reshape(n, -1)).reshape(m, 3) + 0.1], axis=1)
-            self.table /= self.table.sum(axis=2, keepdims=True)
-            self.prior = float(np.clip(post.mean(), 1e-4, 1 - 1e-4))
-            if k == rounds // 2:
-                self.weight = self._shares((v == TOXIC).astype(float), post)
+            shares = np.stack([1 - post, post])
+            if k % redraw == 0:
+                joint = np.stack([(one_hot * w[:, None].astype(np.float32)).T @ one_hot for w in shares]).reshape(2, m, 3, m, 3).astype(float)
+                self.dependence = dependence(joint + 1e-3, bound)
+                np.fill_diagonal(self.dependence, 0.0)
+                self.parent = spanning_forest(self.dependence, tie)
+            self._estimate(v, one_hot, shares)
             post = self.posterior(v)
         self.labels = post
 
-    def _shares(self, t: np.ndarray, post: np.ndarray) -> np.ndarray:
-        """1 / (1 + the correlations of a voter with the others, given the label)."""
-        rest = t - np.outer(1 - post, self.table[:, 0, TOXIC]) - np.outer(post, self.table[:, 1, TOXIC])
-        sd = rest.std(axis=0) + 1e-9
-        self.correlation = (rest - rest.mean(axis=0)).T @ (rest - rest.mean(axis=0)) / len(t) / np.outer(sd, sd)
-        c = np.clip(np.abs(self.correlation) - 0.1, 0, 1)
-        np.fill_diagonal(c, 0)
-        return 1 / (1 + c.sum(axis=1))
+    def _estimate(self, v: np.ndarray, one_hot: np.ndarray, shares: np.ndarray) -> None:
+        m = v.shape[1]
+        #: voter x label x state
+        self.table = np.stack([(w @ one_hot).reshape(m, 3) + 0.1 for w in shares], axis=1)
+        self.table /= self.table.sum(axis=2, keepdims=True)
+        share = np.array([shares[0].mean(), shares[1].mean()])
+        self.table = no_worse_than_chance(self.table.transpose(1, 0, 2), share).transpose(1, 0, 2)
+        self.prior = float(np.clip(shares[1].mean(), 1e-4, 1 - 1e-4))
+        #: child -> label x state of the parent x own state; a little of the voter's own distribution is mixed in
+        self.pair: dict[int, np.ndarray] = {}
+        for child, up in enumerate(self.parent):
+            if up < 0:
+                continue
+            code = 3 * v[:, up].astype(np.int64) + v[:, child]
+            seen = np.stack([np.bincount(code, w, 9).reshape(3, 3) for w in shares])
+            seen += 2.0 * self.table[child][:, None, :]
+            self.pair[child] = no_worse_than_chance(seen / seen.sum(axis=2, keepdims=True), share)
+
+    def correlations(self) -> list[tuple[int, int, float]]:
+        """(voter, voter, dependence given the label) of the pairs that the model ties."""
+        return [(up, child, float(self.dependence[up, child])) for child, up in enumerate(self.parent) if up >= 0]
 
     def accuracy(self) -> np.ndarray:
         """Of each voter, where it does not abstain."""
@@ -265,10 +333,10 @@ class LabelModel:
 
     def posterior(self, v: np.ndarray) -> np.ndarray:
         """Probability of the toxic label given all votes (the last voter: the given label)."""
-        log = np.log(self.table[:, 1] / self.table[:, 0]) * self.weight[:, None]
         s = np.full(len(v), math.log(self.prior / (1 - self.prior)))
-        for state in (ABSTAIN, CLEAN, TOXIC):
-            s += (v == state) @ log[:, state]
+        alone = np.log(self.table[:, 1] / self.table[:, 0])
+        for j, up in enumerate(self.parent):
+            s += alone[j][v[:, j]] if up < 0 else np.log(self.pair[j][1] / self.pair[j][0])[v[:, up], v[:, j]]
         return 1 / (1 + np.exp(-np.clip(s, -30, 30)))
 
 

@@ -77,10 +77,34 @@ def test_label_model_finds_accuracies():
     m = toxicity.LabelModel(v, noisy)
     acc = m.accuracy()
     assert acc[0] > acc[1] > acc[2] > acc[3]
-    assert m.weight[0] < 0.7 and m.weight[3] > 0.8
+    assert [sorted(t[:2]) for t in m.correlations()] == [[0, 4]]
+    assert np.abs(np.log(m.pair[4][1] / m.pair[4][0])[[1, 2], [1, 2]]).max() < 0.2  # what the copy adds to the posterior
     assert ((m.labels > 0.5) == truth).mean() > 0.95
 
 
+def test_label_model_against_a_plain_computation():
+    """Posteriors of a fitted model, recomputed vote by vote; a correlated pair counts by its own table."""
+    rng = np.random.default_rng(4)
+    truth = rng.random(3000) < 0.3
+    base = np.where(rng.random(3000) < 0.8, truth, ~truth)
+    echo = np.where(rng.random(3000) < 0.9, base, ~base)
+    other = np.where(rng.random(3000) < 0.75, truth, ~truth)
+    v = np.stack([np.where(x, toxicity.TOXIC, toxicity.CLEAN) for x in (base, echo, other)], axis=1).astype(np.int8)
+    v[rng.random(3000) < 0.2, 2] = toxicity.ABSTAIN
+    m = toxicity.LabelModel(v, truth.astype(float))
+    assert [sorted(t[:2]) for t in m.correlations()] == [[0, 1]]
+    whole = np.hstack([v, np.where(truth, toxicity.TOXIC, toxicity.CLEAN)[:, None]]).astype(np.int8)
+    for row in whole[:50]:
+        odds = m.prior / (1 - m.prior)
+        for j, x in enumerate(row):
+            t = m.table[j] if m.parent[j] < 0 else m.pair[j][:, row[m.parent[j]]]
+            odds *= t[1][x] / t[0][x]
+        assert abs(m.posterior(row[None])[0] - odds / (1 + odds)) < 1e-9
+    table = np.array([[[0.2, 0.3, 0.5]], [[0.5, 0.4, 0.1]]])
+    fixed = toxicity.no_worse_than_chance(table, np.array([0.5, 0.5]))
+    assert np.allclose(fixed[:, 0, 1], 0.35) and np.allclose(fixed[:, 0, 2], 0.3)
+
+
 def test_mining_is_not_fooled_by_copies():
     rng = random.Random(0)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
