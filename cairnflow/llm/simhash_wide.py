@@ -9,7 +9,8 @@ bytes, and the steps are those of the narrow one:
    position in equally many, give every fingerprint its postings. A posting
    carries 48 bits of the fingerprint and 16 of its text's hash, which tell it
    from equal ones; one with no other within reach of the 48 bits in its cell
-   drops out, so only what has a likely partner goes on. The fingerprint then
+   drops out, so only what has a likely partner goes on. The triples are taken in
+   ``PASSES``, which bounds the disk that postings take. The fingerprint then
    comes to all its remaining postings at once.
 2. *Count filter.* In a cell the positional bytes that two fingerprints share
    are tallied. ``bounds`` gives the least tally and the largest number of
@@ -45,6 +46,7 @@ from .components import connected_components
 
 BYTES = 128
 KEYS = 210
+PASSES = 3
 LEAD = np.uint64((1 << 48) - 1)
 SEED = 42
 
@@ -116,16 +118,18 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BYTES)
 
 
-def _postings(source):
-    places = triples()
-    for batch in source:
-        byte = _matrix(batch.column(batch.schema.get_field_index("fp")))
-        n = len(byte)
-        lead = batch.column(batch.schema.get_field_index("lead")).to_numpy()
-        cell = byte[:, places].astype(np.int64) @ np.array([1, 1 << 8, 1 << 16]) + (np.arange(len(places), dtype=np.int64) << 24)[None, :]
-        for at in range(0, n, 256):
-            part = cell[at : at + 256]
-            yield pa.RecordBatch.from_arrays([pa.array(part.ravel()), pa.array(np.repeat(lead[at : at + 256], part.shape[1]))], names=["cell", "lead"])
+def _postings(keys: range):
+    def run(source):
+        places = triples()[keys.start : keys.stop]
+        for batch in source:
+            byte = _matrix(batch.column(batch.schema.get_field_index("fp")))
+            lead = batch.column(batch.schema.get_field_index("lead")).to_numpy()
+            cell = byte[:, places].astype(np.int64) @ np.array([1, 1 << 8, 1 << 16]) + (np.array(keys, np.int64) << 24)[None, :]
+            for at in range(0, len(byte), 256):
+                part = cell[at : at + 256]
+                yield pa.RecordBatch.from_arrays([pa.array(part.ravel()), pa.array(np.repeat(lead[at : at + 256], part.shape[1]))], names=["cell", "lead"])
+
+    return run
 
 
 def whole_lists(source, key: str, columns: list[str]):
@@ -274,12 +278,17 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sim
     named = sets.groupBy("node").agg(F.min(me).alias("who"), F.max("fp").alias("fp"), F.max("lead").alias("lead"))
     uniq = scratch.save(named.select("node", F.col("who.id").alias("id"), F.col("who.t").alias("t"), "fp", "lead"), "uniq")
     release(spark)
-    postings = uniq.select("fp", "lead").mapInArrow(_postings, "cell long, lead long")
-    met = scratch.save(postings.repartition("cell").sortWithinPartitions("cell", "lead").mapInArrow(_met(reach), "cell long, lead long"), "met")
-    release(spark)
+    met = None
+    for n in range(PASSES):  # the shuffle files of one pass are gone before the next
+        keys = range(n * KEYS // PASSES, (n + 1) * KEYS // PASSES)
+        postings = uniq.select("fp", "lead").mapInArrow(_postings(keys), "cell long, lead long")
+        part = scratch.save(postings.repartition("cell").sortWithinPartitions("cell", "lead").mapInArrow(_met(reach), "cell long, lead long"), f"met{n}")
+        met = part if met is None else met.unionByName(part)
+        del postings
+        release(spark)
     by_text = met.groupBy("lead").agg(F.collect_list("cell").alias("cells"))  # at most KEYS, but for the rare texts with equal leads
     listed = scratch.save(by_text.join(uniq.select("node", "fp", "lead"), "lead").select(F.explode("cells").alias("cell"), "node", "fp"), "listed")
-    scratch.drop("met")
+    scratch.drop(*(f"met{n}" for n in range(PASSES)))
     release(spark)
 
     def links(cls: DataFrame, hubs: bool, done: DataFrame | None, name: str) -> tuple[DataFrame, DataFrame]:
