@@ -72,6 +72,50 @@ def weld(df: DataFrame, keys: Sequence[str], x: str, z: str, scale: int = 1000)
     return df.withColumn("vertex", F.dense_rank().over(Window.partitionBy(*keys).orderBy(F.rint(F.col(x) * scale).cast("long"), F.rint(F.col(z) * scale).cast("long"))) - 1)
 
 
+def face_lines(corners: DataFrame, face: Sequence[str], x: str, z: str) -> DataFrame:
+    """(face, x1, z1, x2, z2): faces whose corners have exactly two distinct footprints are seen from above as lines, from the lesser point to the greater."""
+    at = F.struct(F.col(x).alias("x"), F.col(z).alias("z"))
+    lo, hi = F.col("lo"), F.col("hi")
+    seen = corners.groupBy(*face).agg(F.min(at).alias("lo"), F.max(at).alias("hi"), F.collect_set(at).alias("all"))
+    return seen.where(F.size("all") == 2).select(*face, lo["x"].alias("x1"), lo["z"].alias("z1"), hi["x"].alias("x2"), hi["z"].alias("z2"))
+
+
+def wall_lines(meshes: DataFrame, keys: Sequence[str], material: str = "wall", scale: int = 1_000_000) -> DataFrame:
+    """Lines on the floor plan of the wall faces of meshes (keys, name, material, vertices, faces): (keys, name, face, x1, z1, x2, z2)."""
+    rounded = lambda c: F.rint(c * scale) / scale
+    faces = meshes.where(F.col("material") == material).select(*keys, "name", "vertices", F.posexplode("faces").alias("face", "corner"))
+    points = faces.select(*keys, "name", "face", F.explode(F.transform("corner", lambda i: F.element_at("vertices", i.cast("int") + 1))).alias("p"))
+    points = points.select(*keys, "name", "face", rounded(F.col("p.x")).alias("x"), rounded(F.col("p.z")).alias("z"))
+    return face_lines(points, [*keys, "name", "face"], "x", "z")
+
+
+def navigation_resources(meshes: DataFrame, floor: str, required: Sequence = (), scale: int = 1000) -> tuple[DataFrame, DataFrame]:
+    """(vertices, polygons) of each floor from the faces of meshes (floor, name, vertices, faces).
+
+    vertices: (floor, vertex, x, y, z), points equal to a thousandth are one, numbered by position. polygons: (floor, polygon, indexes),
+    wound so that they face up; faces with under three distinct vertices go, and of polygons over the same vertices the first stays, in
+    the order of mesh names and faces. Raises if a required floor has no polygon.
+    """
+    faces = meshes.select(F.col(floor).alias(floor), "name", "vertices", F.posexplode("faces").alias("face", "corner"))
+    points = faces.select(floor, "name", "face", F.posexplode(F.transform("corner", lambda i: F.element_at("vertices", i.cast("int") + 1))).alias("at", "p"))
+    points = points.withColumns({f"k{c}": F.rint(F.col(f"p.{c}") * scale).cast("long") for c in "xyz"})
+    vertices = points.select(floor, "kx", "ky", "kz").distinct()
+    vertices = vertices.withColumn("vertex", F.row_number().over(Window.partitionBy(floor).orderBy("kx", "kz", "ky")) - 1)
+    numbered = points.join(vertices, [floor, "kx", "ky", "kz"])
+    ring = F.array_sort(F.collect_list(F.struct("at", "vertex", "p")))
+    rings = numbered.groupBy(floor, "name", "face").agg(ring.alias("ring"))
+    rings = rings.withColumn("up", F.transform("ring", lambda r: F.struct(r["p"]["x"].cast("double").alias("x"), r["p"]["z"].cast("double").alias("z"))))
+    rings = rings.withColumns({"ids": F.transform("ring", lambda r: r["vertex"]), "key": F.array_sort(F.array_distinct(F.transform("ring", lambda r: r["vertex"])))}).where(F.size("key") >= 3)
+    rings = rings.withColumn("indexes", F.when(geo.signed_area(F.col("up")) > 0, F.reverse("ids")).otherwise(F.col("ids")))
+    first = rings.withColumn("rn", F.row_number().over(Window.partitionBy(floor, "key").orderBy("name", "face"))).where("rn = 1")
+    polygons = first.select(floor, (F.row_number().over(Window.partitionBy(floor).orderBy("name", "face")) - 1).alias("polygon"), "indexes")
+    if required:
+        missing = sorted(set(required) - {r[0] for r in polygons.where(F.col(floor).isin(*required)).select(floor).distinct().collect()})
+        if missing:
+            raise ValueError(f"no walkable polygon on required floors: {missing}")
+    return vertices.select(floor, "vertex", *((F.col(f"k{c}") / scale).alias(c) for c in "xyz")), polygons
+
+
 def offset_concat(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: str) -> DataFrame:
     """First vertex number of each part when the parts of a key are concatenated in order."""
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)

@@ -43,11 +43,15 @@ def chain_links(df: DataFrame, keys: Keys, level: str, order: Sequence[Column |
     return one.select(*cols).where(F.col(f"to_{level}").isNotNull())
 
 
-def priority_join(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]], carry: Sequence[str]) -> DataFrame:
-    """Left join on the first key pair that matches: one equi-join per key and a coalesce, never an OR, which would be a nested loop."""
+def priority_join(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]], carry: Sequence[str], order: Sequence[Column | str] = ()) -> DataFrame:
+    """Left join on the first key pair that matches: one equi-join per key and a coalesce, never an OR, which would be a nested loop.
+
+    Every left row comes back once. Of right rows that share a key the first in ``order`` counts, by default in the order of the carried columns.
+    """
     out = left
     for n, (lk, rk) in enumerate(keys):
-        side = right.select(F.col(rk).alias(f"__k{n}"), F.struct(*carry).alias(f"__m{n}")).where(F.col(f"__k{n}").isNotNull())
+        one = first_by(right.where(F.col(rk).isNotNull()), [rk], list(order) or list(carry))
+        side = one.select(F.col(rk).alias(f"__k{n}"), F.struct(*carry).alias(f"__m{n}"))
         out = out.join(side, F.col(lk) == F.col(f"__k{n}"), "left")
     hit = F.coalesce(*(F.col(f"__m{n}") for n in range(len(keys))))
     out = out.withColumns({c: hit[c] for c in carry})
@@ -144,10 +148,13 @@ def gap_stitch(df: DataFrame, keys: Keys, order: Sequence[Column | str], step: s
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """checkpoint() into spark.checkpoint.dir; a temporary folder only where that is unset (tests)."""
+    """checkpoint() into spark.checkpoint.dir; where that is unset, a temporary folder on a local master and an error on any other."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="cairnflow-"))
+        shared = sc.getConf().get("spark.checkpoint.dir")
+        if not shared and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="cairnflow-"))
     return df.checkpoint()
 
 
@@ -161,11 +168,17 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str], name: str) -
     return placed.join(F.broadcast(starts), "__p").withColumn(name, F.col("__i") + F.col("__start")).drop("__p", "__i", "__start")
 
 
-def index_percentile(df: DataFrame, value: str, q: float) -> DataFrame:
-    """Value at place floor(n*q) of the sorted column, without interpolation."""
+def index_percentiles(df: DataFrame, value: str, qs: Sequence[float]) -> DataFrame:
+    """(q, value): for every q the value at place floor(n*q) of the sorted column, without interpolation. The column is numbered once."""
     numbered = global_row_number(df.where(F.col(value).isNotNull()).select(value), [value], "__at")
     total = numbered.agg(F.count(F.lit(1)).alias("__total"))
-    return numbered.join(F.broadcast(total)).where(F.col("__at") == F.floor(F.col("__total") * q)).select(value)
+    places = total.select(F.explode(F.array(*(F.struct(F.lit(float(q)).alias("q"), F.floor(F.col("__total") * q).alias("__at")) for q in qs)))).select("col.*")
+    return numbered.join(F.broadcast(places), "__at").select("q", value)
+
+
+def index_percentile(df: DataFrame, value: str, q: float) -> DataFrame:
+    """Value at place floor(n*q) of the sorted column, without interpolation."""
+    return index_percentiles(df, value, [q]).select(value)
 
 
 def systematic_sample(df: DataFrame, keys: Keys, order: Sequence[Column | str], k: int) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from .relational import first_by, top_k
+from .relational import checkpointed, first_by, top_k
 
 
 def _cell(c: Column, size: float) -> Column:
@@ -33,25 +33,43 @@ def distance_semi_join(left: DataFrame, right: DataFrame, lx: str, lz: str, rx:
     return left.join(ids, left_id, "left_semi")
 
 
-def knn_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, lx: str, lz: str, rx: str, rz: str, k: int | Column, radius: float, on: Sequence[str] = (), above: float = -1.0) -> DataFrame:
-    """The k nearest right rows within radius (and farther than above), ties to the smaller id. k may be a column of left."""
+def knn_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, lx: str, lz: str, rx: str, rz: str, k: int | Column, radius: float, on: Sequence[str] = (), above: float = -1.0, most: int | None = None) -> DataFrame:
+    """The k nearest right rows within radius (and farther than above), ties to the smaller id. k may be a column of left; ``most``, an upper bound of it, then lets the plan drop rows before the shuffle."""
     pairs = grid_distance_join(left, right, lx, lz, rx, rz, radius, on).where((F.col("distance") > above) & (F.col(left_id) != F.col(right_id)))
-    ranked = top_k(pairs, [left_id], ["distance", right_id], 1 << 30)
+    ranked = top_k(pairs, [left_id], ["distance", right_id], k if isinstance(k, int) else most or 1 << 30)
     return ranked.where(F.col("rank") <= k)
 
 
-def nearest_one(left: DataFrame, right: DataFrame, left_id: str, right_id: str, lx: str, lz: str, rx: str, rz: str, radius: float, on: Sequence[str] = (), rounds: int = 12) -> DataFrame:
-    """The nearest right row whatever its distance: the radius doubles for rows that have found none."""
-    found, rest = None, left
-    for _ in range(rounds):
+def _far(left: DataFrame, right: DataFrame, lx: str, lz: str, rx: str, rz: str) -> float:
+    """No left row is farther than this from any right row: the diagonal of the box around both (one row reaches the driver)."""
+    both = left.select(F.col(lx).cast("double").alias("x"), F.col(lz).cast("double").alias("z")).unionByName(right.select(F.col(rx).cast("double").alias("x"), F.col(rz).cast("double").alias("z")))
+    ok = [F.col(c).isNotNull() & (F.abs(F.col(c)) < float("inf")) for c in ("x", "z")]
+    box = both.where(ok[0] & ok[1]).agg(F.min("x"), F.max("x"), F.min("z"), F.max("z")).first()
+    return 0.0 if box[0] is None else float(np.hypot(box[1] - box[0], box[3] - box[2]))
+
+
+def nearest_one(left: DataFrame, right: DataFrame, left_id: str, right_id: str, lx: str, lz: str, rx: str, rz: str, radius: float, on: Sequence[str] = ()) -> DataFrame:
+    """The nearest right row whatever its distance: the radius doubles for rows that have found none, until it covers both tables.
+
+    Every left row comes back: one without a place, or with no right row to find, has nulls. Ties go to the smaller right id.
+    """
+    reach = _far(left, right, lx, lz, rx, rz)
+    every = grid_distance_join(left, right, lx, lz, rx, rz, radius, on).columns
+    own = [c for c in every if c not in left.columns]
+    hits, rest = [], left
+    while True:
         pairs = grid_distance_join(rest, right, lx, lz, rx, rz, radius, on)
-        hit = first_by(pairs, [left_id], ["distance", right_id])
-        found = hit if found is None else found.unionByName(hit)
-        rest = rest.join(hit.select(left_id), left_id, "left_anti")
+        hits.append(checkpointed(first_by(pairs, [left_id], ["distance", right_id]).select(left_id, *own)))
+        if radius > reach:
+            break
+        rest = checkpointed(rest.join(hits[-1].select(left_id), left_id, "left_anti"))
         if rest.isEmpty():
             break
         radius *= 2
-    return found
+    found = hits[0]
+    for hit in hits[1:]:
+        found = found.unionByName(hit)
+    return left.join(found, left_id, "left").select(*every)
 
 
 def _cells_of_box(x1, z1, x2, z2, size: float) -> Column:

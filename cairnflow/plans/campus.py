@@ -53,6 +53,38 @@ def spurs(nodes: DataFrame, doors: DataFrame, cfg: CampusConfig) -> DataFrame:
     return graph.entrance_spurs(nodes.select("graph", "id", "x", "z"), doors.withColumn("graph", F.lit(cfg.graph_id)), "graph", ["door"], cfg.spur_max_m * cfg.reference.scale)
 
 
+def published_entrances(placed: DataFrame, entries: DataFrame, extras: DataFrame, gap: float = 2.0) -> DataFrame:
+    """Entrances of the campus (building, ordinal, source, x, z, is_primary) from placements, entry files and hand-made extras, each (building, at, x, z).
+
+    They count in that order, inside a source by ``at``; one within ``gap`` of another of its building that came before goes. The first of a building is its primary.
+    """
+    from pyspark.sql import Window
+
+    from ..operators import spatial
+
+    parts = [df.select("building", F.lit(n).alias("rank"), F.lit(name).alias("source"), "at", F.col("x").cast("double").alias("x"), F.col("z").cast("double").alias("z")) for n, (name, df) in enumerate((("placement", placed), ("entry", entries), ("extra", extras)))]
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2]).where("x is not null and z is not null")
+    kept = spatial.greedy_distinct(every, ["building"], ["rank", "at"], "x", "z", gap)
+    ordinal = F.row_number().over(Window.partitionBy("building").orderBy("rank", "at")) - 1
+    return kept.withColumn("ordinal", ordinal).select("building", "ordinal", "source", "x", "z", (F.col("ordinal") == 0).alias("is_primary"))
+
+
+def door_pairs(entrances: DataFrame) -> DataFrame:
+    """(a, b, route_id) of all pairs of buildings by their primary entrances, each once: one row per building meets, never all doors."""
+    one = entrances.where("is_primary").select("building", "x", "z")
+    left = one.select(F.col("building").alias("a"), F.col("x").alias("ax"), F.col("z").alias("az"))
+    right = one.select(F.col("building").alias("b"), F.col("x").alias("bx"), F.col("z").alias("bz"))
+    return left.join(right, F.col("a") < F.col("b")).withColumn("route_id", F.concat_ws("__", "a", "b"))
+
+
+def pair_polylines(pairs: DataFrame, points: DataFrame, cfg: CampusConfig) -> DataFrame:
+    """(a, b, line): one simplified polyline for each pair with a route. Pairs without one are left out; raises if there are pairs and none has one."""
+    out = pairs.select("a", "b", "route_id").join(polylines(points, cfg), "route_id").select("a", "b", "line")
+    if out.isEmpty() and not pairs.isEmpty():
+        raise ValueError("no pair of buildings has a route")
+    return out
+
+
 def polylines(points: DataFrame, cfg: CampusConfig) -> DataFrame:
     """(route_id, line): one simplified polyline per route; indoor steps keep their ends only, repeated points go."""
     from pyspark.sql import Window

@@ -147,6 +147,23 @@ def wall_openings(rooms: DataFrame, doors: DataFrame, tolerance: float = 0.75, l
 # --- placement ---
 
 
+def relocate(doors: DataFrame, surface: DataFrame, key: str = "building", longest: float = 30.0, start: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """(doors with their anchor on the walkable surface, diagnostics) from doors (key, floor_name, door, x, z) and surface points (key, floor_name, point, x, z).
+
+    An anchor moves to the nearest surface point of its floor. Diagnostics say for every door how far that is and ``ok``, ``too_far`` or
+    ``no_surface``; doors that are not ok are dropped, and if there are doors and none is, that is an error.
+    """
+    right = surface.select(key, "floor_name", F.col("point").alias("point"), F.col("x").alias("sx"), F.col("z").alias("sz"))
+    near = spatial.nearest_one(doors, right, "door", "point", "x", "z", "sx", "sz", start, [key, "floor_name"])
+    status = F.when(F.col("distance").isNull(), "no_surface").when(F.col("distance") > longest, "too_far").otherwise("ok")
+    judged = rel.checkpointed(near.withColumn("status", status))
+    diagnostics = judged.select(key, "floor_name", "door", "point", "distance", "status")
+    moved = judged.where("status = 'ok'").drop("x", "z").withColumnsRenamed({"sx": "x", "sz": "z"}).select(*doors.columns)
+    if moved.isEmpty() and not doors.isEmpty():
+        raise ValueError("no door anchor reaches the walkable surface: " + "; ".join(f"{r.door} {r.status}" for r in diagnostics.orderBy("door").limit(20).collect()))
+    return moved, diagnostics
+
+
 def placement_door(doors: DataFrame, key: str = "building", entry_id: str | None = None) -> DataFrame:
     """One door per building: the named one (an error if no door has that name), else by confidence, support, being the main one, and order."""
     valid = doors.where("x is not null and z is not null and lon is not null and lat is not null")

@@ -68,13 +68,23 @@ def floor_files(meshes: DataFrame) -> DataFrame:
     return meshes.groupBy("building", "floor_name").applyInPandas(build, "building string, floor_name string, content binary")
 
 
-def clip_segments(segments: DataFrame, rings: DataFrame, key: str, shortest: float = 0.05) -> DataFrame:
+def _outline_gap(e: Column, own: list[Column]) -> Column:
+    """Distance of the segment ``own`` from an outline edge that it does not cross."""
+    ends = [e["a"]["x"], e["a"]["z"], e["b"]["x"], e["b"]["z"]]
+    return F.least(*(geo.point_segment(*own[k : k + 2], *ends) for k in (0, 2)), *(geo.point_segment(*ends[k : k + 2], *own) for k in (0, 2)))
+
+
+def clip_segments(segments: DataFrame, rings: DataFrame, key: str, shortest: float = 0.05, bridge: float = 0.0, near: float = 8.0) -> DataFrame:
     """Parts of the segments (key, seg, x1, z1, x2, z2) inside the ring (key, ring array<struct<x, z>>) of their key.
 
     Every segment is cut at its crossings with the ring; the parts whose middle
-    is inside stay, those shorter than ``shortest`` go.
+    is inside stay, those shorter than ``shortest`` go. A segment of at most
+    ``bridge`` whose nearest point is within ``near`` of the ring's area passes
+    whole: it may bridge a gap of the footprint.
     """
     j = segments.join(rings, key)
+    own = [F.col(c) for c in ("x1", "z1", "x2", "z2")]
+    ring = geo.open_ring(F.col("ring"))
     dx, dz = F.col("x2") - F.col("x1"), F.col("z2") - F.col("z1")
 
     def crossing(e: Column) -> Column:
@@ -84,18 +94,28 @@ def clip_segments(segments: DataFrame, rings: DataFrame, key: str, shortest: flo
         t, u = (px * ez - pz * ex) / det, (px * dz - pz * dx) / det
         return F.when(t.between(0, 1) & u.between(0, 1), t)
 
-    cuts = F.array_compact(F.transform(geo.ring_edges(geo.open_ring(F.col("ring"))), crossing))
+    cuts = F.array_compact(F.transform(geo.ring_edges(ring), crossing))
     j = j.withColumn("cuts", F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), cuts))))
+    length = geo.distance(*own)
+    touches = (F.size(cuts) > 0) | geo.point_in_ring(*own[:2], ring)
+    close = touches | (F.array_min(F.transform(geo.ring_edges(ring), lambda e: _outline_gap(e, own))) <= near)
+    j = j.withColumn("whole", F.coalesce((length >= shortest) & (length <= bridge) & close, F.lit(False)) if bridge > 0 else F.lit(False))
     parts = F.zip_with(F.slice("cuts", F.lit(1), F.size("cuts") - 1), F.slice("cuts", F.lit(2), F.size("cuts") - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    j = j.withColumn("part", F.explode(parts))
+    every = F.array(F.struct(F.lit(0.0).alias("a"), F.lit(1.0).alias("b")))
+    j = j.withColumn("part", F.explode(F.when(F.col("whole"), every).otherwise(parts)))
     mid = (F.col("part.a") + F.col("part.b")) / 2
-    j = j.where(geo.point_in_ring(F.col("x1") + mid * dx, F.col("z1") + mid * dz, geo.open_ring(F.col("ring"))))
+    j = j.where(F.col("whole") | geo.point_in_ring(F.col("x1") + mid * dx, F.col("z1") + mid * dz, ring))
     at = lambda t: (F.col("x1") + F.col(t) * dx, F.col("z1") + F.col(t) * dz)
     out = j.select(key, "seg", *(c.alias(n) for c, n in zip((*at("part.a"), *at("part.b")), ("cx1", "cz1", "cx2", "cz2"), strict=True)))
     out = out.where(geo.distance(*map(F.col, ("cx1", "cz1", "cx2", "cz2"))) >= shortest)
     return out.select(key, "seg", F.col("cx1").alias("x1"), F.col("cz1").alias("z1"), F.col("cx2").alias("x2"), F.col("cz2").alias("z2"))
 
 
+def clip_routes(segments: DataFrame, footprints: DataFrame, key: str = "floor_name") -> DataFrame:
+    """Route segments clipped by the footprint of their floor; those of at most 25 within 8 of it pass whole."""
+    return clip_segments(segments, footprints, key, bridge=25.0, near=8.0)
+
+
 def shared_boundaries(rooms: DataFrame, tolerance: float = 0.05, cell: float = 4.0) -> DataFrame:
     """(room, other, x, z, length): middle and length of the longest wall that two rooms of a floor share.
 

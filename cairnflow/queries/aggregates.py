@@ -73,9 +73,8 @@ def q_nearest_counts(spark, d):
 
 @query("WITH r AS (SELECT o_totalprice, row_number() OVER (ORDER BY o_totalprice) - 1 AS i, count(*) OVER () AS n FROM orders) SELECT 'p50' AS q, o_totalprice AS value FROM r WHERE i = floor(n * 0.5) UNION ALL SELECT 'p90', o_totalprice FROM r WHERE i = floor(n * 0.9)")
 def q_index_percentile(spark, d):
-    o = read(spark, d, "orders")
-    pick = lambda q, name: rel.index_percentile(o, "o_totalprice", q).select(F.lit(name).alias("q"), F.col("o_totalprice").alias("value"))
-    return pick(0.5, "p50").unionByName(pick(0.9, "p90"))
+    at = rel.index_percentiles(read(spark, d, "orders"), "o_totalprice", [0.5, 0.9])
+    return at.select(F.when(F.col("q") == 0.5, "p50").otherwise("p90").alias("q"), F.col("o_totalprice").alias("value"))
 
 
 @query("SELECT count(*) AS total, count(*) FILTER (WHERE l_returnflag = 'R') AS used, count(*) FILTER (WHERE l_returnflag = 'A' AND l_tax > 0.04) AS rejected, count(DISTINCT l_suppkey) AS sources FROM lineitem")

@@ -71,28 +71,19 @@ def q_strip_quads(spark, d):
     return e.select("edge", milli(F.col("q")[0]["x"]).alias("ax"), milli(F.col("q")[2]["z"]).alias("cz"))
 
 
-@query(f"""WITH {_EDGES}, f AS (SELECT * FROM s WHERE edge % 10 = 0), c AS (SELECT *, unnest(range(floor((least(x1, x2) - 1) / 2)::BIGINT, floor((greatest(x1, x2) + 1) / 2)::BIGINT + 1)) AS cx FROM f),
-k AS (SELECT *, unnest(range(floor((least(z1, z2) - 1) / 2)::BIGINT, floor((greatest(z1, z2) + 1) / 2)::BIGINT + 1)) AS cz FROM c),
-t AS (SELECT *, (cx + 0.5) * 2 AS px, (cz + 0.5) * 2 AS pz FROM k), u AS (SELECT *, greatest(0, least(1, ((px - x1) * (x2 - x1) + (pz - z1) * (z2 - z1)) / ((x2 - x1)^2 + (z2 - z1)^2))) AS t FROM t)
-SELECT edge, cx, cz FROM u WHERE sqrt((px - x1 - t * (x2 - x1))^2 + (pz - z1 - t * (z2 - z1))^2) <= 1""")
-def q_buffer_cells(spark, d):
-    return spatial.buffer_cells(_edges(spark, d).where("edge % 10 = 0"), "x1", "z1", "x2", "z2", 1.0, 2.0).select("edge", "cx", "cz")
-
-
 @query(f"""WITH {_EDGES}, c AS (SELECT *, unnest(range(floor((least(x1, x2) - 1) / 2)::BIGINT, floor((greatest(x1, x2) + 1) / 2)::BIGINT + 1)) AS cx FROM s),
 k AS (SELECT *, unnest(range(floor((least(z1, z2) - 1) / 2)::BIGINT, floor((greatest(z1, z2) + 1) / 2)::BIGINT + 1)) AS cz FROM c),
 t AS (SELECT *, (cx + 0.5) * 2 AS px, (cz + 0.5) * 2 AS pz FROM k), u AS (SELECT *, greatest(0, least(1, ((px - x1) * (x2 - x1) + (pz - z1) * (z2 - z1)) / ((x2 - x1)^2 + (z2 - z1)^2))) AS t FROM t)
 SELECT edge, cx, cz FROM u WHERE sqrt((px - x1 - t * (x2 - x1))^2 + (pz - z1 - t * (z2 - z1))^2) <= 1""")
-def q_buffer_cells_whole(spark, d):
-    """``q_buffer_cells`` over every edge."""
+def q_buffer_cells(spark, d):
     return spatial.buffer_cells(_edges(spark, d), "x1", "z1", "x2", "z2", 1.0, 2.0).select("edge", "cx", "cz")
 
 
 @query("SELECT l_orderkey, min(l_suppkey % 3) AS lo, max(l_suppkey % 3) AS hi FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_suppkey % 3) = 2")
 def q_face_lines(spark, d):
     """Faces with exactly two distinct footprints are lines."""
-    k = F.col("l_suppkey") % 3
-    return read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.min(k).alias("lo"), F.max(k).alias("hi"), F.countDistinct(k).alias("n")).where("n = 2").drop("n")
+    corners = read(spark, d, "lineitem").select("l_orderkey", (F.col("l_suppkey") % 3).alias("x"), F.lit(0).alias("z"))
+    return mesh.face_lines(corners, ["l_orderkey"], "x", "z").select("l_orderkey", F.col("x1").alias("lo"), F.col("x2").alias("hi"))
 
 
 @query(f"WITH {PLANE} SELECT vec_id, dense_rank() OVER (PARTITION BY label ORDER BY round_even(x / 10, 0), round_even(z / 10, 0)) - 1 AS vertex FROM p")

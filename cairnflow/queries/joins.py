@@ -97,7 +97,7 @@ def q_knn_self_join(spark, d):
 def q_knn_variable_k(spark, d):
     p, right = _two(plane(spark, d))
     k = F.when(F.col("vec_id") % 4 == 0, 8).otherwise(3)
-    return spatial.knn_join(p, right.where("to % 4 = 0"), "vec_id", "to", "x", "z", "tx", "tz", k, 20.0, ["label"]).select("vec_id", "to", F.col("rank").cast("long").alias("rank"))
+    return spatial.knn_join(p, right.where("to % 4 = 0"), "vec_id", "to", "x", "z", "tx", "tz", k, 20.0, ["label"], most=8).select("vec_id", "to", F.col("rank").cast("long").alias("rank"))
 
 
 @query(f"WITH {PLANE}, k AS (SELECT a.vec_id, b.vec_id AS \"to\", row_number() OVER (PARTITION BY a.vec_id ORDER BY {_D}, b.vec_id) AS rank FROM p a JOIN p b ON a.label = b.label AND a.vec_id <> b.vec_id AND {_D} <= 20 AND NOT (abs(b.x - a.x) <= 1 AND abs(b.z - a.z) <= 1)) SELECT vec_id, \"to\", rank FROM k WHERE rank <= 5")
@@ -114,7 +114,7 @@ def q_nearest_one(spark, d):
     return spatial.nearest_one(p.where("vec_id % 3 <> 0").drop("label"), right.where("to % 50 = 0").drop("label"), "vec_id", "to", "x", "z", "tx", "tz", 4.0).select("vec_id", "to")
 
 
-_EDGES = f"""{PLANE}, e AS (SELECT vec_id AS edge, x AS x1, z AS z1, lead(x) OVER w AS x2, lead(z) OVER w AS z2, label FROM p WINDOW w AS (PARTITION BY label ORDER BY vec_id)),
+_EDGES = f"""{PLANE}, e AS (SELECT vec_id AS edge, x AS x1, z AS z1, lead(x) OVER w AS x2, lead(z) OVER w AS z2, lead(vec_id) OVER w AS nxt, label FROM p WINDOW w AS (PARTITION BY label ORDER BY vec_id)),
 s AS (SELECT * FROM e WHERE x2 IS NOT NULL)"""
 
 
@@ -122,7 +122,7 @@ def _edges(spark, d):
     from pyspark.sql import Window
 
     w = Window.partitionBy("label").orderBy("vec_id")
-    e = plane(spark, d).select(F.col("vec_id").alias("edge"), F.col("x").alias("x1"), F.col("z").alias("z1"), F.lead("x").over(w).alias("x2"), F.lead("z").over(w).alias("z2"), "label")
+    e = plane(spark, d).select(F.col("vec_id").alias("edge"), F.col("x").alias("x1"), F.col("z").alias("z1"), F.lead("x").over(w).alias("x2"), F.lead("z").over(w).alias("z2"), F.lead("vec_id").over(w).alias("nxt"), "label")
     return e.where("x2 is not null")
 
 
@@ -140,10 +140,10 @@ def _near_edges(spark, d, points):
     return met.withColumn("dist", geo.point_segment(*map(F.col, ("x", "z", "x1", "z1", "x2", "z2"))))
 
 
-@query(f"WITH {_EDGES}, k AS (SELECT vec_id, edge, row_number() OVER (PARTITION BY vec_id ORDER BY dist, edge) AS rn FROM (SELECT p.vec_id, s.edge, {_seg_dist('p.x', 'p.z')} AS dist FROM p JOIN s ON p.label = s.label AND p.vec_id % 9 = 0 AND s.edge % 9 <> 0 AND sqrt((x2 - x1)^2 + (z2 - z1)^2) <= 15) WHERE dist <= 0.75) SELECT vec_id, edge FROM k WHERE rn = 1")
+@query(f"WITH {_EDGES}, k AS (SELECT vec_id, edge, row_number() OVER (PARTITION BY vec_id ORDER BY dist, edge) AS rn FROM (SELECT p.vec_id, s.edge, s.nxt, {_seg_dist('p.x', 'p.z')} AS dist FROM p JOIN s ON p.label = s.label AND sqrt((x2 - x1)^2 + (z2 - z1)^2) <= 15) WHERE dist <= 0.75 AND vec_id <> edge AND vec_id <> nxt) SELECT vec_id, edge FROM k WHERE rn = 1")
 def q_nearest_edge(spark, d):
-    met = _near_edges(spark, d, plane(spark, d).where("vec_id % 9 = 0")).where("edge % 9 <> 0")
-    ok = met.where((F.col("dist") <= 0.75) & (geo.distance(*map(F.col, ("x1", "z1", "x2", "z2"))) <= 15))
+    met = _near_edges(spark, d, plane(spark, d))
+    ok = met.where((F.col("dist") <= 0.75) & F.expr("vec_id <> edge and vec_id <> nxt") & (geo.distance(*map(F.col, ("x1", "z1", "x2", "z2"))) <= 15))
     return rel.first_by(ok, ["vec_id"], ["dist", "edge"]).select("vec_id", "edge")
 
 
@@ -254,9 +254,9 @@ def q_first_match(spark, d):
     return rel.first_by(m, ["o_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]).select("o_orderkey", "l_partkey", "l_suppkey")
 
 
-@query(f"WITH {_EDGES}, k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, edge) AS rn FROM (SELECT p.vec_id, p.x, p.z, s.*, {_seg_dist('p.x', 'p.z')} AS dist FROM p JOIN s ON p.label = s.label AND p.vec_id % 5 = 0 AND s.edge % 5 NOT IN (0, 4)) WHERE dist <= 1) SELECT vec_id, edge, round(dist * 1000)::BIGINT AS dist FROM k WHERE rn = 1")
+@query(f"WITH {_EDGES}, k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, edge) AS rn FROM (SELECT p.vec_id, p.x, p.z, s.*, {_seg_dist('p.x', 'p.z')} AS dist FROM p JOIN s ON p.label = s.label) WHERE dist <= 1 AND vec_id <> edge AND vec_id <> nxt) SELECT vec_id, edge, round(dist * 1000)::BIGINT AS dist FROM k WHERE rn = 1")
 def q_nearest_segment(spark, d):
-    met = _near_edges(spark, d, plane(spark, d).where("vec_id % 5 = 0")).where("edge % 5 not in (0, 4) and dist <= 1")
+    met = _near_edges(spark, d, plane(spark, d)).where("dist <= 1 and vec_id <> edge and vec_id <> nxt")
     return rel.first_by(met, ["vec_id"], ["dist", "edge"]).select("vec_id", "edge", milli(F.col("dist")).alias("dist"))
 
 

@@ -159,6 +159,16 @@ class _Page(InputPartition):
         self.building, self.skip = building, skip
 
 
+def _item_count(body: str) -> int:
+    """Items of a page: of a bare list, or of the first list in its envelope; 0 if there is none."""
+    import json
+
+    doc = json.loads(body)
+    if isinstance(doc, dict):
+        doc = next((doc[k] for k in FEATURE_KEYS if isinstance(doc.get(k), list)), [])
+    return len(doc) if isinstance(doc, list) else 0
+
+
 class _PagedReader(DataSourceReader):
     def __init__(self, options):
         self.take = int(options.get("take", 1000))
@@ -167,19 +177,24 @@ class _PagedReader(DataSourceReader):
         self.fetch = options["fetch"]
 
     def partitions(self):
-        return [_Page(b, k * self.take) for b in self.buildings for k in range(self.pages)]
+        return [_Page(b, 0) for b in self.buildings]
 
     def read(self, partition):
         import importlib
 
         module, _, name = self.fetch.partition(":")
-        yield (partition.building, partition.skip, getattr(importlib.import_module(module), name)(partition.building, self.take, partition.skip))
+        fetch = getattr(importlib.import_module(module), name)
+        for k in range(self.pages):
+            body = fetch(partition.building, self.take, k * self.take)
+            yield (partition.building, k * self.take, body)
+            if _item_count(body) < self.take:
+                break
 
 
 class PagedSource(DataSource):
-    """spark.read.format("paged").option("fetch", "module:function").option("buildings", "260,301").load(): one partition per (building, page).
+    """spark.read.format("paged").option("fetch", "module:function").option("buildings", "260,301").load(): one partition per building.
 
-    fetch(building, take, skip) returns a page's body; pages past the end are empty lists. Building ids are the only filter that is pushed down.
+    fetch(building, take, skip) returns a page's body. The pages of a building are asked for in turn until one is short or ``pages`` (21) are read. Building ids are the only filter that is pushed down.
     """
 
     @classmethod

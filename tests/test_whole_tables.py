@@ -35,7 +35,7 @@ def test_components_of_all_customers(spark):
     for a, b in edges():
         links.setdefault(a, set()).add(b)
         links.setdefault(b, set()).add(a)
-    got = {(r.node, r.component) for r in core.queries()["q_components_whole"](spark, SF).collect()}
+    got = {(r.node, r.component) for r in core.queries()["q_components"](spark, SF).collect()}
     assert got == {(x, min(spread(x, links))) for x in links}
 
 
@@ -43,12 +43,12 @@ def test_reach_from_all_customers(spark):
     links = {}
     for a, b in edges():
         links.setdefault(a, set()).add(b)
-    got = {(r.source, r.reached, r.routable) for r in core.queries()["q_reach_whole"](spark, SF).collect()}
+    got = {(r.source, r.reached, r.routable) for r in core.queries()["q_reach"](spark, SF).collect()}
     assert got == {(a, len(spread(a, links)), any(x % 9 == 0 for x in spread(a, links))) for a in links}
 
 
 def test_every_edge_has_buffer_cells(spark):
-    got = {r.edge for r in core.queries()["q_buffer_cells_whole"](spark, SF).collect()}
+    got = {r.edge for r in core.queries()["q_buffer_cells"](spark, SF).collect()}
     last = {}
     for r in sorted(table("embeddings", "vec_id", "label"), key=lambda r: r["vec_id"]):
         last.setdefault(r["label"], []).append(r["vec_id"])
@@ -72,10 +72,10 @@ def test_whole_texts(spark):
         t = unicodedata.normalize("NFKD", docs[r.doc_id]["text"]).encode("ascii", "ignore").decode()
         t = re.sub(r"[\x00-\x1f:]+", " ", t.translate(str.maketrans('/\\"', "--'")))
         assert r.folded == re.sub(r"\s+", " ", t).strip(" ")
-    for r in core.queries()["q_normalised_key_whole"](spark, SF).collect():
+    for r in core.queries()["q_normalised_key"](spark, SF).collect():
         t = re.sub(r"[^ -~\n]", "x", docs[r.doc_id]["text"])
         assert r.key == re.sub(r"\s+", " ", t).lower().strip(" ")
     rules = core.scalars.text.CATEGORY_RULES
-    for r in core.queries()["q_keyword_category_whole"](spark, SF).collect():
+    for r in core.queries()["q_keyword_category"](spark, SF).collect():
         t = f"{docs[r.doc_id]['text']} {docs[r.doc_id]['source']}".lower()
         assert r.category == next((name for name, words in rules if any(w in t for w in words)), "other")
