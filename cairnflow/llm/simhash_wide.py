@@ -17,7 +17,9 @@ bytes, and the steps are those of the narrow one:
    differing bits that a pair of the wanted similarity has, three standard
    deviations below and above its mean.
 3. *Verify.* The Jaccard similarity of the full shingle sets is computed for
-   every pair that passes; only verified pairs are links.
+   every pair that passes; only verified pairs are links. The sets come from a
+   second pass over the texts, which picks by a bitmap of fixed size those that
+   have a posting left; no text is shuffled.
 
 A cell is decided in two steps: first its members against one hub each, which
 is verified and makes classes, then pairs of different classes only. A group of
@@ -47,6 +49,7 @@ from .components import connected_components
 BYTES = 128
 KEYS = 210
 PASSES = 3
+PLACES = 24
 LEAD = np.uint64((1 << 48) - 1)
 SEED = 42
 
@@ -243,10 +246,26 @@ def _pairs(least: int, most: int, hubs: bool):
     return run
 
 
-def _full(width: int):
+def bitmap(t: DataFrame) -> np.ndarray:
+    """The first 24 bits of every hash in column t, as a bitmap of 2 MB whatever the number of rows: at most 2^18 words reach the driver."""
+    place = F.shiftrightunsigned("t", 64 - PLACES)
+    word, bit = F.shiftrightunsigned(place, 6), place.bitwiseAND(F.lit(63)).cast("int")
+    rows = t.select(word.alias("word"), F.expr("1L").alias("one"), bit.alias("bit")).selectExpr("word", "shiftleft(one, bit) AS mask").groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
+    out = np.zeros(1 << (PLACES - 6), np.uint64)
+    out[rows["word"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+def _full(width: int, bits: np.ndarray):
+    """(node, set) of the texts whose hash may be one of those in the bitmap."""
+
     def run(source):
         for cols in batches(source):
-            yield pa.RecordBatch.from_arrays([pa.array(cols["node"], pa.int64()), pa.array([shingles(t, width).tobytes() for t in cols["__text"]], pa.binary())], names=["node", "set"])
+            place = np.array(cols["t"], np.int64).view(np.uint64) >> np.uint64(64 - PLACES)
+            hit = np.flatnonzero((bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1))
+            sets = [shingles(cols["__text"][k], width).tobytes() for k in hit.tolist()]
+            nodes = np.array([xxhash.xxh64_intdigest(h) for h in sets], np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(nodes)), pa.array(sets, pa.binary())], names=["node", "set"])
 
     return run
 
@@ -276,7 +295,7 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sim
     sets = scratch.save(texts.mapInArrow(_sets(width), "id long, t long, node long, fp binary, lead long"), "sets")
     me = F.struct(F.col("id").isNull().alias("absent"), "id", "t")
     named = sets.groupBy("node").agg(F.min(me).alias("who"), F.max("fp").alias("fp"), F.max("lead").alias("lead"))
-    uniq = scratch.save(named.select("node", F.col("who.id").alias("id"), F.col("who.t").alias("t"), "fp", "lead"), "uniq")
+    uniq = scratch.save(named.select("node", F.col("who.t").alias("t"), "fp", "lead"), "uniq")
     release(spark)
     met = None
     for n in range(PASSES):  # the shuffle files of one pass are gone before the next
@@ -287,29 +306,29 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sim
         del postings
         release(spark)
     by_text = met.groupBy("lead").agg(F.collect_list("cell").alias("cells"))  # at most KEYS, but for the rare texts with equal leads
-    listed = scratch.save(by_text.join(uniq.select("node", "fp", "lead"), "lead").select(F.explode("cells").alias("cell"), "node", "fp"), "listed")
+    alive = scratch.save(by_text.join(uniq, "lead").select("cells", "node", "t", "fp"), "alive")
     scratch.drop(*(f"met{n}" for n in range(PASSES)))
     release(spark)
+    # the texts that have a posting left are picked by a bitmap, so that no text is shuffled
+    full = texts.select("t", "__text").mapInArrow(_full(width, bitmap(alive.select("t"))), "node long, set binary")
+    full = scratch.save(full.join(alive.select("node"), "node", "left_semi").dropDuplicates(["node"]), "full")
+    listed = alive.select(F.explode("cells").alias("cell"), "node", "fp")
+    release(spark)
 
     def links(cls: DataFrame, hubs: bool, done: DataFrame | None, name: str) -> tuple[DataFrame, DataFrame]:
         """(pairs looked at, those that are similar)"""
         rows = cls.repartition("cell").sortWithinPartitions("cell", "node")
         pairs = rows.mapInArrow(_pairs(least, most, hubs), "u long, v long").distinct()
         pairs = scratch.save(pairs.join(done, ["u", "v"], "left_anti") if done is not None else pairs, f"pairs_{name}")
-        ends = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-        where = scratch.save(uniq.join(ends, "node").select("node", F.col("id").alias("i"), F.col("t").alias("u")), f"where_{name}")
-        met_texts = texts.join(where, F.col("id").eqNullSafe(F.col("i")) & (F.col("t") == F.col("u"))).select("node", "__text")
-        full = scratch.save(met_texts.mapInArrow(_full(width), "node long, set binary").dropDuplicates(["node"]), f"full_{name}")
         both = pairs.join(full.select(F.col("node").alias("u"), F.col("set").alias("a")), "u").join(full.select(F.col("node").alias("v"), F.col("set").alias("b")), "v")
         found = scratch.save(both.select("u", "v", "a", "b").mapInArrow(_verify(similarity), "u long, v long"), f"links_{name}")
-        scratch.drop(f"full_{name}", f"where_{name}")
         release(spark)
         return pairs, found
 
     done, first = links(listed.select("cell", "node", F.col("node").alias("cls"), "fp"), True, None, "hubs")
     roots = scratch.save(connected_components(first), "roots_hubs")
-    classed = listed.join(roots, "node", "left").select("cell", "node", F.coalesce("root", "node").alias("cls"), "fp")
+    classed = alive.join(roots, "node", "left").select(F.explode("cells").alias("cell"), "node", F.coalesce("root", "node").alias("cls"), "fp")
     _, rest = links(classed, False, done, "classes")
     roots = scratch.save(connected_components(first.unionByName(rest)), "roots")
-    scratch.drop("listed")
+    scratch.drop("alive", "full")
     return sets.join(roots, "node", "left").select("id", "t", F.coalesce("root", "node").alias("cls"))

@@ -216,3 +216,12 @@ def test_wide_bounds_and_cells():
     assert len(simhash_wide.hub_pairs(same, least, most)) == 8
     assert simhash_wide.class_pairs(same, np.zeros(9), least, most) == []
     assert len(simhash_wide.class_pairs(same, np.array([1] * 8 + [2]), least, most)) == 8
+
+
+def test_bitmap_holds_every_hash(spark):
+    rng = np.random.default_rng(3)
+    t = rng.integers(-(1 << 63), (1 << 63) - 1, 500, dtype=np.int64)
+    bits = simhash_wide.bitmap(spark.createDataFrame([(int(x),) for x in t], "t long"))
+    place = t.view(np.uint64) >> np.uint64(40)
+    assert ((bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)).all()
+    assert np.bitwise_count(bits).sum() == len(set(place.tolist()))
