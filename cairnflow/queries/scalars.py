@@ -50,12 +50,12 @@ def q_compose_key(spark, d):
     return s.select("s_suppkey", text.portal_node_name(F.col("ext"), F.col("s_name"), F.col("kind"), F.col("grp")).alias("portal"), text.room_node_name(F.col("ext"), F.col("s_name")).alias("room"))
 
 
-@query("""WITH v AS (SELECT p_partkey, lower(p_brand) || '-' || (p_size)::VARCHAR AS ext, CASE WHEN p_partkey % 2 = 0 THEN 'oggb' ELSE '260' END AS b FROM part)
+@query("""WITH v AS (SELECT p_partkey, lower(p_brand) || '-' || (p_size)::VARCHAR AS ext, CASE WHEN p_partkey % 2 = 0 THEN 'quay' ELSE '741' END AS b FROM part)
 SELECT p_partkey, CASE WHEN position('-' IN ext) = 0 THEN ext ELSE ext || '|' || regexp_extract(ext, '^[^-]*-(.*)$', 1) ||
  CASE WHEN lower(replace(ext, '-', ' ')) IN (lower(ext), lower(regexp_extract(ext, '^[^-]*-(.*)$', 1))) THEN '' ELSE '|' || replace(ext, '-', ' ') END ||
- CASE WHEN b = '260' THEN '' ELSE '|OGGB ' || regexp_extract(ext, '^[^-]*-(.*)$', 1) END END AS aliases FROM v""")
+ CASE WHEN b = '741' THEN '' ELSE '|QUAY ' || regexp_extract(ext, '^[^-]*-(.*)$', 1) END END AS aliases FROM v""")
 def q_ordered_distinct_ci(spark, d):
-    p = read(spark, d, "part").select("p_partkey", F.concat(F.lower("p_brand"), F.lit("-"), F.col("p_size").cast("string")).alias("ext"), F.when(F.col("p_partkey") % 2 == 0, "oggb").otherwise("260").alias("b"))
+    p = read(spark, d, "part").select("p_partkey", F.concat(F.lower("p_brand"), F.lit("-"), F.col("p_size").cast("string")).alias("ext"), F.when(F.col("p_partkey") % 2 == 0, "quay").otherwise("741").alias("b"))
     return p.select("p_partkey", F.array_join(text.aliases(F.col("ext"), F.col("b")), "|").alias("aliases"))
 
 

@@ -192,7 +192,7 @@ class _PagedReader(DataSourceReader):
 
 
 class PagedSource(DataSource):
-    """spark.read.format("paged").option("fetch", "module:function").option("buildings", "260,301").load(): one partition per building.
+    """spark.read.format("paged").option("fetch", "module:function").option("buildings", "741,903").load(): one partition per building.
 
     fetch(building, take, skip) returns a page's body. The pages of a building are asked for in turn until one is short or ``pages`` (21) are read. Building ids are the only filter that is pushed down.
     """

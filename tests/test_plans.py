@@ -20,32 +20,32 @@ def feature(i, external, name="", floor="1", kind="Room", ring=SQUARE, **props):
 @pytest.fixture
 def dataset(spark, tmp_path):
     pages = [
-        {"features": [feature("a", "260-115", "Case Room Lecture", kind="Lecture Theatre"), feature("b", "260-100S1", "Stairs", kind="Stairwell"), feature("c", "260-200S1", "Stairs", floor="2", kind="Stairwell"), "noise", 3]},
-        [feature("d", "", "No id"), feature("e", "260-9", "No ring", ring=None), feature("f", "260-300S1", "Stairs", floor="3", kind="Stairwell"), feature("g", "999-1", "Elsewhere", building="999"), feature("h", "260-7E2", "Lift", floor="G", kind="Elevator")],
-        {"data": {"not": "a list"}, "results": [feature("i", "260-8", "", floor="2", building="260", ring=[[174.0, -36.0], "bad", [174.1, -36.1], [174.2, -36.0]])]},
+        {"features": [feature("a", "741-332", "Case Room Lecture", kind="Lecture Theatre"), feature("b", "741-510S4", "Stairs", kind="Stairwell"), feature("c", "741-620S4", "Stairs", floor="2", kind="Stairwell"), "noise", 3]},
+        [feature("d", "", "No id"), feature("e", "741-47", "No ring", ring=None), feature("f", "741-730S4", "Stairs", floor="3", kind="Stairwell"), feature("g", "903-2", "Elsewhere", building="903"), feature("h", "741-58E6", "Lift", floor="G", kind="Elevator")],
+        {"data": {"not": "a list"}, "results": [feature("i", "741-46", "", floor="2", building="741", ring=[[174.0, -36.0], "bad", [174.1, -36.1], [174.2, -36.0]])]},
     ]
     for k, p in enumerate(pages):
         (tmp_path / f"locations_{k:04d}.json").write_text(json.dumps(p))
     (tmp_path / "locations_0009.json").write_text("{broken")
     items = locations.read_items(spark, str(tmp_path))
     assert locations.corrupt_files(spark, str(tmp_path)).count() == 1
-    return building.normalise(*locations.locations(items, "260"), "260", "oggb")
+    return building.normalise(*locations.locations(items, "741"), "741", "quay")
 
 
 def test_building(spark, dataset):
     rooms = {r.external_id: r for r in dataset.rooms.collect()}
-    assert set(rooms) == {"260-115", "260-8"}
-    assert rooms["260-115"].category == "lecture" and list(rooms["260-115"].aliases) == ["260-115", "115", "260 115", "OGGB 115"]
-    assert len(rooms["260-8"].ring) == 3 and rooms["260-8"].display_name == "260-8"
-    assert sorted((r.external_id, r.kind, r.group_id) for r in dataset.portals.collect()) == [("260-100S1", "stair", "S1"), ("260-200S1", "stair", "S1"), ("260-300S1", "stair", "S1"), ("260-7E2", "elevator", "E2")]
+    assert set(rooms) == {"741-332", "741-46"}
+    assert rooms["741-332"].category == "lecture" and list(rooms["741-332"].aliases) == ["741-332", "332", "741 332", "QUAY 332"]
+    assert len(rooms["741-46"].ring) == 3 and rooms["741-46"].display_name == "741-46"
+    assert sorted((r.external_id, r.kind, r.group_id) for r in dataset.portals.collect()) == [("741-510S4", "stair", "S4"), ("741-620S4", "stair", "S4"), ("741-730S4", "stair", "S4"), ("741-58E6", "elevator", "E6")]
     assert [(r.floor_name, r.floor_index) for r in dataset.floors.orderBy("floor_index").collect()] == [("G", 0), ("1", 1), ("2", 2), ("3", 3)]
     assert sorted(r.code for r in dataset.issues.collect()) == ["missing externalId/roomId", "missing polygon geometry"]
     links = [(r.from_external_id, r.to_external_id) for r in building.vertical_links(dataset.portals).orderBy("from_floor_index").collect()]
-    assert links == [("260-100S1", "260-200S1"), ("260-200S1", "260-300S1")]
+    assert links == [("741-510S4", "741-620S4"), ("741-620S4", "741-730S4")]
     local = building.project(dataset, 174.0, -36.0)
-    r = local.rooms.where("external_id = '260-115'").first()
+    r = local.rooms.where("external_id = '741-332'").first()
     assert abs(r.z + 55.66) < 1e-6 and abs(r.y - 4.2) < 1e-9 and abs(r.ring_local[0].x) < 1e-9
-    doc = building.manifest(local, "oggb", "OGGB").first()
+    doc = building.manifest(local, "quay", "Quay House").first()
     body = json.loads(doc.document)
     assert [f["floor_name"] for f in body["floors"]] == ["G", "1", "2", "3"] and len(body["nav"]["links"]) == 2 and len(doc.hash) == 64
     assert building.issues(dataset).where("severity = 'error'").count() == 0
