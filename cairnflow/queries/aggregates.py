@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..operators import relational as rel
 from ..operators import spatial
+from ..plans import building, doors, group
 from .registry import PLANE, milli, plane, query, read
 
 
@@ -119,7 +120,8 @@ def q_offset_concat(spark, d):
     return mesh.offset_concat(read(spark, d, "part").select("p_brand", "p_partkey", "p_size"), ["p_brand"], ["p_partkey"], "p_size").drop("p_size")
 
 
-@query()
+@query(f"""WITH {PLANE}, c AS (SELECT *, unnest(range(floor(x / 0.5)::BIGINT, floor((x + 1.7) / 0.5)::BIGINT + 1)) AS cx FROM p), k AS (SELECT *, unnest(range(floor(z / 0.5)::BIGINT, floor((z + 1.2) / 0.5)::BIGINT + 1)) AS cz FROM c)
+SELECT DISTINCT label, cx, cz FROM k WHERE greatest(0, least(x + 1.7, (cx + 1) * 0.5) - greatest(x, cx * 0.5)) * greatest(0, least(z + 1.2, (cz + 1) * 0.5) - greatest(z, cz * 0.5)) >= 0.02 * 0.25""")
 def q_raster_union(spark, d):
     p = plane(spark, d).select("label", "x", "z", (F.col("x") + 1.7).alias("x2"), (F.col("z") + 1.2).alias("z2"))
     return spatial.raster_union(p, ["label"], "x", "z", "x2", "z2", 0.5)
@@ -186,7 +188,10 @@ def q_undirected_insert(spark, d):
     return rel.insert_undirected(old, new, "a", "b", ["o", "a"])
 
 
-@query()
+@query(f"""WITH RECURSIVE {PLANE}, o AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS i FROM p),
+w AS (SELECT label, i, vec_id, x, z, [{{'x': x, 'z': z}}] AS kept, true AS stays FROM o WHERE i = 1
+ UNION ALL SELECT label, i, vec_id, x, z, CASE WHEN free THEN list_append(kept, {{'x': x, 'z': z}}) ELSE kept END, free FROM (SELECT o.*, w.kept, len(list_filter(w.kept, lambda k: sqrt((k.x - o.x)^2 + (k.z - o.z)^2) <= 3.0)) = 0 AS free FROM w JOIN o ON o.label = w.label AND o.i = w.i + 1))
+SELECT vec_id, x, z, label FROM w WHERE stays""")
 def q_greedy_distinct(spark, d):
     return spatial.greedy_distinct(plane(spark, d), ["label"], ["vec_id"], "x", "z", 3.0)
 
@@ -218,25 +223,25 @@ def q_rule_violations(spark, d):
 
 @query("SELECT o_orderstatus AS status, count(*) FILTER (WHERE o_totalprice > 400000) > 0 OR count(*) = 0 AS passes FROM orders GROUP BY 1")
 def q_gate(spark, d):
-    return read(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(((F.count_if(F.col("o_totalprice") > 400000) > 0) | (F.count(F.lit(1)) == 0)).alias("passes"))
+    health = read(spark, d, "orders").select(F.col("o_orderstatus").alias("status"), (F.col("o_totalprice") > 400000).alias("routable"))
+    return group.gate_table(health, spark.range(1), ["status"]).select("status", "passes")
 
 
 @query(f"WITH {PLANE}, k AS (SELECT a.vec_id, b.vec_id AS anchor, sqrt((b.x - a.x)^2 + (b.z - a.z)^2) AS dist, row_number() OVER (PARTITION BY a.vec_id ORDER BY sqrt((b.x - a.x)^2 + (b.z - a.z)^2), -(b.vec_id % 8), b.vec_id) AS rn FROM p a JOIN p b ON a.vec_id % 2 = 1 AND b.vec_id % 40 = 0) SELECT vec_id, anchor, round(dist * 1000)::BIGINT AS dist FROM k WHERE rn = 1 AND dist <= 10")
 def q_relocate(spark, d):
-    p = plane(spark, d).drop("label")
-    right = p.where("vec_id % 40 = 0").select(F.col("vec_id").alias("anchor"), F.col("x").alias("ax"), F.col("z").alias("az"))
-    pairs = spatial.grid_distance_join(p.where("vec_id % 2 = 1"), right, "x", "z", "ax", "az", 10.0)
-    best = rel.first_by(pairs, ["vec_id"], ["distance", -(F.col("anchor") % 8), "anchor"])
-    return best.select("vec_id", "anchor", milli(F.col("distance")).alias("dist"))
+    p = plane(spark, d).select(F.lit("b").alias("building"), F.lit("0").alias("floor_name"), "vec_id", "x", "z")
+    _, seen = doors.relocate(p.where("vec_id % 2 = 1").withColumnRenamed("vec_id", "door"), p.where("vec_id % 40 = 0").withColumnRenamed("vec_id", "point"), longest=10.0, start=10.0)
+    return seen.where("status = 'ok'").select(F.col("door").alias("vec_id"), F.col("point").alias("anchor"), milli(F.col("distance")).alias("dist"))
 
 
 @query(f"""WITH {PLANE}, g AS (SELECT label, avg(x) AS cx, avg(z) AS cz, max(x) - min(x) AS sx FROM p GROUP BY label), h AS (SELECT label, avg(x) AS cx, avg(z) AS cz, max(x) - min(x) AS sx FROM p WHERE vec_id % 2 = 0 GROUP BY label)
 SELECT g.label, sqrt((g.cx - h.cx)^2 + (g.cz - h.cz)^2) > 1 AS off_centre, g.sx / h.sx NOT BETWEEN 0.55 AND 1.1 AS off_size FROM g JOIN h USING (label)""")
 def q_threshold_flags(spark, d):
     p = plane(spark, d)
-    box = lambda df, s: df.groupBy("label").agg(F.avg("x").alias(f"cx{s}"), F.avg("z").alias(f"cz{s}"), (F.max("x") - F.min("x")).alias(f"sx{s}"))
-    j = box(p, 1).join(box(p.where("vec_id % 2 = 0"), 2), "label")
-    return j.select("label", (geo.distance(*map(F.col, ("cx1", "cz1", "cx2", "cz2"))) > 1).alias("off_centre"), (~(F.col("sx1") / F.col("sx2")).between(0.55, 1.1)).alias("off_size"))
+    box = lambda df: df.groupBy("label").agg(F.avg("x").alias("cx"), F.avg("z").alias("cz"), (F.max("x") - F.min("x")).alias("width"), F.avg("x").alias("ex"), F.avg("z").alias("ez"))
+    found = doors.audit(box(p), box(p.where("vec_id % 2 = 0")), "label", centre=1.0, size=(0.55, 1.1), entrance=float("inf"))
+    flag = lambda check: F.coalesce(F.bool_or(F.col("check") == check), F.lit(False))
+    return p.where("vec_id % 2 = 0").select("label").distinct().join(found, "label", "left").groupBy("label").agg(flag("centre offset").alias("off_centre"), flag("size ratio").alias("off_size"))
 
 
 @query("""WITH r AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag, row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END DESC, CASE l_linestatus WHEN 'O' THEN 1 ELSE 0 END DESC, l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem)
@@ -245,3 +250,26 @@ def q_best_attempt(spark, d):
     exact, conf = (F.col("l_returnflag") == "R").cast("int"), (F.col("l_linestatus") == "O").cast("int")
     best = rel.first_by(read(spark, d, "lineitem"), ["l_orderkey"], [exact.desc(), conf.desc(), "l_linenumber", "l_partkey", "l_suppkey"])
     return best.select("l_orderkey", "l_partkey", "l_suppkey")
+
+
+@query("""WITH r AS (SELECT l_orderkey, l_partkey, l_suppkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_returnflag = 'R' DESC, CASE WHEN l_returnflag = 'R' THEN 0 WHEN l_linestatus = 'O' THEN 3 ELSE 1 END DESC, l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem)
+SELECT l_orderkey, l_partkey, l_suppkey FROM r WHERE rn = 1""")
+def q_first_exact_attempt(spark, d):
+    """Attempts at a door: the first exact crossing, else the most confident."""
+    source = F.when(F.col("l_returnflag") == "R", "route_boundary_intersection").otherwise("nearest_boundary_to_route_endpoint")
+    tries = read(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("ord"), source.alias("source"), F.when(F.col("l_linestatus") == "O", "high").otherwise("low").alias("confidence"))
+    return doors.best_attempt(tries, "l_orderkey").select("l_orderkey", "l_partkey", "l_suppkey")
+
+
+@query("""WITH b AS (SELECT 'C' || c_custkey AS id, c_acctbal >= 0 AS placed FROM customer UNION ALL SELECT 'S' || s_suppkey, s_acctbal >= 0 FROM supplier)
+SELECT 'error' AS severity, 'missing anchor' AS code, id AS subject FROM b WHERE NOT placed UNION ALL SELECT 'warning', 'no shaft group', 'S' || s_suppkey FROM supplier WHERE s_suppkey % 3 < 2 AND s_suppkey % 5 = 0
+UNION ALL SELECT 'warning', 'missing polygon geometry', 'P' || p_partkey FROM part WHERE p_size = 50""")
+def q_dataset_issues(spark, d):
+    """Rule violations of a dataset: customers as its rooms, suppliers as its portals, some parts as rejected input."""
+    at = lambda c: [F.when(F.col(c) >= 0, F.lit(1.0)).alias(n) for n in ("lon", "lat")]
+    rooms = read(spark, d, "customer").select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("external_id"), *at("c_acctbal"))
+    kind = F.element_at(F.array(F.lit("stair"), F.lit("elevator"), F.lit("door")), (F.col("s_suppkey") % 3).cast("int") + 1)
+    group_id = F.when(F.col("s_suppkey") % 5 == 0, "default").otherwise("G1")
+    portals = read(spark, d, "supplier").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("external_id"), kind.alias("kind"), group_id.alias("group_id"), *at("s_acctbal"))
+    rejects = read(spark, d, "part").where("p_size = 50").select(F.lit("warning").alias("severity"), F.lit("missing polygon geometry").alias("code"), F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("subject"))
+    return building.issues(building.Dataset(spark.createDataFrame([], "floor_name string"), rooms, portals, rejects))

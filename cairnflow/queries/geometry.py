@@ -24,11 +24,16 @@ def _ring3(spark, d):
     return _quads(spark, d).select("ring", F.transform("pts", lambda p: F.struct(p["x"].alias("x"), F.lit(3.0).alias("y"), p["z"].alias("z"))).alias("pts"))
 
 
-@query()
+@query("""SELECT ring, 8::BIGINT AS vertices, 6::BIGINT AS faces, 84::BIGINT AS indexes, 2800::BIGINT AS low, 8::BIGINT AS wall_vertices, 3::BIGINT AS wall_faces, 42::BIGINT AS wall_indexes, 4500::BIGINT AS top
+FROM (SELECT vec_id // 4 AS ring FROM embeddings GROUP BY 1 HAVING count(*) = 4)""")
 def q_extrude(spark, d):
+    """Slab and wall of a quad: corners, faces, the sum of all corner numbers in faces, and the heights; edge 1 has no wall."""
     v, f = mesh.extrude(F.col("pts"), 0.2)
     wv, wf = mesh.wall(F.col("pts"), 1.5, F.array(F.lit(1)))
-    return _ring3(spark, d).select("ring", F.size(v).alias("vertices"), F.size(f).alias("faces"), F.size(wv).alias("wall_vertices"), F.size(wf).alias("wall_faces"))
+    size = lambda c, name: F.size(c).cast("long").alias(name)
+    total = lambda c, name: F.aggregate(F.flatten(c), F.lit(0).cast("long"), lambda s, i: s + i).alias(name)
+    y = lambda c: F.transform(c, lambda p: p["y"])
+    return _ring3(spark, d).select("ring", size(v, "vertices"), size(f, "faces"), total(f, "indexes"), milli(F.array_min(y(v))).alias("low"), size(wv, "wall_vertices"), size(wf, "wall_faces"), total(wf, "wall_indexes"), milli(F.array_max(y(wv))).alias("top"))
 
 
 @query("SELECT ring, round((3.0 - ring % 4) * 1000)::BIGINT AS y FROM (SELECT DISTINCT vec_id // 4 AS ring, count(*) OVER (PARTITION BY vec_id // 4) AS n FROM embeddings) WHERE n = 4")

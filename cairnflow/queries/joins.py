@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..operators import relational as rel
 from ..operators import spatial
+from ..plans import doors
 from .registry import PLANE, milli, plane, query, read
 
 _D = "sqrt((b.x - a.x)^2 + (b.z - a.z)^2)"
@@ -260,13 +261,16 @@ def q_nearest_segment(spark, d):
     return rel.first_by(met, ["vec_id"], ["dist", "edge"]).select("vec_id", "edge", milli(F.col("dist")).alias("dist"))
 
 
+_BOX = ((-6.0, -6.0), (6.0, -6.0), (6.0, 6.0), (-6.0, 6.0))
+
+
 @query(f"""WITH {_EDGES}, b(i, bx1, bz1, bx2, bz2) AS (VALUES (0, -6.0, -6.0, 6.0, -6.0), (1, 6.0, -6.0, 6.0, 6.0), (2, 6.0, 6.0, -6.0, 6.0), (3, -6.0, 6.0, -6.0, -6.0)),
 c AS (SELECT edge, x1, z1, x2, z2, ((bx1 - x1) * (bz2 - bz1) - (bz1 - z1) * (bx2 - bx1)) / nullif((x2 - x1) * (bz2 - bz1) - (z2 - z1) * (bx2 - bx1), 0) AS t,
  ((bx1 - x1) * (z2 - z1) - (bz1 - z1) * (x2 - x1)) / nullif((x2 - x1) * (bz2 - bz1) - (z2 - z1) * (bx2 - bx1), 0) AS u FROM s, b)
 SELECT edge, round((x1 + max(t) * (x2 - x1)) * 1000)::BIGINT AS dx, round((z1 + max(t) * (z2 - z1)) * 1000)::BIGINT AS dz FROM c WHERE t BETWEEN 0 AND 1 AND u BETWEEN 0 AND 1 GROUP BY edge, x1, z1, x2, z2""")
 def q_last_crossing(spark, d):
     """The crossing of a boundary that is farthest along the line."""
-    ring = F.array(*(F.struct(F.lit(x).alias("x"), F.lit(z).alias("z")) for x, z in ((-6.0, -6.0), (6.0, -6.0), (6.0, 6.0), (-6.0, 6.0))))
+    ring = F.array(*(F.struct(F.lit(x).alias("x"), F.lit(z).alias("z")) for x, z in _BOX))
     e = _edges(spark, d).withColumn("b", F.explode(geo.ring_edges(ring)))
     dx, dz = F.col("x2") - F.col("x1"), F.col("z2") - F.col("z1")
     bx, bz = F.col("b.b.x") - F.col("b.a.x"), F.col("b.b.z") - F.col("b.a.z")
@@ -275,3 +279,20 @@ def q_last_crossing(spark, d):
     hits = e.withColumns({"t": (px * bz - pz * bx) / det, "u": (px * dz - pz * dx) / det}).where(F.col("t").between(0, 1) & F.col("u").between(0, 1))
     last = hits.groupBy("edge", "x1", "z1", "x2", "z2").agg(F.max("t").alias("t"))
     return last.select("edge", milli(F.col("x1") + F.col("t") * dx).alias("dx"), milli(F.col("z1") + F.col("t") * dz).alias("dz"))
+
+
+@query(f"""WITH {_EDGES}, b(i, bx1, bz1, bx2, bz2) AS (VALUES (0, -6.0, -6.0, 6.0, -6.0), (1, 6.0, -6.0, 6.0, 6.0), (2, 6.0, 6.0, -6.0, 6.0), (3, -6.0, 6.0, -6.0, -6.0)),
+c AS (SELECT *, ((bx1 - x1) * (bz2 - bz1) - (bz1 - z1) * (bx2 - bx1)) / nullif((x2 - x1) * (bz2 - bz1) - (z2 - z1) * (bx2 - bx1), 0) AS t, ((bx1 - x1) * (z2 - z1) - (bz1 - z1) * (x2 - x1)) / nullif((x2 - x1) * (bz2 - bz1) - (z2 - z1) * (bx2 - bx1), 0) AS u,
+ greatest(0, least(1, ((x2 - bx1) * (bx2 - bx1) + (z2 - bz1) * (bz2 - bz1)) / ((bx2 - bx1)^2 + (bz2 - bz1)^2))) AS v FROM s, b),
+n AS (SELECT *, bx1 + v * (bx2 - bx1) AS nx, bz1 + v * (bz2 - bz1) AS nz FROM c), m AS (SELECT *, sqrt((nx - x2)^2 + (nz - z2)^2) AS d FROM n),
+g AS (SELECT edge, x1, z1, x2, z2, max(CASE WHEN t BETWEEN 0 AND 1 AND u BETWEEN 0 AND 1 THEN t END) AS t, arg_min(nx, (d, i)) AS nx, arg_min(nz, (d, i)) AS nz, min(d) AS d FROM m GROUP BY ALL)
+SELECT edge, round(coalesce(x1 + t * (x2 - x1), nx) * 1000)::BIGINT AS dx, round(coalesce(z1 + t * (z2 - z1), nz) * 1000)::BIGINT AS dz,
+ CASE WHEN t IS NOT NULL THEN 'route_boundary_intersection' WHEN d < 0.000003 THEN 'route_endpoint_on_boundary' ELSE 'nearest_boundary_to_route_endpoint' END AS source,
+ CASE WHEN t IS NOT NULL OR d < 0.000003 THEN 'high' WHEN abs(x2) < 6 AND abs(z2) < 6 THEN 'medium' ELSE 'low' END AS confidence FROM g""")
+def q_room_doors(spark, d):
+    """Every edge as a route to a room: its last crossing of the boundary, else the boundary point next to its end."""
+    e = _edges(spark, d)
+    lines = e.select("edge", F.lit(0).alias("at"), F.col("x1").alias("lon"), F.col("z1").alias("lat")).unionByName(e.select("edge", F.lit(1).alias("at"), F.col("x2").alias("lon"), F.col("z2").alias("lat")))
+    ring = F.array(*(F.struct(F.lit(x).alias("lon"), F.lit(z).alias("lat")) for x, z in _BOX))
+    found = doors.room_doors(lines, e.select("edge", ring.alias("ring")), "edge")
+    return found.select("edge", milli(F.col("lon")).alias("dx"), milli(F.col("lat")).alias("dz"), "source", "confidence")

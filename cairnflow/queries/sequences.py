@@ -131,7 +131,9 @@ def q_systematic_sample(spark, d):
     return rel.systematic_sample(c, ["nation"], ["c_custkey"], 7)
 
 
-@query()
+@query(f"""WITH RECURSIVE {PLANE}, o AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS i FROM p),
+w AS (SELECT label, i, vec_id, x AS kx, z AS kz, true AS kept FROM o WHERE i = 1 UNION ALL SELECT label, i, vec_id, CASE WHEN far THEN x ELSE kx END, CASE WHEN far THEN z ELSE kz END, far
+ FROM (SELECT o.*, w.kx, w.kz, sqrt((w.kx - o.x)^2 + (w.kz - o.z)^2) >= 4.0 AS far FROM w JOIN o ON o.label = w.label AND o.i = w.i + 1)) SELECT label, vec_id FROM w WHERE kept""")
 def q_last_kept_run(spark, d):
     """Same-label runs without points closer than 4 to the last one kept: sequential, so one array per key."""
     pts = F.array_sort(F.collect_list(F.struct("vec_id", "x", "z")))

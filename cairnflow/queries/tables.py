@@ -35,7 +35,9 @@ def q_markdown_lines(spark, d):
     return sinks.markdown_lists(n.withColumn("line", line), "r_name", "n_name", "line")
 
 
-@query()
+@query("""WITH s AS (SELECT s_nationkey, '[' || string_agg('{"s_suppkey":' || s_suppkey || ',"s_name":"' || s_name || '"}', ',' ORDER BY s_suppkey, s_name) || ']' AS j FROM supplier GROUP BY 1),
+n AS (SELECT n_regionkey, '[' || string_agg('{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '"' || coalesce(',"suppliers":' || j, '') || '}', ',' ORDER BY n_nationkey, n_name) || ']' AS j FROM nation LEFT JOIN s ON s_nationkey = n_nationkey GROUP BY 1)
+SELECT r_regionkey, '{"r_name":"' || r_name || '"' || coalesce(',"nations":' || j, '') || '}' AS doc FROM region LEFT JOIN n ON n_regionkey = r_regionkey""")
 def q_nested_document(spark, d):
     """region > nation > suppliers as one JSON document per region."""
     s = read(spark, d, "supplier").groupBy("s_nationkey").agg(F.array_sort(F.collect_list(F.struct("s_suppkey", "s_name"))).alias("suppliers"))
