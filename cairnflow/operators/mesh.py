@@ -89,13 +89,15 @@ def wall_lines(meshes: DataFrame, keys: Sequence[str], material: str = "wall", s
     return face_lines(points, [*keys, "name", "face"], "x", "z")
 
 
-def navigation_resources(meshes: DataFrame, floor: str, required: Sequence = (), scale: int = 1000) -> tuple[DataFrame, DataFrame]:
+def navigation_resources(meshes: DataFrame, floor: str, required: Sequence = (), scale: int = 1000, include: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(vertices, polygons) of each floor from the faces of meshes (floor, name, vertices, faces).
 
     vertices: (floor, vertex, x, y, z), points equal to a thousandth are one, numbered by position. polygons: (floor, polygon, indexes),
     wound so that they face up; faces with under three distinct vertices go, and of polygons over the same vertices the first stays, in
-    the order of mesh names and faces. Raises if a required floor has no polygon.
+    the order of mesh names and faces. Raises if a required floor has no polygon. ``include``, a condition over the columns of meshes, says
+    which of them count: the filter reaches the scan.
     """
+    meshes = meshes if include is None else meshes.where(include)
     faces = meshes.select(F.col(floor).alias(floor), "name", "vertices", F.posexplode("faces").alias("face", "corner"))
     points = faces.select(floor, "name", "face", F.posexplode(F.transform("corner", lambda i: F.element_at("vertices", i.cast("int") + 1))).alias("at", "p"))
     points = points.withColumns({f"k{c}": F.rint(F.col(f"p.{c}") * scale).cast("long") for c in "xyz"})

@@ -84,6 +84,82 @@ def segment_intersect_join(left: DataFrame, right: DataFrame, left_id: str, righ
     return met.where(geo.segments_cross(list(map(F.col, l)), list(map(F.col, r)))).drop("__c").dropDuplicates([left_id, right_id])
 
 
+def _box_far(parts: Sequence[tuple[DataFrame, Sequence[str]]]) -> float:
+    """Diagonal of the box around all ends of the segments: no two of them are farther apart."""
+    ends = [df.select(F.col(c[k]).cast("double").alias("x"), F.col(c[k + 1]).cast("double").alias("z")) for df, c in parts for k in range(0, len(c), 2)]
+    every = ends[0]
+    for e in ends[1:]:
+        every = every.unionByName(e)
+    box = every.agg(F.min("x"), F.max("x"), F.min("z"), F.max("z")).first()
+    return 0.0 if box[0] is None else float(np.hypot(box[1] - box[0], box[3] - box[2]))
+
+
+def _between(a: Sequence[Column], b: Sequence[Column]) -> Column:
+    """struct<d, x, z>: distance of two segments and the point of the first that has it; for segments that cross the crossing."""
+    out = []
+    for k in (0, 2):
+        out.append(F.struct(geo.point_segment(a[k], a[k + 1], *b).alias("d"), a[k].alias("x"), a[k + 1].alias("z")))
+        t = geo.segment_t(b[k], b[k + 1], *a)
+        x, z = a[0] + t * (a[2] - a[0]), a[1] + t * (a[3] - a[1])
+        out.append(F.struct(geo.distance(b[k], b[k + 1], x, z).alias("d"), x.alias("x"), z.alias("z")))
+    p, q = geo.cross(*b, a[0], a[1]), geo.cross(*b, a[2], a[3])
+    t = p / F.when(p == q, F.lit(1.0)).otherwise(p - q)
+    met = F.struct(F.lit(0.0).alias("d"), (a[0] + t * (a[2] - a[0])).alias("x"), (a[1] + t * (a[3] - a[1])).alias("z"))
+    return F.when(geo.segments_cross(list(a), list(b)), met).otherwise(F.least(*out))
+
+
+def nearest_segments(left: DataFrame, right: DataFrame, left_id: str, right_id: str, l: Sequence[str], r: Sequence[str], radius: float, on: Sequence[str] = (), same: bool = False) -> DataFrame:
+    """(left_id, on, right_id, distance, x, z): for every left id the right id whose segments come nearest to its own, and the point on its own where they do.
+
+    An id may have many segments. Both are laid into cells of the radius, the left ones grown by it; it doubles for ids that have found
+    none until it covers both tables. Ties go to the smaller right id; ids without a right segment under their key are left out. Unless
+    ``same``, equal ids are one thing and never meet.
+    """
+    far = _box_far([(left, l), (right, r)])
+    hits, rest = [], left
+    while True:
+        a, b = [F.col(c) for c in l], [F.col(c) for c in r]
+        grown = _cells_of_box(F.least(a[0], a[2]) - radius, F.least(a[1], a[3]) - radius, F.greatest(a[0], a[2]) + radius, F.greatest(a[1], a[3]) + radius, radius)
+        met = rest.withColumn("__c", F.explode(grown)).join(right.withColumn("__c", F.explode(_cells_of_box(*b, radius))), ["__c", *on])
+        met = met if same else met.where(F.col(left_id) != F.col(right_id))
+        met = met.withColumn("__m", _between(a, b)).where(F.col("__m.d") <= radius)
+        best = met.groupBy(left_id, *on).agg(F.min(F.struct(F.col("__m.d").alias("d"), F.col(right_id).alias("o"), F.col("__m.x").alias("x"), F.col("__m.z").alias("z"))).alias("b"))
+        hits.append(checkpointed(best.select(left_id, *on, F.col("b.o").alias(right_id), F.col("b.d").alias("distance"), "b.x", "b.z")))
+        if radius > far:
+            break
+        rest = checkpointed(rest.join(hits[-1].select(left_id, *on), [left_id, *on], "left_anti"))
+        if rest.isEmpty():
+            break
+        radius *= 2
+    found = hits[0]
+    for hit in hits[1:]:
+        found = found.unionByName(hit)
+    return found
+
+
+def nearest_ring(points: DataFrame, rings: DataFrame, point_id: str, ring_id: str, x: str, z: str, ring: str, radius: float, on: Sequence[str] = ()) -> DataFrame:
+    """points with ``ring_id`` and ``distance`` of the ring that covers them (the smallest id of several, distance 0), else of the nearest one (the smaller id on a tie).
+
+    ring: array<struct<x, z>>. Points that no ring of their key is there for have nulls.
+    """
+    r = rings.select(ring_id, *on, geo.open_ring(F.col(ring)).alias("__r")).where(F.size("__r") >= 1)
+    side = lambda f, c: f(F.transform("__r", lambda p: p[c]))
+    box = _cells_of_box(side(F.array_min, "x"), side(F.array_min, "z"), side(F.array_max, "x"), side(F.array_max, "z"), radius)
+    p = points.select(point_id, *on, F.col(x).alias("__x"), F.col(z).alias("__z")).where("__x is not null and __z is not null")
+    own = p.withColumn("__c", F.struct(_cell(F.col("__x"), radius).alias("i"), _cell(F.col("__z"), radius).alias("j")))
+    edge = lambda e: geo.point_segment(F.col("__x"), F.col("__z"), e["a"]["x"], e["a"]["z"], e["b"]["x"], e["b"]["z"])
+    covers = geo.point_in_ring(F.col("__x"), F.col("__z"), F.col("__r")) | (F.array_min(F.transform(geo.ring_edges(F.col("__r")), edge)) <= geo.TINY)
+    inside = own.join(r.withColumn("__c", F.explode(box)), ["__c", *on]).where(covers).groupBy(point_id, *on).agg(F.min(ring_id).alias(ring_id))
+    inside = checkpointed(inside.withColumn("distance", F.lit(0.0)))
+    lines = r.select(ring_id, *on, F.explode(geo.ring_edges(F.col("__r"))).alias("e")).select(ring_id, *on, *(F.col(f"e.{s}.{c}").alias(f"__{s}{c}") for s in "ab" for c in "xz"))
+    lines = lines.withColumnRenamed(ring_id, "__ring")
+    rest = p.join(inside.select(point_id, *on), [point_id, *on], "left_anti").withColumnRenamed(point_id, "__point")
+    spots = rest.select("__point", *on, F.col("__x").alias("__x1"), F.col("__z").alias("__z1"), F.col("__x").alias("__x2"), F.col("__z").alias("__z2"))
+    near = nearest_segments(spots, lines, "__point", "__ring", ["__x1", "__z1", "__x2", "__z2"], ["__ax", "__az", "__bx", "__bz"], radius, on, same=True)
+    near = near.select(F.col("__point").alias(point_id), *on, F.col("__ring").alias(ring_id), "distance")
+    return points.join(inside.unionByName(near), [point_id, *on], "left")
+
+
 def raster_cells(df: DataFrame, x1: str, z1: str, x2: str, z2: str, size: float, least: float = 0.02) -> DataFrame:
     """Cells covered by at least the share ``least`` of their area, with the covered area. Boxes must have x1 <= x2 and z1 <= z2."""
     out = df.withColumn("__c", F.explode(_cells_of_box(F.col(x1), F.col(z1), F.col(x2), F.col(z2), size))).withColumns({"cx": F.col("__c.i"), "cz": F.col("__c.j")}).drop("__c")

@@ -31,6 +31,13 @@ def extra_segments(lines: DataFrame, first: int) -> DataFrame:
     return rel.global_row_number(s, ["line", "at"], "o").select("lon1", "lat1", "lon2", "lat2", "class", (F.col("o") + first).alias("ord"))
 
 
+def placed_lines(lines: DataFrame, cfg: CampusConfig) -> DataFrame:
+    """Hand-made polylines in placement coordinates (line, at, x, z, class) as (line, at, lon, lat, class) for ``extra_segments``; a missing class is an underpass."""
+    lon, lat = geo.from_campus(F.col("x").cast("double"), F.col("z").cast("double"), cfg.reference)
+    klass = F.coalesce(F.nullif(F.trim("class"), F.lit("")), F.lit("underpass"))
+    return lines.where("x is not null and z is not null").select("line", "at", lon.alias("lon"), lat.alias("lat"), klass.alias("class"))
+
+
 def road_graph(segments: DataFrame, cfg: CampusConfig) -> tuple[DataFrame, DataFrame]:
     """(nodes, edges): snapped, short dead ends pruned, islands bridged into one component."""
     x1, z1 = geo.to_campus(F.col("lon1"), F.col("lat1"), cfg.reference)

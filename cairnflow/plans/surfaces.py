@@ -18,7 +18,7 @@ def number_text(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(six, r"0+$", ""), r"\.$", "")
 
 
-def _ring(c: str) -> Column:
+def open_ring3(c: str) -> Column:
     """Open ring of struct<x, y, z>."""
     closed = (F.size(c) > 1) & (F.element_at(c, 1) == F.element_at(c, -1))
     return F.when(closed, F.slice(c, F.lit(1), F.size(c) - 1)).otherwise(F.col(c))
@@ -30,7 +30,7 @@ def dataset_meshes(ds: Dataset, openings: DataFrame | None = None, height: float
     openings: (floor_name, edge) from ``doors.wall_openings``; those edges get no wall.
     """
     cols = ["building", "floor_name", "external_id"]
-    both = ds.rooms.select(*cols, F.lit("room").alias("kind"), _ring("ring_local").alias("ring")).unionByName(ds.portals.select(*cols, "kind", _ring("ring_local").alias("ring")))
+    both = ds.rooms.select(*cols, F.lit("room").alias("kind"), open_ring3("ring_local").alias("ring")).unionByName(ds.portals.select(*cols, "kind", open_ring3("ring_local").alias("ring")))
     both = both.where(F.size("ring") >= 3).withColumn("name", F.concat_ws("_", "external_id", "floor_name"))
     xz = F.transform("ring", lambda p: F.struct(p["x"].alias("x"), p["z"].alias("z")))
     open_edges = F.array().cast("array<int>")
@@ -47,23 +47,29 @@ def dataset_meshes(ds: Dataset, openings: DataFrame | None = None, height: float
     return plate.unionByName(walls)
 
 
+def floor_glb(pdf: pd.DataFrame, low: float) -> bytes:
+    """One binary file of the meshes (name, material, vertices, faces), heights minus ``low``; upright faces are fans, others are triangulated as seen from above."""
+    parts = []
+    for r in pdf.sort_values("name").itertuples(index=False):
+        v = [(p["x"], p["y"] - low, p["z"]) for p in r.vertices]
+        tri = []
+        for f in r.faces:
+            f = [int(i) for i in f]
+            seen = [(v[i][0], v[i][2]) for i in f]
+            if len(f) == 4 and len(set(seen)) < 4:
+                tri += [[f[0], f[1], f[2]], [f[0], f[2], f[3]]]
+            elif len(f) >= 3:
+                tri += [[f[i] for i in t] for t in mesh.triangulate(seen)]
+        parts.append({"name": r.name, "material": r.material, "vertices": v, "triangles": tri})
+    return mesh.glb(parts)
+
+
 def floor_files(meshes: DataFrame) -> DataFrame:
     """(building, floor_name, content BINARY): one binary file per floor, heights relative to the floor's lowest point."""
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         low = min(p["y"] for vs in pdf["vertices"] for p in vs)
-        parts = []
-        for r in pdf.sort_values("name").itertuples(index=False):
-            v = [(p["x"], p["y"] - low, p["z"]) for p in r.vertices]
-            tri = []
-            for f in r.faces:
-                f = [int(i) for i in f]
-                if len(f) == 4 and r.material == "wall":
-                    tri += [[f[0], f[1], f[2]], [f[0], f[2], f[3]]]
-                elif len(f) >= 3:
-                    tri += [[f[i] for i in t] for t in mesh.triangulate([(v[i][0], v[i][2]) for i in f])]
-            parts.append({"name": r.name, "material": r.material, "vertices": v, "triangles": tri})
-        return pd.DataFrame({"building": [pdf["building"].iloc[0]], "floor_name": [pdf["floor_name"].iloc[0]], "content": [mesh.glb(parts)]})
+        return pd.DataFrame({"building": [pdf["building"].iloc[0]], "floor_name": [pdf["floor_name"].iloc[0]], "content": [floor_glb(pdf, low)]})
 
     return meshes.groupBy("building", "floor_name").applyInPandas(build, "building string, floor_name string, content binary")
 
@@ -141,6 +147,26 @@ def shared_boundaries(rooms: DataFrame, tolerance: float = 0.05, cell: float = 4
     return rel.first_by(j, ["room", "other"], [F.desc("length"), "at", "at2"]).select("room", "other", "x", "z", "length")
 
 
+def boundary_doors(rooms: DataFrame, origins: DataFrame, reach: float = 4.0, touch: float = 0.05) -> DataFrame:
+    """(room, other, x, z, source, confidence, distance): a door for rooms that no route reaches, on the boundary towards routeable places of their floor.
+
+    rooms: room, floor_name, ring array<struct<x, z>>; origins: other, floor_name, ring. The middle of the longest shared wall (confidence
+    medium) comes first; else the boundary point nearest to an origin's boundary, medium within 0.75, else low. A ring of one point is
+    an anchor. Ties go to the smaller ``other``. Rooms without an origin on their floor are left out.
+    """
+    both = rooms.select("room", "floor_name", "ring").unionByName(origins.select(F.col("other").alias("room"), "floor_name", "ring"))
+    both = both.where(F.size("ring") >= 3).dropDuplicates(["room", "floor_name"])
+    shared = shared_boundaries(both, touch).join(rooms.select("room").distinct(), "room", "left_semi").join(origins.select("other").distinct(), "other", "left_semi")
+    first = rel.first_by(shared, ["room"], [F.desc("length"), "other"])
+    first = first.select("room", "other", "x", "z", F.lit("geometry_shared_boundary_midpoint").alias("source"), F.lit("medium").alias("confidence"), F.lit(0.0).alias("distance"))
+    edges = lambda df, name, p: df.select(name, "floor_name", F.explode(geo.ring_edges(geo.open_ring(F.col("ring")))).alias("e")).select(name, "floor_name", F.col("e.at").alias(f"{p}at"), *(F.col(f"e.{s}.{c}").alias(f"{p}{s}{c}") for s in "ab" for c in "xz"))
+    left = edges(rooms.where(F.size("ring") >= 3).join(first.select("room"), "room", "left_anti"), "room", "r")
+    near = spatial.nearest_segments(left, edges(origins, "other", "o"), "room", "other", ["rax", "raz", "rbx", "rbz"], ["oax", "oaz", "obx", "obz"], reach, ["floor_name"])
+    level = F.when(F.col("distance") <= 0.75, "medium").otherwise("low")
+    second = near.select("room", "other", "x", "z", F.lit("geometry_nearest_routeable_boundary").alias("source"), level.alias("confidence"), "distance")
+    return first.unionByName(second)
+
+
 def walkable_cells(segments: DataFrame, walls: DataFrame | None, radius: float, size: float) -> DataFrame:
     """(floor_name, cx, cz): cells along route segments (floor_name, x1, z1, x2, z2) without those that walls run through."""
     free = spatial.buffer_cells(segments, "x1", "z1", "x2", "z2", radius, size).select("floor_name", "cx", "cz").distinct()

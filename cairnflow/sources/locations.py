@@ -97,6 +97,47 @@ def buildings(items: DataFrame, venue_table: DataFrame) -> DataFrame:
     return b.join(venue_table, "venue_id", "left").withColumn("venue_name", F.coalesce("venue_name", F.lit(""))).orderBy("slug")
 
 
+def stamp_urls(inventory: DataFrame, sync: Sequence[str], locations_url: str, details_url: str, solution: str, take: int = 1000) -> DataFrame:
+    """inventory with ``source_urls``: where its rows came from (the sync endpoints) and where the locations and details of each building are. ``{id}`` in details_url stands for the building's id."""
+    both = [F.lit(f"{u}?solutionId={solution}&v=5") for u in sync]
+    own = F.concat(F.lit(f"{locations_url}?building="), "admin_id", F.lit(f"&take={take}"))
+    head, _, tail = details_url.partition("{id}")
+    return inventory.withColumn("source_urls", F.array(*both, own, F.concat(F.lit(head), "building_id", F.lit(tail))))
+
+
+def read_through(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table at path; where it is not there yet, ``make()`` is written to it first. A table counts as there once its write is complete."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def inventory(spark: SparkSession, path: str, building_items: Callable[[], DataFrame], venue_items: Callable[[], DataFrame], admin_ids: Sequence[str] = (), venue_ids: Sequence[str] = (), **urls) -> DataFrame:
+    """Inventory dimension, read through ``path``: the two endpoints are asked only if it is not there. Building and venue ids restrict it where given; ``urls`` are the arguments of ``stamp_urls``."""
+
+    def make() -> DataFrame:
+        b = buildings(building_items(), venues(venue_items()))
+        for col, allowed in (("admin_id", admin_ids), ("venue_id", venue_ids)):
+            b = b.where(F.col(col).isin(*allowed)) if allowed else b
+        return stamp_urls(b, **urls) if urls else b
+
+    return read_through(spark, path, make).orderBy("slug")
+
+
+def graph_details(responses: DataFrame, key: str = "graph_id", body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """(entry points, graphs) from route graph documents. Entry points: key, at, lon, lat, zlevel (0 if there is none); those without two coordinates go.
+
+    Graphs: key, bbox (array of four, else null), and ``corrupt`` for a body that is no JSON, which has no entry points.
+    """
+    v = responses.select(key, F.try_parse_json(body).alias("v"))
+    e = v.select(key, F.posexplode(get(F.col("v"), "$.entryPoints", "array<variant>")).alias("at", "e"))
+    n = lambda k: get(F.col("e"), f"$.coordinates[{k}]", "double")
+    entries = e.select(key, "at", n(0).alias("lon"), n(1).alias("lat"), F.coalesce(n(2), F.lit(0.0)).alias("zlevel")).where("lon is not null and lat is not null")
+    box = get(F.col("v"), "$.bbox", "array<double>")
+    return entries, v.select(key, F.when(F.size(box) == 4, box).alias("bbox"), F.col("v").isNull().alias("corrupt"))
+
+
 # --- route responses ---
 
 _POINT = "struct<lng:double,lat:double,zLevel:double,floor_name:string>"

@@ -86,6 +86,16 @@ def catalog(df: DataFrame, title: str) -> DataFrame:
     return rows.select(F.concat(F.lit(f"# {title}\n\n"), F.col("n").cast("string"), F.lit(" buildings\n\n"), F.array_join(F.transform("r", lambda x: x["line"]), "\n"), F.lit("\n")).alias("document"))
 
 
+def glb_problems(files: DataFrame) -> DataFrame:
+    """(path, problem), every rule that binary meshes (path, content) break: header, version, declared length, a first chunk that is JSON and fits. Stays in the JVM."""
+    byte = lambda at: F.conv(F.hex(F.substring("content", at, 1)), 16, 10).cast("long")
+    number = lambda at: sum((byte(at + k) * 256**k for k in range(1, 4)), byte(at))
+    rules = [(F.substring("content", 1, 4) != F.lit(b"glTF"), "no glTF header"), (number(5) != 2, "version is not 2"), (number(9) != F.length("content"), "length differs"), (F.substring("content", 17, 4) != F.lit(b"JSON"), "first chunk is not JSON"), (number(13) + 20 > F.length("content"), "JSON chunk exceeds the file")]
+    found = F.array_compact(F.array(*(F.when(bad, name) for bad, name in rules)))
+    short = F.coalesce(F.length("content"), F.lit(0)) < 20
+    return files.select("path", F.explode(F.when(short, F.array(F.lit("too small"))).otherwise(found)).alias("problem"))
+
+
 def glb_issues(files: DataFrame) -> DataFrame:
     """(path, problem) of binary meshes (path, content) whose header, version or length is wrong, without leaving the JVM."""
     swap = lambda at: sum((F.conv(F.hex(F.substring("content", at + k, 1)), 16, 10).cast("long") * (256**k) for k in range(1, 4)), F.conv(F.hex(F.substring("content", at, 1)), 16, 10).cast("long"))
