@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..operators import mesh, spatial
 from .building import Dataset
-from .surfaces import floor_glb, open_ring3
+from .surfaces import dataset_meshes, floor_glb, open_ring3
 
 #: Slab thickness, padding of a derived slab, lift of a debug mesh over its floor (metres).
 THICKNESS, PADDING, LIFT = 0.12, 0.25, 0.08
@@ -97,6 +97,12 @@ def markers(ds: Dataset) -> DataFrame:
     return both.select("building", "floor_name", F.concat_ws("_", F.lit("marker"), "kind", "external_id", "floor_name").alias("name"), F.col("kind").alias("material"), square.alias("vertices"), F.array(F.array(*map(F.lit, range(4)))).alias("faces"))
 
 
+def all_meshes(ds: Dataset, openings: DataFrame | None = None, with_markers: bool = True) -> DataFrame:
+    """Every mesh of a dataset: slabs, plates, walls (without those that ``openings`` take out) and, if wanted, markers."""
+    out = floor_slabs(ds).unionByName(dataset_meshes(ds, openings))
+    return out.unionByName(markers(ds)) if with_markers else out
+
+
 # --- files per floor ---
 
 

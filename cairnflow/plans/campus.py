@@ -92,6 +92,34 @@ def pair_polylines(pairs: DataFrame, points: DataFrame, cfg: CampusConfig) -> Da
     return out
 
 
+def probe(nodes: DataFrame, edges: DataFrame, entrances: DataFrame, cap: float, most: float = 3.0, strict: dict[tuple[str, str], float] | None = None) -> DataFrame:
+    """(a, b, check, value): what a navigation test of the road graph finds wrong, empty if nothing.
+
+    nodes: id, x, z; edges: a, b, length; entrances: building, x, z, is_primary. ``snap`` (a and b the same building): no node within
+    ``cap`` of its primary entrance, value the distance. ``path``: no way between the nodes of two buildings. ``detour``: the way, with
+    both snaps, is over ``most`` times the straight line, or over the limit that ``strict`` sets for the pair (ids in order).
+    """
+    from ..operators import spatial
+
+    one = entrances.where("is_primary").select("building", "x", "z")
+    right = nodes.select(F.col("id").alias("node"), F.col("x").alias("nx"), F.col("z").alias("nz"))
+    near = rel.checkpointed(spatial.nearest_one(one, right, "building", "node", "x", "z", "nx", "nz", cap))
+    check = lambda df, b, name, value: df.select(F.col("a").cast("string").alias("a"), F.col(b).cast("string").alias("b"), F.lit(name).alias("check"), value.alias("value"))
+    snap = check(near.where(F.col("distance").isNull() | (F.col("distance") > cap)).withColumnRenamed("building", "a"), "a", "snap", F.col("distance"))
+    good = near.where(F.col("distance") <= cap)
+    way = graph.distances(good.select(F.col("node").alias("id")).distinct(), edges)
+    side = lambda s: good.select(F.col("building").alias(s), F.col("x").alias(f"x_{s}"), F.col("z").alias(f"z_{s}"), F.col("node").alias(f"n_{s}"), F.col("distance").alias(f"s_{s}"))
+    pairs = side("a").join(side("b"), F.col("a") < F.col("b"))
+    pairs = pairs.join(way.select(F.col("source").alias("n_a"), F.col("node").alias("n_b"), "distance"), ["n_a", "n_b"], "left")
+    straight = geo.distance(*map(F.col, ("x_a", "z_a", "x_b", "z_b")))
+    ratio = (F.col("distance") + F.col("s_a") + F.col("s_b")) / F.when(straight > geo.TINY, straight)
+    limit = F.lit(most)
+    for (p, q), value in (strict or {}).items():
+        limit = F.when((F.col("a") == p) & (F.col("b") == q), F.lit(value)).otherwise(limit)
+    lost = check(pairs.where("distance is null"), "b", "path", F.lit(None).cast("double"))
+    return snap.unionByName(lost).unionByName(check(pairs.withColumns({"ratio": ratio, "limit": limit}).where("ratio > limit"), "b", "detour", F.col("ratio")))
+
+
 def polylines(points: DataFrame, cfg: CampusConfig) -> DataFrame:
     """(route_id, line): one simplified polyline per route; indoor steps keep their ends only, repeated points go."""
     from pyspark.sql import Window

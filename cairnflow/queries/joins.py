@@ -296,3 +296,15 @@ def q_room_doors(spark, d):
     ring = F.array(*(F.struct(F.lit(x).alias("lon"), F.lit(z).alias("lat")) for x, z in _BOX))
     found = doors.room_doors(lines, e.select("edge", ring.alias("ring")), "edge")
     return found.select("edge", milli(F.col("lon")).alias("dx"), milli(F.col("lat")).alias("dz"), "source", "confidence")
+
+
+@query(f"""WITH {PLANE}, r AS (SELECT vec_id AS ring, label, x AS x0, z AS z0, x + 6 AS x1, z + 4 AS z1 FROM p WHERE vec_id % 8 = 0),
+k AS (SELECT p.vec_id, r.ring, sqrt(greatest(x0 - x, 0, x - x1)^2 + greatest(z0 - z, 0, z - z1)^2) AS dist FROM p JOIN r ON p.label = r.label AND p.vec_id % 8 <> 0)
+SELECT vec_id, ring, round(dist * 1000)::BIGINT AS dist FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, ring) AS rn FROM k) WHERE rn = 1""")
+def q_nearest_ring(spark, d):
+    """The box that covers a point, else the nearest one, of its own label."""
+    p = plane(spark, d)
+    corner = lambda i, j: F.struct((F.col("x") + i).alias("x"), (F.col("z") + j).alias("z"))
+    boxes = p.where("vec_id % 8 = 0").select(F.col("vec_id").alias("ring"), "label", F.array(corner(0.0, 0.0), corner(6.0, 0.0), corner(6.0, 4.0), corner(0.0, 4.0)).alias("line"))
+    near = spatial.nearest_ring(p.where("vec_id % 8 <> 0"), boxes, "vec_id", "ring", "x", "z", "line", 8.0, ["label"])
+    return near.where("ring is not null").select("vec_id", "ring", milli(F.col("distance")).alias("dist"))

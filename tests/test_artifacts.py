@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cairnflow.functions.geo import Reference
-from cairnflow.operators import mesh, spatial
+from cairnflow.operators import graph, mesh, spatial
 from cairnflow.plans import artifacts, campus, surfaces
 from cairnflow.plans.building import Dataset
 from cairnflow.sources import locations, sinks
@@ -193,3 +193,36 @@ def test_placed_lines(spark):
     x, z = geo.to_campus(F.col("lon"), F.col("lat"), cfg.reference)
     assert [(round(r.x, 6), round(r.z, 6)) for r in got.orderBy("at").select(x.alias("x"), z.alias("z")).collect()] == [(10.0, 20.0), (30.0, 20.0)]
     assert campus.extra_segments(got, 5).first().ord == 5
+
+
+def test_distances_and_probe(spark):
+    rnd = random.Random(3)
+    spots = {n: (rnd.uniform(0, 50), rnd.uniform(0, 50)) for n in range(40)}
+    links = {(min(u, v), max(u, v)): rnd.uniform(1, 20) for u, v in ((rnd.randrange(30), rnd.randrange(30)) for _ in range(60)) if u != v}
+    edges = spark.createDataFrame([(u, v, w) for (u, v), w in links.items()], "a long, b long, length double")
+    best = {(s, s): 0.0 for s in (0, 7, 35)}
+    for s in (0, 7, 35):
+        for _ in range(40):
+            for (u, v), w in links.items():
+                for p, q in ((u, v), (v, u)):
+                    if (s, p) in best:
+                        best[s, q] = min(best.get((s, q), 1e18), best[s, p] + w)
+    starts = spark.createDataFrame([(0,), (7,), (35,), (7,), (None,)], "id long")
+    got = {(r.source, r.node): r.distance for r in graph.distances(starts, edges).collect()}
+    assert got.keys() == best.keys() and all(abs(got[k] - best[k]) < 1e-9 for k in got)
+    near = {(r.source, r.node) for r in graph.distances(starts, edges, within=15.0).collect()}
+    assert near == {k for k, d in best.items() if d <= 15.0}
+
+    nodes = spark.createDataFrame([(0, 0.0, 0.0), (1, 100.0, 0.0), (2, 100.0, 10.0), (3, 0.0, 10.0), (4, 500.0, 0.0)], "id long, x double, z double")
+    road = spark.createDataFrame([(0, 1, 100.0), (1, 2, 10.0), (2, 3, 100.0)], "a long, b long, length double")
+    doors = spark.createDataFrame([("A", 0.0, 1.0, True), ("B", 0.0, 9.0, True), ("C", 99.0, 0.0, True), ("D", 500.0, 0.0, True), ("E", 900.0, 0.0, True), ("A", 9.0, 9.0, False)], "building string, x double, z double, is_primary boolean")
+    found = {(r.a, r.b, r.check): r.value for r in campus.probe(nodes, road, doors, 5.0, strict={("A", "C"): 1.01}).collect()}
+    assert found.keys() == {("A", "B", "detour"), ("A", "C", "detour"), ("E", "E", "snap"), ("A", "D", "path"), ("B", "D", "path"), ("C", "D", "path")}
+    assert abs(found["A", "B", "detour"] - 212 / 8) < 1e-9 and found["E", "E", "snap"] == 400.0
+    assert campus.probe(nodes, road, doors.where("building = 'A'"), 5.0).isEmpty()
+
+
+def test_all_meshes(spark):
+    got = artifacts.all_meshes(dataset(spark)).groupBy("material").count().collect()
+    assert {r.material: r["count"] for r in got} == {"floor": 3, "room": 4, "wall": 5, "stair": 2, "anchor": 4}
+    assert artifacts.all_meshes(dataset(spark), with_markers=False).where("name like 'marker%'").isEmpty()
