@@ -167,7 +167,7 @@ def hull(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
 
 
 def triangulate(ring: list[tuple[float, float]]) -> list[list[int]]:
-    """Ears of a simple polygon as index triples; a fan over what is left if no ear is found."""
+    """Ears of a simple polygon as index triples; where no ear is found, a fan over the whole polygon."""
 
     def turn(a, b, c):
         return (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
@@ -187,10 +187,38 @@ def triangulate(ring: list[tuple[float, float]]) -> list[list[int]]:
                 del left[k]
                 break
         else:
-            return out + [[left[0], left[k], left[k + 1]] for k in range(1, len(left) - 1)]
+            return [[0, k, k + 1] for k in range(1, len(ring) - 1)]
     return out + [left] if len(left) == 3 else out
 
 
+def triangulate_face(face: Sequence[int], vertices: Sequence[tuple[float, float, float]]) -> list[list[int]]:
+    """Triangles of a flat polygon in space as vertex numbers, each wound like the face.
+
+    Numbers out of range and corners on the spot of the one before go first; a face with under three left has no triangle. Ears are cut
+    along the axis that the face's normal is nearest to; a face without area is a fan.
+    """
+    kept: list[int] = []
+    for i in face:
+        if 0 <= i < len(vertices) and not (kept and math.dist(vertices[kept[-1]], vertices[i]) < 1e-9):
+            kept.append(int(i))
+    while len(kept) > 1 and math.dist(vertices[kept[0]], vertices[kept[-1]]) < 1e-9:
+        kept.pop()
+    if len(kept) < 3:
+        return []
+    p = [vertices[i] for i in kept]
+    flat = lambda axis: [(q[(axis + 1) % 3], q[(axis + 2) % 3]) for q in p]
+    twice = [sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(s, s[1:] + s[:1], strict=True)) for s in map(flat, range(3))]
+    axis = max(range(3), key=lambda k: abs(twice[k]))
+    if abs(twice[axis]) < 2e-9:
+        return [[kept[0], kept[k], kept[k + 1]] for k in range(1, len(kept) - 1)]
+    seen, out = flat(axis), []
+    for i, j, k in triangulate(seen):
+        (ax, ay), (bx, by), (cx, cy) = seen[i], seen[j], seen[k]
+        turn = (bx - ax) * (cy - ay) - (by - ay) * (cx - ax)
+        out.append([kept[i], kept[k], kept[j]] if turn * twice[axis] < 0 else [kept[i], kept[j], kept[k]])
+    return out
+
+
 def _xz(points) -> list[tuple[float, float]]:
     return [(float(p["x"]), float(p["z"])) for p in points]
 
@@ -266,7 +294,7 @@ def glb_files(meshes: DataFrame, key: str) -> DataFrame:
         out = []
         for r in pdf.sort_values("name").itertuples(index=False):
             v = [(p["x"], p["y"], p["z"]) for p in r.ring]
-            out.append({"name": r.name, "material": r.material, "vertices": v, "triangles": triangulate([(p[0], p[2]) for p in v])})
+            out.append({"name": r.name, "material": r.material, "vertices": v, "triangles": triangulate_face(range(len(v)), v)})
         return pd.DataFrame({key: [pdf[key].iloc[0]], "content": [glb(out)]})
 
     return meshes.groupBy(key).applyInPandas(build, f"{key} {dict(meshes.dtypes)[key]}, content binary")

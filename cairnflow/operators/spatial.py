@@ -77,9 +77,24 @@ def _cells_of_box(x1, z1, x2, z2, size: float) -> Column:
     return F.flatten(F.transform(span(x1, x2), lambda i: F.transform(span(z1, z2), lambda j: F.struct(i.alias("i"), j.alias("j")))))
 
 
+def _cells_of_line(x1, z1, x2, z2, size: float) -> Column:
+    """Cells that the segment runs through, column by column: as many as it is long, not as many as its box has. Borders are taken a little wider."""
+    lo, hi, low, high = F.least(x1, x2), F.greatest(x1, x2), F.least(z1, z2), F.greatest(z1, z2)
+    slope = (z2 - z1) / F.when(x1 == x2, F.lit(1.0)).otherwise(x2 - x1)
+    at = lambda x: F.greatest(low, F.least(high, z1 + (x - x1) * slope))
+    margin = 1e-7 * size
+
+    def column(i: Column) -> Column:
+        a, b = at(F.greatest(lo, i * size)), at(F.least(hi, (i + 1) * size))
+        bottom, top = F.when(x1 == x2, low).otherwise(F.least(a, b)) - margin, F.when(x1 == x2, high).otherwise(F.greatest(a, b)) + margin
+        return F.transform(F.sequence(_cell(bottom, size), _cell(top, size)), lambda j: F.struct(i.alias("i"), j.alias("j")))
+
+    return F.flatten(F.transform(F.sequence(_cell(lo - margin, size), _cell(hi + margin, size)), column))
+
+
 def segment_intersect_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, l: Sequence[str], r: Sequence[str], size: float, on: Sequence[str] = ()) -> DataFrame:
-    """Pairs of segments whose interiors cross; both are laid into the cells of their boxes. l, r: names of x1, z1, x2, z2."""
-    cells = lambda d, c: d.withColumn("__c", F.explode(_cells_of_box(*map(F.col, c), size)))
+    """Pairs of segments whose interiors cross; both are laid into the cells they run through. l, r: names of x1, z1, x2, z2."""
+    cells = lambda d, c: d.withColumn("__c", F.explode(_cells_of_line(*map(F.col, c), size)))
     met = cells(left, l).join(cells(right, r), ["__c", *on]).where(F.col(left_id) != F.col(right_id))
     return met.where(geo.segments_cross(list(map(F.col, l)), list(map(F.col, r)))).drop("__c").dropDuplicates([left_id, right_id])
 
@@ -120,7 +135,7 @@ def nearest_segments(left: DataFrame, right: DataFrame, left_id: str, right_id:
     while True:
         a, b = [F.col(c) for c in l], [F.col(c) for c in r]
         grown = _cells_of_box(F.least(a[0], a[2]) - radius, F.least(a[1], a[3]) - radius, F.greatest(a[0], a[2]) + radius, F.greatest(a[1], a[3]) + radius, radius)
-        met = rest.withColumn("__c", F.explode(grown)).join(right.withColumn("__c", F.explode(_cells_of_box(*b, radius))), ["__c", *on])
+        met = rest.withColumn("__c", F.explode(grown)).join(right.withColumn("__c", F.explode(_cells_of_line(*b, radius))), ["__c", *on])
         met = met if same else met.where(F.col(left_id) != F.col(right_id))
         met = met.withColumn("__m", _between(a, b)).where(F.col("__m.d") <= radius)
         best = met.groupBy(left_id, *on).agg(F.min(F.struct(F.col("__m.d").alias("d"), F.col(right_id).alias("o"), F.col("__m.x").alias("x"), F.col("__m.z").alias("z"))).alias("b"))

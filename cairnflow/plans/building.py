@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import floors, geo, text
@@ -27,7 +27,7 @@ def normalise(found: DataFrame, rejects: DataFrame, building: str, building_id:
     """Typed locations to a dataset: floors get a dense index, portals are told from rooms by type and id."""
     names = found.select("floor_name").distinct()
     index = rel.dense_index(names, [], [floors.base_sort_key(F.col("floor_name")), "floor_name"], "floor_index")
-    rows = found.join(F.broadcast(index), "floor_name").withColumn("kind", text.portal_kind(F.col("location_type"), F.col("external_id")))
+    rows = found.join(index, "floor_name").withColumn("kind", text.portal_kind(F.col("location_type"), F.col("external_id")))
     rows = rows.withColumn("building", F.lit(building))
     rooms = rows.where("kind = ''").drop("kind").withColumns({
         "category": text.keyword_category(F.concat_ws(" ", "display_name", "type")),
@@ -59,6 +59,18 @@ def vertical_links(portals: DataFrame) -> DataFrame:
     return rel.chain_links(p, ["kind", "group_id", "building"], "floor_index", ["external_id", "source_id"], ["external_id", "source_id", "node_name"])
 
 
+def write_dataset(ds: Dataset, path: str) -> None:
+    """Each table of the dataset as Parquet below path; rooms and portals by floor, so that one floor reads its own files alone."""
+    for name in ("floors", "rooms", "portals", "issues"):
+        w = getattr(ds, name).write.mode("overwrite")
+        (w.partitionBy("floor_index") if name in ("rooms", "portals") else w).parquet(f"{path}/{name}")
+
+
+def read_dataset(spark: SparkSession, path: str) -> Dataset:
+    """The dataset that ``write_dataset`` wrote; an error if a table is missing."""
+    return Dataset(*(spark.read.parquet(f"{path}/{name}") for name in ("floors", "rooms", "portals", "issues")))
+
+
 def issues(ds: Dataset) -> DataFrame:
     """Rule violations: missing anchors are errors, a building without rooms and placeholder groups are warnings."""
     row = lambda df, severity, code, subject: df.select(F.lit(severity).alias("severity"), F.lit(code).alias("code"), F.col(subject).alias("subject"))

@@ -181,6 +181,22 @@ def placement(doors: DataFrame, ref: geo.Reference, key: str = "building") -> Da
     return doors.select(key, "entry_id", (cx - F.col("x") * ref.scale).alias("origin_x"), (cz + F.col("z") * ref.scale).alias("origin_z"), F.lit(ref.scale).alias("scale"))
 
 
+def transforms(doors: DataFrame, ref: geo.Reference, key: str = "building", height: float = 0.0, overrides: dict[str, tuple[float, float, float]] | None = None) -> DataFrame:
+    """(key, entry_id, basis, origin): the transform of every building from its placement door (lon, lat, x, y, z).
+
+    basis: three rows of the scale, z mirrored; origin: (x, y, z) to six decimals, so that the door lies on its place on the campus and
+    at ``height``, that of the reference entrance. A building of ``overrides`` gets the origin given there.
+    """
+    s = round(float(ref.scale), 8)
+    row = lambda *v: F.array(*map(F.lit, v))
+    basis = F.array(row(s, 0.0, 0.0), row(0.0, s, 0.0), row(0.0, 0.0, -s))
+    placed = placement(doors, ref, key).join(doors.select(key, F.coalesce("y", F.lit(0.0)).alias("y")), key)
+    origin = F.array(F.col("origin_x"), F.lit(height) - F.col("y") * ref.scale, F.col("origin_z"))
+    for name, fixed in (overrides or {}).items():
+        origin = F.when(F.col(key) == name, row(*map(float, fixed))).otherwise(origin)
+    return placed.select(key, "entry_id", basis.alias("basis"), F.transform(origin, lambda v: F.round(v, 6)).alias("origin"))
+
+
 def audit(placed: DataFrame, reference: DataFrame, key: str = "building", centre: float = 25.0, size: tuple[float, float] = (0.55, 1.8), entrance: float = 1.0, exempt: tuple[str, ...] = ()) -> DataFrame:
     """(key, check, value) of every exceeded limit: centre offset, size ratio, entrance error. Both sides: key, cx, cz, width, ex, ez."""
     j = placed.alias("p").join(reference.alias("q"), key).where(~F.col(key).isin(*exempt) if exempt else F.lit(True))

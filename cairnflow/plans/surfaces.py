@@ -48,18 +48,11 @@ def dataset_meshes(ds: Dataset, openings: DataFrame | None = None, height: float
 
 
 def floor_glb(pdf: pd.DataFrame, low: float) -> bytes:
-    """One binary file of the meshes (name, material, vertices, faces), heights minus ``low``; upright faces are fans, others are triangulated as seen from above."""
+    """One binary file of the meshes (name, material, vertices, faces), heights minus ``low``; triangles are wound like their faces."""
     parts = []
     for r in pdf.sort_values("name").itertuples(index=False):
         v = [(p["x"], p["y"] - low, p["z"]) for p in r.vertices]
-        tri = []
-        for f in r.faces:
-            f = [int(i) for i in f]
-            seen = [(v[i][0], v[i][2]) for i in f]
-            if len(f) == 4 and len(set(seen)) < 4:
-                tri += [[f[0], f[1], f[2]], [f[0], f[2], f[3]]]
-            elif len(f) >= 3:
-                tri += [[f[i] for i in t] for t in mesh.triangulate(seen)]
+        tri = [t for f in r.faces for t in mesh.triangulate_face(f, v)]
         parts.append({"name": r.name, "material": r.material, "vertices": v, "triangles": tri})
     return mesh.glb(parts)
 

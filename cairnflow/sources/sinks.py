@@ -86,6 +86,40 @@ def catalog(df: DataFrame, title: str) -> DataFrame:
     return rows.select(F.concat(F.lit(f"# {title}\n\n"), F.col("n").cast("string"), F.lit(" buildings\n\n"), F.array_join(F.transform("r", lambda x: x["line"]), "\n"), F.lit("\n")).alias("document"))
 
 
+def catalog_details(df: DataFrame) -> DataFrame:
+    """(admin_id, entry, section): the line of every building in the index of a Markdown catalog, and its section.
+
+    df: admin_id, display_name, slug, status, venue_name, rooms, floors, portals, artifacts (map of name to path), warnings, errors,
+    source_urls (arrays). Entry and section share an anchor; names are made of letters, digits and hyphens. Sections link the files in
+    the order of their names and the first four sources, and give the first error, else the first warning. ``catalog_pages`` joins them.
+    """
+    head = F.trim(F.concat_ws(" - ", F.coalesce("admin_id", F.lit("")), F.coalesce("display_name", F.lit(""))))
+    anchor = F.regexp_replace(F.regexp_replace(F.trim(F.regexp_replace(F.lower(head), "[^a-z0-9 -]", "")), r"\s+", "-"), "-+", "-")
+    counts = F.concat_ws(", ", *(F.concat(F.coalesce(F.col(c), F.lit(0)).cast("string"), F.lit(f" {c}")) for c in ("rooms", "floors", "portals")))
+    status = F.coalesce("status", F.lit("unknown"))
+    some = lambda c: F.coalesce(F.size(c), F.lit(0)) > 0
+    files = F.array_join(F.transform(F.array_sort(F.map_entries("artifacts")), lambda e: F.concat(F.lit("["), e["key"], F.lit("]("), e["value"], F.lit(")"))), ", ")
+    first = lambda c: F.concat(F.size(c).cast("string"), F.lit(f" {c}, the first: "), F.element_at(c, 1))
+    notes = F.when(some("errors"), first("errors")).when(some("warnings"), first("warnings")).otherwise("none")
+    links = F.array_join(F.transform(F.slice("source_urls", 1, 4), lambda u, i: F.concat(F.lit("[source "), (i + 1).cast("string"), F.lit("]("), u, F.lit(")"))), ", ")
+    line = lambda label, value: F.concat(F.lit(f"- {label}: "), value)
+    body = [
+        F.concat(F.lit('<a id="'), anchor, F.lit('"></a>')), F.concat(F.lit("### "), head), F.lit(""), line("Status", status), line("Slug", F.coalesce("slug", F.lit(""))),
+        line("Venue", F.coalesce(F.nullif("venue_name", F.lit("")), F.lit("unknown"))), line("Counts", counts), line("Files", F.when(some("artifacts"), files).otherwise("none")), line("Notes", notes), F.when(some("source_urls"), line("Sources", links)),
+    ]
+    entry = F.concat(F.lit("- ["), head, F.lit("](#"), anchor, F.lit("): "), status, F.lit(", "), counts)
+    return df.select("admin_id", entry.alias("entry"), F.concat_ws("\n", *body).alias("section"))
+
+
+def catalog_pages(df: DataFrame, title: str) -> DataFrame:
+    """(document): one Markdown page with the counts by status, the index and the sections of ``catalog_details``, both by admin_id. One page is one row: a campus, not a corpus."""
+    count = lambda s: F.count_if(F.col("status") == s).cast("string")
+    sums = df.agg(F.concat_ws("\n", F.concat(F.lit("- total: "), F.count(F.lit(1)).cast("string")), *(F.concat(F.lit(f"- {s}: "), count(s)) for s in ("generated", "skipped", "failed"))).alias("sums"))
+    rows = catalog_details(df).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("admin_id", F.lit("")), "entry", "section"))).alias("r"))
+    joined = lambda name, sep: F.array_join(F.transform("r", lambda x: x[name]), sep)
+    return rows.join(F.broadcast(sums)).select(F.concat(F.lit(f"# {title}\n\n"), "sums", F.lit("\n\n## Index\n\n"), joined("entry", "\n"), F.lit("\n\n## Buildings\n\n"), joined("section", "\n\n"), F.lit("\n")).alias("document"))  # two rows of one
+
+
 def glb_problems(files: DataFrame) -> DataFrame:
     """(path, problem), every rule that binary meshes (path, content) break: header, version, declared length, a first chunk that is JSON and fits. Stays in the JVM."""
     byte = lambda at: F.conv(F.hex(F.substring("content", at, 1)), 16, 10).cast("long")

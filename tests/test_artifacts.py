@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cairnflow.functions.geo import Reference
 from cairnflow.operators import graph, mesh, spatial
-from cairnflow.plans import artifacts, campus, surfaces
+from cairnflow.plans import artifacts, building, campus, doors, surfaces
 from cairnflow.plans.building import Dataset
 from cairnflow.sources import locations, sinks
 from cairnflow.sources.config import CampusConfig
@@ -226,3 +226,76 @@ def test_all_meshes(spark):
     got = artifacts.all_meshes(dataset(spark)).groupBy("material").count().collect()
     assert {r.material: r["count"] for r in got} == {"floor": 3, "room": 4, "wall": 5, "stair": 2, "anchor": 4}
     assert artifacts.all_meshes(dataset(spark), with_markers=False).where("name like 'marker%'").isEmpty()
+
+
+def test_triangulate_face():
+    wall = [(0.0, 0.0, 0.0), (4.0, 0.0, 0.0), (4.0, 3.0, 0.0), (0.0, 3.0, 0.0)]
+
+    def vector(t, v):
+        a, b, c = (v[i] for i in t)
+        u, w = [b[k] - a[k] for k in range(3)], [c[k] - a[k] for k in range(3)]
+        return [u[(k + 1) % 3] * w[(k + 2) % 3] - u[(k + 2) % 3] * w[(k + 1) % 3] for k in range(3)]
+
+    for face, sign in (([0, 1, 2, 3], 1), ([3, 2, 1, 0], -1)):
+        got = mesh.triangulate_face(face, wall)
+        assert len(got) == 2 and sum(vector(t, wall)[2] for t in got) == sign * 24
+    assert mesh.triangulate_face([0, 0, 1, 9, 2, 2, 3, 0, -1], wall) == mesh.triangulate_face([0, 1, 2, 3], wall)
+    assert mesh.triangulate_face([0, 1, 1], wall) == [] and mesh.triangulate_face([], wall) == []
+    ell = [(0.0, 0.0, 0.0), (0.0, 0.0, 4.0), (0.0, 2.0, 4.0), (0.0, 2.0, 2.0), (0.0, 4.0, 2.0), (0.0, 4.0, 0.0)]
+    for face in (range(6), range(5, -1, -1)):
+        got = mesh.triangulate_face(face, ell)
+        signs = {vector(t, ell)[0] > 0 for t in got}
+        assert len(got) == 4 and len(signs) == 1 and sum(abs(vector(t, ell)[0]) for t in got) / 2 == 12
+    line = [(0.0, 0.0, 0.0), (1.0, 0.0, 0.0), (2.0, 0.0, 0.0), (3.0, 0.0, 0.0)]
+    assert mesh.triangulate_face([0, 1, 2, 3], line) == [[0, 1, 2], [0, 2, 3]]
+
+
+def test_crossings_of_long_lines(spark):
+    rnd = random.Random(8)
+    lines = [(n, *(rnd.uniform(-60, 60) for _ in range(4))) for n in range(60)] + [(60, -50.0, 3.0, 50.0, 3.0), (61, 8.0, -50.0, 8.0, 50.0), (62, -48.0, -48.0, 48.0, 48.0)]
+
+    def side(a, b, c):
+        return (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+
+    def cross(p, q):
+        a, b, c, d = p[1:3], p[3:5], q[1:3], q[3:5]
+        return side(a, b, c) * side(a, b, d) < 0 and side(c, d, a) * side(c, d, b) < 0
+
+    names = ["x1", "z1", "x2", "z2"]
+    left = spark.createDataFrame(lines, "l long, x1 double, z1 double, x2 double, z2 double")
+    right = left.toDF("r", "u1", "v1", "u2", "v2")
+    got = {(r.l, r.r) for r in spatial.segment_intersect_join(left, right, "l", "r", names, ["u1", "v1", "u2", "v2"], 4.0).select("l", "r").collect()}
+    assert got == {(p[0], q[0]) for p in lines for q in lines if p[0] != q[0] and cross(p, q)}
+    n = left.where("l = 62").select(F.size(spatial._cells_of_line(*map(F.col, names), 4.0)).alias("n")).first().n
+    assert n < 100
+
+
+def test_dataset_is_read_back(spark, tmp_path):
+    ds = dataset(spark)
+    number = lambda df: df.withColumn("floor_index", F.col("floor_name").cast("int"))
+    ds = Dataset(ds.floors, number(ds.rooms), number(ds.portals), ds.issues)
+    building.write_dataset(ds, str(tmp_path / "ds"))
+    again = building.read_dataset(spark, str(tmp_path / "ds"))
+    for name in ("floors", "rooms", "portals", "issues"):
+        a, b = getattr(ds, name), getattr(again, name)
+        assert sorted(map(repr, b.select(a.columns).collect())) == sorted(map(repr, a.collect()))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        building.read_dataset(spark, str(tmp_path / "none"))
+
+
+def test_transforms(spark):
+    ref = Reference(174.0, -36.0, (1.0, 2.0), (10.0, 20.0), 2.0)
+    d = spark.createDataFrame([("A", "e1", 174.0, -36.0, 3.0, 1.5, 4.0), ("B", "e2", 174.0, -36.0, 3.0, None, 4.0)], "building string, entry_id string, lon double, lat double, x double, y double, z double")
+    got = {r.building: r for r in doors.transforms(d, ref, height=7.0, overrides={"B": (1, 2, 3)}).collect()}
+    assert got["A"].basis == [[2.0, 0.0, 0.0], [0.0, 2.0, 0.0], [0.0, 0.0, -2.0]] and got["B"].origin == [1.0, 2.0, 3.0]
+    assert got["A"].origin == [ref.x - 6.0, 4.0, ref.z + 8.0]
+
+
+def test_catalog_pages(spark):
+    schema = "admin_id string, display_name string, slug string, status string, venue_name string, rooms int, floors int, portals int, artifacts map<string,string>, warnings array<string>, errors array<string>, source_urls array<string>"
+    rows = [("20", "Mill (old)", "20-mill", "generated", "North", 5, 2, 1, {"nav": "m/n.glb", "manifest": "m/m.json"}, ["w1", "w2"], [], ["u1", "u2", "u3", "u4", "u5"]), ("10", "Barn", "10-barn", "failed", None, None, None, None, None, None, ["bad"], None)]
+    text = sinks.catalog_pages(spark.createDataFrame(rows, schema), "Campus").first().document
+    assert text.startswith("# Campus\n\n- total: 2\n- generated: 1\n- skipped: 0\n- failed: 1\n\n## Index\n\n- [10 - Barn](#10-barn): failed, 0 rooms, 0 floors, 0 portals\n- [20 - Mill (old)](#20-mill-old)")
+    assert '<a id="20-mill-old"></a>\n### 20 - Mill (old)' in text and "[manifest](m/m.json), [nav](m/n.glb)" in text and "[source 4](u4)" in text and "u5" not in text
+    assert "- Notes: 1 errors, the first: bad" in text and "- Notes: 2 warnings, the first: w1" in text and text.count("- Files: none") == 1
+    assert "## Buildings" in sinks.catalog_pages(spark.createDataFrame([], schema), "Campus").first().document
