@@ -12,7 +12,11 @@ from .registry import PLANE, milli, plane, query, read
 from .scalars import _quads
 
 
-@query()
+_HULL = f"""{PLANE}, h AS (SELECT a.label, a.x AS x1, a.z AS z1, b.x AS x2, b.z AS z2 FROM p a JOIN p b ON a.label = b.label AND a.vec_id <> b.vec_id
+ WHERE NOT EXISTS (SELECT 1 FROM p c WHERE c.label = a.label AND c.vec_id <> a.vec_id AND c.vec_id <> b.vec_id AND (b.x - a.x) * (c.z - a.z) - (b.z - a.z) * (c.x - a.x) < 0))"""
+
+
+@query(f"WITH {_HULL} SELECT label, count(*)::INTEGER AS corners, round(sum(x1 * z2 - x2 * z1) / 2 * 1000)::BIGINT AS area FROM h GROUP BY 1")
 def q_convex_hull(spark, d):
     pts = F.array_sort(F.collect_list(F.struct("x", "z")))
     g = plane(spark, d).groupBy("label").agg(pts.alias("p"))
@@ -42,7 +46,7 @@ def q_localise(spark, d):
     return _ring3(spark, d).select("ring", milli(local[0]["y"]).alias("y"))
 
 
-@query()
+@query(f"WITH {_HULL} SELECT label, (count(*) - 2)::INTEGER AS triangles, true AS same_area FROM h GROUP BY 1")
 def q_triangulate_area(spark, d):
     """Ear clipping: the triangles' areas add up to the hull's area."""
     pts = F.array_sort(F.collect_list(F.struct("x", "z")))

@@ -31,7 +31,7 @@ def q_identifiers(spark, d):
     return read(spark, d, "part").select("p_partkey", text.underscore_slug(c).alias("under"), text.pascal(c).alias("pascal"), text.node_name(c).alias("node"), text.group_token(F.col("p_brand")).alias("token"))
 
 
-@query()
+@query(r"""SELECT doc_id, trim(regexp_replace(regexp_replace(translate(regexp_replace(strip_accents(text), '[^\x00-\x7F]', '', 'g'), '/\"', '--'''), '[\x00-\x1f:]+', ' ', 'g'), '\s+', ' ', 'g')) AS folded FROM documents""")
 def q_ascii_fold(spark, d):
     return read(spark, d, "documents").select("doc_id", text.clean_node_text(F.col("text")).alias("folded"))
 
