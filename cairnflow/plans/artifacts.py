@@ -75,7 +75,7 @@ def floor_slabs(ds: Dataset, size: float = 0.25, padding: float = PADDING) -> Da
     inside = geo.point_in_ring(*mid, F.col("ring")) | (F.array_min(F.transform(geo.ring_edges(F.col("ring")), edge)) <= padding)
     cells = cells.where(inside).groupBy(*key, F.col("c.i").alias("i"), F.col("c.j").alias("j")).agg(F.min("y").alias("y"))
 
-    def trace(k, pdf: pd.DataFrame) -> pd.DataFrame:
+    def trace(k: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         y = float(pdf["y"].min())
         parts = outlines(list(zip(pdf["i"].tolist(), pdf["j"].tolist(), strict=True)))
         rows = [[{"x": i * size, "y": y, "z": j * size} for i, j in ring] for ring in parts]
@@ -120,7 +120,7 @@ def floor_artifacts(visual: DataFrame, routes: DataFrame, floor_table: DataFrame
     both = seen.join(way.select("floor_index").distinct(), "floor_index", "left_semi").unionByName(way)
     every = tag(seen, "visual").unionByName(tag(way.withColumn("material", F.lit("walkable_path")), "walkable_paths")).unionByName(tag(both, "route_debug"))
 
-    def build(k, pdf: pd.DataFrame) -> pd.DataFrame:
+    def build(k: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"floor_index": [k[0]], "kind": [k[1]], "content": [floor_glb(pdf, 0.0)]})
 
     files = every.groupBy("floor_index", "kind").applyInPandas(build, "floor_index int, kind string, content binary")
