@@ -1,6 +1,7 @@
 """Slabs, floor files, packages, nearest boundaries and rings, landed graph details and inventory."""
 
 import json
+import math
 import random
 
 import pytest
@@ -299,3 +300,41 @@ def test_catalog_pages(spark):
     assert '<a id="20-mill-old"></a>\n### 20 - Mill (old)' in text and "[manifest](m/m.json), [nav](m/n.glb)" in text and "[source 4](u4)" in text and "u5" not in text
     assert "- Notes: 1 errors, the first: bad" in text and "- Notes: 2 warnings, the first: w1" in text and text.count("- Files: none") == 1
     assert "## Buildings" in sinks.catalog_pages(spark.createDataFrame([], schema), "Campus").first().document
+
+
+def test_bridges_against_plain_python(spark):
+    rnd = random.Random(21)
+    spots = {(k, n): (rnd.uniform(0, 90), rnd.uniform(0, 90)) for k in "ab" for n in range(30)}
+    links = [(k, *sorted(rnd.sample(range(30), 2))) for k in "ab" for _ in range(16)]
+    want = set()
+    for k in "ab":
+        part = {n: {n} for n in range(30)}
+        for _, u, v in (e for e in links if e[0] == k):
+            both = part[u] | part[v]
+            for n in both:
+                part[n] = both
+        islands = sorted({frozenset(s) for s in part.values()}, key=lambda s: (-len(s), min(s)))
+        main = set(islands[0])
+        for island in islands[1:]:
+            gap = lambda u, v: ((spots[k, u][0] - spots[k, v][0]) ** 2 + (spots[k, u][1] - spots[k, v][1]) ** 2) ** 0.5
+            d, u, v = min((gap(u, v), u, v) for u in island for v in main)  # noqa: B023
+            want.add((k, min(u, v), max(u, v), round(d, 9)))
+            main |= island
+    nodes = spark.createDataFrame([(k, n, *p) for (k, n), p in spots.items()], "g string, id long, x double, z double")
+    edges = spark.createDataFrame(links, "g string, a long, b long")
+    assert {(r.g, r.a, r.b, round(r.length, 9)) for r in graph.bridge_islands(nodes, edges, "g").collect()} == want
+
+
+def test_simplify_against_plain_recursion():
+    def plain(p, tolerance):
+        if len(p) < 3:
+            return p
+        (ax, az), (bx, bz) = p[0], p[-1]
+        d, at = max((abs((bx - ax) * (az - z) - (ax - x) * (bz - az)) / math.hypot(bx - ax, bz - az), -i) for i, (x, z) in enumerate(p[1:-1], 1))
+        return [p[0], p[-1]] if d <= tolerance else plain(p[: -at + 1], tolerance)[:-1] + plain(p[-at:], tolerance)
+
+    rnd = random.Random(2)
+    for n in (2, 3, 10, 60, 200):
+        line = [(float(i), rnd.uniform(0, 9)) for i in range(n)]
+        for tolerance in (0.5, 2.0, 6.0):
+            assert mesh.simplify(line, tolerance) == plain(line, tolerance)
