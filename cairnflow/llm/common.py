@@ -138,6 +138,20 @@ def batches(rows: Iterator[pa.RecordBatch], size: int = 1 << 23) -> Iterator[dic
         yield held
 
 
+def pieces(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """The text in pieces of about ``size`` bytes, cut behind spaces or line ends, so that no word is cut; a text without them is one piece."""
+    at = 0
+    while len(text) - at > size:
+        ends = [e for e in (text.rfind(b" ", at, at + size), text.rfind(b"\n", at, at + size)) if e >= 0]
+        ends = ends or [e for e in (text.find(b" ", at + size), text.find(b"\n", at + size)) if e >= 0]
+        if not ends:
+            break
+        end = (max(ends) if max(ends) < at + size else min(ends)) + 1
+        yield text[at:end]
+        at = end
+    yield text[at:] if at else text
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """The names, each with as many underscores behind it as it takes to clash with no column of df."""
     taken = {c.lower() for c in df.columns}

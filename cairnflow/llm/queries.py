@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_text, lines, mixing, quality, simhash, substring, suffix, topk, toxicity
+from . import decontam, filter_audit, html_text, lines, mixing, quality, simhash, substring, suffix, topk, toxicity
 from .common import table
 
 
@@ -51,6 +51,10 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13, one_in=20).drop("items", "spans", "clean")
 
 
+def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_topk": op1_topk,
@@ -63,8 +67,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_suffix": op9_suffix,
         "op10_decontam": op10_decontam,
+        "op11_audit": op11_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": topk.ORACLE, "op3_substring": substring.ORACLE, "op7_lines": lines.ORACLE, "op9_suffix": suffix.ORACLE, "op8_mixing": mixing.oracle(), "op10_decontam": decontam.oracle()}
+    return {
+        "op1_topk": topk.ORACLE,
+        "op3_substring": substring.ORACLE,
+        "op7_lines": lines.ORACLE,
+        "op8_mixing": mixing.oracle(),
+        "op9_suffix": suffix.ORACLE,
+        "op10_decontam": decontam.oracle(),
+        "op11_audit": filter_audit.ORACLE,
+    }
