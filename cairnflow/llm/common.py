@@ -163,6 +163,17 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def hot_join(left: DataFrame, right: DataFrame, key: str, share: int = 1024) -> DataFrame:
+    """Left join with a table that has one row per key. Keys that hold more than one in ``share`` of the left rows, fewer than ``share`` by that count, meet a broadcast of their rows; the others meet in an ordinary join."""
+    (flag,) = free_names(left, "__hot")
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias(flag))
+    least = (counts.agg(F.sum(flag)).first()[0] or 0) / share
+    hot = counts.where(F.col(flag) > max(1.0, least))
+    marked = left.join(F.broadcast(hot), key, "left")
+    few = F.broadcast(right.join(F.broadcast(hot.select(key)), key, "left_semi"))
+    return marked.where(F.col(flag).isNotNull()).drop(flag).join(few, key, "left").unionByName(marked.where(F.col(flag).isNull()).drop(flag).join(right, key, "left"))
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 

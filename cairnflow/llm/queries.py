@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, filter_audit, html_text, lines, mixing, quality, simhash, substring, suffix, topk, toxicity
+from . import decontam, filter_audit, html_text, lines, mixing, quality, simhash, substring, suffix, topk, toxicity, warc
 from .common import table
 
 
@@ -55,6 +55,10 @@ def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_digest(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_topk": op1_topk,
@@ -68,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_suffix": op9_suffix,
         "op10_decontam": op10_decontam,
         "op11_audit": op11_audit,
+        "op12_warc": op12_warc,
     }
 
 
@@ -80,4 +85,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_suffix": suffix.ORACLE,
         "op10_decontam": decontam.oracle(),
         "op11_audit": filter_audit.ORACLE,
+        "op12_warc": warc.ORACLE,
     }
