@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, filter_audit, html_text, lines, mixing, quality, simhash, substring, suffix, topk, toxicity, warc
+from . import decontam, divergence, filter_audit, html_text, lines, mixing, quality, simhash, substring, suffix, topk, toxicity, warc
 from .common import table
 
 
@@ -59,6 +59,10 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_digest(table(spark, sf_dir, "pages"))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_topk": op1_topk,
@@ -73,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_decontam": op10_decontam,
         "op11_audit": op11_audit,
         "op12_warc": op12_warc,
+        "op13_divergence": op13_divergence,
     }
 
 
@@ -86,4 +91,5 @@ def oracle_sql() -> dict[str, str]:
         "op10_decontam": decontam.oracle(),
         "op11_audit": filter_audit.ORACLE,
         "op12_warc": warc.ORACLE,
+        "op13_divergence": divergence.ORACLE,
     }
