@@ -342,18 +342,23 @@ def remove_repeated_bytes(docs: DataFrame, text_col: str = "text", id_col: str =
     return base.join(spans, "doc_id", "left").mapInArrow(_digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
-#: DuckDB SQL of the query for strings of 50 bytes; bytes as pairs of hex digits.
+#: DuckDB SQL of the query for strings of 50 bytes, as hex digits: windows are cut from blocks, grouped by a 128-bit hash and compared as strings where a hash spans documents.
 ORACLE = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-b AS (SELECT doc_id, h, unnest(range(1, length(h) // 2 + 1)) AS i FROM d),
-w AS (SELECT doc_id, i, substr(h, 2 * i - 1, 2) AS byte, CASE WHEN 2 * i + 98 <= length(h) THEN substr(h, 2 * i - 1, 100) END AS s FROM b),
-f AS (SELECT s, min(doc_id) AS least FROM w WHERE s IS NOT NULL GROUP BY s HAVING min(doc_id) < max(doc_id)),
-r AS (SELECT w.doc_id, w.i, w.byte, CASE WHEN f.least < w.doc_id THEN w.i END AS late FROM w LEFT JOIN f ON w.s = f.s),
-m AS (SELECT doc_id, i, byte, coalesce(max(late) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) >= i - 49, false) AS gone FROM r),
-n AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM m),
-k AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE opens) AS n_spans,
-             sha256(unhex(coalesce(string_agg(byte, '' ORDER BY i) FILTER (WHERE NOT gone), ''))) AS kept_sha256 FROM n GROUP BY doc_id)
+b AS (SELECT doc_id, o, substr(h, 2 * o + 1, 2 * (256 + 49)) AS part FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2, 256)) AS o FROM d)),
+w AS (SELECT doc_id, o + i AS i, o, md5_number(substr(part, 2 * i - 1, 100)) AS k
+      FROM (SELECT doc_id, o, part, unnest(range(1, least(257, length(part) // 2 - 48))) AS i FROM b)),
+g AS (SELECT k FROM w GROUP BY k HAVING min(doc_id) < max(doc_id)),
+c AS (SELECT w.doc_id, w.i, substr(b.part, 2 * (w.i - w.o) - 1, 100) AS s FROM w SEMI JOIN g ON w.k = g.k JOIN b ON w.doc_id = b.doc_id AND w.o = b.o),
+f AS (SELECT s, min(doc_id) AS least FROM c GROUP BY s),
+r AS (SELECT c.doc_id, c.i FROM c JOIN f ON c.s = f.s WHERE f.least < c.doc_id),
+o AS (SELECT doc_id, i, coalesce(i - lag(i) OVER p > 50, true) AS opens FROM r WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+n AS (SELECT doc_id, i, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS span FROM o),
+s AS (SELECT doc_id, span, min(i) AS a, max(i) + 50 AS b FROM n GROUP BY doc_id, span),
+e AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 1) AS before FROM s),
+k AS (SELECT e.doc_id, count(*) AS n_spans, sum(e.b - e.a) AS n_removed, max(e.b) AS last,
+             string_agg(substr(d.h, 2 * e.before - 1, 2 * (e.a - e.before)), '' ORDER BY e.a) AS kept FROM e JOIN d ON e.doc_id = d.doc_id GROUP BY e.doc_id)
 SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
-       coalesce(kept_sha256, sha256('')) AS kept_sha256
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 1) - 1))) AS kept_sha256
 FROM d LEFT JOIN k ON d.doc_id = k.doc_id
 """
