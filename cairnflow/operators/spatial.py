@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from .relational import checkpointed, first_by, top_k
+from .scratch import free_names
 
 
 def _cell(c: Column, size: float) -> Column:
@@ -123,6 +124,25 @@ def _between(a: Sequence[Column], b: Sequence[Column]) -> Column:
     return F.when(geo.segments_cross(list(a), list(b)), met).otherwise(F.least(*out))
 
 
+def with_distance(df: DataFrame, p: Sequence[str], q: Sequence[str], name: str) -> DataFrame:
+    """df with the distance of two segments (names of x1, z1, x2, z2): 0 where they cross, else the least of the four from an end to the other segment.
+
+    Steps are columns of their own, so that no term is generated twice, and swapping p and q changes no bit of the result.
+    """
+    step = free_names([*df.columns, name], *(f"__{x}{k}" for x in ("dx", "dz", "n") for k in "pq"), *(f"__t{k}" for k in range(4)))
+    dx, dz, n, t = step[0:2], step[2:4], step[4:6], step[6:]
+    c = F.col
+    for k, s in enumerate((p, q)):
+        df = df.withColumns({dx[k]: c(s[2]) - c(s[0]), dz[k]: c(s[3]) - c(s[1])})
+    df = df.withColumns({n[k]: F.nullif(c(dx[k]) * c(dx[k]) + c(dz[k]) * c(dz[k]), F.lit(0.0)) for k in (0, 1)})
+    feet = [(s[e], s[e + 1], o[0], o[1], k) for k, s, o in ((1, p, q), (0, q, p)) for e in (0, 2)]  # an end, and the segment k that it is held against
+    df = df.withColumns({t[i]: F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(((c(x) - c(ax)) * c(dx[k]) + (c(z) - c(az)) * c(dz[k])) / c(n[k]), F.lit(0.0)))) for i, (x, z, ax, az, k) in enumerate(feet)})
+    gaps = [geo.distance(c(x), c(z), c(ax) + c(t[i]) * c(dx[k]), c(az) + c(t[i]) * c(dz[k])) for i, (x, z, ax, az, k) in enumerate(feet)]
+    side = lambda i: (c(feet[i][0]) - c(feet[i][2])) * c(dz[feet[i][4]]) - (c(feet[i][1]) - c(feet[i][3])) * c(dx[feet[i][4]])
+    crossing = (side(0) * side(1) < 0) & (side(2) * side(3) < 0)
+    return df.withColumn(name, F.when(crossing, F.lit(0.0)).otherwise(F.least(*gaps))).drop(*step)
+
+
 def nearest_segments(left: DataFrame, right: DataFrame, left_id: str, right_id: str, l: Sequence[str], r: Sequence[str], radius: float, on: Sequence[str] = (), same: bool = False) -> DataFrame:
     """(left_id, on, right_id, distance, x, z): for every left id the right id whose segments come nearest to its own, and the point on its own where they do.
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import graph, mesh, spatial
+from ..operators import bridges, graph, mesh, spatial
 from ..operators import relational as rel
 from .building import Dataset
 
@@ -178,14 +178,43 @@ def cell_components(cells: DataFrame) -> DataFrame:
 
 
 def bridge_surfaces(cells: DataFrame, size: float, longest: float = 125.0) -> DataFrame:
-    """(floor_name, x1, z1, x2, z2): connectors that fuse the components of each floor, nearest cells first, none over ``longest``."""
+    """(floor_name, x1, z1, x2, z2): connectors that fuse the components of each floor, closest pair of cells first, none over ``longest``.
+
+    A connector is ground like any other: what comes within ``longest`` of one is joined in a further pass.
+    """
     c = rel.global_row_number(cell_components(cells), ["floor_name", "cx", "cz"], "id")
-    nodes = c.select("floor_name", "id", ((F.col("cx") + 0.5) * size).alias("x"), ((F.col("cz") + 0.5) * size).alias("z"), "component")
-    first = nodes.groupBy("floor_name", "component").agg(F.min("id").alias("a"))
-    tied = nodes.join(first, ["floor_name", "component"]).where("id <> a").select("floor_name", "a", F.col("id").alias("b"))
-    bridges = graph.bridge_islands(nodes, tied, "floor_name").where(F.col("length") <= longest)
-    at = lambda k, n: nodes.select(F.col("id").alias(k), F.col("x").alias(f"x{n}"), F.col("z").alias(f"z{n}"))
-    return bridges.join(at("a", 1), "a").join(at("b", 2), "b").select("floor_name", "x1", "z1", "x2", "z2")
+    at = lambda k: ((F.col(k) + 0.5) * size)
+    elements = c.select("floor_name", F.col("component").alias("part"), "id", at("cx").alias("x1"), at("cz").alias("z1"), at("cx").alias("x2"), at("cz").alias("z2"))
+    return bridge_elements(elements, ["floor_name"], longest, 4 * size).select("floor_name", "x1", "z1", "x2", "z2")
+
+
+def bridge_elements(elements: DataFrame, keys: list[str], longest: float, radius: float) -> DataFrame:
+    """``bridges.spanning_bridges`` over ground (keys, part, id, x1, z1, x2, z2) and over the bridges themselves, until none is added. Ids are longs from 0; those of bridges follow."""
+    from ..operators.scratch import Scratch
+
+    scratch = Scratch(elements.sparkSession, "ground")
+    ground = scratch.save(elements, "ground-0")
+    out, k = None, 0
+    while True:
+        new = scratch.save(bridges.spanning_bridges(ground, keys, longest, radius), f"new-{k}")
+        out = new if out is None else out.unionByName(new)
+        # two parts alone that are not joined stay so: a further pass needs a bridge and an island beside it
+        if new.isEmpty():
+            return out
+        parts = ground.select(*keys, F.col("part").alias("id")).distinct()
+        ends = lambda c: ground.select(*keys, F.col("id").alias(c), F.col("part").alias(f"part_{c}"))
+        tied = new.join(ends("a"), [*keys, "a"]).join(ends("b"), [*keys, "b"])
+        name = lambda c: F.struct(*keys, F.col(c))
+        joined = graph.components(parts.select(name("id").alias("id")), tied.select(F.struct(*keys, F.col("part_a").alias("id")).alias("a"), F.struct(*keys, F.col("part_b").alias("id")).alias("b")))
+        joined = joined.select(*(F.col(f"node.{c}").alias(c) for c in keys), F.col("node.id").alias("part"), F.col("component.id").alias("root"))
+        if joined.select(*keys, "root").distinct().groupBy(*keys).count().where("count > 1").isEmpty():
+            return out
+        old = ground.join(joined, [*keys, "part"]).select(*keys, F.col("root").alias("part"), "id", "x1", "z1", "x2", "z2")
+        first = (ground.agg(F.max("id")).first()[0] or 0) + 1
+        added = rel.global_row_number(tied.select(*keys, F.col("part_a").alias("part"), "a", "b", "x1", "z1", "x2", "z2"), [*keys, "a", "b"], "n")
+        added = added.join(joined, [*keys, "part"]).select(*keys, F.col("root").alias("part"), (F.col("n") + first).alias("id"), "x1", "z1", "x2", "z2")
+        k += 1
+        ground = scratch.save(old.unionByName(added), f"ground-{k}")
 
 
 def first_existing(spark: SparkSession, paths: list[str], keys: tuple[str, ...] = ("rooms", "records", "data")) -> DataFrame:
