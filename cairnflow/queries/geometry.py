@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import mesh, spatial
+from ..operators import mesh, overlay, spatial
 from .joins import _EDGES, _edges
 from .registry import PLANE, milli, plane, query, read
 from .scalars import _quads
@@ -114,3 +114,20 @@ def q_polyline_edges(spark, d):
     w = Window.partitionBy("label").orderBy("vec_id")
     p = plane(spark, d).select(F.col("vec_id").alias("edge"), milli(F.col("x")).alias("x1"), milli(F.lead("x").over(w)).alias("x2"))
     return p.where("x2 is not null")
+
+
+_BOXES = f"""{PLANE}, b AS (SELECT vec_id, label, round_even(x * 1000, 0)::BIGINT AS x1, round_even(z * 1000, 0)::BIGINT AS z1, round_even((x + 1 + vec_id % 7) * 1000, 0)::BIGINT AS x2, round_even((z + 1 + vec_id % 5) * 1000, 0)::BIGINT AS z2 FROM p)"""
+
+
+def _boxes(spark, d):
+    x2, z2 = F.col("x") + 1 + F.col("vec_id") % 7, F.col("z") + 1 + F.col("vec_id") % 5
+    corner = lambda x, z: F.struct(x.alias("x"), z.alias("z"))
+    return plane(spark, d).select("vec_id", "label", F.array(corner(F.col("x"), F.col("z")), corner(x2, F.col("z")), corner(x2, z2), corner(F.col("x"), z2)).alias("ring"))
+
+
+@query(f"""WITH {_BOXES}, e AS (SELECT label, x1 AS x FROM b UNION SELECT label, x2 FROM b), s AS (SELECT label, x AS lo, lead(x) OVER (PARTITION BY label ORDER BY x) AS hi FROM e),
+i AS (SELECT s.label, lo, hi, z1, z2, max(z2) OVER (PARTITION BY s.label, lo ORDER BY z1, z2 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM s JOIN b ON b.label = s.label AND b.x1 <= lo AND b.x2 >= hi)
+SELECT label, sum((hi - lo) * greatest(0, z2 - greatest(z1, coalesce(before, z1))))::BIGINT AS area FROM i GROUP BY 1""")
+def q_polygon_union(spark, d):
+    """Area in square millimetres of the union of overlapping boxes; the SQL sweeps them strip by strip."""
+    return overlay.union_area(_boxes(spark, d), ["label"]).select("label", (F.col("twice") / 2).cast("long").alias("area"))
