@@ -191,6 +191,88 @@ def triangulate(ring: list[tuple[float, float]]) -> list[list[int]]:
     return out + [left] if len(left) == 3 else out
 
 
+def merged_ring(ring: list[tuple[int, int]], holes: list[list[tuple[int, int]]]) -> list[tuple[int, int]]:
+    """One ring through the outer ring (counter-clockwise) and all holes (clockwise), each tied in by a bridge that is walked both ways."""
+
+    def side(a, b, c):
+        return (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+
+    def meets(p, q, a, b):
+        """The open bridge p-q touches the edge a-b anywhere but at its own ends."""
+        s = [side(p, q, a), side(p, q, b), side(a, b, p), side(a, b, q)]
+        if s[0] * s[1] < 0 and s[2] * s[3] < 0:
+            return True
+        within = lambda v: v not in (p, q) and side(p, q, v) == 0 and min(p[0], q[0]) <= v[0] <= max(p[0], q[0]) and min(p[1], q[1]) <= v[1] <= max(p[1], q[1])
+        return within(a) or within(b)
+
+    def opens(k, q):
+        """The way from corner k of the ring to q leads into the inside."""
+        a, v, b = ring[k - 1], ring[k], ring[(k + 1) % len(ring)]
+        return side(a, v, q) > 0 and side(v, b, q) > 0 if side(a, v, b) > 0 else side(a, v, q) > 0 or side(v, b, q) > 0
+
+    rest = sorted((list(h) for h in holes), key=lambda h: max(h), reverse=True)
+    while rest:
+        hole = rest.pop(0)
+        at = max(range(len(hole)), key=lambda k: hole[k])
+        p = hole[at]
+        lines = [(r[k - 1], r[k]) for r in (ring, hole, *rest) for k in range(len(r))]
+        near = sorted(range(len(ring)), key=lambda k: (ring[k][0] - p[0]) ** 2 + (ring[k][1] - p[1]) ** 2)
+        k = next((k for k in near if ring[k] != p and opens(k, p) and not any(meets(p, ring[k], a, b) for a, b in lines)), None)
+        if k is None:
+            raise ValueError("a hole is not inside its ring")
+        ring = ring[: k + 1] + hole[at:] + hole[: at + 1] + ring[k:]
+    return ring
+
+
+def constrained_delaunay(ring: list[tuple[int, int]], holes: Sequence[list[tuple[int, int]]] = ()) -> list[tuple[tuple[int, int], ...]]:
+    """Triangles (counter-clockwise) of a polygon with holes, whole coordinates: ears are cut, then diagonals flipped until none can be better. Sides of the polygon stay."""
+
+    def side(a, b, c):
+        return (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+
+    left = merged_ring(list(ring), [list(h) for h in holes])
+    found = []
+    while len(left) > 3:
+        for k in range(len(left)):
+            a, b, c = left[k - 1], left[k], left[(k + 1) % len(left)]
+            turn = side(a, b, c)
+            if turn == 0 and a == c:  # both ways of a bridge
+                del left[k]
+                break
+            if turn > 0 and not any(p not in (a, b, c) and side(a, b, p) >= 0 and side(b, c, p) >= 0 and side(c, a, p) >= 0 for p in left):
+                found.append((a, b, c))
+                del left[k]
+                break
+        else:
+            raise ValueError("no ear is left: the ring crosses itself")
+    if side(*left) > 0:
+        found.append(tuple(left))
+    fixed = {frozenset((r[k - 1], r[k])) for r in (ring, *holes) for k in range(len(r))}
+    by_edge: dict[tuple, tuple] = {}
+    for t in found:
+        by_edge |= {(t[k], t[(k + 1) % 3]): t for k in range(3)}
+    todo = [e for e in by_edge if frozenset(e) not in fixed]
+    while todo:
+        a, b = todo.pop()
+        t, o = by_edge.get((a, b)), by_edge.get((b, a))
+        if t is None or o is None or frozenset((a, b)) in fixed:
+            continue
+        c, d = next(p for p in t if p not in (a, b)), next(p for p in o if p not in (a, b))
+        if side(c, d, b) <= 0 or side(c, d, a) >= 0 or side(a, d, c) <= 0 or side(d, b, c) <= 0:
+            continue
+        m = [(p[0] - d[0], p[1] - d[1]) for p in (a, b, c)]
+        n = [x * x + y * y for x, y in m]
+        if sum(n[i] * (m[(i + 1) % 3][0] * m[(i + 2) % 3][1] - m[(i + 2) % 3][0] * m[(i + 1) % 3][1]) for i in range(3)) <= 0:
+            continue  # d is not inside the circle through a, b, c
+        for x in (t, o):
+            for k in range(3):
+                by_edge.pop((x[k], x[(k + 1) % 3]), None)
+        for x in ((a, d, c), (d, b, c)):
+            by_edge |= {(x[k], x[(k + 1) % 3]): x for k in range(3)}
+        todo += [(a, d), (d, b), (b, c), (c, a)]
+    return sorted({tuple(t) for t in by_edge.values()})
+
+
 def triangulate_face(face: Sequence[int], vertices: Sequence[tuple[float, float, float]]) -> list[list[int]]:
     """Triangles of a flat polygon in space as vertex numbers, each wound like the face.
 

@@ -144,13 +144,11 @@ def rings(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
     Parts that touch at a corner are rings of their own.
     """
     scratch = Scratch(edges.sparkSession, "rings")
-    own = scratch.save(edges.select(*keys, *_EDGE, F.struct(*keys, *_EDGE).alias("id")), "edges")
-    out = own.select(*keys, F.col("ax").alias("bx"), F.col("az").alias("bz"), F.col("bx").alias("cx"), F.col("bz").alias("cz"), F.col("id").alias("next"))
-    u, v = [F.col("bx") - F.col("ax"), F.col("bz") - F.col("az")], [F.col("cx") - F.col("bx"), F.col("cz") - F.col("bz")]
-    turn = F.atan2((u[0] * v[1] - u[1] * v[0]).cast("double"), (u[0] * v[0] + u[1] * v[1]).cast("double"))
-    links = own.join(out, [*keys, "bx", "bz"]).groupBy("id").agg(F.max_by("next", F.struct(turn, "next")).alias("next"))
-    labels = graph.components(own, links, "id", "id", "next")
-    walked = own.join(labels, F.col("id") == F.col("node")).join(links.withColumnRenamed("id", "node"), "node")
+    ends = {"ax": "bx", "az": "bz", "bx": "cx", "bz": "cz"}
+    links = corners(edges, keys).select(F.struct(*keys, *_EDGE).alias("id"), F.struct(*keys, *(F.col(c).alias(n) for n, c in ends.items())).alias("next"), *keys)
+    links = scratch.save(links, "links")
+    labels = graph.components(links, links, "id", "id", "next")
+    walked = links.withColumnRenamed("id", "node").join(labels, "node")
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         after = {tuple(i)[-4:]: tuple(n)[-4:] for i, n in zip(map(dict.values, pdf["node"]), map(dict.values, pdf["next"]), strict=True)}
@@ -197,3 +195,118 @@ def polygons(found: DataFrame, keys: Sequence[str], cell: float = 4.0) -> DataFr
 def union_area(rings_: DataFrame, keys: Sequence[str], ring: str = "ring", cell: float = 4.0) -> DataFrame:
     """(keys, twice) of the union of all rings of a key, in square units."""
     return areas(boundary(ring_edges(rings_, keys, ring), keys, "union", cell), keys)
+
+
+# --- shapes around lines, and offsets ---
+
+
+def capsule(x1: Column, z1: Column, x2: Column, z2: Column, radius: float, quarter: int = 8) -> Column:
+    """Ring around all places within ``radius`` of a segment, ``quarter`` steps to a quarter of a round end; a circle around a point."""
+    along = F.atan2(z2 - z1, x2 - x1)
+    spot = lambda x, z, turn: lambda i: F.struct((x + radius * F.cos(along + turn + i * (1.5707963267948966 / quarter))).alias("x"), (z + radius * F.sin(along + turn + i * (1.5707963267948966 / quarter))).alias("z"))
+    steps = F.sequence(F.lit(0), F.lit(2 * quarter))
+    return F.concat(F.transform(steps, spot(x2, z2, -1.5707963267948966)), F.transform(steps, spot(x1, z1, 1.5707963267948966)))
+
+
+def strip(x1: Column, z1: Column, x2: Column, z2: Column, half: float) -> Column:
+    """Ring of the rectangle ``half`` to both sides of a segment, flat at its ends; null for a segment of no length."""
+    n = F.nullif(geo.distance(x1, z1, x2, z2), F.lit(0.0))
+    ox, oz = -(z2 - z1) / n * half, (x2 - x1) / n * half
+    spot = lambda x, z: F.struct(x.alias("x"), z.alias("z"))
+    return F.when(n.isNotNull(), F.array(spot(x1 - ox, z1 - oz), spot(x2 - ox, z2 - oz), spot(x2 + ox, z2 + oz), spot(x1 + ox, z1 + oz)))
+
+
+def corners(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, ax, az, bx, bz, cx, cz): every edge of a boundary and the end of the edge that follows it, the leftmost of several."""
+    out = edges.select(*keys, F.col("ax").alias("bx"), F.col("az").alias("bz"), F.col("bx").alias("cx"), F.col("bz").alias("cz"))
+    u, v = [F.col("bx") - F.col("ax"), F.col("bz") - F.col("az")], [F.col("cx") - F.col("bx"), F.col("cz") - F.col("bz")]
+    turn = F.atan2((u[0] * v[1] - u[1] * v[0]).cast("double"), (u[0] * v[0] + u[1] * v[1]).cast("double"))
+    met = edges.select(*keys, *_EDGE).join(out, [*keys, "bx", "bz"]).groupBy(*keys, *_EDGE)
+    return met.agg(F.max_by(F.struct("cx", "cz"), F.struct(turn, "cx", "cz")).alias("c")).select(*keys, *_EDGE, "c.cx", "c.cz")
+
+
+def offset(edges: DataFrame, keys: Sequence[str], by: float, mitre: float = 5.0, cell: float = 4.0) -> DataFrame:
+    """The boundary grown outwards by ``by`` metres with mitred corners; a mitre of over ``mitre`` times ``by`` is cut off flat.
+
+    Every edge carries a rectangle and every convex corner a kite; their union with the polygon is the result.
+    """
+    c = corners(edges, keys)
+    a, b, d = ((F.col(f"{n}x") / SCALE, F.col(f"{n}z") / SCALE) for n in "abc")
+
+    def normal(p: tuple, q: tuple) -> tuple[Column, Column]:
+        n = geo.distance(*p, *q)
+        return (q[1] - p[1]) / n, -(q[0] - p[0]) / n
+
+    m, o = normal(a, b), normal(b, d)
+    spot = lambda p, *ways: F.struct(*(sum((w[k] for w in ways), p[k]).alias(n) for k, n in enumerate("xz")))
+    far = lambda n: (n[0] * by, n[1] * by)
+    box = F.array(spot(a), spot(b), spot(b, far(m)), spot(a, far(m)))
+    dot = m[0] * o[0] + m[1] * o[1]
+    tip = F.struct(*((b[k] + by * (m[k] + o[k]) / (1 + dot)).alias(n) for k, n in enumerate("xz")))
+    kite = F.when(2 / F.greatest(1 + dot, F.lit(1e-12)) <= mitre * mitre, F.array(spot(b), spot(b, far(m)), tip, spot(b, far(o)))).otherwise(F.array(spot(b), spot(b, far(m)), spot(b, far(o))))
+    convex = (F.col("bx") - F.col("ax")) * (F.col("cz") - F.col("bz")) - (F.col("bz") - F.col("az")) * (F.col("cx") - F.col("bx")) > 0
+    added = c.select(*keys, box.alias("ring")).unionByName(c.where(convex).select(*keys, kite.alias("ring")))
+    whole = edges.select(*keys, *_EDGE, F.lit(1).cast("long").alias("wa"), F.lit(0).cast("long").alias("wb"))
+    return boundary(whole.unionByName(ring_edges(added, keys)), keys, "union", cell)
+
+
+def polygon_edges(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Directed edges (keys, ax, az, bx, bz) of polygons (keys, ring, holes): a boundary again, by key."""
+    every = parts.select(*keys, F.explode(F.concat(F.array("ring"), F.col("holes"))).alias("ring"))
+    return every.select(*keys, F.explode(geo.ring_edges(F.col("ring"))).alias("e")).select(*keys, *(_units(F.col(f"e.{p}.{c}")).alias(f"{p}{c}") for p in "ab" for c in "xz"))
+
+
+# --- cells ---
+
+
+def _cut_by_grid(df: DataFrame, x1: Column, z1: Column, x2: Column, z2: Column, size: float) -> DataFrame:
+    """df once for every piece (px1, pz1, px2, pz2) that grid lines cut the segment into."""
+
+    def at(p: Column, q: Column) -> Column:
+        lines = F.sequence(F.floor(F.least(p, q) / size).cast("long") + 1, F.greatest(F.ceil(F.greatest(p, q) / size).cast("long") - 1, F.floor(F.least(p, q) / size).cast("long") + 1))
+        return F.filter(F.transform(lines, lambda k: (k * size - p) / F.nullif(q - p, F.lit(0.0))), lambda t: (t > 0) & (t < 1))
+
+    df = df.withColumn("__t", F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), at(x1, x2), at(z1, z2)))))
+    pairs = F.zip_with(F.slice("__t", F.lit(1), F.size("__t") - 1), F.slice("__t", F.lit(2), F.size("__t") - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    df = df.withColumn("__p", F.explode(pairs))
+    place = lambda p, q, t: F.when(F.col(f"__p.{t}") == 1.0, q).otherwise(p + F.col(f"__p.{t}") * (q - p))
+    return df.withColumns({"px1": place(x1, x2, "a"), "pz1": place(z1, z2, "a"), "px2": place(x1, x2, "b"), "pz2": place(z1, z2, "b")}).drop("__t", "__p")
+
+
+def cell_areas(edges: DataFrame, keys: Sequence[str], size: float) -> DataFrame:
+    """(keys, cx, cz, area): the exact area of a boundary's inside in every grid cell that it meets, in square metres.
+
+    A piece of boundary in a cell bounds the area east of it, in its own cell and in full in those beyond: a sum along the row of cells.
+    """
+    e = [F.col(n) / SCALE for n in _EDGE]
+    p = _cut_by_grid(edges, *e, size).withColumns({"cx": spatial._cell((F.col("px1") + F.col("px2")) / 2, size), "cz": spatial._cell((F.col("pz1") + F.col("pz2")) / 2, size), "down": F.col("pz1") - F.col("pz2")})
+    own = F.col("down") * ((F.col("cx") + 1) * size - (F.col("px1") + F.col("px2")) / 2)
+    met = p.where("down <> 0").groupBy(*keys, "cz", "cx").agg(F.sum(own).alias("own"), F.sum("down").alias("down"))
+    row = Window.partitionBy(*keys, "cz").orderBy("cx")
+    met = met.withColumns({"through": F.sum("down").over(row.rowsBetween(Window.unboundedPreceding, Window.currentRow)), "then": F.lead("cx").over(row)})
+    here = F.struct("cx", (F.col("own") + size * (F.col("through") - F.col("down"))).alias("area"))
+    full = (F.col("through") > size * 1e-6) & (F.col("then") > F.col("cx") + 1)
+    between = F.when(full, F.transform(F.sequence(F.col("cx") + 1, F.greatest(F.col("then") - 1, F.col("cx") + 1)), lambda i: F.struct(i.alias("cx"), (F.col("through") * size).alias("area"))))
+    return met.select(*keys, "cz", F.explode(F.concat(F.array(here), F.coalesce(between, F.array().cast("array<struct<cx:bigint,area:double>>")))).alias("c")).select(*keys, "c.cx", "cz", "c.area").where(F.col("area") > 1e-9)
+
+
+def cell_runs(segments: DataFrame, keys: Sequence[str], names: Sequence[str], size: float) -> DataFrame:
+    """(keys, cx, cz, run): length of each segment (x1, z1, x2, z2 by ``names``) inside every grid cell, borders included: one along a grid line runs in the cells on both sides."""
+    x1, z1, x2, z2 = (F.col(n).cast("double") for n in names)
+    p = _cut_by_grid(segments, x1, z1, x2, z2, size).withColumn("run", geo.distance(*(F.col(n) for n in ("px1", "pz1", "px2", "pz2"))))
+
+    def cells(a: str, b: str) -> Column:
+        mid = (F.col(a) + F.col(b)) / 2 / size
+        return F.when((F.col(a) == F.col(b)) & (mid == F.floor(mid)), F.array(F.floor(mid) - 1, F.floor(mid))).otherwise(F.array(F.floor(mid)))
+
+    p = p.withColumn("cx", F.explode(cells("px1", "px2"))).withColumn("cz", F.explode(cells("pz1", "pz2")))
+    return p.select(*keys, F.col("cx").cast("long").alias("cx"), F.col("cz").cast("long").alias("cz"), "run")
+
+
+def dissolve(boxes: DataFrame, keys: Sequence[str], names: Sequence[str] = ("x1", "z1", "x2", "z2")) -> DataFrame:
+    """Boundary of boxes that do not overlap and share whole sides: shared sides cancel, no cutting is needed."""
+    x1, z1, x2, z2 = (F.col(n) for n in names)
+    spot = lambda x, z: F.struct(x.alias("x"), z.alias("z"))
+    lines = _normal(ring_edges(boxes.select(*keys, F.array(spot(x1, z1), spot(x2, z1), spot(x2, z2), spot(x1, z2)).alias("ring")), keys), keys)
+    turned = dict(zip(_EDGE, ("bx", "bz", "ax", "az"), strict=True))
+    return lines.select(*keys, *(F.when(F.col("wa") > 0, F.col(c)).otherwise(F.col(o)).alias(c) for c, o in turned.items()))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..operators import mesh, overlay, spatial
+from ..plans import walkable
 from .joins import _EDGES, _edges
 from .registry import PLANE, milli, plane, query, read
 from .scalars import _quads
@@ -131,3 +132,51 @@ SELECT label, sum((hi - lo) * greatest(0, z2 - greatest(z1, coalesce(before, z1)
 def q_polygon_union(spark, d):
     """Area in square millimetres of the union of overlapping boxes; the SQL sweeps them strip by strip."""
     return overlay.union_area(_boxes(spark, d), ["label"]).select("label", (F.col("twice") / 2).cast("long").alias("area"))
+
+
+_STRIPS = """SELECT label, sum((hi - lo) * greatest(0, z2 - greatest(z1, coalesce(before, z1))))::BIGINT AS area FROM (SELECT s.label, lo, hi, z1, z2,
+ max(z2) OVER (PARTITION BY s.label, lo ORDER BY z1, z2 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM s JOIN {b} b ON b.label = s.label AND b.x1 <= lo AND b.x2 >= hi) GROUP BY 1"""
+
+
+@query(f"""WITH {_BOXES}, e AS (SELECT label, x1 AS x FROM b UNION SELECT label, x2 FROM b), s AS (SELECT label, x AS lo, lead(x) OVER (PARTITION BY label ORDER BY x) AS hi FROM e),
+w AS (SELECT * FROM b WHERE vec_id % 3 = 0), u AS ({_STRIPS.format(b="b")}), v AS ({_STRIPS.format(b="w")}) SELECT u.label, u.area - v.area AS area FROM u JOIN v ON u.label = v.label""")
+def q_polygon_difference(spark, d):
+    """Area in square millimetres of two thirds of the boxes without the other third; in SQL the union of all less that of the third."""
+    edges = overlay.ring_edges(_boxes(spark, d), ["label"], side=F.col("vec_id") % 3 != 0)
+    return overlay.areas(overlay.boundary(edges, ["label"], "difference"), ["label"]).select("label", (F.col("twice") / 2).cast("long").alias("area"))
+
+
+_CELLS = f"""{_BOXES}, x AS (SELECT *, unnest(range(floor(x1 / 2000)::BIGINT, ceil(x2 / 2000)::BIGINT)) AS cx FROM b), z AS (SELECT *, unnest(range(floor(z1 / 2000)::BIGINT, ceil(z2 / 2000)::BIGINT)) AS cz FROM x),
+k AS (SELECT label, cx, cz, greatest(x1, cx * 2000) AS x1, least(x2, cx * 2000 + 2000) AS x2, greatest(z1, cz * 2000) AS z1, least(z2, cz * 2000 + 2000) AS z2 FROM z),
+e AS (SELECT label, cx, cz, x1 AS x FROM k UNION SELECT label, cx, cz, x2 FROM k), s AS (SELECT label, cx, cz, x AS lo, lead(x) OVER (PARTITION BY label, cx, cz ORDER BY x) AS hi FROM e),
+i AS (SELECT label, cx, cz, lo, hi, z1, z2, max(z2) OVER (PARTITION BY label, cx, cz, lo ORDER BY z1, z2 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM s JOIN k USING (label, cx, cz) WHERE x1 <= lo AND x2 >= hi),
+c AS (SELECT label, cx, cz, sum((hi - lo) * greatest(0, z2 - greatest(z1, coalesce(before, z1))))::BIGINT AS area FROM i GROUP BY ALL)"""
+
+
+@query(f"WITH {_CELLS} SELECT label, cx, cz, area FROM c WHERE area > 0")
+def q_cell_areas(spark, d):
+    """Exact area, in square millimetres, of the union of boxes in every cell of two metres."""
+    whole = overlay.boundary(overlay.ring_edges(_boxes(spark, d), ["label"]), ["label"])
+    return overlay.cell_areas(whole, ["label"], 2.0).select("label", "cx", "cz", F.round(F.col("area") * 1e6).cast("long").alias("area"))
+
+
+@query(f"""WITH {_EDGES}, x AS (SELECT *, unnest(range(floor(least(x1, x2) / 2)::BIGINT, floor(greatest(x1, x2) / 2)::BIGINT + 1)) AS cx FROM s), k AS (SELECT *, unnest(range(floor(least(z1, z2) / 2)::BIGINT, floor(greatest(z1, z2) / 2)::BIGINT + 1)) AS cz FROM x),
+t AS (SELECT edge, cx, cz, sqrt((x2 - x1)^2 + (z2 - z1)^2) AS n, greatest(0, least((cx * 2 - x1) / nullif(x2 - x1, 0), (cx * 2 + 2 - x1) / nullif(x2 - x1, 0)), least((cz * 2 - z1) / nullif(z2 - z1, 0), (cz * 2 + 2 - z1) / nullif(z2 - z1, 0))) AS t0,
+ least(1, greatest((cx * 2 - x1) / nullif(x2 - x1, 0), (cx * 2 + 2 - x1) / nullif(x2 - x1, 0)), greatest((cz * 2 - z1) / nullif(z2 - z1, 0), (cz * 2 + 2 - z1) / nullif(z2 - z1, 0))) AS t1 FROM k)
+SELECT edge, cx, cz FROM t WHERE (t1 - t0) * n > 0.05""")
+def q_cell_runs(spark, d):
+    """Cells of two metres in which an edge runs for more than 0.05."""
+    runs = overlay.cell_runs(_edges(spark, d), ["edge"], ["x1", "z1", "x2", "z2"], 2.0)
+    return runs.groupBy("edge", "cx", "cz").agg(F.sum("run").alias("run")).where("run > 0.05").select("edge", "cx", "cz")
+
+
+@query(f"""WITH {_CELLS}, o AS (SELECT label, cx, cz FROM c WHERE area >= 80000), q AS (SELECT label, cx + i AS vx, cz + j AS vz, count(*) AS n, sum(2 * i + j) AS m FROM o, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) w(i, j) GROUP BY ALL),
+g AS (SELECT label, count(*) FILTER (WHERE n = 1) AS one, count(*) FILTER (WHERE n = 3) AS three, count(*) FILTER (WHERE n = 2 AND m = 3 AND EXISTS (SELECT 1 FROM o WHERE o.label = q.label AND ((o.cx = vx AND o.cz = vz AND EXISTS (SELECT 1 FROM o p WHERE p.label = q.label AND p.cx = vx - 1 AND p.cz = vz - 1))
+  OR (o.cx = vx - 1 AND o.cz = vz AND EXISTS (SELECT 1 FROM o p WHERE p.label = q.label AND p.cx = vx AND p.cz = vz - 1))))) AS diagonal FROM q GROUP BY label)
+SELECT label, (SELECT count(*) * 4 FROM o WHERE o.label = g.label)::BIGINT AS area, (one + three + 2 * diagonal - (one - three + 2 * diagonal) // 2)::BIGINT AS triangles FROM g""")
+def q_ground_mesh(spark, d):
+    """Cells of two metres that a union of boxes covers to a fiftieth, dissolved and triangulated: area and triangles. The SQL counts corner patterns: a polygon of n corners and h holes has n + 2 h - 2 triangles."""
+    whole = overlay.boundary(overlay.ring_edges(_boxes(spark, d), ["label"]), ["label"])
+    cells = overlay.cell_areas(whole, ["label"], 2.0).where("area >= 0.08 - 1e-9").select("label", (F.col("cx") * 2).alias("x1"), (F.col("cz") * 2).alias("z1"), (F.col("cx") * 2 + 2).alias("x2"), (F.col("cz") * 2 + 2).alias("z2"))
+    pieces = walkable.ground_mesh(cells, ["label"])
+    return pieces.groupBy("label").agg(F.round(F.sum("area")).cast("long").alias("area"), F.sum(F.size("triangles")).cast("long").alias("triangles"))
