@@ -34,15 +34,15 @@ def test_entries_and_floor_runs(spark):
 
 def test_clusters_merge_and_floors(spark):
     obs = [("s", k, x, 0.0, 174.0, -36.0, "0", t) for k, (x, t) in enumerate(((0.0, "r1"), (10.0, "r2"), (0.5, "r3"), (0.9, ""), (11.0, "r2")))]
-    c = doors.cluster_entries(spark.createDataFrame(obs, "building string, ord int, x double, z double, lon double, lat double, floor_name string, target string"), "science").orderBy("entry_id").collect()
-    assert [(r.entry_id, r.supporting_routes, list(r.targets), r.floor_name) for r in c] == [("science_entry_001", 3, ["r1", "r3"], "G"), ("science_entry_002", 2, ["r2"], "G")]
+    c = doors.cluster_entries(spark.createDataFrame(obs, "building string, ord int, x double, z double, lon double, lat double, floor_name string, target string"), "harbour").orderBy("entry_id").collect()
+    assert [(r.entry_id, r.supporting_routes, list(r.targets), r.floor_name) for r in c] == [("harbour_entry_001", 3, ["r1", "r3"], "G"), ("harbour_entry_002", 2, ["r2"], "G")]
     one = spark.createDataFrame([("s", 0, 0.0, 0.0, "G"), ("s", 1, 500.0, 0.0, "G")], "building string, ord int, x double, z double, floor_name string")
     two = spark.createDataFrame([("s", 0, 2.0, 0.0, "9"), ("s", 1, 20.0, 0.0, "1")], "building string, ord int, x double, z double, floor_name string")
     rooms = spark.createDataFrame([("s", 0.0, 0.0), ("s", 10.0, 10.0)], "building string, x double, z double")
     kept = doors.merge_doors([one, two], rooms)
     assert sorted(r.x for r in kept.collect()) == [0.0, 20.0]
     flr = spark.createDataFrame([("s", "-1", 0), ("s", "1", 1), ("s", "2", 2)], "building string, floor_name string, floor_index int")
-    got = {r.x: (r.floor_name, r.floor_index, r.node_name) for r in doors.normalise_doors(kept, flr, "science", ["src", "ord"]).collect()}
+    got = {r.x: (r.floor_name, r.floor_index, r.node_name) for r in doors.normalise_doors(kept, flr, "harbour", ["src", "ord"]).collect()}
     assert got == {0.0: ("1", 1, "MainDoor"), 20.0: ("1", 1, "Door2")}
 
 

@@ -121,10 +121,10 @@ def test_campus_graph(spark):
 
 def test_topology(spark):
     cols = "source_id string, external_id string, floor_index int, floor_name string, building string, kind string, group_id string, x double, y double, z double, node_name string"
-    rows = [("a", "303-802", 10, "8", "303", "elevator", "MI_303_ELEV_001", 5.0, 33.6, 0.0, "n"), ("b", "303-800S3", 10, "8", "303", "stair", "S3", 0.0, 33.6, 0.0, "n"), ("c", "303-8U02", 11, "M8", "303", "elevator", "MI_303_ELEV_001", 5.0, 35.7, 0.0, "n"), ("d", "302-802", 10, "8", "302", "elevator", "MI_302_ELEV_001", 100.0, 33.6, 100.0, "n"), ("o", "303-D", 10, "8", "303", "door", "", 1.0, 33.6, 0.0, "n"), ("x", "303-D", 10, "8", "303", "door", "", 500.0, 33.6, 0.0, "n")]
-    t = group.terminals(spark.createDataFrame(rows, cols), "science")
+    rows = [("a", "741-802", 10, "8", "741", "elevator", "MI_741_ELEV_001", 5.0, 33.6, 0.0, "n"), ("b", "741-920S4", 10, "8", "741", "stair", "S3", 0.0, 33.6, 0.0, "n"), ("c", "741-8U02", 11, "M8", "741", "elevator", "MI_741_ELEV_001", 5.0, 35.7, 0.0, "n"), ("d", "742-802", 10, "8", "742", "elevator", "MI_742_ELEV_001", 100.0, 33.6, 100.0, "n"), ("o", "741-D", 10, "8", "741", "door", "", 1.0, 33.6, 0.0, "n"), ("x", "741-D", 10, "8", "741", "door", "", 500.0, 33.6, 0.0, "n")]
+    t = group.terminals(spark.createDataFrame(rows, cols), "harbour")
     ids = {r.source_id: r.id for r in t.collect()}
-    assert ids["a"] == "science:F10:303:lift:303MI_303_ELEV_001:303_802" and ids["b"] == "science:F10:303:stair:303S3:303_800S3" and ids["x"] == ids["o"] + ":x"
+    assert ids["a"] == "harbour:F10:741:lift:741MI_741_ELEV_001:741_802" and ids["b"] == "harbour:F10:741:stair:741S3:741_920S4" and ids["x"] == ids["o"] + ":x"
     comp = spark.createDataFrame([(ids["a"], 0), (ids["b"], 0), (ids["o"], 0), (ids["d"], 1), (ids["c"], 0)], "id string, component int")
     transfer, vertical = group.transfer_edges(t, comp), group.vertical_edges(t)
     costs = {(r["from"], r["to"]): r.cost for r in transfer.collect()}
@@ -138,10 +138,10 @@ def test_topology(spark):
 
 
 def test_shafts_from_routes(spark):
-    portals = spark.createDataFrame([("p", "303", "elevator", 1, "303-1"), ("q", "303", "elevator", 2, "303-2"), ("r", "303", "elevator", 3, "303-3"), ("s", "303", "elevator", 1, "303-9"), ("t", "303", "elevator", 2, "303-8")], "source_id string, building string, kind string, floor_index int, external_id string")
+    portals = spark.createDataFrame([("p", "741", "elevator", 1, "741-1"), ("q", "741", "elevator", 2, "741-2"), ("r", "741", "elevator", 3, "741-3"), ("s", "741", "elevator", 1, "741-9"), ("t", "741", "elevator", 2, "741-8")], "source_id string, building string, kind string, floor_index int, external_id string")
     edges = spark.createDataFrame([("p", "q"), ("q", "r"), ("s", "t")], "a string, b string")
     got = {r.source_id: r.group_id for r in group.shaft_groups(portals, edges).collect()}
-    assert got == {"p": "MI_303_ELEV_001", "q": "MI_303_ELEV_001", "r": "MI_303_ELEV_001", "s": "MI_303_ELEV_002", "t": "MI_303_ELEV_002"}
+    assert got == {"p": "MI_741_ELEV_001", "q": "MI_741_ELEV_001", "r": "MI_741_ELEV_001", "s": "MI_741_ELEV_002", "t": "MI_741_ELEV_002"}
     body = response([{"geometry": [pt(174.0, -36.0, 80), pt(174.0, -36.0, 85), pt(174.0, -36.0, 90)]}])
     points, _ = locations.route_points(spark.createDataFrame([("x", body)], "route_id string, body string"))
     pairs = spark.createDataFrame([("x", 85.0, 90.0, 174.00001, -36.0, 174.0, -36.0)], "route_id string, a_level double, b_level double, a_lon double, a_lat double, b_lon double, b_lat double")
@@ -151,9 +151,9 @@ def test_shafts_from_routes(spark):
 
 
 def test_groups_and_config(spark, dataset):
-    groups = config.load_groups("groups:\n  - {id: science, members: ['301', '302', '301'], aliases: [Sci, sci]}\n  - {id: music, members: ['250'], primary_member: '250'}\n")
-    assert groups[0].members == ("301", "302") and len(groups[0].aliases) == 1
-    assert config.filter_members(groups[0], ["302"]).primary_member == "302"
+    groups = config.load_groups("groups:\n  - {id: harbour, members: ['740', '742', '740'], aliases: [Har, har]}\n  - {id: lakeside, members: ['655'], primary_member: '655'}\n")
+    assert groups[0].members == ("740", "742") and len(groups[0].aliases) == 1
+    assert config.filter_members(groups[0], ["742"]).primary_member == "742"
     with pytest.raises(ValueError):
         config.filter_members(groups[0], ["999"])
     with pytest.raises(ValueError):
