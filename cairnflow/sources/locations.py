@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 
 from ..functions import text
 from ..operators.relational import first_by
@@ -218,11 +218,13 @@ class _PagedReader(DataSourceReader):
         self.fetch = options["fetch"]
 
     def partitions(self):
-        return [_Page(b, 0) for b in self.buildings]
+        return [_Page(b, 0) for b in dict.fromkeys(self.buildings)] or [_Page(None, 0)]
 
     def read(self, partition):
         import importlib
 
+        if partition.building is None:  # no building is left; Spark wants a partition all the same
+            return
         module, _, name = self.fetch.partition(":")
         fetch = getattr(importlib.import_module(module), name)
         for k in range(self.pages):
@@ -232,10 +234,27 @@ class _PagedReader(DataSourceReader):
                 break
 
 
+class _PushedReader(_PagedReader):
+    """Spark refuses a reader with pushFilters unless push-down is enabled, so it is a class of its own."""
+
+    def pushFilters(self, filters):  # noqa: N802, the name is Spark's
+        """Equality and IN on ``building`` choose the partitions; every other filter goes back to Spark."""
+        for f in filters:
+            if isinstance(f, EqualTo) and f.attribute == ("building",):
+                asked = {f.value}
+            elif isinstance(f, In) and f.attribute == ("building",):
+                asked = set(f.value)
+            else:
+                yield f
+                continue
+            self.buildings = [b for b in self.buildings if b in asked]
+
+
 class PagedSource(DataSource):
     """spark.read.format("paged").option("fetch", "module:function").option("buildings", "741,903").load(): one partition per building.
 
-    fetch(building, take, skip) returns a page's body. The pages of a building are asked for in turn until one is short or ``pages`` (21) are read. Building ids are the only filter that is pushed down.
+    fetch(building, take, skip) returns a page's body. The pages of a building are asked for in turn until one is short or ``pages`` (21) are read.
+    With the option ``pushdown`` "true", which needs ``spark.sql.python.filterPushdown.enabled``, a filter on ``building`` (equality or IN) reaches the reader, and other buildings are never asked for.
     """
 
     @classmethod
@@ -246,4 +265,4 @@ class PagedSource(DataSource):
         return "building string, skip int, body string"
 
     def reader(self, schema):
-        return _PagedReader(self.options)
+        return (_PushedReader if self.options.get("pushdown", "false").lower() == "true" else _PagedReader)(self.options)
