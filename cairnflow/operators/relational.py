@@ -6,12 +6,13 @@ used only where the rows of a key must be seen in order.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scratch import free_names, shared_dir
+
 Keys = Sequence[str]
 
 
@@ -21,7 +22,8 @@ def _w(keys: Keys, order: Sequence[Column | str]):
 
 def first_by(df: DataFrame, keys: Keys, order: Sequence[Column | str]) -> DataFrame:
     """The first row of each key. row_number = 1 is planned with a map-side group limit, so a hot key sends one row per task."""
-    return df.withColumn("__rn", F.row_number().over(_w(keys, order))).where("__rn = 1").drop("__rn")
+    (rn,) = free_names(df.columns, "__rn")
+    return df.withColumn(rn, F.row_number().over(_w(keys, order))).where(F.col(rn) == 1).drop(rn)
 
 
 def top_k(df: DataFrame, keys: Keys, order: Sequence[Column | str], k: int, rank: str = "rank") -> DataFrame:
@@ -49,13 +51,13 @@ def priority_join(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, s
     Every left row comes back once. Of right rows that share a key the first in ``order`` counts, by default in the order of the carried columns.
     """
     out = left
-    for n, (lk, rk) in enumerate(keys):
+    own = free_names([*left.columns, *carry], *(f"__{x}{n}" for x in "km" for n in range(len(keys))))
+    found, rows = own[: len(keys)], own[len(keys) :]
+    for k, m, (lk, rk) in zip(found, rows, keys, strict=True):
         one = first_by(right.where(F.col(rk).isNotNull()), [rk], list(order) or list(carry))
-        side = one.select(F.col(rk).alias(f"__k{n}"), F.struct(*carry).alias(f"__m{n}"))
-        out = out.join(side, F.col(lk) == F.col(f"__k{n}"), "left")
-    hit = F.coalesce(*(F.col(f"__m{n}") for n in range(len(keys))))
-    out = out.withColumns({c: hit[c] for c in carry})
-    return out.drop(*(f"__{x}{n}" for n in range(len(keys)) for x in "km"))
+        out = out.join(one.select(F.col(rk).alias(k), F.struct(*carry).alias(m)), F.col(lk) == F.col(k), "left")
+    hit = F.coalesce(*map(F.col, rows))
+    return out.withColumns({c: hit[c] for c in carry}).drop(*own)
 
 
 def multi_key_lookup(left: DataFrame, right: DataFrame, left_id: str, keys: Sequence[tuple[str, str]], scope: Keys, value: str, right_order: str) -> DataFrame:
@@ -95,9 +97,10 @@ def undirected(a: Column, b: Column) -> tuple[Column, Column]:
 
 def insert_undirected(edges: DataFrame, new: DataFrame, a: str, b: str, order: Sequence[Column | str]) -> DataFrame:
     """New edges that no edge has in either direction, each once (the first in order)."""
-    key = lambda d: d.withColumns(dict(zip(("__lo", "__hi"), undirected(F.col(a), F.col(b)), strict=True)))
-    fresh = key(new).join(key(edges).select("__lo", "__hi").distinct(), ["__lo", "__hi"], "left_anti")
-    return first_by(fresh, ["__lo", "__hi"], order).drop("__lo", "__hi")
+    own = free_names([*edges.columns, *new.columns], "__lo", "__hi")
+    key = lambda d: d.withColumns(dict(zip(own, undirected(F.col(a), F.col(b)), strict=True)))
+    fresh = key(new).join(key(edges).select(*own).distinct(), own, "left_anti")
+    return first_by(fresh, own, order).drop(*own)
 
 
 def mode_by(df: DataFrame, keys: Keys, value: str) -> DataFrame:
@@ -122,7 +125,8 @@ def dedupe_with_suffix(df: DataFrame, keys: Keys, order: Sequence[Column | str],
 def islands(df: DataFrame, keys: Keys, order: Sequence[Column | str], change: Column, name: str = "island") -> DataFrame:
     """Number of the run of rows without a change; change may use lag over the same order."""
     w = _w(keys, order)
-    return df.withColumn("__c", F.when(change, 1).otherwise(0)).withColumn(name, F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("__c")
+    (c,) = free_names([*df.columns, name], "__c")
+    return df.withColumn(c, F.when(change, 1).otherwise(0)).withColumn(name, F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop(c)
 
 
 def changed(col: str, keys: Keys, order: Sequence[Column | str]) -> Column:
@@ -141,31 +145,30 @@ def gap_stitch(df: DataFrame, keys: Keys, order: Sequence[Column | str], step: s
     """Segments between consecutive outdoor points; where a step changes and the points differ the segment is a connector over what lay between."""
     w = _w(keys, order)
     prev = lambda c: F.lag(c).over(w)
-    out = df.where(~inside).select("*", prev(x).alias("x1"), prev(z).alias("z1"), prev(step).alias("__s"))
-    same = F.col("__s") == F.col(step)
+    (s,) = free_names(df.columns, "__s")
+    out = df.where(~inside).select("*", prev(x).alias("x1"), prev(z).alias("z1"), prev(step).alias(s))
+    same = F.col(s) == F.col(step)
     moved = (F.col("x1") != F.col(x)) | (F.col("z1") != F.col(z))
-    return out.where(F.col("__s").isNotNull() & (same | moved)).withColumn("class", F.when(same, F.col(klass)).otherwise(connector)).drop("__s")
+    return out.where(F.col(s).isNotNull() & (same | moved)).withColumn("class", F.when(same, F.col(klass)).otherwise(connector)).drop(s)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """checkpoint() into spark.checkpoint.dir; where that is unset, a temporary folder on a local master and an error on any other."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        shared = sc.getConf().get("spark.checkpoint.dir")
-        if not shared and not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="cairnflow-"))
+        sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
     """0, 1, 2 ... over the whole table: a range sort, then an offset per partition. Only one count per partition meets in one task."""
+    p, i, n, start = free_names([*df.columns, name], "__p", "__i", "__n", "__start")
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = checkpointed(placed.withColumns({"__p": F.spark_partition_id(), "__i": F.monotonically_increasing_id() % (1 << 33)}))
-    counts = placed.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    starts = counts.select("__p", (F.sum("__n").over(before) - F.col("__n")).alias("__start"))
-    return placed.join(F.broadcast(starts), "__p").withColumn(name, F.col("__i") + F.col("__start")).drop("__p", "__i", "__start")
+    placed = checkpointed(placed.withColumns({p: F.spark_partition_id(), i: F.monotonically_increasing_id() % (1 << 33)}))
+    counts = placed.groupBy(p).agg(F.count(F.lit(1)).alias(n))
+    before = Window.orderBy(p).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = counts.select(p, (F.sum(n).over(before) - F.col(n)).alias(start))
+    return placed.join(F.broadcast(starts), p).withColumn(name, F.col(i) + F.col(start)).drop(p, i, start)
 
 
 def index_percentiles(df: DataFrame, value: str, qs: Sequence[float]) -> DataFrame:
@@ -184,9 +187,10 @@ def index_percentile(df: DataFrame, value: str, q: float) -> DataFrame:
 def systematic_sample(df: DataFrame, keys: Keys, order: Sequence[Column | str], k: int) -> DataFrame:
     """k rows of each key, evenly spread: those at places floor(i n / k)."""
     w = _w(keys, order)
-    out = df.withColumn("__i", F.row_number().over(w) - 1).withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    j = F.ceil(F.col("__i") * k / F.col("__n"))
-    return out.where((F.floor(j * F.col("__n") / k) == F.col("__i")) & (j < k)).drop("__i", "__n")
+    i, n = free_names(df.columns, "__i", "__n")
+    out = df.withColumn(i, F.row_number().over(w) - 1).withColumn(n, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    j = F.ceil(F.col(i) * k / F.col(n))
+    return out.where((F.floor(j * F.col(n) / k) == F.col(i)) & (j < k)).drop(i, n)
 
 
 def split_with_rejects(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> tuple[DataFrame, DataFrame]:

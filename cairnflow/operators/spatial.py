@@ -20,10 +20,11 @@ def _cell(c: Column, size: float) -> Column:
 
 def grid_distance_join(left: DataFrame, right: DataFrame, lx: str, lz: str, rx: str, rz: str, radius: float, on: Sequence[str] = (), name: str = "distance") -> DataFrame:
     """Pairs within radius. The right side is laid into its 3x3 cells, so every pair meets exactly once."""
+    n, cx, cz = free_names([*left.columns, *right.columns, name], "__n", "__cx", "__cz")
     around = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1))))
-    l = left.withColumns({"__cx": _cell(F.col(lx), radius), "__cz": _cell(F.col(lz), radius)})
-    r = right.withColumn("__n", around).withColumns({"__cx": _cell(F.col(rx), radius) + F.col("__n.i"), "__cz": _cell(F.col(rz), radius) + F.col("__n.j")}).drop("__n")
-    return l.join(r, ["__cx", "__cz", *on]).withColumn(name, geo.distance(F.col(lx), F.col(lz), F.col(rx), F.col(rz))).where(F.col(name) <= radius).drop("__cx", "__cz")
+    l = left.withColumns({cx: _cell(F.col(lx), radius), cz: _cell(F.col(lz), radius)})
+    r = right.withColumn(n, around).withColumns({cx: _cell(F.col(rx), radius) + F.col(f"{n}.i"), cz: _cell(F.col(rz), radius) + F.col(f"{n}.j")}).drop(n)
+    return l.join(r, [cx, cz, *on]).withColumn(name, geo.distance(F.col(lx), F.col(lz), F.col(rx), F.col(rz))).where(F.col(name) <= radius).drop(cx, cz)
 
 
 def distance_semi_join(left: DataFrame, right: DataFrame, lx: str, lz: str, rx: str, rz: str, radius: float, left_id: str, on: Sequence[str] = ()) -> DataFrame:
@@ -95,9 +96,10 @@ def _cells_of_line(x1, z1, x2, z2, size: float) -> Column:
 
 def segment_intersect_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, l: Sequence[str], r: Sequence[str], size: float, on: Sequence[str] = ()) -> DataFrame:
     """Pairs of segments whose interiors cross; both are laid into the cells they run through. l, r: names of x1, z1, x2, z2."""
-    cells = lambda d, c: d.withColumn("__c", F.explode(_cells_of_line(*map(F.col, c), size)))
-    met = cells(left, l).join(cells(right, r), ["__c", *on]).where(F.col(left_id) != F.col(right_id))
-    return met.where(geo.segments_cross(list(map(F.col, l)), list(map(F.col, r)))).drop("__c").dropDuplicates([left_id, right_id])
+    (cell,) = free_names([*left.columns, *right.columns], "__c")
+    cells = lambda d, c: d.withColumn(cell, F.explode(_cells_of_line(*map(F.col, c), size)))
+    met = cells(left, l).join(cells(right, r), [cell, *on]).where(F.col(left_id) != F.col(right_id))
+    return met.where(geo.segments_cross(list(map(F.col, l)), list(map(F.col, r)))).drop(cell).dropDuplicates([left_id, right_id])
 
 
 def _box_far(parts: Sequence[tuple[DataFrame, Sequence[str]]]) -> float:

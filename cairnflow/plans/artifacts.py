@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import mesh, spatial
+from ..operators import mesh
+from . import walkable
 from .building import Dataset
 from .surfaces import dataset_meshes, floor_glb, open_ring3
 
@@ -54,11 +55,11 @@ def outlines(cells: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
     return [ring for _, ring in sorted(out, key=lambda r: (-r[0], r[1]))]
 
 
-def floor_slabs(ds: Dataset, size: float = 0.25, padding: float = PADDING) -> DataFrame:
+def floor_slabs(ds: Dataset, padding: float = PADDING) -> DataFrame:
     """(building, floor_name, name, material, vertices, faces): the slab under every floor.
 
-    A floor with a ``ring_local`` of its own gets that. Any other gets the union of its rooms and portals, ``padding`` wider, on cells
-    of ``size`` (right up to one cell at borders): one slab per part, the largest first. Only one floor's cells meet in a task.
+    A floor with a ``ring_local`` of its own gets that. Any other gets the exact union of its rooms and portals, ``padding`` wider with
+    mitred corners: one slab per part, the largest first. Slabs have no holes.
     """
     key = ["building", "floor_name"]
     rings = ds.rooms.select(*key, "ring_local").unionByName(ds.portals.select(*key, "ring_local")).where(F.size("ring_local") >= 3)
@@ -67,23 +68,11 @@ def floor_slabs(ds: Dataset, size: float = 0.25, padding: float = PADDING) -> Da
         own = ds.floors.where(F.size("ring_local") >= 3)
         rings = rings.join(own.select(*key), key, "left_anti")
     xz = F.transform(open_ring3("ring_local"), lambda p: F.struct(p["x"].alias("x"), p["z"].alias("z")))
-    rings = rings.select(*key, xz.alias("ring"), F.element_at("ring_local", 1)["y"].alias("y"))
-    low, high = (lambda c: F.array_min(F.transform("ring", lambda p: p[c])) - padding), (lambda c: F.array_max(F.transform("ring", lambda p: p[c])) + padding)
-    cells = rings.withColumn("c", F.explode(spatial._cells_of_box(low("x"), low("z"), high("x"), high("z"), size)))
-    mid = [(F.col(f"c.{k}") + 0.5) * size for k in "ij"]
-    edge = lambda e: geo.point_segment(*mid, e["a"]["x"], e["a"]["z"], e["b"]["x"], e["b"]["z"])
-    inside = geo.point_in_ring(*mid, F.col("ring")) | (F.array_min(F.transform(geo.ring_edges(F.col("ring")), edge)) <= padding)
-    cells = cells.where(inside).groupBy(*key, F.col("c.i").alias("i"), F.col("c.j").alias("j")).agg(F.min("y").alias("y"))
-
-    def trace(k: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        y = float(pdf["y"].min())
-        parts = outlines(list(zip(pdf["i"].tolist(), pdf["j"].tolist(), strict=True)))
-        rows = [[{"x": i * size, "y": y, "z": j * size} for i, j in ring] for ring in parts]
-        return pd.DataFrame({"building": k[0], "floor_name": k[1], "part": range(1, len(rows) + 1), "ring": rows})
-
-    found = cells.groupBy(*key).applyInPandas(trace, f"building string, floor_name string, part long, ring array<{mesh.POINT}>")
+    low = rings.groupBy(*key).agg(F.min(F.element_at("ring_local", 1)["y"]).alias("y"))
+    parts = walkable.union_slabs(rings.select(*key, xz.alias("ring")), key, padding).join(low, key)
+    found = parts.select(*key, "part", F.transform("ring", lambda p: F.struct(p["x"].alias("x"), F.col("y").alias("y"), p["z"].alias("z"))).alias("ring"))
     if own is not None:
-        found = found.unionByName(own.select(*key, F.lit(1).cast("long").alias("part"), open_ring3("ring_local").alias("ring")))
+        found = found.unionByName(own.select(*key, F.lit(1).alias("part"), open_ring3("ring_local").alias("ring")))
     name = F.concat(F.lit("floor_"), F.col("floor_name"), F.when(F.col("part") > 1, F.concat(F.lit("_part_"), F.col("part").cast("string"))).otherwise(""))
     v, f = mesh.extrude(F.col("ring"), THICKNESS)
     return found.select(*key, name.alias("name"), F.lit("floor").alias("material"), v.alias("vertices"), f.alias("faces"))
@@ -128,6 +117,26 @@ def floor_artifacts(visual: DataFrame, routes: DataFrame, floor_table: DataFrame
     return files.select("floor_index", "kind", F.concat(F.lit(f"{group}_floor_"), number, F.lit("_"), "kind", F.lit(".glb")).alias("filename"), "content")
 
 
+def write_artifacts(artifacts: DataFrame, path: str) -> None:
+    """The files (filename, content) of ``floor_artifacts`` in a folder, in place of those of earlier runs; a run that fails leaves them as they were."""
+    from ..sources.files import write_files
+
+    write_files(artifacts, path)
+
+
+def stage_files(stages: dict[str, DataFrame]) -> DataFrame:
+    """(filename, content): a binary file for every stage and floor of its meshes (floor_name, name, material, vertices, faces), to look at a build step by step. The meshes of one floor and stage meet in a task."""
+    every = None
+    for k, (name, meshes) in enumerate(stages.items(), 1):
+        one = meshes.select(F.lit(f"{k:02d}_{name}").alias("stage"), "floor_name", "name", "material", "vertices", "faces")
+        every = one if every is None else every.unionByName(one)
+
+    def build(k: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"filename": [f"{k[0]}/floor_{k[1]}.glb"], "content": [floor_glb(pdf, 0.0)]})
+
+    return every.groupBy("stage", "floor_name").applyInPandas(build, "filename string, content binary")
+
+
 def lifted(vertices: Column, height: Column, lift: float) -> Column:
     """Vertices with heights relative to ``height``, raised by ``lift``, in whole millionths."""
     return F.transform(vertices, lambda p: F.struct(p["x"].alias("x"), F.round(geo.zero_tiny(p["y"] - height) + lift, 6).alias("y"), p["z"].alias("z")))
