@@ -48,7 +48,7 @@ _ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+
 # --- fixed values: HTML elements by their role, and words that name boilerplate ---
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-SILENT = frozenset("head script style textarea title xmp iframe noembed noframes noscript template svg math canvas object audio video select option datalist button input label dialog".split())
+SILENT = frozenset("head script style textarea title xmp iframe noembed noframes noscript template svg canvas object audio video select option datalist button input dialog".split())
 BOILERPLATE = frozenset("nav footer aside form menu".split())
 BLOCK = frozenset("address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul caption".split())
 CLOSES = {

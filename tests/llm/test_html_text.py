@@ -149,3 +149,9 @@ def test_densities_against_a_plain_computation():
 def test_very_long_page():
     page = "<div class=menu><a href=/>x</a></div><div>" + f"<p>{A}</p>" * 20_000 + "</div>"
     assert main_text(page) == " ".join([A] * 20_000)
+
+
+def test_labels_and_formulas_of_an_article_stay():
+    page = f"<html><body><nav><label>Menu</label></nav><article><p>He said <label>word</label> there, and <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p><p>{'More text of the article here. ' * 20}</p><form><label>Your name</label><input></form></article></body></html>"
+    got = main_text(page)
+    assert got.startswith("He said word there, and x=1 holds. More text") and "Menu" not in got and "Your name" not in got
