@@ -5,7 +5,9 @@ Every step is a join or an aggregate keyed by floor and cell; only the edges of
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -108,11 +110,16 @@ def occupancy(ground: DataFrame, walls: DataFrame | None = None, bypass: DataFra
     return out.select(key, "part", "cx", "cz", *_ENDS)
 
 
-@F.pandas_udf(_TRIANGLES)
-def triangles_udf(ring: pd.Series, holes: pd.Series) -> pd.Series:
+def _triangles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pieces with their triangles; corners are whole units again while they are cut."""
+    spot = pa.struct([("x", pa.float64()), ("z", pa.float64())])
     whole = lambda r: [(round(p["x"] * overlay.SCALE), round(p["z"] * overlay.SCALE)) for p in r]
-    cut = lambda r, h: mesh.constrained_delaunay(whole(r), [whole(x) for x in h])
-    return pd.Series([[[{"x": x / overlay.SCALE, "z": z / overlay.SCALE} for x, z in t] for t in cut(r, h)] for r, h in zip(ring, holes, strict=True)])
+    for batch in batches:
+        found = []
+        for ring, holes in zip(batch.column("ring").to_pylist(), batch.column("holes").to_pylist(), strict=True):
+            cut = mesh.constrained_delaunay(whole(ring), [whole(h) for h in holes])
+            found.append([[{"x": x / overlay.SCALE, "z": z / overlay.SCALE} for x, z in t] for t in cut])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.list_(spot)))], names=[*batch.schema.names, "triangles"])
 
 
 def ground_mesh(cells: DataFrame, keys: list[str]) -> DataFrame:
@@ -121,7 +128,7 @@ def ground_mesh(cells: DataFrame, keys: list[str]) -> DataFrame:
     Constrained Delaunay triangles: sides are those of the polygon, and no diagonal could be swapped for a better one. One piece is one row.
     """
     pieces = overlay.polygons(overlay.rings(overlay.dissolve(cells, keys), keys), keys).withColumnRenamed("part", "piece")
-    return pieces.withColumn("triangles", triangles_udf("ring", "holes"))
+    return pieces.mapInArrow(_triangles, T.StructType([*pieces.schema.fields, T.StructField("triangles", _TRIANGLES)]))
 
 
 def union_slabs(rings: DataFrame, keys: list[str], padding: float = 0.25) -> DataFrame:

@@ -169,6 +169,15 @@ def test_cells_against_clipping_and_triangles_cover_them(spark):
     assert {q for t in triangles for q in t} <= corners  # no grid line inside
 
 
+def test_a_piece_with_holes_of_different_shapes(spark):
+    gone = {(1, 1), (3, 1), (3, 2), (5, 5), (6, 5), (6, 6)}
+    cells = [(1, float(i), float(j), i + 1.0, j + 1.0) for i in range(9) for j in range(9) if (i, j) not in gone]
+    piece = walkable.ground_mesh(spark.createDataFrame(cells, "k int, x1 double, z1 double, x2 double, z2 double"), ["k"]).first()
+    triangles = [[(q.x, q.z) for q in t] for t in piece.triangles]
+    assert sorted(len(h) for h in piece.holes) == [4, 4, 6] and piece.area == 75.0
+    assert sum(shoelace(t) for t in triangles) / 2 == 75.0 and len(triangles) == 4 + (4 + 2) + (4 + 2) + (6 + 2) - 2
+
+
 def test_walls_on_grid_lines_run_on_both_sides(spark):
     walls = spark.createDataFrame([("1", 1.0, 0.1, 1.0, 0.4), ("1", 0.2, 0.2, 0.2, 0.2), ("1", 0.0, 0.0, 1.0, 1.0)], SEG).withColumn("id", F.monotonically_increasing_id())
     runs = overlay.cell_runs(walls, ["x1", "z1"], ["x1", "z1", "x2", "z2"], 0.5).collect()
