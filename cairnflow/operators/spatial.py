@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
 from .relational import checkpointed, first_by, top_k
-from .scratch import free_names
+from .scratch import Scratch, free_names
 
 
 def _cell(c: Column, size: float) -> Column:
@@ -42,36 +42,62 @@ def knn_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, lx:
     return ranked.where(F.col("rank") <= k)
 
 
-def _far(left: DataFrame, right: DataFrame, lx: str, lz: str, rx: str, rz: str) -> float:
-    """No left row is farther than this from any right row: the diagonal of the box around both (one row reaches the driver)."""
-    both = left.select(F.col(lx).cast("double").alias("x"), F.col(lz).cast("double").alias("z")).unionByName(right.select(F.col(rx).cast("double").alias("x"), F.col(rz).cast("double").alias("z")))
-    ok = [F.col(c).isNotNull() & (F.abs(F.col(c)) < float("inf")) for c in ("x", "z")]
-    box = both.where(ok[0] & ok[1]).agg(F.min("x"), F.max("x"), F.min("z"), F.max("z")).first()
-    return 0.0 if box[0] is None else float(np.hypot(box[1] - box[0], box[3] - box[2]))
-
-
 def nearest_one(left: DataFrame, right: DataFrame, left_id: str, right_id: str, lx: str, lz: str, rx: str, rz: str, radius: float, on: Sequence[str] = ()) -> DataFrame:
-    """The nearest right row whatever its distance: the radius doubles for rows that have found none, until it covers both tables.
+    """The nearest right row whatever its distance, found from coarse cells to fine ones; ``radius`` is the size of the finest.
 
-    Every left row comes back: one without a place, or with no right row to find, has nulls. Ties go to the smaller right id.
+    Every cell is known by the box around its rows. Of a left cell's candidates those go whose box is farther than the farthest corner of
+    another, then cells and candidates split in 64 each, and only at the finest level rows meet. So clusters that lie far apart meet through
+    the cells that face each other, never in one cell that holds both. Every left row comes back: one without a place, or with no right row to
+    find, has nulls. Ties go to the smaller right id.
     """
-    reach = _far(left, right, lx, lz, rx, rz)
     every = grid_distance_join(left, right, lx, lz, rx, rz, radius, on).columns
+    scratch = Scratch(left.sparkSession, "nearest")
+    finite = lambda c: F.col(c).isNotNull() & (F.abs(F.col(c).cast("double")) < float("inf"))
+    xa, za, ia, ja = free_names(left.columns, "__x", "__z", "__i", "__j")
+    xb, zb, ib, jb = free_names(right.columns, "__x", "__z", "__i", "__j")
+    placed = lambda df, x, z, n: df.where(finite(x) & finite(z)).withColumns({n[0]: F.col(x).cast("double"), n[1]: F.col(z).cast("double")}).withColumns({n[2]: _cell(F.col(n[0]), radius), n[3]: _cell(F.col(n[1]), radius)})
+    l, r = placed(left, lx, lz, (xa, za, ia, ja)), placed(right, rx, rz, (xb, zb, ib, jb))
+
+    def boxes(df: DataFrame, n: Sequence[str]) -> DataFrame:
+        keys = [F.col(k).alias(f"k{m}") for m, k in enumerate(on)]
+        return df.select(*keys, F.lit(0).alias("one"), *(F.col(c).alias(d) for c, d in zip(n, "xzij", strict=True))).groupBy(*same, "i", "j").agg(F.min("x").alias("x1"), F.max("x").alias("x2"), F.min("z").alias("z1"), F.max("z").alias("z2"))
+
+    same = ["one", *(f"k{m}" for m in range(len(on)))]
+    fine = [scratch.save(boxes(l, (xa, za, ia, ja)), "left"), scratch.save(boxes(r, (xb, zb, ib, jb)), "right")]
+    box = fine[0].unionByName(fine[1]).agg(F.min("i"), F.max("i"), F.min("j"), F.max("j")).first()
+    levels = 0
+    while box[0] is not None and max(box[1] - box[0], box[3] - box[2]) >> (3 * levels) > 1:
+        levels += 1
+
+    def at(cells: DataFrame, level: int, p: str) -> DataFrame:
+        """Boxes of the cells of a level, with the cells above them."""
+        up = [F.shiftright(c, 3 * level).alias(c) for c in "ij"]
+        g = cells.select(*same, *up, "x1", "x2", "z1", "z2").groupBy(*same, "i", "j").agg(*(f(c).alias(c) for f, c in ((F.min, "x1"), (F.max, "x2"), (F.min, "z1"), (F.max, "z2"))))
+        return g.select(*same, *(F.col(c).alias(f"{p}{c}") for c in ("i", "j", "x1", "x2", "z1", "z2")), *(F.shiftright(c, 3).alias(f"{p}up{c}") for c in "ij"))
+
+    pairs = None
+    for level in range(levels, -1, -1):
+        a, b = at(fine[0], level, "a"), at(fine[1], level, "b")
+        if pairs is None:  # a few cells on either side hold everything
+            met = a.join(b, same)
+        else:
+            above = pairs.select(*same, *(F.col(f"{p}{c}").alias(f"{p}up{c}") for p in "ab" for c in "ij"))
+            met = above.join(a, [*same, "aupi", "aupj"]).join(b, [*same, "bupi", "bupj"])
+        c = F.col
+        gap = lambda d: F.greatest(F.lit(0.0), c(f"b{d}1") - c(f"a{d}2"), c(f"a{d}1") - c(f"b{d}2"))  # noqa: B023, E731
+        span = lambda d: F.greatest(c(f"b{d}2") - c(f"a{d}1"), c(f"a{d}2") - c(f"b{d}1"))  # noqa: B023, E731
+        met = met.withColumns({"near": gap("x") * gap("x") + gap("z") * gap("z"), "far": span("x") * span("x") + span("z") * span("z")})
+        bound = F.min("far").over(Window.partitionBy(*same, "ai", "aj"))
+        pairs = met.withColumn("bound", bound * (1 + 1e-9)).where("near <= bound").select(*same, "ai", "aj", "bi", "bj")
+        pairs = scratch.save(pairs, f"pairs-{level}")
+        scratch.drop(f"pairs-{level + 1}")
+    links = pairs.select(*(F.col(f"k{m}").alias(k) for m, k in enumerate(on)), F.col("ai").alias(ia), F.col("aj").alias(ja), F.col("bi").alias(ib + "r"), F.col("bj").alias(jb + "r"))
+    r = r.withColumnsRenamed({ib: ib + "r", jb: jb + "r"}).drop(xb, zb)
+    met = l.drop(xa, za).join(links, [*on, ia, ja]).join(r, [*on, ib + "r", jb + "r"])
+    met = met.withColumn("distance", geo.distance(F.col(lx), F.col(lz), F.col(rx), F.col(rz)))
     own = [c for c in every if c not in left.columns]
-    hits, rest = [], left
-    while True:
-        pairs = grid_distance_join(rest, right, lx, lz, rx, rz, radius, on)
-        hits.append(checkpointed(first_by(pairs, [left_id], ["distance", right_id]).select(left_id, *own)))
-        if radius > reach:
-            break
-        rest = checkpointed(rest.join(hits[-1].select(left_id), left_id, "left_anti"))
-        if rest.isEmpty():
-            break
-        radius *= 2
-    found = hits[0]
-    for hit in hits[1:]:
-        found = found.unionByName(hit)
-    return left.join(found, left_id, "left").select(*every)
+    found = first_by(met, [left_id], ["distance", right_id]).select(left_id, *own)
+    return left.join(scratch.save(found, "found"), left_id, "left").select(*every)
 
 
 def _cells_of_box(x1, z1, x2, z2, size: float) -> Column:

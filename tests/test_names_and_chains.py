@@ -1,5 +1,6 @@
 """Internal column names never cost a caller's column; chains of any length prune; artifacts as files."""
 
+import math
 import os
 import random
 
@@ -81,3 +82,15 @@ def test_artifacts_and_stages_become_files(spark, tmp_path):
     artifacts.write_artifacts(artifacts.floor_artifacts(meshes, meshes, floors, "g"), str(tmp_path / "out"))
     names = sorted(f for _, _, fs in os.walk(tmp_path / "out") for f in fs if f.endswith(".glb"))
     assert names == [f"g_floor_{i}_{k}.glb" for i in (0, 1) for k in ("route_debug", "visual", "walkable_paths")]
+
+
+def test_far_clusters_meet_through_the_cells_that_face_each_other(spark):
+    rng = random.Random(8)
+    left = [(i, rng.uniform(0, 40), rng.uniform(0, 40)) for i in range(3000)]
+    right = [(i, 100_000 + rng.uniform(0, 40), rng.uniform(0, 40)) for i in range(3000)]
+    l, r = spark.createDataFrame(left, "i long, x double, z double"), spark.createDataFrame(right, "j long, u double, v double")
+    got = {row.i: row.j for row in spatial.nearest_one(l, r, "i", "j", "x", "z", "u", "v", 1.0).collect()}
+    for i, x, z in left[::50]:
+        assert got[i] == min((math.hypot(u - x, v - z), j) for j, u, v in right)[1]
+    same = spatial.nearest_one(l, l.select(F.col("i").alias("j"), F.col("x").alias("u"), F.col("z").alias("v")), "i", "j", "x", "z", "u", "v", 1.0)
+    assert same.where("i <> j or distance > 0").count() == 0
