@@ -170,8 +170,8 @@ def rings(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
     return walked.groupBy("component").applyInPandas(walk, schema)
 
 
-def polygons(found: DataFrame, keys: Sequence[str], cell: float = 4.0) -> DataFrame:
-    """(keys, part, ring, holes, area): outer rings with the holes inside them, numbered by area from the largest (ties by ring id); area in square metres without holes.
+def polygons(found: DataFrame, keys: Sequence[str], cell: float = 4.0, name: str = "part") -> DataFrame:
+    """(keys, part or ``name``, ring, holes, area): outer rings with the holes inside them, numbered by area from the largest (ties by ring id); area in square metres without holes.
 
     A hole belongs to the smallest outer ring around it.
     """
@@ -189,7 +189,7 @@ def polygons(found: DataFrame, keys: Sequence[str], cell: float = 4.0) -> DataFr
     parts = outer.join(holes, [*keys, "outer_id"], "left")
     total = F.col("outer_twice") + F.coalesce("less", F.lit(0))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(total.desc(), "outer_id"))
-    return parts.select(*keys, rank.alias("part"), F.col("outer").alias("ring"), F.coalesce("holes", F.array().cast(f"array<{RING}>")).alias("holes"), (total / (2 * SCALE * SCALE)).alias("area"))
+    return parts.select(*keys, rank.alias(name), F.col("outer").alias("ring"), F.coalesce("holes", F.array().cast(f"array<{RING}>")).alias("holes"), (total / (2 * SCALE * SCALE)).alias("area"))
 
 
 def union_area(rings_: DataFrame, keys: Sequence[str], ring: str = "ring", cell: float = 4.0) -> DataFrame:

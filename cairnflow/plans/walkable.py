@@ -127,7 +127,7 @@ def ground_mesh(cells: DataFrame, keys: list[str]) -> DataFrame:
 
     Constrained Delaunay triangles: sides are those of the polygon, and no diagonal could be swapped for a better one. One piece is one row.
     """
-    pieces = overlay.polygons(overlay.rings(overlay.dissolve(cells, keys), keys), keys).withColumnRenamed("part", "piece")
+    pieces = overlay.polygons(overlay.rings(overlay.dissolve(cells, keys), keys), keys, name="piece")
     return pieces.mapInArrow(_triangles, T.StructType([*pieces.schema.fields, T.StructField("triangles", _TRIANGLES)]))
 
 

@@ -3,7 +3,6 @@ import random
 from fractions import Fraction
 from itertools import combinations
 
-import pytest
 from pyspark.sql import functions as F
 
 from cairnflow.operators import mesh, overlay
@@ -112,25 +111,21 @@ def capsule_area(length, r, quarter=8):
 
 
 def test_corridors_walls_and_connectors(spark):
-    route = spark.createDataFrame([("1", 0.0, 0.0, 10.0, 0.0), ("2", 0.0, 0.0, 0.0, 0.0), ("3", 0.0, 0.0, 3.0, 0.0), ("3", 3.0, 0.0, 3.0, 3.0)], SEG)
-    ground, none = walkable.corridor_ground(route, longest=None)
+    straight = [(f, 0.0, 0.0, 10.0, 0.0) for f in ("plain", "wall", "link", "aimed")]
+    route = spark.createDataFrame([*straight, ("point", 0.0, 0.0, 0.0, 0.0), ("bend", 0.0, 0.0, 3.0, 0.0), ("bend", 3.0, 0.0, 3.0, 3.0)], SEG)
+    walls = spark.createDataFrame([(f, 5.0, -3.0, 5.0, 3.0) for f in ("wall", "link", "aimed")], SEG)
+    links = spark.createDataFrame([("link", 4.0, 0.0, 6.0, 0.0)], SEG)
+    points = spark.createDataFrame([("aimed", "p", 4.0, 0.0), ("aimed", "q", 6.0, 0.0), ("point", "q", 0.0, 0.0), ("aimed", "far", 500.0, 0.0)], "floor_name string, external_id string, x double, z double")
+    lines = walkable.targeted_lines(points, spark.createDataFrame([("q", "p"), ("p", "q"), ("p", "far")], "a string, b string"))
+    assert [tuple(r) for r in lines.collect()] == [("aimed", 4.0, 0.0, 6.0, 0.0)]
+    ground, bypass = walkable.corridor_ground(route, walls, links, lines, longest=None)
     area = {r.floor_name: r.twice / 2e6 for r in overlay.areas(ground, ["floor_name"]).collect()}
-    assert none is None and abs(area["1"] - capsule_area(10, 0.6)) < 0.02 and abs(area["2"] - capsule_area(0, 0.6)) < 0.01
-    wall = spark.createDataFrame([("1", 5.0, -3.0, 5.0, 3.0)], SEG)
-    cut, _ = walkable.corridor_ground(route.where("floor_name = '1'"), wall, longest=None)
-    assert abs(overlay.areas(cut, ["floor_name"]).first().twice / 2e6 - (capsule_area(10, 0.6) - 0.3 * 1.2)) < 0.02
-    assert overlay.rings(cut, ["floor_name"]).count() == 2
-    link = spark.createDataFrame([("1", 4.0, 0.0, 6.0, 0.0)], SEG)
-    joined, bypass = walkable.corridor_ground(route.where("floor_name = '1'"), wall, connectors=link, longest=None)
-    assert overlay.rings(joined, ["floor_name"]).count() == 1  # a connector crosses the wall
-    pads = capsule_area(2, 0.9) + 2 * capsule_area(0, 1.2)
-    assert capsule_area(2, 0.9) < overlay.areas(bypass, ["floor_name"]).first().twice / 2e6 < pads
-    points = spark.createDataFrame([("1", "p", 4.0, 0.0), ("1", "q", 6.0, 0.0), ("2", "q", 0.0, 0.0), ("1", "far", 500.0, 0.0)], "floor_name string, external_id string, x double, z double")
-    pairs = spark.createDataFrame([("q", "p"), ("p", "q"), ("p", "far")], "a string, b string")
-    lines = walkable.targeted_lines(points, pairs)
-    assert [tuple(r) for r in lines.collect()] == [("1", 4.0, 0.0, 6.0, 0.0)]
-    both, _ = walkable.corridor_ground(route.where("floor_name = '1'"), wall, targeted=lines, longest=None)
-    assert abs(overlay.areas(both, ["floor_name"]).first().twice / 2e6 - capsule_area(10, 0.6)) < 0.02
+    rings = {r.floor_name: r["count"] for r in overlay.rings(ground, ["floor_name"]).groupBy("floor_name").count().collect()}
+    assert abs(area["plain"] - capsule_area(10, 0.6)) < 0.02 and abs(area["point"] - capsule_area(0, 0.6)) < 0.01
+    assert abs(area["wall"] - (capsule_area(10, 0.6) - 0.3 * 1.2)) < 0.02 and rings["wall"] == 2
+    assert rings["link"] == rings["aimed"] == 1 and abs(area["aimed"] - capsule_area(10, 0.6)) < 0.02  # connectors cross walls
+    by = {r.floor_name: r.twice / 2e6 for r in overlay.areas(bypass, ["floor_name"]).collect()}
+    assert capsule_area(2, 0.9) < by["link"] < capsule_area(2, 0.9) + 2 * capsule_area(0, 1.2) and abs(by["aimed"] - capsule_area(2, 0.6)) < 0.02
 
 
 def test_islands_of_a_floor_are_bridged(spark):
@@ -139,14 +134,14 @@ def test_islands_of_a_floor_are_bridged(spark):
     assert overlay.rings(ground, ["floor_name"]).where("twice > 0").count() == 2
 
 
-@pytest.mark.parametrize("gap, whole", [(1.0, True), (0.0, False)])
-def test_a_door_between_two_jambs_stays_open(spark, gap, whole):
-    route = spark.createDataFrame([("1", 0.0, 0.25, 4.0, 0.25)], SEG)
-    walls = spark.createDataFrame([("1", 2.0, -5.0, 2.0, 0.25 - gap / 2), ("1", 2.0, 0.25 + gap / 2, 2.0, 5.0)], SEG)
-    ground, _ = walkable.corridor_ground(route, walls, longest=None)
+def test_a_door_between_two_jambs_stays_open(spark):
+    route = spark.createDataFrame([(f, 0.0, 0.25, 4.0, 0.25) for f in ("open", "shut")], SEG)
+    jambs = [(f, 2.0, -5.0, 2.0, 0.25 - gap / 2) for f, gap in (("open", 1.0), ("shut", 0.0))] + [(f, 2.0, 0.25 + gap / 2, 2.0, 5.0) for f, gap in (("open", 1.0), ("shut", 0.0))]
+    walls = spark.createDataFrame(jambs, SEG)
+    ground, none = walkable.corridor_ground(route, walls, longest=None)
     cells = walkable.occupancy(ground, walls)
-    pieces = walkable.ground_mesh(cells.withColumn("part", F.lit(1)), ["floor_name"]).collect()
-    assert (len(pieces) == 1) == whole
+    pieces = walkable.ground_mesh(cells.withColumn("part", F.lit(1)), ["floor_name"]).groupBy("floor_name").count().collect()
+    assert none is None and {r.floor_name: r["count"] for r in pieces} == {"open": 1, "shut": 2}
 
 
 def test_cells_against_clipping_and_triangles_cover_them(spark):
