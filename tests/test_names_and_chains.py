@@ -94,3 +94,25 @@ def test_far_clusters_meet_through_the_cells_that_face_each_other(spark):
         assert got[i] == min((math.hypot(u - x, v - z), j) for j, u, v in right)[1]
     same = spatial.nearest_one(l, l.select(F.col("i").alias("j"), F.col("x").alias("u"), F.col("z").alias("v")), "i", "j", "x", "z", "u", "v", 1.0)
     assert same.where("i <> j or distance > 0").count() == 0
+
+
+def test_reach_of_a_long_path_and_of_random_graphs(spark):
+    path = spark.range(1000).selectExpr("id as a", "id + 1 as b")
+    got = {r.source: (r.reachable, r.marked) for r in graph.reach_counts(path.selectExpr("a as id"), path, spark.createDataFrame([(1000,), (500,)], "id long")).collect()}
+    assert all(got[i] == (1001 - i, 2 if i <= 500 else 1) for i in range(1000))
+    rng = random.Random(6)
+    edges = {(rng.randrange(40), rng.randrange(40)) for _ in range(50)} | {(u + 100, u + 101) for u in range(9)} | {(u + 101, u + 100) for u in range(9)}
+    after = {}
+    for u, v in edges:
+        after.setdefault(u, set()).add(v)
+    sources = [*range(0, 40, 3), 104, 999]
+    want = set()
+    for s in sources:
+        seen, front = {s}, [s]
+        while front:
+            front = [v for u in front for v in after.get(u, ()) if v not in seen and not seen.add(v)]
+        want |= {(s, v) for v in seen}
+    df, own = spark.createDataFrame(sorted(edges), "a long, b long"), spark.createDataFrame([(s,) for s in sources], "id long")
+    assert {(r.source, r.node) for r in graph.reach(own, df).collect()} == want
+    counts = {r.source: (r.reachable, r.marked) for r in graph.reach_counts(own, df, spark.range(0, 200, 2).toDF("id")).collect()}
+    assert counts == {s: (sum(1 for x, _ in want if x == s), sum(1 for x, v in want if x == s and v % 2 == 0)) for s in sources} | ({999: (1, 0)})
