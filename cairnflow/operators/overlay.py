@@ -17,6 +17,7 @@ Every join is on a key and a cell or a slab, so one large floor is many tasks.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -49,13 +50,87 @@ def ring_edges(rings: DataFrame, keys: Sequence[str], ring: str = "ring", side:
 
     ``side`` false puts a ring into the second operand. Rings of fewer than three corners or without area are left out.
     """
+    own = _turned(rings, keys, ring, side, hole).withColumn("e", F.explode(geo.ring_edges(F.col("p"))))
+    return own.select(*keys, *(F.col(f"e.{p}.{c}").alias(f"{p}{c}") for p in "ab" for c in "xz"), *_weights())
+
+
+def _turned(rings: DataFrame, keys: Sequence[str], ring: str, side: Column | None, hole: Column | None) -> DataFrame:
+    """(keys, first, hole, p, turn): corners in units, the operand, and the weight of the edges as they run; rings without area are left out."""
     points = F.transform(geo.open_ring(F.col(ring)), lambda p: F.struct(_units(p["x"]).alias("x"), _units(p["z"]).alias("z")))
     own = rings.select(*keys, (F.lit(True) if side is None else side).alias("first"), (F.lit(False) if hole is None else hole).alias("hole"), points.alias("p")).where(F.size("p") >= 3)
-    edges = geo.ring_edges(F.col("p"))
-    twice = F.aggregate(edges, F.lit(0).cast("long"), lambda s, e: s + e["a"]["x"] * e["b"]["z"] - e["b"]["x"] * e["a"]["z"])
-    own = own.withColumn("turn", F.signum(twice).cast("long") * F.when(F.col("hole"), -1).otherwise(1)).where("turn <> 0").withColumn("e", F.explode(edges))
+    twice = F.aggregate(geo.ring_edges(F.col("p")), F.lit(0).cast("long"), lambda s, e: s + e["a"]["x"] * e["b"]["z"] - e["b"]["x"] * e["a"]["z"])
+    return own.withColumn("turn", F.signum(twice).cast("long") * F.when(F.col("hole"), -1).otherwise(1)).where("turn <> 0")
+
+
+def _weights() -> list[Column]:
     weight = lambda mine: F.when(F.col("first") == mine, F.col("turn")).otherwise(F.lit(0)).cast("long")
-    return own.select(*keys, *(F.col(f"e.{p}.{c}").alias(f"{p}{c}") for p in "ab" for c in "xz"), weight(F.lit(True)).alias("wa"), weight(F.lit(False)).alias("wb"))
+    return [weight(F.lit(True)).alias("wa"), weight(F.lit(False)).alias("wb")]
+
+
+def shell_edges(rings: DataFrame, keys: Sequence[str], ring: str = "ring", side: Column | None = None, hole: Column | None = None, cell: float = 4.0, least: float = 0.25, deep: int = 8) -> DataFrame:
+    """Edges like those of ``ring_edges``, with the same union, difference and intersection, but without what is buried: where rings lie in piles, their number no longer counts.
+
+    Every ring is pulled into the cells that it meets: cut at the cell's lines and what is outside moved to its border, which leaves the
+    winding numbers inside as they are. A cell that one ring covers becomes one square for all its rings (if no hole is there), and a cell
+    that none covers but more than ``deep`` rings meet is split in four, down to cells of ``least``. Sides of squares that touch cancel. A ring
+    over more than 4,096 cells stays as it is.
+    """
+    scratch = Scratch(rings.sparkSession, "shell")
+    own = _turned(rings, keys, ring, side, hole)
+    size = int(cell * SCALE)
+    corner = lambda f, c: F.floor(f(F.transform("p", lambda p: p[c])) / size)
+    own = own.withColumns({f"{n}{c}": corner(f, c) for n, f in (("lo", F.array_min), ("hi", F.array_max)) for c in "xz"})
+    wide = (F.expr("(hix - lox + 1) * (hiz - loz + 1) > 4096")) & ~F.col("hole")
+    state = [*keys, "first", "hole", "turn", "p"]
+    out = [own.where(wide).select(*state[:-1], F.explode(geo.ring_edges(F.col("p"))).alias("e"))]
+    now = own.where(~wide).select(*state, F.explode(F.sequence("lox", "hix")).alias("i"), "loz", "hiz").select(*state, "i", F.explode(F.sequence("loz", "hiz")).alias("j"))
+    spot = lambda x, z: F.struct(x.cast("long").alias("x"), z.cast("long").alias("z"))
+    level = 0
+    while True:
+        lo, hi = {"x": F.col("i") * size, "z": F.col("j") * size}, {"x": F.col("i") * size + size, "z": F.col("j") * size + size}
+        inner = lambda e: ~F.greatest(*((e["a"][c] == e["b"][c]) & ((e["a"][c] == lo[c]) | (e["a"][c] == hi[c])) for c in "xz"))  # noqa: B023, E731
+
+        def path(e: Column) -> Column:
+            """The edge pulled into the cell. Its cuts are told from the lesser end, so that the same line cuts it at the same point in every cell."""
+            a, b = e["a"], e["b"]
+            u, v = F.least(a, b), F.greatest(a, b)
+            cuts = []
+            for c, o in (("x", "z"), ("z", "x")):
+                for line in (lo[c], hi[c]):  # noqa: B023
+                    t = (line - u[c]) / F.nullif(v[c] - u[c], F.lit(0))
+                    across = F.rint(u[o] + t * (v[o] - u[o])).cast("long")
+                    at = spot(line, across) if c == "x" else spot(across, line)
+                    cuts.append(F.when((t > 0) & (t < 1), F.struct(t.alias("t"), at.alias("q"))))
+            cut = F.transform(F.array_sort(F.array_compact(F.array(*cuts))), lambda r: r["q"])
+            cut = F.when(a == u, cut).otherwise(F.reverse(cut))
+            straight = (a["x"] == b["x"]) | (a["z"] == b["z"])
+            every = F.when(straight, F.array(a, b)).otherwise(F.concat(F.array(a), cut, F.array(b)))
+            held = F.transform(every, lambda q: spot(*(F.greatest(lo[c], F.least(hi[c], q[c])) for c in "xz")))  # noqa: B023
+            steps = F.transform(F.array(held), lambda h: F.zip_with(F.slice(h, F.lit(1), F.size(h) - 1), F.slice(h, F.lit(2), F.size(h) - 1), lambda p, q: F.struct(p.alias("a"), q.alias("b"))))[0]
+            return F.filter(steps, lambda s: s["a"] != s["b"])
+
+        # made by a generator, so that the optimizer does not write the term out again wherever it is used
+        met = now.select(*state, "i", "j", F.explode(F.array(F.flatten(F.transform(geo.ring_edges(F.col("p")), path)))).alias("e"))
+        twice = F.aggregate("e", F.lit(0).cast("long"), lambda s, e: s + (e["a"]["x"] - lo["x"]) * (e["b"]["z"] - lo["z"]) - (e["b"]["x"] - lo["x"]) * (e["a"]["z"] - lo["z"]))  # noqa: B023
+        met = met.withColumns({"inner": F.exists("e", inner), "twice": twice}).where("inner or twice <> 0")
+        place = Window.partitionBy(*keys, "first", "i", "j")
+        full = F.max(~F.col("inner") & ~F.col("hole") & (F.col("turn") * F.col("twice") > 0)).over(place) & ~F.max("hole").over(place)
+        last = size % 2 == 1 or size < 2 * least * SCALE
+        met = met.withColumn("full", full).withColumn("split", ~F.col("full") & (F.count(F.lit(1)).over(place) > deep) & F.lit(not last))
+        met = scratch.save(met.select(*state, "i", "j", "full", "split", F.when(~(F.col("full") | F.col("split")), F.col("e")).alias("e")), f"level-{level}")
+        x, z = F.col("i") * size, F.col("j") * size
+        square = geo.ring_edges(F.array(spot(x, z), spot(x + size, z), spot(x + size, z + size), spot(x, z + size)))
+        out.append(met.where("full").select(*keys, "first", "i", "j").distinct().select(*keys, "first", F.lit(False).alias("hole"), F.lit(1).cast("long").alias("turn"), F.explode(square).alias("e")))
+        out.append(met.where("not full and not split").select(*state[:-1], F.explode("e").alias("e")))
+        now = met.where("split")
+        if last or now.isEmpty():
+            break
+        half = F.explode(F.array(*(F.struct(F.lit(a).alias("i"), F.lit(b).alias("j")) for a in (0, 1) for b in (0, 1))))
+        now = now.withColumn("h", half).select(*state, (F.col("i") * 2 + F.col("h.i")).alias("i"), (F.col("j") * 2 + F.col("h.j")).alias("j"))
+        size //= 2
+        level += 1
+    out = [part.select(*keys, *(F.col(f"e.{p}.{c}").alias(f"{p}{c}") for p in "ab" for c in "xz"), *_weights()) for part in out]
+    return reduce(DataFrame.unionByName, out)
 
 
 def _cross(a: Sequence[Column], px: Column, pz: Column) -> Column:
@@ -194,7 +269,7 @@ def polygons(found: DataFrame, keys: Sequence[str], cell: float = 4.0, name: str
 
 def union_area(rings_: DataFrame, keys: Sequence[str], ring: str = "ring", cell: float = 4.0) -> DataFrame:
     """(keys, twice) of the union of all rings of a key, in square units."""
-    return areas(boundary(ring_edges(rings_, keys, ring), keys, "union", cell), keys)
+    return areas(boundary(shell_edges(rings_, keys, ring, cell=cell), keys, "union", cell / 8), keys)  # pieces are short
 
 
 # --- shapes around lines, and offsets ---

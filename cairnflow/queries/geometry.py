@@ -142,8 +142,8 @@ _STRIPS = """SELECT label, sum((hi - lo) * greatest(0, z2 - greatest(z1, coalesc
 w AS (SELECT * FROM b WHERE vec_id % 3 = 0), u AS ({_STRIPS.format(b="b")}), v AS ({_STRIPS.format(b="w")}) SELECT u.label, u.area - v.area AS area FROM u JOIN v ON u.label = v.label""")
 def q_polygon_difference(spark, d):
     """Area in square millimetres of two thirds of the boxes without the other third; in SQL the union of all less that of the third."""
-    edges = overlay.ring_edges(_boxes(spark, d), ["label"], side=F.col("vec_id") % 3 != 0)
-    return overlay.areas(overlay.boundary(edges, ["label"], "difference"), ["label"]).select("label", (F.col("twice") / 2).cast("long").alias("area"))
+    edges = overlay.shell_edges(_boxes(spark, d), ["label"], side=F.col("vec_id") % 3 != 0)
+    return overlay.areas(overlay.boundary(edges, ["label"], "difference", cell=0.5), ["label"]).select("label", (F.col("twice") / 2).cast("long").alias("area"))
 
 
 _CELLS = f"""{_BOXES}, x AS (SELECT *, unnest(range(floor(x1 / 2000)::BIGINT, ceil(x2 / 2000)::BIGINT)) AS cx FROM b), z AS (SELECT *, unnest(range(floor(z1 / 2000)::BIGINT, ceil(z2 / 2000)::BIGINT)) AS cz FROM x),
@@ -156,7 +156,7 @@ c AS (SELECT label, cx, cz, sum((hi - lo) * greatest(0, z2 - greatest(z1, coales
 @query(f"WITH {_CELLS} SELECT label, cx, cz, area FROM c WHERE area > 0")
 def q_cell_areas(spark, d):
     """Exact area, in square millimetres, of the union of boxes in every cell of two metres."""
-    whole = overlay.boundary(overlay.ring_edges(_boxes(spark, d), ["label"]), ["label"])
+    whole = overlay.boundary(overlay.shell_edges(_boxes(spark, d), ["label"]), ["label"], cell=0.5)
     return overlay.cell_areas(whole, ["label"], 2.0).select("label", "cx", "cz", F.round(F.col("area") * 1e6).cast("long").alias("area"))
 
 
@@ -176,7 +176,7 @@ g AS (SELECT label, count(*) FILTER (WHERE n = 1) AS one, count(*) FILTER (WHERE
 SELECT label, (SELECT count(*) * 4 FROM o WHERE o.label = g.label)::BIGINT AS area, (one + three + 2 * diagonal - (one - three + 2 * diagonal) // 2)::BIGINT AS triangles FROM g""")
 def q_ground_mesh(spark, d):
     """Cells of two metres that a union of boxes covers to a fiftieth, dissolved and triangulated: area and triangles. The SQL counts corner patterns: a polygon of n corners and h holes has n + 2 h - 2 triangles."""
-    whole = overlay.boundary(overlay.ring_edges(_boxes(spark, d), ["label"]), ["label"])
+    whole = overlay.boundary(overlay.shell_edges(_boxes(spark, d), ["label"]), ["label"], cell=0.5)
     cells = overlay.cell_areas(whole, ["label"], 2.0).where("area >= 0.08 - 1e-9").select("label", (F.col("cx") * 2).alias("x1"), (F.col("cz") * 2).alias("z1"), (F.col("cx") * 2 + 2).alias("x2"), (F.col("cz") * 2 + 2).alias("z2"))
     pieces = walkable.ground_mesh(cells, ["label"])
     return pieces.groupBy("label").agg(F.round(F.sum("area")).cast("long").alias("area"), F.sum(F.size("triangles")).cast("long").alias("triangles"))

@@ -229,3 +229,15 @@ def outlines(cells):
                 break
         rings.append(out)
     return rings
+
+
+def test_piles_of_rings_leave_only_their_shell(spark):
+    """A slanted ring alone keeps its area in cells; the middle of a pile of boxes has hardly any edges left (sides of squares of two sizes)."""
+    rng = random.Random(21)
+    rows = [("slanted", ring((0, 0), (31.3, 2.7), (17.1, 23.9), (9.2, 11.4)))]
+    rows += [("pile", box(round(rng.uniform(-3, 3), 3), round(rng.uniform(-2, 2), 3), 1 + n % 7, 1 + n % 5)) for n in range(3000)]
+    shell = overlay.shell_edges(spark.createDataFrame(rows, f"k string, ring {XZ}"), ["k"]).cache()
+    twice = overlay.areas(shell, ["k"]).where("k = 'slanted'").first().twice
+    assert abs(twice - 1e6 * shoelace([(p["x"], p["z"]) for p in rows[0][1]])) < 1e5  # cuts are snapped to a unit
+    core = lambda e: e.where("k = 'pile' and least(ax, bx) > -1000 and greatest(ax, bx) < 3000 and least(az, bz) > -500 and greatest(az, bz) < 2000").count()
+    assert 20 * core(overlay._normal(shell, ["k"])) < core(overlay.ring_edges(spark.createDataFrame(rows, f"k string, ring {XZ}"), ["k"]))
