@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -122,3 +123,21 @@ def test_results_do_not_depend_on_partitions(spark):
     for op in ops:
         a, *rest = (sorted(map(tuple, op(f).collect())) for f in forms)
         assert a and all(a == b for b in rest)
+
+
+def test_knn_of_a_dense_place_never_joins_the_whole_radius(spark, monkeypatch):
+    """Where rows lie densely the join begins with small cells; far rows still find theirs, and the result is brute force's."""
+    rng = np.random.default_rng(5)
+    pts = [(i, float(x), float(z)) for i, (x, z) in enumerate(rng.uniform(0, 2, (500, 2)))] + [(500, 11.0, 1.0), (501, 300.0, 0.0)]
+    used = []
+    plain = spatial.grid_distance_join
+    monkeypatch.setattr(spatial, "grid_distance_join", lambda l, r, *a, **k: used.append((l.count(), a[4])) or plain(l, r, *a, **k))
+    left = spark.createDataFrame(pts, "a long, x double, z double")
+    right = left.toDF("b", "tx", "tz")
+    got = {(r.a, r["rank"]): r.b for r in spatial.knn_join(left, right, "a", "b", "x", "z", "tx", "tz", 3, 20.0).collect()}
+    want = {}
+    for i, x, z in pts:
+        near = sorted((float(np.sqrt((x - u) ** 2 + (z - v) ** 2)), j) for j, u, v in pts if j != i)
+        want |= {(i, n + 1): j for n, (d, j) in enumerate(near[:3]) if d <= 20}
+    assert got == want
+    assert all(n <= 2 for n, radius in used if radius > 2)
