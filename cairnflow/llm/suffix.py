@@ -218,7 +218,7 @@ def _found(w1, w2, doc, s, e) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(w1, pa.int64()), pa.array(w2, pa.int64()), pa.array(doc, pa.int64()), pa.array(s, pa.int32()), pa.array(e, pa.int32())], names=["w1", "w2", "doc_id", "s", "e"])
 
 
-def _repeats(length: int, cap: int, room: int = 1 << 22):
+def _repeats(length: int, cap: int, room: int = 1 << 20):
     """Reads open runs sorted by anchor. Yields marks (w1 null), or the windows of an anchor with over cap runs (w1, w2 set)."""
 
     def solve(groups: list[tuple[list, list, list]]) -> pa.RecordBatch:

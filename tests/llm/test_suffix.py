@@ -99,3 +99,17 @@ def test_sql_gives_the_same(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     cols = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     assert {tuple(r) for r in remove_repeated_bytes(docs).select(cols).collect()} == set(con.sql(f"select {', '.join(cols)} from ({ORACLE})").fetchall())
+
+
+def test_open_runs_are_sorted_in_batches_of_bounded_size():
+    """2.5 MB of open runs go through more than one suffix array, and every repeat is found in its anchor."""
+    import pyarrow as pa
+
+    from cairnflow.llm import suffix
+
+    n = 18_000
+    data = [bytes(f"{i:08d}" * 8, "ascii")[:60] + b"x" * 10 for i in range(n) for _ in (0, 1)]
+    batch = pa.RecordBatch.from_arrays([pa.array([i // 2 for i in range(2 * n)], pa.int64()), pa.array([i % 2 for i in range(2 * n)], pa.int64()), pa.array([0] * 2 * n, pa.int32()), pa.array(data, pa.binary())], names=["h", "doc_id", "a", "data"])
+    cuts = [batch.slice(k, 1000) for k in range(0, 2 * n, 1000)]
+    out = list(suffix._repeats(50, 20_000)(iter(cuts)))
+    assert len(out) > 1 and sum(b.num_rows for b in out) >= n
