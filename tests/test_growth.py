@@ -3,10 +3,14 @@
 import math
 import random
 
+from cairnflow import queries as core
 from cairnflow.operators import bridges
 from cairnflow.plans import group
 
 
+SF = "/root/testdata/sf0.001"
+
+
 def scatter(n, seed, spread=12.0):
     rng = random.Random(seed)
     return [(k, rng.gauss(0, spread), rng.gauss(0, spread), k % 3) for k in range(n)]
@@ -53,3 +57,7 @@ def test_pairs_of_a_component_in_blocks(spark):
     want |= {(3, 4): (6.0, "m"), (4, 3): (6.0, "m"), (5, 595): (1.0, "m"), (595, 5): (1.0, "m")}
     assert out.count() == len(got) and got == want
     assert plan(out).index("Union") < plan(out).index("Window")  # the many pairs meet no window
+
+
+def test_islands_are_told_by_their_parts(spark):
+    assert "__cx" not in plan(core.queries()["q_bridge_islands"](spark, SF))  # no join of near pairs
