@@ -4,7 +4,7 @@ import math
 import random
 
 from cairnflow import queries as core
-from cairnflow.operators import bridges
+from cairnflow.operators import bridges, spatial
 from cairnflow.plans import group
 
 
@@ -61,3 +61,15 @@ def test_pairs_of_a_component_in_blocks(spark):
 
 def test_islands_are_told_by_their_parts(spark):
     assert "__cx" not in plan(core.queries()["q_bridge_islands"](spark, SF))  # no join of near pairs
+
+
+def test_nearest_one_takes_cells_that_fit(spark, monkeypatch):
+    left, right = scatter(150, 5, 1.0), scatter(300, 6, 1.0)
+    rows = {}
+    save = spatial.Scratch.save
+    monkeypatch.setattr(spatial.Scratch, "save", lambda self, df, name: rows.setdefault(name, save(self, df, name)) if name != "pairs-0" else rows.setdefault(name, save(self, df.cache(), name)))
+    l = spark.createDataFrame(left, "i long, x double, z double, k long")
+    r = spark.createDataFrame([(a, x, z, k) for a, x, z, k in right], "j long, u double, v double, k long")
+    got = {g.i: g.j for g in spatial.nearest_one(l, r, "i", "j", "x", "z", "u", "v", 1000.0, ["k"]).collect()}
+    assert got == {a[0]: min((b for b in right if b[3] == a[3]), key=lambda b: (math.hypot(a[1] - b[1], a[2] - b[2]), b[0]))[0] for a in left}
+    assert rows["pairs-0"].count() > 12  # with cells of 1000 it was the four around the origin, times three keys at most
