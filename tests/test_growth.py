@@ -73,3 +73,17 @@ def test_nearest_one_takes_cells_that_fit(spark, monkeypatch):
     got = {g.i: g.j for g in spatial.nearest_one(l, r, "i", "j", "x", "z", "u", "v", 1000.0, ["k"]).collect()}
     assert got == {a[0]: min((b for b in right if b[3] == a[3]), key=lambda b: (math.hypot(a[1] - b[1], a[2] - b[2]), b[0]))[0] for a in left}
     assert rows["pairs-0"].count() > 12  # with cells of 1000 it was the four around the origin, times three keys at most
+
+
+def test_crossings_are_neither_shuffled_nor_doubled(spark):
+    names, other = ["x1", "z1", "x2", "z2"], ["u1", "v1", "u2", "v2"]
+    side = lambda ax, az, bx, bz, cx, cz: (bx - ax) * (cz - az) - (bz - az) * (cx - ax)
+    for length in (2.0, 40.0):  # cells spare pairs, cells spare none
+        rng = random.Random(7)
+        rows = [(k, k % 2, x, z, x + rng.uniform(-length, length), z + rng.uniform(-length, length)) for k in range(300) for x, z in [(rng.uniform(0, 20), rng.uniform(0, 20))]]
+        l = spark.createDataFrame(rows, "i long, g long, " + ", ".join(f"{c} double" for c in names))
+        r = spark.createDataFrame(rows, "j long, g long, " + ", ".join(f"{c} double" for c in other))
+        out = spatial.segment_intersect_join(l, r, "i", "j", names, other, 3.0, ["g"])
+        want = sorted((a[0], b[0]) for a in rows for b in rows if a[0] != b[0] and a[1] == b[1] and side(*a[2:], *b[2:4]) * side(*a[2:], *b[4:]) < 0 and side(*b[2:], *a[2:4]) * side(*b[2:], *a[4:]) < 0)
+        assert sorted((q.i, q.j) for q in out.collect()) == want and len(want) > 100
+        assert plan(out).index("SortMergeJoin") < plan(out).index("Aggregate")
