@@ -87,3 +87,19 @@ def test_crossings_are_neither_shuffled_nor_doubled(spark):
         want = sorted((a[0], b[0]) for a in rows for b in rows if a[0] != b[0] and a[1] == b[1] and side(*a[2:], *b[2:4]) * side(*a[2:], *b[4:]) < 0 and side(*b[2:], *a[2:4]) * side(*b[2:], *a[4:]) < 0)
         assert sorted((q.i, q.j) for q in out.collect()) == want and len(want) > 100
         assert plan(out).index("SortMergeJoin") < plan(out).index("Aggregate")
+
+
+def test_covered_points_leave_the_search(spark, monkeypatch):
+    save, seen = spatial.Scratch.save, {}
+    monkeypatch.setattr(spatial.Scratch, "save", lambda self, df, name: seen.setdefault(name, save(self, df, name)))
+    rng = random.Random(3)
+    corners = [(k, rng.uniform(0, 6), rng.uniform(0, 6)) for k in range(120)] + [(None, 0.0, 0.0)]
+    ring = lambda x, z: [{"x": x + i, "z": z + j} for i, j in ((0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0))]
+    rings = spark.createDataFrame([(k, ring(x, z)) for k, x, z in corners], "r long, ring array<struct<x:double,z:double>>")
+    points = [(k, rng.uniform(0.5, 8), rng.uniform(0.5, 8)) for k in range(200)]
+    p = spark.createDataFrame(points, "id long, x double, z double")
+    got = {q.id: (q.r, round(q.distance, 9)) for q in spatial.nearest_ring(p, rings, "id", "r", "x", "z", "ring", 8.0).collect()}
+    off = lambda x, z, a, b: math.hypot(max(a - x, 0, x - a - 2), max(b - z, 0, z - b - 2))
+    want = {k: min((round(off(x, z, a, b), 9), r) for r, a, b in corners if r is not None) for k, x, z in points}
+    assert got == {k: (r, d) for k, (d, r) in want.items()}
+    assert 0 < seen["left-16"].count() < 200
