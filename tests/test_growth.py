@@ -103,3 +103,18 @@ def test_covered_points_leave_the_search(spark, monkeypatch):
     want = {k: min((round(off(x, z, a, b), 9), r) for r, a, b in corners if r is not None) for k, x, z in points}
     assert got == {k: (r, d) for k, (d, r) in want.items()}
     assert 0 < seen["left-16"].count() < 200
+
+
+def test_nearest_line_doubles_its_cells(spark):
+    rng = random.Random(9)
+    ends = [(k, *(rng.uniform(0, 12) for _ in range(4))) for k in range(700)] + [(900, 40.0, 0.0, 44.0, 0.0)]
+    lines = spark.createDataFrame(ends, "line long, x1 double, z1 double, x2 double, z2 double")
+    points = [(k, rng.uniform(0, 12), rng.uniform(0, 12)) for k in range(60)] + [(70, 41.0, 0.9), (71, 41.0, 1.1)]
+
+    def away(x, z, ax, az, bx, bz):
+        t = max(0, min(1, ((x - ax) * (bx - ax) + (z - az) * (bz - az)) / ((bx - ax) ** 2 + (bz - az) ** 2)))
+        return math.hypot(x - ax - t * (bx - ax), z - az - t * (bz - az))
+
+    got = spatial.nearest_line(spark.createDataFrame(points, "id long, x double, z double"), lines, "id", "line", "x", "z", ["x1", "z1", "x2", "z2"], 1.0)
+    want = {k: min((away(x, z, *e[1:]), e[0]) for e in ends) for k, x, z in points}
+    assert {r.id: r.line for r in got.collect()} == {k: e for k, (d, e) in want.items() if d <= 1}
