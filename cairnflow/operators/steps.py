@@ -36,7 +36,11 @@ def near_steps(sources: DataFrame, points: DataFrame, radius: float, steps: int,
         return none
     own = points.select(*keys, F.col(node).alias("id"), F.col(x).cast("double").alias("x"), F.col(z).cast("double").alias("z")).dropna()
     own = own.where((F.abs("x") < float("inf")) & (F.abs("z") < float("inf")))
-    if not own.groupBy("id").count().where("count > 1").isEmpty():
+    twice = lambda: not own.groupBy("id").count().where("count > 1").isEmpty()
+    again = twice()
+    if again:
+        own = own.distinct()
+    if again and twice():
         other = own.select(*keys, F.col("id").alias("b"), F.col("x").alias("ox"), F.col("z").alias("oz"))
         pairs = spatial.grid_distance_join(own.withColumnRenamed("id", "a"), other, "x", "z", "ox", "oz", radius, keys).where("a < b")
         ways = graph.distances(starts, pairs.select("a", "b", F.lit(1.0).alias("length")), "source", within=float(steps))

@@ -79,3 +79,9 @@ def test_hops_make_no_near_pairs(spark, monkeypatch):
 
     monkeypatch.setattr(spatial, "grid_distance_join", never)
     assert core.queries()["q_shortest_hops"](spark, SF).where("hops = 0").count() > 0
+
+
+def test_rows_that_are_there_twice_count_once(spark, monkeypatch):
+    own = plane(6)[:120]
+    monkeypatch.setattr(spatial, "grid_distance_join", None)  # no way over the near pairs
+    assert found(spark, own + own[:50], [0, 10, 50, 100], 4.0, 3) == searched(own, [0, 10, 50, 100], 4.0, 3)
