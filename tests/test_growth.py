@@ -3,6 +3,8 @@
 import math
 import random
 
+from pyspark.sql import functions as F
+
 from cairnflow import queries as core
 from cairnflow.operators import bridges, spatial
 from cairnflow.plans import group
@@ -59,6 +61,24 @@ def test_pairs_of_a_component_in_blocks(spark):
     assert plan(out).index("Union") < plan(out).index("Window")  # the many pairs meet no window
 
 
+def test_terminals_are_laid_out_once(spark, monkeypatch):
+    saved, save = {}, group.Scratch.save
+    monkeypatch.setattr(group.Scratch, "save", lambda self, df, name: saved.setdefault(name, save(self, df, name)))
+    t = spark.createDataFrame([(k, float(k % 40), float(k // 40), k % 2) for k in range(1200)], "id long, x double, z double, floor_index long")
+    out = group.transfer_edges(t, t.selectExpr("id", "0L component"))
+    assert "sequence(" not in plan(out)  # once every terminal was shuffled for each block of its component
+    chunks = saved["chunks"].collect()
+    assert sorted(r.id for c in chunks for r in c.p) == list(range(1200)) and len(chunks) > 2
+    assert {(r["from"], r["to"]) for r in out.collect()} == {(a, b) for a in range(1200) for b in range(1200) if a != b and a % 2 == b % 2}
+    assert out.count() == 2 * 600 * 599
+
+
+def test_thousandths_round_like_decimals(spark):
+    values = [0.0, 0.0005, 1.0005, 2.0015, 1.4995, 0.1234999999, 7.3205, 1e-9, 123456.7895, 5e6 + 0.0005, 1e300, float("inf"), float("nan"), None, *(math.sqrt(k) for k in range(2000)), *(k / 2000 for k in range(2000))]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select(group._thousandths(F.col("v")).alias("a"), F.round("v", 3).alias("b"))
+    assert got.where("not (a <=> b)").isEmpty()
+
+
 def test_islands_are_told_by_their_parts(spark):
     assert "__cx" not in plan(core.queries()["q_bridge_islands"](spark, SF))  # no join of near pairs
 
