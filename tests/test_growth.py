@@ -79,6 +79,18 @@ def test_thousandths_round_like_decimals(spark):
     assert got.where("not (a <=> b)").isEmpty()
 
 
+def test_knn_loses_no_partner(spark):
+    rows = [(0, -1e-20, 0.0), (1, 20.0, 0.0), (2, 0.0, -3e-20), (3, 0.0, 20.0), *((k, 100.0 + 0.1 * k, 0.0) for k in range(10, 30))]
+    left = spark.createDataFrame([(a, x, z, 1 + a % 7) for a, x, z in rows], "a long, x double, z double, k long")
+    right = spark.createDataFrame(rows, "b long, tx double, tz double")
+    near = {a: [b for _, b in sorted((math.hypot(x - u, z - v), b) for b, u, v in rows if b != a and math.hypot(x - u, z - v) <= 20)] for a, x, z in rows}
+    for k, most, want in ((30, None, near), (F.col("k"), 2, {a: near[a][: 1 + a % 7] for a in near})):  # more than the hint says
+        got = {}
+        for r in spatial.knn_join(left, right, "a", "b", "x", "z", "tx", "tz", k, 20.0, most=most).orderBy("a", "rank").collect():
+            got.setdefault(r.a, []).append(r.b)
+        assert got == {a: b for a, b in want.items() if b}
+
+
 def test_islands_are_told_by_their_parts(spark):
     assert "__cx" not in plan(core.queries()["q_bridge_islands"](spark, SF))  # no join of near pairs
 
